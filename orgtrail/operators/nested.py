@@ -4,9 +4,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orgtrail.functions.records import distinct_keys
-from orgtrail.schemas import MANDATES
+from orgtrail.schemas import MANDATE
 
-MANDATE_COLUMNS = [name for name in MANDATES.fieldNames() if name != "vat"]
+MANDATE_COLUMNS = MANDATE.fieldNames()
 PERSON_COLUMNS = ["pid", "first_name", "last_name", "name", "is_moral"]
 
 

@@ -1,59 +1,99 @@
-"""Schemas of the registry tables, in Spark DDL."""
+"""Schemas of the registry tables."""
 
-from pyspark.sql.types import StructType
-
-ADDRESS = (
-    "struct<street: string, number: string, box: string, zip_code: string, "
-    "city: string, province: string, country_code: string>"
-)
-ADDRESS_HIST = (
-    f"struct<start_date: date, end_date: date, address_nl: {ADDRESS}, address_fr: {ADDRESS}>"
+from pyspark.sql.types import (
+    ArrayType,
+    BooleanType,
+    DataType,
+    DateType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructType,
 )
-ACTIVITY = (
-    "struct<classification: string, type_label: string, code: string, "
-    "description_nl: string, description_fr: string>"
-)
-MANDATE_FIELDS = (
-    "pid string, category string, role string, function string, start_date date, end_date date"
+
+TEXT, DATE, DOUBLE, INT = StringType(), DateType(), DoubleType(), IntegerType()
+
+
+def _struct(**fields: DataType) -> StructType:
+    schema = StructType()
+    for name, kind in fields.items():
+        schema.add(name, kind)
+    return schema
+
+
+ADDRESS = _struct(
+    street=TEXT, number=TEXT, box=TEXT, zip_code=TEXT, city=TEXT, province=TEXT, country_code=TEXT
 )
-MANDATE = (
-    "struct<pid: string, category: string, role: string, function: string, "
-    "start_date: date, end_date: date>"
+ADDRESS_HIST = _struct(start_date=DATE, end_date=DATE, address_nl=ADDRESS, address_fr=ADDRESS)
+ACTIVITY = _struct(
+    classification=TEXT, type_label=TEXT, code=TEXT, description_nl=TEXT, description_fr=TEXT
 )
-PARTICIPATION = (
-    "struct<related_vat: string, interests_type: string, percentage: double, source: string>"
+MANDATE = _struct(
+    pid=TEXT, category=TEXT, role=TEXT, function=TEXT, start_date=DATE, end_date=DATE
 )
-ACCOUNT_SUMMARY = (
-    "struct<period_end_date: date, "
-    "profit_loss: struct<turnover: double, ebitda: double, operating_profit: double, "
-    "profit_after_tax: double>, "
-    "balance_sheet: struct<equity: double, land_buildings: double>, "
-    "employees: int, schema_type: string, currency: string, financial_health: double>"
+PARTICIPATION = _struct(related_vat=TEXT, interests_type=TEXT, percentage=DOUBLE, source=TEXT)
+ACCOUNT_SUMMARY = _struct(
+    period_end_date=DATE,
+    profit_loss=_struct(
+        turnover=DOUBLE, ebitda=DOUBLE, operating_profit=DOUBLE, profit_after_tax=DOUBLE
+    ),
+    balance_sheet=_struct(equity=DOUBLE, land_buildings=DOUBLE),
+    employees=INT,
+    schema_type=TEXT,
+    currency=TEXT,
+    financial_health=DOUBLE,
 )
 
-ORGANISATIONS = StructType.fromDDL(
-    "vat string, name_nl string, name_fr string, name string, "
-    "juridical_form string, juridical_situation string, founding_date date, "
-    "employee_count int, financial_health double, "
-    f"address_nl {ADDRESS}, address_fr {ADDRESS}, "
-    f"address_hists array<{ADDRESS_HIST}>, activities array<{ACTIVITY}>, "
-    f"person_mandates array<{MANDATE}>, participation_hists array<{PARTICIPATION}>"
+ORGANISATIONS = _struct(
+    vat=TEXT,
+    name_nl=TEXT,
+    name_fr=TEXT,
+    name=TEXT,
+    juridical_form=TEXT,
+    juridical_situation=TEXT,
+    founding_date=DATE,
+    employee_count=INT,
+    financial_health=DOUBLE,
+    address_nl=ADDRESS,
+    address_fr=ADDRESS,
+    address_hists=ArrayType(ADDRESS_HIST),
+    activities=ArrayType(ACTIVITY),
+    person_mandates=ArrayType(MANDATE),
+    participation_hists=ArrayType(PARTICIPATION),
 )
-PERSONS = StructType.fromDDL(
-    "pid string, first_name string, last_name string, name string, is_moral boolean, "
-    f"address_hists array<{ADDRESS_HIST}>"
+PERSONS = _struct(
+    pid=TEXT,
+    first_name=TEXT,
+    last_name=TEXT,
+    name=TEXT,
+    is_moral=BooleanType(),
+    address_hists=ArrayType(ADDRESS_HIST),
 )
-ANNUAL_ACCOUNTS = StructType.fromDDL(f"vat string, summaries array<{ACCOUNT_SUMMARY}>")
-ESTABLISHMENTS = StructType.fromDDL(
-    "vat string, est_id bigint, name_nl string, name_fr string, start_date date, end_date date, "
-    f"address_nl {ADDRESS}, address_fr {ADDRESS}, "
-    "telephone string, email string, website string, activities array<string>"
+ANNUAL_ACCOUNTS = _struct(vat=TEXT, summaries=ArrayType(ACCOUNT_SUMMARY))
+ESTABLISHMENTS = _struct(
+    vat=TEXT,
+    est_id=LongType(),
+    name_nl=TEXT,
+    name_fr=TEXT,
+    start_date=DATE,
+    end_date=DATE,
+    address_nl=ADDRESS,
+    address_fr=ADDRESS,
+    telephone=TEXT,
+    email=TEXT,
+    website=TEXT,
+    activities=ArrayType(TEXT),
 )
-PUBLICATIONS = StructType.fromDDL(
-    "publication_number string, publication_date date, pdf_link string, language string, "
-    "subjects array<string>, source string, organizations array<struct<vat: string>>"
+PUBLICATIONS = _struct(
+    publication_number=TEXT,
+    publication_date=DATE,
+    pdf_link=TEXT,
+    language=TEXT,
+    subjects=ArrayType(TEXT),
+    source=TEXT,
+    organizations=ArrayType(_struct(vat=TEXT)),
 )
-MANDATES = StructType.fromDDL(f"vat string, {MANDATE_FIELDS}")
 
 REGISTRY = {
     "organisations": ORGANISATIONS,

@@ -9,6 +9,7 @@ persons) follow from the keys.
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from orgtrail.functions.addresses import last_hist
 from orgtrail.operators.grouping import attach_pages, collect_sorted, distinct, page_steps
@@ -145,7 +146,7 @@ def organisations(spark: SparkSession, sf_dir: str, with_mandates: bool = False)
         F.expr("if(c_custkey % 10 = 0, null, c_acctbal)").alias("financial_health"),
         F.when(key % 100 == 0, F.lit(None)).when(key % 50 == 0, _no_items(hists)).otherwise(hists).alias("address_hists"),
         F.when(key % 40 == 0, _no_items(activities)).otherwise(F.slice(activities, F.lit(1), (key % 3 + 1).cast("int"))).alias("activities"),
-        F.array().cast(f"array<{MANDATE}>").alias("person_mandates"),
+        F.array().cast(ArrayType(MANDATE)).alias("person_mandates"),
         F.when(F.col("c_acctbal") < 0, _no_items(held)).otherwise(held).alias("participation_hists"),
     )
     last = last_hist(F.col("address_hists"))
