@@ -5,9 +5,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from checks.recipes import with_recipes
+from orgtrail import schemas as S
+from orgtrail.session import scratch_dir
 from orgtrail.sources import derived
+from orgtrail.sources.tables import scan
 
 HOME = "BE"
 TARGET = "IR"
@@ -19,33 +23,63 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
 @dataclass(frozen=True)
 class Registry:
-    """The derived tables of one data folder; each is planned when it is asked for."""
+    """The registry of one data folder, as Parquet at rest.
+
+    A table is derived from the given ones and written to the session's shared folder when
+    a query first asks for it; all queries of the session then scan what was written, with
+    their own columns and filters pushed down.
+    """
 
     spark: SparkSession
     sf_dir: str
 
+    def _at_rest(self, name: str, schema: StructType, derive: Callable[[], DataFrame]) -> DataFrame:
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in WRITTEN:
+            path = scratch_dir(self.spark, name)
+            derive().write.parquet(path)
+            WRITTEN[key] = path
+        return scan(self.spark, WRITTEN[key], schema, strict=False)
+
     def orgs(self) -> DataFrame:
-        return derived.organisations(self.spark, self.sf_dir)
+        return self._at_rest(
+            "organisations", S.ORGANISATIONS, lambda: derived.organisations(self.spark, self.sf_dir)
+        )
 
     def orgs_with_mandates(self) -> DataFrame:
-        return derived.organisations(self.spark, self.sf_dir, with_mandates=True)
+        return self._at_rest(
+            "organisations_with_mandates",
+            S.ORGANISATIONS,
+            lambda: derived.with_mandates(self.orgs(), self.mandates()),
+        )
 
     def persons(self) -> DataFrame:
-        return derived.persons(self.spark, self.sf_dir)
+        return self._at_rest("persons", S.PERSONS, lambda: derived.persons(self.spark, self.sf_dir))
 
     def mandates(self) -> DataFrame:
-        return derived.mandates(self.spark, self.sf_dir)
+        return self._at_rest(
+            "mandates", S.MANDATES, lambda: derived.mandates(self.spark, self.sf_dir)
+        )
 
     def accounts(self) -> DataFrame:
-        return derived.annual_accounts(self.spark, self.sf_dir)
+        return self._at_rest(
+            "annual_accounts", S.ANNUAL_ACCOUNTS, lambda: derived.annual_accounts(self.spark, self.sf_dir)
+        )
 
     def establishments(self) -> DataFrame:
-        return derived.establishments(self.spark, self.sf_dir)
+        return self._at_rest(
+            "establishments", S.ESTABLISHMENTS, lambda: derived.establishments(self.spark, self.sf_dir)
+        )
 
     def publications(self) -> DataFrame:
-        return derived.publications(self.spark, self.sf_dir)
+        return self._at_rest(
+            "publications", S.PUBLICATIONS, lambda: derived.publications(self.spark, self.sf_dir)
+        )
 
     def raw_keys(self) -> DataFrame:
         return derived.raw_vat_list(self.spark, self.sf_dir)

@@ -282,7 +282,7 @@ def sort_vat_year(r: Registry):
 
 def sorted_sql(by: str, order: str) -> str:
     return f"""
-select '{by}' as by, vat, cast(row_number() over (partition by vat order by {order}) - 1 as int) as pos,
+select '{by}' as sorted_by, vat, cast(row_number() over (partition by vat order by {order}) - 1 as int) as pos,
        cast(start_date as string) as start_date, cast(end_date as string) as end_date, number
 from org_hist"""
 
@@ -291,7 +291,7 @@ def sorted_hists(r: Registry, by: str):
     rows = r.orgs().select("vat", F.posexplode(sort_hists(hists(), by)).alias("pos", "hist"))
     number = F.coalesce("hist.address_nl.number", "hist.address_fr.number")
     return rows.select(
-        F.lit(by).alias("by"), "vat", "pos", "hist.start_date", "hist.end_date", number.alias("number")
+        F.lit(by).alias("sorted_by"), "vat", "pos", "hist.start_date", "hist.end_date", number.alias("number")
     )
 
 
@@ -308,8 +308,8 @@ def array_sort_addresses(r: Registry):
 
 @query(
     "array_sort_by_start",
-    f"select by, vat, pos, start_date, end_date from ({sorted_sql('start', 'start_date nulls first, i')}) s "
-    f"union all select by, vat, pos, start_date, end_date from ({sorted_sql('end', 'end_date nulls first, i')}) e",
+    f"select sorted_by, vat, pos, start_date, end_date from ({sorted_sql('start', 'start_date nulls first, i')}) s "
+    f"union all select sorted_by, vat, pos, start_date, end_date from ({sorted_sql('end', 'end_date nulls first, i')}) e",
 )
 def array_sort_by_start(r: Registry):
     return sorted_hists(r, "start").unionByName(sorted_hists(r, "end")).drop("number")

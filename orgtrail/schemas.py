@@ -70,6 +70,8 @@ PERSONS = _struct(
     is_moral=BooleanType(),
     address_hists=ArrayType(ADDRESS_HIST),
 )
+# Mandates as a table of their own, beside or instead of the array in a company.
+MANDATES = StructType(_struct(vat=TEXT).fields + MANDATE.fields)
 ANNUAL_ACCOUNTS = _struct(vat=TEXT, summaries=ArrayType(ACCOUNT_SUMMARY))
 ESTABLISHMENTS = _struct(
     vat=TEXT,

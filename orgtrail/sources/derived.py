@@ -28,71 +28,108 @@ def _vat(key: str) -> Column:
     return F.concat(F.lit("BE"), F.lpad(F.expr(key).cast("string"), 10, "0"))
 
 
-def _country(number: str) -> str:
-    return (
-        f"case ({number}) % 25 when 0 then 'BE' when 1 then '' when 2 then 'IR' when 3 then 'CN' "
-        "when 4 then 'RU' when 5 then null when 6 then ' ir ' when 7 then 'cn' "
-        f"else concat('N', cast(({number}) % 25 as string)) end"
+def _country(number: str) -> Column:
+    """A code by number: home, none, three countries, missing, padded, lower case, others."""
+    return F.expr(
+        f"if(({number}) % 25 < 8, get(array('BE', '', 'IR', 'CN', 'RU', null, ' ir ', 'cn'), "
+        f"cast(({number}) % 25 as int)), concat('N', ({number}) % 25))"
     )
 
 
-def _hist(start: str, end: str, no_nl: str, no_fr: str, parts: dict[str, str], cc_nl: str, cc_fr: str) -> Column:
-    def address(country: str) -> str:
-        fields = {**parts, "country_code": country}
-        inner = ", ".join(f"'{name}', cast({text} as string)" for name, text in fields.items())
-        return f"named_struct({inner})"
-
-    return F.expr(
-        f"named_struct('start_date', {start}, 'end_date', {end}, "
-        f"'address_nl', if({no_nl}, null, {address(cc_nl)}), "
-        f"'address_fr', if({no_fr}, null, {address(cc_fr)}))"
-    )
+def _hist(i: int) -> Column:
+    """History entry ``i`` from the columns that ``_with_hists`` has prepared."""
 
+    def address(language: str) -> Column:
+        parts = [
+            F.col(f"{name}{i}" if name == "number" else name).alias(name)
+            for name in ADDRESS.fieldNames()
+            if name != "country_code"
+        ]
+        country = F.col(f"cc_{language}{i}").alias("country_code")
+        return F.when(~F.col(f"no_{language}"), F.struct(*parts, country))
 
-def _company_hist(i: int) -> Column:
-    later = f"if(c_custkey % 4 = 2, {1 - i}, {i}) * 1000"
-    days = f"cast((c_custkey * 37) % 15000 + {later} as int)"
-    nation = f"c_nationkey + {1 - i} * (c_custkey % 4)"
-    return _hist(
-        start=f"if(c_custkey % 17 = 0, null, date_add(date'1960-01-01', {days}))",
-        end=(
-            f"if((c_custkey + {2 * i}) % 3 = 0 or c_custkey % 8 = 2, null, "
-            f"date_add(date'1962-01-01', {days}))"
-        ),
-        no_nl="c_custkey % 3 = 0 or c_custkey % 37 = 5",
-        no_fr="c_custkey % 3 = 1 or c_custkey % 37 = 5",
-        parts={
-            "street": "if(c_custkey % 19 = 0, '', concat('Street ', c_custkey % 200))",
-            "number": f"c_custkey % 90 + {i}",
-            "box": "if(c_custkey % 5 = 0, 'b1', null)",
-            "zip_code": "lpad(cast(c_custkey % 9999 as string), 4, '0')",
-            "city": "concat('City ', c_nationkey)",
-            "province": "if(c_custkey % 6 = 0, null, concat('Prov ', c_custkey % 6))",
-        },
-        cc_nl=_country(nation),
-        cc_fr=_country(f"{nation} + if(c_custkey % 2 = 1, 1, 0)"),
+    return F.struct(
+        F.col(f"start{i}").alias("start_date"),
+        F.col(f"end{i}").alias("end_date"),
+        address("nl").alias("address_nl"),
+        address("fr").alias("address_fr"),
     )
 
 
-def _person_hist(i: int) -> Column:
-    days = f"cast((s_suppkey * 53) % 15000 + {i * 900} as int)"
-    country = _country(f"s_nationkey + {1 - i} * (s_suppkey % 4)")
-    return _hist(
-        start=f"date_add(date'1970-01-01', {days})",
-        end=f"if((s_suppkey + {i}) % 2 = 0, null, date_add(date'1972-01-01', {days}))",
-        no_nl="s_suppkey % 3 = 0",
-        no_fr="s_suppkey % 3 = 1",
-        parts={
-            "street": "concat('Lane ', s_suppkey)",
+def _with_hists(df: DataFrame, shared: dict[str, str], entry) -> DataFrame:
+    """``df`` with ``hists``: two entries that share the ``shared`` expressions.
+
+    ``entry(i)`` gives the expressions of entry ``i``: day number, whether it has a start
+    and an end, house number, country numbers. Each is computed once per row, whichever of
+    the two languages shows it.
+    """
+    prepared = {name: F.expr(text) for name, text in shared.items()}
+    dates = {}
+    for i in (0, 1):
+        of = entry(i)
+        prepared |= {
+            f"days{i}": F.expr(of["days"]).cast("int"),
+            f"number{i}": F.expr(of["number"]).cast("string"),
+            f"cc_nl{i}": _country(of["nl"]),
+            f"cc_fr{i}": _country(of["fr"]),
+        }
+        dates |= {
+            f"start{i}": F.expr(f"if({of['no_start']}, null, date_add({of['from']}, days{i}))"),
+            f"end{i}": F.expr(f"if({of['open']}, null, date_add({of['to']}, days{i}))"),
+        }
+    return df.withColumns(prepared).withColumns(dates).withColumn("hists", F.array(_hist(0), _hist(1)))
+
+
+def _company_hists(customer: DataFrame) -> DataFrame:
+    def entry(i: int) -> dict[str, str]:
+        nation = f"c_nationkey + {1 - i} * (c_custkey % 4)"
+        return {
+            "days": f"(c_custkey * 37) % 15000 + if(c_custkey % 4 = 2, {1 - i}, {i}) * 1000",
+            "from": "date'1960-01-01'",
+            "to": "date'1962-01-01'",
+            "no_start": "c_custkey % 17 = 0",
+            "open": f"(c_custkey + {2 * i}) % 3 = 0 or c_custkey % 8 = 2",
+            "number": f"c_custkey % 90 + {i}",
+            "nl": nation,
+            "fr": f"{nation} + if(c_custkey % 2 = 1, 1, 0)",
+        }
+
+    shared = {
+        "no_nl": "c_custkey % 3 = 0 or c_custkey % 37 = 5",
+        "no_fr": "c_custkey % 3 = 1 or c_custkey % 37 = 5",
+        "street": "if(c_custkey % 19 = 0, '', concat('Street ', c_custkey % 200))",
+        "box": "if(c_custkey % 5 = 0, 'b1', null)",
+        "zip_code": "lpad(cast(c_custkey % 9999 as string), 4, '0')",
+        "city": "concat('City ', c_nationkey)",
+        "province": "if(c_custkey % 6 = 0, null, concat('Prov ', c_custkey % 6))",
+    }
+    return _with_hists(customer, shared, entry)
+
+
+def _person_hists(supplier: DataFrame) -> DataFrame:
+    def entry(i: int) -> dict[str, str]:
+        nation = f"s_nationkey + {1 - i} * (s_suppkey % 4)"
+        return {
+            "days": f"(s_suppkey * 53) % 15000 + {i * 900}",
+            "from": "date'1970-01-01'",
+            "to": "date'1972-01-01'",
+            "no_start": "false",
+            "open": f"(s_suppkey + {i}) % 2 = 0",
             "number": f"s_suppkey % 70 + {i}",
-            "box": "null",
-            "zip_code": "lpad(cast(s_suppkey % 9999 as string), 4, '0')",
-            "city": "concat('Town ', s_nationkey)",
-            "province": "null",
-        },
-        cc_nl=country,
-        cc_fr=country,
-    )
+            "nl": nation,
+            "fr": nation,
+        }
+
+    shared = {
+        "no_nl": "s_suppkey % 3 = 0",
+        "no_fr": "s_suppkey % 3 = 1",
+        "street": "concat('Lane ', s_suppkey)",
+        "box": "cast(null as string)",
+        "zip_code": "lpad(cast(s_suppkey % 9999 as string), 4, '0')",
+        "city": "concat('Town ', s_nationkey)",
+        "province": "cast(null as string)",
+    }
+    return _with_hists(supplier, shared, entry)
 
 
 def _activity(i: int) -> Column:
@@ -122,19 +159,16 @@ def _no_items(items: Column) -> Column:
     return F.slice(items, 1, 0)
 
 
-def organisations(spark: SparkSession, sf_dir: str, with_mandates: bool = False) -> DataFrame:
-    """Companies; ``person_mandates`` is empty unless asked for.
-
-    With mandates, a company whose mandates fill more than one page has one row per page.
-    """
+def organisations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Companies; ``person_mandates`` is left empty."""
     customer = table(spark, sf_dir, "customer")
-    hists = F.array(_company_hist(0), _company_hist(1))
+    hists = F.col("hists")
     activities = F.array(_activity(0), _activity(1), _activity(2))
     # The number of companies, as a subquery that is evaluated once.
     companies = customer.select(F.count("*")).scalar()
     held = F.sort_array(F.array(_participation(7, 1, companies), _participation(13, 5, companies)))
     key = F.col("c_custkey")
-    orgs = customer.select(
+    orgs = _company_hists(customer).select(
         _vat("c_custkey").alias("vat"),
         F.expr("case c_custkey % 7 when 0 then null when 1 then '' else concat(c_name, ' NV') end").alias("name_nl"),
         F.expr("if(c_custkey % 13 = 0, null, concat(c_name, ' SA'))").alias("name_fr"),
@@ -151,24 +185,30 @@ def organisations(spark: SparkSession, sf_dir: str, with_mandates: bool = False)
     )
     last = last_hist(F.col("address_hists"))
     orgs = orgs.withColumns({"address_nl": last["address_nl"], "address_fr": last["address_fr"]})
-    if with_mandates:
-        flat = mandates(spark, sf_dir)
-        steps = page_steps(flat, "vat", MANDATE_ORDER[0])
-        pages = collect_sorted(
-            flat, "vat", MANDATE_ORDER, F.struct(*MANDATE_COLUMNS), "person_mandates", steps
-        )
-        orgs = attach_pages(orgs.drop("person_mandates"), pages, steps, "vat", "person_mandates")
     return orgs.select(*ORGANISATIONS.fieldNames())
 
 
+def with_mandates(orgs: DataFrame, flat: DataFrame) -> DataFrame:
+    """Companies with flat mandates folded into them.
+
+    A company whose mandates fill more than one page has one row per page.
+    """
+    steps = page_steps(flat, "vat", MANDATE_ORDER[0])
+    pages = collect_sorted(
+        flat, "vat", MANDATE_ORDER, F.struct(*MANDATE_COLUMNS), "person_mandates", steps
+    )
+    folded = attach_pages(orgs.drop("person_mandates"), pages, steps, "vat", "person_mandates")
+    return folded.select(*ORGANISATIONS.fieldNames())
+
+
 def persons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "supplier").select(
+    return _person_hists(table(spark, sf_dir, "supplier")).select(
         F.expr("concat('P', s_suppkey)").alias("pid"),
         F.expr("if(s_suppkey % 8 = 0, null, concat('First', s_suppkey % 30))").alias("first_name"),
         F.expr("if(s_suppkey % 12 = 0, null, s_name)").alias("last_name"),
         F.col("s_name").alias("name"),
         F.expr("if(s_suppkey % 10 = 0, null, s_suppkey % 4 = 0)").alias("is_moral"),
-        F.array(_person_hist(0), _person_hist(1)).alias("address_hists"),
+        F.col("hists").alias("address_hists"),
     )
 
 
