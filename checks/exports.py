@@ -47,7 +47,7 @@ where upper(trim(m.role)) in ('ADMINISTER', 'ADMINISTRATOR')
   and o.vat in (select vat from org_hist where upper(trim(cc)) = '{HOME}')""",
 )
 def country_admins_home_companies(r: Registry):
-    return people.country_admins(r.persons(), r.orgs(), TARGET, HOME, mandates=r.mandates())
+    return people.country_admins(r.persons(), r.orgs_with_mandates(), TARGET, HOME)
 
 
 def ownership_sql(owner: str, owned: str) -> str:
@@ -94,7 +94,7 @@ left join org_last h on h.vat = o.vat
 where o.vat in (select vat from mandate where category = 'ADMINISTER')""",
 )
 def country_mandates_dated(r: Registry):
-    return people.country_mandates(r.persons(), r.orgs(), TARGET, [ADMINISTER], "org", r.mandates())
+    return people.country_mandates(r.persons(), r.orgs_with_mandates(), TARGET, [ADMINISTER], "org", paged=True)
 
 
 @query(
@@ -126,7 +126,7 @@ where m.category in ('ADMINISTER', 'SHAREHOLDER')""",
 )
 def cc_admin_shareholder_companies(r: Registry):
     wanted = [ADMINISTER, SHAREHOLDER]
-    return people.country_mandates(r.persons(), r.orgs(), OTHER, wanted, "mandate", r.mandates())
+    return people.country_mandates(r.persons(), r.orgs_with_mandates(), OTHER, wanted, "mandate")
 
 
 def links_sql(home_key: str, target_key: str) -> str:
@@ -166,7 +166,7 @@ left join principal_strict a on a.vat = o.vat
 left join mandate m on m.vat = o.vat left join person p on p.pid = m.pid""",
 )
 def vat_representatives(r: Registry):
-    return representatives(r.orgs(), r.persons(), r.keys(), "file", r.mandates())
+    return representatives(r.orgs_with_mandates(), r.persons(), r.keys(), "file")
 
 
 @query(
@@ -187,7 +187,7 @@ left join principal_contains a on a.vat = o.vat
 left join mandate m on m.vat = o.vat left join person p on p.pid = m.pid""",
 )
 def vat_list_representatives(r: Registry):
-    return representatives(r.orgs(), r.persons(), r.keys(), "list", r.mandates())
+    return representatives(r.orgs_with_mandates(), r.persons(), r.keys(), "list")
 
 
 @query(

@@ -139,7 +139,8 @@ where o.vat in (select vat from org_hist where upper(cc_field) = '{TARGET}')""",
 )
 def join_participation_target(r: Registry):
     parts = flatten_participation(r.orgs().select(F.col("vat").alias("vat_home"), "participation_hists"))
-    targets = r.orgs().filter(FIELD.matches(TARGET)).select("vat", "name_nl", FIELD.address().alias("last_address"))
+    targets = r.orgs().filter(FIELD.matches(TARGET)).select("vat", "name_nl", "address_hists")
+    targets = FIELD.with_text(targets, "last_address")
     joined = J.participation_join(parts.withColumnRenamed("related_vat", "vat"), targets)
     return joined.select("vat_home", "vat", "name_nl", "last_address", "source")
 
@@ -192,15 +193,14 @@ left join (select vat, cast(count(*) as int) as n from ranked_publication where
 left join (select vat, cast(count(*) as int) as n from ranked_account where latest <= 5 group by vat) a on o.vat = a.vat""",
 )
 def join_left_enrich_three(r: Registry):
-    sites = r.establishments()
-    steps = G.page_steps(sites, "vat", ESTABLISHMENT_ORDER[0])
-    pages = G.collect_sorted(sites, "vat", ESTABLISHMENT_ORDER, establishment_export(), "establishments", steps)
     pubs = G.collect_latest(
         publication_keys(r.publications()), "vat", PUBLICATION_ORDER, PUBLICATIONS_KEPT,
         publication_export(), "publications",
     )
-    enriched = J.enrich(r.orgs(), pubs, latest_accounts(r.accounts()))
-    enriched = G.attach_pages(enriched, pages, steps, "vat", "establishments")
+    enriched = G.attach_sorted(
+        J.enrich(r.orgs(), pubs, latest_accounts(r.accounts())),
+        r.establishments(), "vat", ESTABLISHMENT_ORDER, establishment_export(), "establishments",
+    )
     return enriched.select(
         "vat",
         "page",
@@ -255,8 +255,7 @@ select distinct p.pid, p.first_name, p.last_name, {address_text('concat_ws', 'h'
 from person p left join person_last h on p.pid = h.pid""",
 )
 def group_person_address(r: Registry):
-    shown = r.persons().withColumn("last_address", FIELD.address())
-    return G.one_per_person(shown)
+    return G.one_per_person(FIELD.with_text(r.persons(), "last_address"))
 
 
 @query(
@@ -266,7 +265,7 @@ select publication_number, cast(count(distinct vat) as int) as n_keys, min(vat)
 from publication_org group by publication_number""",
 )
 def array_distinct_keys(r: Registry):
-    keys = distinct_keys(F.transform("organizations", lambda company: company["vat"]))
+    keys = distinct_keys(F.col("organizations")["vat"])
     return r.publications().select("publication_number", keys.alias("keys")).select(
         "publication_number",
         F.size("keys").alias("n_keys"),

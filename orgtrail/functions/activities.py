@@ -13,13 +13,17 @@ MAX_CODE_LENGTH = 10
 def has_activity_prefix(activities: Column, prefix: str, classification: str | None = None) -> Column:
     """Some activity code starts with ``prefix``, in one classification if one is given."""
 
-    def hit(activity: Column) -> Column:
-        test = F.startswith(activity["code"], F.lit(prefix))
-        if classification is not None:
-            test = test & (activity["classification"] == classification)
-        return F.coalesce(test, F.lit(False))
-
-    return F.exists(activities, hit)
+    def starts(code: Column) -> Column:
+        return F.coalesce(F.startswith(code, F.lit(prefix)), F.lit(False))
+
+    if classification is None:
+        return F.exists(activities["code"], starts)
+    hits = F.zip_with(
+        activities["code"],
+        activities["classification"],
+        lambda code, of: starts(code) & of.eqNullSafe(classification),
+    )
+    return F.exists(hits, lambda hit: hit)
 
 
 def _first(activities: Column, test) -> Column:
@@ -70,4 +74,4 @@ def clean_codes(codes: Column) -> Column:
 
 def activity_codes(activities: Column) -> Column:
     """The cleaned codes of a company's activities."""
-    return clean_codes(F.transform(activities, lambda activity: activity["code"]))
+    return clean_codes(activities["code"])

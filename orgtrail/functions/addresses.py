@@ -26,14 +26,16 @@ def _by_end_start(hist: Column) -> list[Column]:
     ]
 
 
-def _best(hists: Column, rank: Callable[[Column], list[Column]]) -> Column:
-    """The highest (rank, position) of a history, null for an empty or null one."""
-    return F.array_max(F.transform(hists, lambda hist, at: F.struct(*rank(hist), at.alias("at"))))
-
-
 def pick_by(hists: Column, rank: Callable[[Column], list[Column]]) -> Column:
-    """The entry with the highest rank; a null rank field is lowest."""
-    return F.get(hists, _best(hists, rank)["at"])
+    """The entry with the highest rank, null for an empty history; a null rank field is lowest.
+
+    The entry travels behind its rank and position. The position is unique, so the entry
+    itself is never compared.
+    """
+    ranked = F.transform(
+        hists, lambda hist, at: F.struct(*rank(hist), at.alias("at"), hist.alias("hist"))
+    )
+    return F.array_max(ranked)["hist"]
 
 
 def latest_hist(hists: Column) -> Column:
@@ -57,8 +59,8 @@ def first_open_or_last_hist(hists: Column) -> Column:
 
 def previous_hist(hists: Column) -> Column:
     """The closed entry with the latest end."""
-    best = _best(hists, lambda hist: [hist["end_date"].alias("end")])
-    return F.when(best["end"].isNotNull(), F.get(hists, best["at"]))
+    closed = F.filter(hists, lambda hist: hist["end_date"].isNotNull())
+    return pick_by(closed, lambda hist: [hist["end_date"].alias("end")])
 
 
 def last_closed_hist(hists: Column) -> Column:

@@ -27,6 +27,18 @@ def norm_country(cc: Column) -> Column:
     return F.upper(strip(F.coalesce(cc, F.lit(""))))
 
 
+def country_fields(hists: Column) -> Column:
+    """``country_field`` of every entry.
+
+    Works on the two arrays of codes rather than on entries, so that a scan reads only these.
+    """
+    return F.zip_with(
+        hists["address_nl"]["country_code"],
+        hists["address_fr"]["country_code"],
+        lambda nl, fr: F.coalesce(nl, fr, F.lit("")),
+    )
+
+
 def any_country(
     hists: Column,
     cc: str,
@@ -46,18 +58,18 @@ def any_country(
     trim = mode == "struct" if trim is None else trim
     wanted = [cc.strip().upper()] + ([""] if empty_is_home else [])
 
-    def lies_in(hist: Column) -> Column:
-        code = country_field(hist) if mode == "field" else addr(hist)["country_code"]
-        if empty_is_home:
-            code = F.coalesce(code, F.lit(""))
-        return F.upper(strip(code) if trim else code).isin(wanted)
+    def is_wanted(code: Column) -> Column:
+        code = F.coalesce(code, F.lit("")) if empty_is_home else code
+        return F.coalesce(F.upper(strip(code) if trim else code).isin(wanted), F.lit(False))
 
-    return F.exists(hists, lambda hist: F.coalesce(lies_in(hist), F.lit(False)))
+    if mode == "field":
+        return F.exists(country_fields(hists), is_wanted)
+    return F.exists(hists, lambda hist: is_wanted(addr(hist)["country_code"]))
 
 
 def first_country(hists: Column) -> Column:
     """The first non-empty country of a history, null if there is none."""
-    codes = F.transform(hists, lambda hist: F.upper(F.trim(country_field(hist))))
+    codes = F.transform(country_fields(hists), lambda code: F.upper(F.trim(code)))
     return F.get(F.filter(codes, lambda code: code != ""), F.lit(0))
 
 

@@ -21,7 +21,8 @@ def category_in(category: Column, categories) -> Column:
 def has_category(mandates: Column, categories) -> Column:
     """Some mandate of the array has a listed category."""
     return F.exists(
-        mandates, lambda mandate: F.coalesce(category_in(mandate["category"], categories), F.lit(False))
+        mandates["category"],
+        lambda category: F.coalesce(category_in(category, categories), F.lit(False)),
     )
 
 

@@ -3,6 +3,8 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orgtrail.operators.joins import MAX_BROADCAST_ROWS, small_side
+
 PAGE_ROWS = 100_000
 
 
@@ -43,20 +45,27 @@ def collect_latest(
     )
 
 
-def page_steps(df: DataFrame, key: str, step: str, page_rows: int = PAGE_ROWS) -> DataFrame:
+def page_steps(
+    df: DataFrame, key: str, step: str, page_rows: int = PAGE_ROWS
+) -> DataFrame | None:
     """Where the pages of the big keys begin: key, step, first_page, splits.
 
     Only keys with more than ``page_rows`` rows appear, with one row per value of ``step``,
-    the leading sort column. ``splits`` is how many pages one step is spread over. Keys with
-    few rows are found by a count that combines before its shuffle.
+    the leading sort column. ``splits`` is how many pages one step is spread over. Without
+    big keys, which one count per key finds out, there are no steps.
     """
-    big = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > page_rows)
+    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    big = sizes.filter(F.col(key).isNotNull() & (F.col("n") > page_rows)).select(key)
+    n_big = big.count()
+    if n_big == 0:
+        return None
     earlier = Window.partitionBy(key).orderBy(F.asc_nulls_first(step)).rowsBetween(
         Window.unboundedPreceding, -1
     )
     before = F.coalesce(F.sum("n").over(earlier), F.lit(0))
+    big = F.broadcast(big) if n_big <= MAX_BROADCAST_ROWS else big
     return (
-        df.join(big.select(key), key, "left_semi")
+        df.join(big, key, "left_semi")
         .groupBy(key, step)
         .agg(F.count(F.lit(1)).alias("n"))
         .select(
@@ -74,41 +83,68 @@ def collect_sorted(
     order: list[str],
     value: Column,
     name: str,
-    steps: DataFrame | None = None,
+    page_rows: int = PAGE_ROWS,
 ) -> DataFrame:
-    """Per key and page the values as an array sorted by ``order``, missing first.
+    """Per key the values as an array sorted by ``order``, missing first: key, page, array.
 
     Every key has page 0. A key with more rows than a page holds goes on in further pages,
     in order of the leading sort column, so that no task gathers a hot key whole and no row
-    is dropped. Rows without a key belong nowhere and are left out.
+    is dropped. ``order`` must tell the rows of a key apart. Rows without a key belong
+    nowhere and are left out.
     """
     df = df.filter(F.col(key).isNotNull())
-    step = order[0]
-    steps = page_steps(df, key, step) if steps is None else steps
-    steps = steps.select(
-        F.col(key).alias("step_key"), F.col(step).alias("step"), "first_page", "splits"
+    steps = page_steps(df, key, order[0], page_rows)
+    return _collect_pages(df, key, order, value, name, steps)
+
+
+def _collect_pages(
+    df: DataFrame, key: str, order: list[str], value: Column, name: str, steps: DataFrame | None
+) -> DataFrame:
+    if steps is None:
+        return df.groupBy(key).agg(_sorted_values(order, value).alias(name)).select(
+            key, F.lit(0).alias("page"), name
+        )
+    steps = small_side(
+        steps.select(
+            F.col(key).alias("step_key"), F.col(order[0]).alias("step"), "first_page", "splits"
+        )
     )
+    same = (F.col(key) == F.col("step_key")) & F.col(order[0]).eqNullSafe(F.col("step"))
     spread = F.pmod(F.xxhash64(*order), F.col("splits")).cast("int")
-    paged = df.join(
-        steps, (F.col(key) == F.col("step_key")) & F.col(step).eqNullSafe(F.col("step")), "left"
-    ).withColumn("page", F.coalesce(F.col("first_page") + spread, F.lit(0)))
+    paged = df.join(steps, same, "left").withColumn(
+        "page", F.coalesce(F.col("first_page") + spread, F.lit(0))
+    )
     return paged.groupBy(key, "page").agg(_sorted_values(order, value).alias(name))
 
 
-def attach_pages(left: DataFrame, pages: DataFrame, steps: DataFrame, key: str, name: str) -> DataFrame:
-    """``left`` beside its pages, one row per page and at least one; no page gives an empty array.
+def attach_sorted(
+    left: DataFrame,
+    df: DataFrame,
+    key: str,
+    order: list[str],
+    value: Column,
+    name: str,
+    page_rows: int = PAGE_ROWS,
+) -> DataFrame:
+    """``left`` beside the arrays of ``collect_sorted``, with their page; none gives an empty one.
 
-    Each row is first repeated once per page, so the join key is unique on both sides even
-    for a hot key.
+    A row of ``left`` appears once per page. It is repeated before the join, so that the
+    join key is unique on both sides even for a hot key.
     """
-    extents = steps.groupBy(key).agg(
-        F.max(F.col("first_page") + F.col("splits")).alias("n_pages")
-    )
-    numbers = F.sequence(F.lit(0), F.coalesce("n_pages", F.lit(1)) - 1)
-    return (
-        left.join(extents, key, "left")
-        .withColumn("page", F.explode(numbers))
-        .drop("n_pages")
-        .join(pages, [key, "page"], "left")
-        .withColumn(name, F.coalesce(name, F.array()))
-    )
+    df = df.filter(F.col(key).isNotNull())
+    steps = page_steps(df, key, order[0], page_rows)
+    pages = _collect_pages(df, key, order, value, name, steps)
+    if steps is None:
+        joined = left.join(pages, key, "left").withColumn("page", F.lit(0))
+    else:
+        last = F.max(F.col("first_page") + F.col("splits"))
+        extents = small_side(steps.groupBy(key).agg(last.alias("n_pages")))
+        numbers = F.sequence(F.lit(0), F.coalesce("n_pages", F.lit(1)) - 1)
+        joined = (
+            left.join(extents, key, "left")
+            .withColumn("page", F.explode(numbers))
+            .drop("n_pages")
+            .join(pages, [key, "page"], "left")
+            .filter((F.col("page") == 0) | F.col(name).isNotNull())
+        )
+    return joined.withColumn(name, F.coalesce(name, F.array()))

@@ -1,7 +1,9 @@
 """Equi-joins between persons, mandates, companies and their records.
 
-No join here is hinted unless ``small_side`` has counted the hinted side: the sizes at
-run time decide between broadcast and shuffle, and adaptive execution splits hot keys.
+Spark plans a shuffle for a filtered table whose file is large, even if few rows are left.
+``small_side`` and the functions built on it count such a side first and broadcast it only
+below a bound; beyond the bound the join is left to Spark, whose adaptive execution splits
+hot keys.
 """
 
 from functools import reduce
@@ -10,20 +12,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orgtrail.functions.countries import any_country
-from orgtrail.functions.mandates import category_in, has_category
-from orgtrail.operators.nested import MANDATE_COLUMNS, flatten_mandate
 
-MAX_BROADCAST_KEYS = 100_000
+MAX_BROADCAST_ROWS = 200_000
 
 
-def small_side(keys: DataFrame, max_rows: int = MAX_BROADCAST_KEYS) -> DataFrame:
-    """The key list with a broadcast hint if it has at most ``max_rows`` rows.
+def few_rows(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """At most ``max_rows`` rows, by a count that sends one number per task."""
+    return df.count() <= max_rows
 
-    Runs one count that stops after ``max_rows + 1`` rows. A longer list comes back as it
-    is and joins by shuffle.
+
+def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``df`` with a broadcast hint if it has few rows, else as it is."""
+    return F.broadcast(df) if few_rows(df, max_rows) else df
+
+
+def sized_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Inner join that broadcasts the right side if it is small, else the left one if that is."""
+    if few_rows(right):
+        return left.join(F.broadcast(right), key)
+    return small_side(left).join(right, key)
+
+
+def cut_to_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """``df`` without the rows of other keys if the keys are few, else all of it.
+
+    For use before an outer join on ``key``: it changes what the join has to shuffle, not
+    what it returns.
     """
-    bounded = keys.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(keys) if bounded else keys
+    keys = keys.select(key).distinct()
+    return df.join(F.broadcast(keys), key, "left_semi") if few_rows(keys) else df
 
 
 def restrict(df: DataFrame, vats: DataFrame, key: str = "vat", keep: str = "semi") -> DataFrame:
@@ -42,6 +59,7 @@ def restrict_home(df: DataFrame, orgs: DataFrame, home: str) -> DataFrame:
 
 
 def join_mandates(persons: DataFrame, mandates: DataFrame) -> DataFrame:
+    """Persons beside the mandates that name them."""
     return persons.join(mandates, "pid")
 
 
@@ -65,13 +83,13 @@ def enrich(orgs: DataFrame, *grouped: DataFrame) -> DataFrame:
 
 def participation_join(parts: DataFrame, owned: DataFrame, key: str = "vat") -> DataFrame:
     """Participations beside the company they are held in."""
-    return parts.join(owned, key)
+    return sized_join(parts, owned, key)
 
 
 def ownership_pairs(parts: DataFrame, lookup: DataFrame) -> DataFrame:
     """(owner, owned) rows from (vat, related_vat) and a lookup of (vat, name, country)."""
     owners = lookup.select(
-        F.col("vat"), F.col("name").alias("owner_name"), F.col("country").alias("owner_country")
+        "vat", F.col("name").alias("owner_name"), F.col("country").alias("owner_country")
     )
     owned = lookup.select(
         F.col("vat").alias("related_vat"),
@@ -90,43 +108,3 @@ def ownership_pairs(parts: DataFrame, lookup: DataFrame) -> DataFrame:
             "owned_country",
         )
     )
-
-
-def people_mandates(
-    people: DataFrame, companies: DataFrame, mandates: DataFrame | None = None, keep=None
-) -> DataFrame:
-    """``people`` beside each of their mandates and the company it is held in.
-
-    Mandates are the ``person_mandates`` of ``companies`` or, if given, a table of their own
-    with a ``vat``: then no array is built, and the people, usually few, cut the mandates
-    down before the companies are joined. ``keep`` is a filter on the mandate columns.
-    """
-    keep = F.lit(True) if keep is None else keep
-    if mandates is None:
-        return join_mandates(people, flatten_mandate(companies).filter(keep))
-    return join_mandates(people, mandates.filter(keep)).join(companies, "vat")
-
-
-def company_mandates(companies: DataFrame, mandates: DataFrame | None = None) -> DataFrame:
-    """Each company beside its mandates; a company without any keeps one row.
-
-    With a mandate table this is an inner join plus the unmatched companies rather than one
-    left join: adaptive execution can split a hot company only in the inner form.
-    """
-    if mandates is None:
-        return flatten_mandate(companies, outer=True)
-    with_any = mandates.select("vat").distinct()
-    none = companies.join(with_any, "vat", "left_anti")
-    return companies.join(mandates.select("vat", *MANDATE_COLUMNS), "vat").unionByName(
-        none, allowMissingColumns=True
-    )
-
-
-def companies_with_category(
-    companies: DataFrame, categories, mandates: DataFrame | None = None
-) -> DataFrame:
-    """The companies with some mandate of a listed category."""
-    if mandates is None:
-        return companies.filter(has_category(F.col("person_mandates"), categories))
-    having = mandates.filter(category_in(F.col("category"), categories)).select("vat").distinct()
-    return companies.join(having, "vat", "left_semi")

@@ -1,8 +1,11 @@
 """From nested histories to flat rows."""
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orgtrail.functions.countries import addr
 from orgtrail.functions.records import distinct_keys
 from orgtrail.schemas import MANDATE
 
@@ -19,6 +22,15 @@ def unnest(df: DataFrame, array: str, outer: bool = False) -> DataFrame:
     return df.withColumn(array, explode(array))
 
 
+def with_address(df: DataFrame, pick: Callable[[Column], Column], name: str) -> DataFrame:
+    """``df`` with the address of the picked history entry as a struct column.
+
+    The entry is a column first and the address then reads it, so that the pick runs once
+    per row however many address fields a report shows.
+    """
+    return df.withColumn(name, pick(F.col("address_hists"))).withColumn(name, addr(F.col(name)))
+
+
 def flatten_mandate(df: DataFrame, outer: bool = False) -> DataFrame:
     """One row per mandate: the other columns of ``df``, then the mandate's fields."""
     rest = [name for name in df.columns if name != "person_mandates"]
@@ -51,7 +63,7 @@ def flatten_profit_loss(accounts: DataFrame) -> DataFrame:
 
 def publication_keys(pubs: DataFrame) -> DataFrame:
     """One row per publication and distinct company it names."""
-    keys = distinct_keys(F.transform("organizations", lambda company: company["vat"]))
+    keys = distinct_keys(F.col("organizations")["vat"])
     return pubs.withColumn("vat", F.explode(keys)).drop("organizations")
 
 

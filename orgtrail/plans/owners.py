@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from orgtrail.functions.countries import any_country, country_in, first_country
 from orgtrail.functions.names import lookup_name
-from orgtrail.operators.joins import participation_join
+from orgtrail.operators.joins import participation_join, sized_join
 from orgtrail.operators.nested import flatten_participation
 from orgtrail.plans.people import FIELD
 
@@ -33,17 +33,15 @@ def ownership(orgs: DataFrame, owner_cc, owned_cc, fallback: bool = False) -> Da
         "participation_hists",
     ).filter(country_in(F.col("owner_country"), owner_cc))
     owned = ownership_lookup(orgs, fallback).toDF("related_vat", "owned_name", "owned_country")
-    return (
-        flatten_participation(owners)
-        .join(owned.filter(country_in(F.col("owned_country"), owned_cc)), "related_vat")
-        .select(
-            "owner_vat",
-            "owner_name",
-            "owner_country",
-            F.col("related_vat").alias("owned_vat"),
-            "owned_name",
-            "owned_country",
-        )
+    owned = owned.filter(country_in(F.col("owned_country"), owned_cc))
+    parts = flatten_participation(owners).drop("interests_type", "percentage", "source")
+    return sized_join(parts, owned, "related_vat").select(
+        "owner_vat",
+        "owner_name",
+        "owner_country",
+        F.col("related_vat").alias("owned_vat"),
+        "owned_name",
+        "owned_country",
     )
 
 
@@ -60,23 +58,21 @@ def participation_links(orgs: DataFrame, cc: str, home: str, owner: str = "home"
     """
     if owner not in ("home", "target"):
         raise ValueError(f"unknown owner {owner!r}")
-    home_names = [
+    homes = orgs.filter(at_home(home)).select(
         F.col("vat").alias("vat_home"),
         F.col("name_nl").alias("name_nl_home"),
         F.col("name_fr").alias("name_fr_home"),
-    ]
-    target_names = ["vat", "name_nl", "name_fr", FIELD.address().alias("last_address")]
-    homes = orgs.filter(at_home(home))
-    targets = orgs.filter(FIELD.matches(cc))
-    if owner == "home":
-        parts = flatten_participation(homes.select(*home_names, "participation_hists"))
-        held, key = targets.select(*target_names), "vat"
-    else:
-        parts = flatten_participation(targets.select(*target_names, "participation_hists"))
-        held, key = homes.select(*home_names), "vat_home"
-    return participation_join(
-        parts.withColumnRenamed("related_vat", key), held, key
-    ).select(
+        "participation_hists",
+    )
+    targets = FIELD.with_text(
+        orgs.filter(FIELD.matches(cc)).select(
+            "vat", "name_nl", "name_fr", "address_hists", "participation_hists"
+        ),
+        "last_address",
+    )
+    holders, held, key = (homes, targets, "vat") if owner == "home" else (targets, homes, "vat_home")
+    parts = flatten_participation(holders).withColumnRenamed("related_vat", key)
+    return participation_join(parts, held.drop("participation_hists"), key).select(
         "vat_home",
         "name_nl_home",
         "name_fr_home",

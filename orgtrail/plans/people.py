@@ -7,11 +7,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orgtrail.functions.addresses import fmt_address, last_hist, latest_hist
-from orgtrail.functions.countries import addr, any_country
-from orgtrail.functions.mandates import ADMIN_ROLES, category_in, role_in
+from orgtrail.functions.countries import any_country
+from orgtrail.functions.mandates import ADMIN_ROLES, category_in, has_category, role_in
 from orgtrail.functions.text import or_empty
 from orgtrail.operators.grouping import distinct
-from orgtrail.operators.joins import companies_with_category, people_mandates
+from orgtrail.operators.joins import join_mandates, small_side
+from orgtrail.operators.nested import flatten_mandate, with_address
 
 
 @dataclass(frozen=True)
@@ -28,14 +29,22 @@ class CountryRules:
     def matches(self, cc: str) -> Column:
         return any_country(F.col("address_hists"), cc, mode=self.mode, trim=self.trim)
 
-    def address(self) -> Column:
-        return fmt_address(addr(self.pick(F.col("address_hists"))), self.style)
+    def with_text(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` with the shown address as text in place of the history."""
+        shown = with_address(df, self.pick, name).drop("address_hists")
+        return shown.withColumn(name, fmt_address(F.col(name), self.style))
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        return distinct(df) if self.distinct else df
 
 
 LATEST = CountryRules("struct", True, latest_hist, "comma_trim", True, False)
 LAST = CountryRules("struct", False, last_hist, "comma_nulls", False, True)
 FIELD = CountryRules("field", False, last_hist, "concat_ws", False, True)
 
+PERSON_COLUMNS = ["pid", "first_name", "last_name", "last_address"]
+COMPANY_COLUMNS = ["vat", "name_nl", "name_fr", "last_address_for_company"]
+
 
 def country_persons(persons: DataFrame, cc: str, rules: CountryRules = LATEST) -> DataFrame:
     """Persons with any address in ``cc``, with the address the rules show."""
@@ -44,21 +53,25 @@ def country_persons(persons: DataFrame, cc: str, rules: CountryRules = LATEST) -
         "pid",
         shown(F.col("first_name")).alias("first_name"),
         shown(F.col("last_name")).alias("last_name"),
-        rules.address().alias("last_address"),
+        "address_hists",
     )
-    return distinct(found) if rules.distinct else found
+    return rules.keep(rules.with_text(found, "last_address"))
 
 
 def country_companies(orgs: DataFrame, cc: str, rules: CountryRules = LAST) -> DataFrame:
     """Companies with any address in ``cc``."""
-    found = _companies(orgs.filter(rules.matches(cc)), rules)
-    return distinct(found) if rules.distinct else found
+    return rules.keep(_companies(orgs.filter(rules.matches(cc)), rules))
 
 
 def _companies(orgs: DataFrame, rules: CountryRules, *more: str) -> DataFrame:
-    return orgs.select(
-        "vat", "name_nl", "name_fr", rules.address().alias("last_address_for_company"), *more
-    )
+    head = orgs.select("vat", "name_nl", "name_fr", "address_hists", *more)
+    return rules.with_text(head, "last_address_for_company")
+
+
+def _beside_mandates(people: DataFrame, orgs: DataFrame, rules: CountryRules, keep=None) -> DataFrame:
+    """``people`` beside their mandates; few people are broadcast, and nothing is shuffled."""
+    rows = flatten_mandate(_companies(orgs, rules, "person_mandates"))
+    return join_mandates(small_side(people), rows if keep is None else rows.filter(keep))
 
 
 def country_admins(
@@ -67,30 +80,14 @@ def country_admins(
     cc: str,
     home: str,
     roles=ADMIN_ROLES,
-    mandates: DataFrame | None = None,
     rules: CountryRules = LATEST,
 ) -> DataFrame:
     """Persons of ``cc`` who administer a company with an address in ``home``."""
-    nested = ["person_mandates"] if mandates is None else []
     at_home = orgs.filter(any_country(F.col("address_hists"), home))
-    return people_mandates(
-        country_persons(persons, cc, rules),
-        _companies(at_home, rules, *nested),
-        mandates,
-        keep=role_in(F.col("role"), roles),
-    ).select(*_PERSON_AND_COMPANY)
-
-
-_PERSON_AND_COMPANY = [
-    "pid",
-    "first_name",
-    "last_name",
-    "last_address",
-    "vat",
-    "name_nl",
-    "name_fr",
-    "last_address_for_company",
-]
+    people = country_persons(persons, cc, rules)
+    return _beside_mandates(people, at_home, rules, role_in(F.col("role"), roles)).select(
+        *PERSON_COLUMNS, *COMPANY_COLUMNS
+    )
 
 
 def country_mandates(
@@ -99,31 +96,35 @@ def country_mandates(
     cc: str,
     categories,
     match: str = "org",
-    mandates: DataFrame | None = None,
     rules: CountryRules | None = None,
+    paged: bool = False,
 ) -> DataFrame:
     """Persons of ``cc`` beside the mandates they hold.
 
     ``match="org"`` shows every mandate of a company that has some mandate of a listed
     category, dated and without repeats. ``match="mandate"`` shows the mandates that are of
-    a listed category themselves.
+    a listed category themselves. ``paged`` says that a company may take several rows of
+    ``orgs``, with its mandates spread over them.
     """
     if match not in ("org", "mandate"):
         raise ValueError(f"unknown match {match!r}")
     rules = rules or (LAST if match == "org" else FIELD)
-    nested = ["person_mandates"] if mandates is None else []
     people = country_persons(persons, cc, rules)
     if match == "mandate":
-        return people_mandates(
-            people,
-            _companies(orgs, rules, *nested),
-            mandates,
-            keep=category_in(F.col("category"), categories),
-        ).select(*_PERSON_AND_COMPANY)
-    companies = companies_with_category(_companies(orgs, rules, *nested), categories, mandates)
+        listed = category_in(F.col("category"), categories)
+        return _beside_mandates(people, orgs, rules, listed).select(
+            *PERSON_COLUMNS, *COMPANY_COLUMNS
+        )
+    having = orgs.filter(has_category(F.col("person_mandates"), categories))
+    if paged:
+        rows = _beside_mandates(people, orgs, rules)
+        rows = rows.join(having.select("vat"), "vat", "left_semi")
+    else:
+        rows = _beside_mandates(people, having, rules)
     return distinct(
-        people_mandates(people, companies, mandates).select(
-            *_PERSON_AND_COMPANY,
+        rows.select(
+            *PERSON_COLUMNS,
+            *COMPANY_COLUMNS,
             F.col("category").alias("mandate_category"),
             F.col("start_date").alias("mandate_start_date"),
             F.col("end_date").alias("mandate_end_date"),

@@ -15,10 +15,8 @@ from orgtrail.functions.records import (
 )
 from orgtrail.operators.grouping import (
     PAGE_ROWS,
-    attach_pages,
+    attach_sorted,
     collect_latest,
-    collect_sorted,
-    page_steps,
 )
 from orgtrail.operators.joins import enrich, restrict
 from orgtrail.operators.nested import publication_keys
@@ -78,14 +76,17 @@ def portfolio(
     A company with more than ``page_rows`` establishments becomes several documents with
     the same head, in order of start date; every establishment is in exactly one of them.
     """
-    sites = restrict(establishments, vats).filter(F.col("vat").isNotNull())
-    steps = page_steps(sites, "vat", ESTABLISHMENT_ORDER[0], page_rows)
-    pages = collect_sorted(
-        sites, "vat", ESTABLISHMENT_ORDER, establishment_export(), "establishments", steps
-    )
-    enriched = enrich(
-        restrict(orgs, vats),
-        latest_publications(pubs, vats),
-        latest_accounts(restrict(accounts, vats)),
+    enriched = attach_sorted(
+        enrich(
+            restrict(orgs, vats),
+            latest_publications(pubs, vats),
+            latest_accounts(restrict(accounts, vats)),
+        ),
+        restrict(establishments, vats),
+        "vat",
+        ESTABLISHMENT_ORDER,
+        establishment_export(),
+        "establishments",
+        page_rows,
     )
-    return org_export(attach_pages(enriched, pages, steps, "vat", "establishments"), created_at)
+    return org_export(enriched, created_at)

@@ -12,40 +12,30 @@ from orgtrail.functions.addresses import (
     last_closed_hist,
     previous_hist,
 )
-from orgtrail.functions.countries import addr
 from orgtrail.functions.mandates import rep_status, rep_type, rep_type_by_pid
 from orgtrail.functions.names import first_name_of, first_nonempty, rep_last_name
 from orgtrail.functions.text import or_empty
-from orgtrail.operators.joins import add_person_names, company_mandates, restrict
-from orgtrail.operators.nested import persons_slim
+from orgtrail.operators.joins import add_person_names, cut_to_keys, restrict
+from orgtrail.operators.nested import flatten_mandate, persons_slim, with_address
 
 
 def representatives(
-    orgs: DataFrame,
-    persons: DataFrame,
-    vats: DataFrame,
-    variant: str = "file",
-    mandates: DataFrame | None = None,
+    orgs: DataFrame, persons: DataFrame, vats: DataFrame, variant: str = "file"
 ) -> DataFrame:
     """Each listed company beside its representatives; one without any keeps a row.
 
     ``file`` shows the current address line, the strict principal activity, the moral flag
     and the latest closed address. ``list`` shows the first open address, the first primary
     NACE activity, the type by person key, the last closed address, category and dates. The
-    list may repeat no key.
+    list may repeat no key. Few representatives are looked up without a shuffle of persons.
     """
     if variant not in ("file", "list"):
         raise ValueError(f"unknown variant {variant!r}")
-    companies = _file_companies if variant == "file" else _list_companies
-    nested = ["person_mandates"] if mandates is None else []
-    listed = None if mandates is None else restrict(mandates, vats)
-    shown = companies(restrict(orgs, vats)).select(*_COMPANY_COLUMNS, *nested)
-    rows = company_mandates(shown, listed)
-    people = persons_slim(persons)
-    # Only the persons named in these mandates are sent to the join.
-    named = people.join(rows.select("pid").distinct(), "pid", "left_semi")
-    joined = add_person_names(rows, named)
-    return _file_report(joined) if variant == "file" else _list_report(joined)
+    companies, report = _VARIANTS[variant]
+    listed = companies(restrict(orgs, vats)).select(*_COMPANY_COLUMNS, "person_mandates")
+    rows = flatten_mandate(listed, outer=True)
+    named = cut_to_keys(persons_slim(persons), rows, "pid")
+    return report(add_person_names(rows, named))
 
 
 _COMPANY_COLUMNS = [
@@ -59,16 +49,13 @@ _COMPANY_COLUMNS = [
 ]
 
 
-def _activity(rule: str):
-    return principal_activity(F.col("activities"), rule)
+def _with_columns(orgs: DataFrame, current, before, rule: str) -> DataFrame:
+    shown = with_address(with_address(orgs, current, "current"), before, "before")
+    return shown.withColumn("activity", principal_activity(F.col("activities"), rule))
 
 
 def _file_companies(orgs: DataFrame) -> DataFrame:
-    current = addr(current_or_latest_hist(F.col("address_hists")))
-    before = addr(previous_hist(F.col("address_hists")))
-    return orgs.withColumns(
-        {"current": current, "before": before, "activity": _activity("strict")}
-    ).select(
+    return _with_columns(orgs, current_or_latest_hist, previous_hist, "strict").select(
         "*",
         first_name_of(F.col("name_nl"), F.col("name_fr"), F.col("name")).alias("company_name"),
         fmt_address(F.col("current"), "line").alias("address"),
@@ -79,11 +66,7 @@ def _file_companies(orgs: DataFrame) -> DataFrame:
 
 
 def _list_companies(orgs: DataFrame) -> DataFrame:
-    current = addr(first_open_or_last_hist(F.col("address_hists")))
-    before = addr(last_closed_hist(F.col("address_hists")))
-    return orgs.withColumns(
-        {"current": current, "before": before, "activity": _activity("contains")}
-    ).select(
+    return _with_columns(orgs, first_open_or_last_hist, last_closed_hist, "contains").select(
         "*",
         first_nonempty(F.col("name_nl"), F.col("name_fr")).alias("company_name"),
         fmt_address(F.col("current"), "comma_space").alias("address"),
@@ -128,3 +111,6 @@ def _list_report(joined: DataFrame) -> DataFrame:
         F.col("start_date").alias("rep_start_date"),
         F.col("end_date").alias("rep_end_date"),
     )
+
+
+_VARIANTS = {"file": (_file_companies, _file_report), "list": (_list_companies, _list_report)}

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from orgtrail.functions.activities import has_activity_prefix
 from orgtrail.functions.names import legal_status
 from orgtrail.functions.records import year_between
-from orgtrail.operators.joins import add_financials
+from orgtrail.operators.joins import add_financials, cut_to_keys
 from orgtrail.operators.nested import flatten_profit_loss
 from orgtrail.operators.ordering import sort_report
 
@@ -30,11 +30,15 @@ def sector_financials(
     year_to: int,
     classification: str | None = None,
 ) -> DataFrame:
-    """Sector companies beside their accounts of a year range, ordered by company and year."""
-    in_range = flatten_profit_loss(accounts).filter(
+    """Sector companies beside their accounts of a year range, ordered by company and year.
+
+    For a small sector the accounts of other companies are dropped before the join.
+    """
+    companies = sector_companies(orgs, prefix, classification)
+    in_range = flatten_profit_loss(cut_to_keys(accounts, companies, "vat")).filter(
         year_between(F.col("period_end_date"), year_from, year_to)
     )
-    report = add_financials(sector_companies(orgs, prefix, classification), in_range).select(
+    report = add_financials(companies, in_range).select(
         "vat",
         "name_nl",
         "name_fr",

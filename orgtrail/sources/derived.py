@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from orgtrail.functions.addresses import last_hist
-from orgtrail.operators.grouping import attach_pages, collect_sorted, distinct, page_steps
+from orgtrail.operators.grouping import attach_sorted, distinct
 from orgtrail.operators.nested import MANDATE_COLUMNS
 from orgtrail.schemas import ADDRESS, MANDATE, ORGANISATIONS
 from orgtrail.sources.keylists import clean_keys
@@ -193,11 +193,14 @@ def with_mandates(orgs: DataFrame, flat: DataFrame) -> DataFrame:
 
     A company whose mandates fill more than one page has one row per page.
     """
-    steps = page_steps(flat, "vat", MANDATE_ORDER[0])
-    pages = collect_sorted(
-        flat, "vat", MANDATE_ORDER, F.struct(*MANDATE_COLUMNS), "person_mandates", steps
+    folded = attach_sorted(
+        orgs.drop("person_mandates"),
+        flat,
+        "vat",
+        MANDATE_ORDER,
+        F.struct(*MANDATE_COLUMNS),
+        "person_mandates",
     )
-    folded = attach_pages(orgs.drop("person_mandates"), pages, steps, "vat", "person_mandates")
     return folded.select(*ORGANISATIONS.fieldNames())
 
 
