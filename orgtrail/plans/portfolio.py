@@ -18,7 +18,7 @@ from orgtrail.operators.grouping import (
     attach_sorted,
     collect_latest,
 )
-from orgtrail.operators.joins import enrich, restrict
+from orgtrail.operators.joins import enrich, restrict, small_side
 from orgtrail.operators.nested import publication_keys
 
 PUBLICATIONS_KEPT = 50
@@ -76,6 +76,7 @@ def portfolio(
     A company with more than ``page_rows`` establishments becomes several documents with
     the same head, in order of start date; every establishment is in exactly one of them.
     """
+    vats = small_side(vats)
     enriched = attach_sorted(
         enrich(
             restrict(orgs, vats),

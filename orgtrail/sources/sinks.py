@@ -2,6 +2,8 @@
 
 from pyspark.sql import DataFrame
 
+from orgtrail.operators.joins import few_rows
+
 DUMP_PARTITIONS = 400
 SINGLE_FILE_ROWS = 1_000_000
 
@@ -26,7 +28,7 @@ def _single(df: DataFrame, single_file: bool, max_rows: int) -> DataFrame:
 
     ``coalesce`` keeps the order of a sorted report.
     """
-    if single_file and df.limit(max_rows + 1).count() <= max_rows:
+    if single_file and few_rows(df, max_rows):
         return df.coalesce(1)
     return df
 
