@@ -42,7 +42,12 @@ class Registry:
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
         if key not in WRITTEN:
             path = scratch_dir(self.spark, name)
-            derive().write.parquet(path)
+            table = derive()
+            cores = self.spark.sparkContext.defaultParallelism
+            if len(table.inputFiles()) < cores:
+                # One input file would become one file here and one task in every later scan.
+                table = table.repartition(cores)
+            table.write.parquet(path)
             WRITTEN[key] = path
         return scan(self.spark, WRITTEN[key], schema, strict=False)
 

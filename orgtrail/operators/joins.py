@@ -46,7 +46,9 @@ def cut_to_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
 def restrict(df: DataFrame, vats: DataFrame, key: str = "vat", keep: str = "semi") -> DataFrame:
     """The rows whose key is listed.
 
-    ``keep="join"`` joins instead of testing, for a list that carries columns of its own.
+    ``keep="join"`` joins instead of testing, for a list that carries columns of its own. A
+    list in a small file is broadcast anyway; pass a short list that comes out of a large
+    table through ``small_side``.
     """
     how = {"semi": "left_semi", "join": "inner"}[keep]
     return df.join(vats, key, how)

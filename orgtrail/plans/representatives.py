@@ -15,7 +15,7 @@ from orgtrail.functions.addresses import (
 from orgtrail.functions.mandates import rep_status, rep_type, rep_type_by_pid
 from orgtrail.functions.names import first_name_of, first_nonempty, rep_last_name
 from orgtrail.functions.text import or_empty
-from orgtrail.operators.joins import add_person_names, cut_to_keys, restrict, small_side
+from orgtrail.operators.joins import add_person_names, restrict
 from orgtrail.operators.nested import flatten_mandate, persons_slim, with_address
 
 
@@ -27,15 +27,14 @@ def representatives(
     ``file`` shows the current address line, the strict principal activity, the moral flag
     and the latest closed address. ``list`` shows the first open address, the first primary
     NACE activity, the type by person key, the last closed address, category and dates. The
-    list may repeat no key. Few representatives are looked up without a shuffle of persons.
+    companies are scanned once, and of the persons only the slim columns are shuffled.
     """
     if variant not in ("file", "list"):
         raise ValueError(f"unknown variant {variant!r}")
     companies, report = _VARIANTS[variant]
-    listed = companies(restrict(orgs, small_side(vats))).select(*_COMPANY_COLUMNS, "person_mandates")
+    listed = companies(restrict(orgs, vats)).select(*_COMPANY_COLUMNS, "person_mandates")
     rows = flatten_mandate(listed, outer=True)
-    named = cut_to_keys(persons_slim(persons), rows, "pid")
-    return report(add_person_names(rows, named))
+    return report(add_person_names(rows, persons_slim(persons)))
 
 
 _COMPANY_COLUMNS = [
