@@ -9,15 +9,16 @@ from pyspark.sql import SparkSession
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh path in the cluster's shared folder for tables that a query writes itself.
 
-    The folder is the session's ``spark.checkpoint.dir``. Only a local session may do
-    without: it gets a temporary folder.
+    The folder is the session's ``spark.checkpoint.dir``, else the checkpoint folder set on
+    its context. A local session that has neither gets a temporary one.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="orgtrail-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="orgtrail-"))
+        shared = context.getCheckpointDir()
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

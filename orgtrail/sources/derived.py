@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from orgtrail.functions.addresses import last_hist
-from orgtrail.operators.grouping import attach_sorted, distinct
+from orgtrail.operators.grouping import PAGE_ROWS, attach_sorted, distinct
 from orgtrail.operators.nested import MANDATE_COLUMNS
 from orgtrail.schemas import ADDRESS, MANDATE, ORGANISATIONS
 from orgtrail.sources.keylists import clean_keys
@@ -188,7 +188,7 @@ def organisations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orgs.select(*ORGANISATIONS.fieldNames())
 
 
-def with_mandates(orgs: DataFrame, flat: DataFrame) -> DataFrame:
+def with_mandates(orgs: DataFrame, flat: DataFrame, page_rows: int = PAGE_ROWS) -> DataFrame:
     """Companies with flat mandates folded into them.
 
     A company whose mandates fill more than one page has one row per page.
@@ -200,6 +200,7 @@ def with_mandates(orgs: DataFrame, flat: DataFrame) -> DataFrame:
         MANDATE_ORDER,
         F.struct(*MANDATE_COLUMNS),
         "person_mandates",
+        page_rows,
     )
     return folded.select(*ORGANISATIONS.fieldNames())
 
