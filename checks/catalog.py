@@ -3,6 +3,7 @@
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -40,16 +41,20 @@ class Registry:
 
     def _at_rest(self, name: str, schema: StructType, derive: Callable[[], DataFrame]) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
-        if key not in WRITTEN:
-            path = scratch_dir(self.spark, name)
-            table = derive()
-            cores = self.spark.sparkContext.defaultParallelism
-            if len(table.inputFiles()) < cores:
-                # One input file would become one file here and one task in every later scan.
-                table = table.repartition(cores)
-            table.write.parquet(path)
-            WRITTEN[key] = path
-        return scan(self.spark, WRITTEN[key], schema, strict=False)
+        if key in WRITTEN:
+            try:
+                return scan(self.spark, WRITTEN[key], schema, strict=False)
+            except AnalysisException:  # the folder was cleared in between
+                del WRITTEN[key]
+        path = scratch_dir(self.spark, name)
+        table = derive()
+        cores = self.spark.sparkContext.defaultParallelism
+        if len(table.inputFiles()) < cores:
+            # One input file would become one file here and one task in every later scan.
+            table = table.repartition(cores)
+        table.write.parquet(path)
+        WRITTEN[key] = path
+        return scan(self.spark, path, schema, strict=False)
 
     def orgs(self) -> DataFrame:
         return self._at_rest(

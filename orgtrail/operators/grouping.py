@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from orgtrail.operators.joins import MAX_BROADCAST_ROWS, small_side
 
-PAGE_ROWS = 100_000
+PAGE_ROWS = 250_000
 
 
 def distinct(df: DataFrame) -> DataFrame:
