@@ -50,17 +50,21 @@ def any_country(
     """Some history entry lies in country ``cc``.
 
     ``mode`` picks the country by address (``struct``) or by field (``field``). Codes are
-    trimmed in struct mode unless ``trim`` says otherwise. With ``empty_is_home`` an entry
-    without a country counts as well.
+    trimmed in struct mode unless ``trim`` says otherwise, and a blank one then names no
+    country. With ``empty_is_home`` an entry without a country counts as well.
     """
     if mode not in ("struct", "field"):
         raise ValueError(f"unknown mode {mode!r}")
     trim = mode == "struct" if trim is None else trim
-    wanted = [cc.strip().upper()] + ([""] if empty_is_home else [])
+    wanted = {cc.strip().upper()}
+    if mode == "struct" and trim:
+        wanted -= {""}
+    if empty_is_home:
+        wanted |= {""}
 
     def is_wanted(code: Column) -> Column:
         code = F.coalesce(code, F.lit("")) if empty_is_home else code
-        return F.coalesce(F.upper(strip(code) if trim else code).isin(wanted), F.lit(False))
+        return F.coalesce(F.upper(strip(code) if trim else code).isin(list(wanted)), F.lit(False))
 
     if mode == "field":
         return F.exists(country_fields(hists), is_wanted)

@@ -26,8 +26,9 @@ def representatives(
 
     ``file`` shows the current address line, the strict principal activity, the moral flag
     and the latest closed address. ``list`` shows the first open address, the first primary
-    NACE activity, the type by person key, the last closed address, category and dates. The
-    companies are scanned once, and of the persons only the slim columns are shuffled.
+    NACE activity, the type by person key, the last closed address, category and dates. A
+    key listed twice counts once. The companies are scanned once, and of the persons only
+    the slim columns are shuffled.
     """
     if variant not in ("file", "list"):
         raise ValueError(f"unknown variant {variant!r}")

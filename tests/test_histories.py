@@ -129,6 +129,12 @@ def test_country_trimming(spark):
     assert matches(spark, [B.hist(fr=B.address("ir"))], "IR", trim=False)
 
 
+def test_blank_country_is_none_by_address(spark):
+    blank = [B.hist(nl=B.address(" "))]
+    assert not matches(spark, blank, "")
+    assert matches(spark, [B.hist(nl=B.address(""))], "", trim=False)
+
+
 def test_home_strict_and_home_or_empty(spark):
     blank, gone = [B.hist(nl=B.address(""))], [B.hist()]
     for hists in (blank, gone):
