@@ -12,6 +12,7 @@ from checks.recipes import with_recipes
 from orgtrail import schemas as S
 from orgtrail.session import scratch_dir
 from orgtrail.sources import derived
+from orgtrail.sources.keylists import clean_keys
 from orgtrail.sources.tables import scan
 
 HOME = "BE"
@@ -92,10 +93,12 @@ class Registry:
         )
 
     def raw_keys(self) -> DataFrame:
-        return derived.raw_vat_list(self.spark, self.sf_dir)
+        return self._at_rest(
+            "vat_list", S.VAT_LIST, lambda: derived.raw_vat_list(self.spark, self.sf_dir)
+        )
 
     def keys(self) -> DataFrame:
-        return derived.portfolio_keys(self.spark, self.sf_dir)
+        return clean_keys(self.raw_keys(), "vat")
 
 
 def hists() -> Column:

@@ -29,7 +29,10 @@ def account_export(summaries: Column) -> Column:
 def latest_in_array(array: Column, order: str, k: int = 5) -> Column:
     """The ``k`` items with the highest ``order`` field, ascending; of equals the later wins."""
     keyed = F.sort_array(
-        F.transform(array, lambda item, at: F.struct(item[order].alias("by"), at.alias("at"), item.alias("item")))
+        F.transform(
+            array,
+            lambda item, at: F.struct(item[order].alias("by"), at.alias("at"), item.alias("item")),
+        )
     )
     latest = F.slice(keyed, F.greatest(F.size(keyed) - F.lit(k - 1), F.lit(1)), F.lit(k))
     return F.transform(latest, lambda entry: entry["item"])

@@ -96,6 +96,7 @@ PUBLICATIONS = _struct(
     source=TEXT,
     organizations=ArrayType(_struct(vat=TEXT)),
 )
+VAT_LIST = _struct(vat=TEXT)
 
 REGISTRY = {
     "organisations": ORGANISATIONS,

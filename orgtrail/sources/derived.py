@@ -15,7 +15,6 @@ from orgtrail.functions.addresses import last_hist
 from orgtrail.operators.grouping import PAGE_ROWS, attach_sorted, distinct
 from orgtrail.operators.nested import MANDATE_COLUMNS
 from orgtrail.schemas import ADDRESS, MANDATE, ORGANISATIONS
-from orgtrail.sources.keylists import clean_keys
 
 MANDATE_ORDER = ["start_date", "pid", "category", "role", "end_date"]
 
@@ -170,7 +169,9 @@ def organisations(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
     orgs = _company_hists(customer).select(
         _vat("c_custkey").alias("vat"),
-        F.expr("case c_custkey % 7 when 0 then null when 1 then '' else concat(c_name, ' NV') end").alias("name_nl"),
+        F.expr(
+            "case c_custkey % 7 when 0 then null when 1 then '' else concat(c_name, ' NV') end"
+        ).alias("name_nl"),
         F.expr("if(c_custkey % 13 = 0, null, concat(c_name, ' SA'))").alias("name_fr"),
         F.expr("if(c_custkey % 3 = 0, c_name, null)").alias("name"),
         F.expr("if(c_custkey % 4 = 3, null, concat('FORM_', c_custkey % 4))").alias("juridical_form"),
@@ -178,8 +179,13 @@ def organisations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("date_add(date'1950-01-01', cast(c_custkey % 20000 as int))").alias("founding_date"),
         F.expr("if(c_custkey % 9 = 0, null, cast(c_custkey % 500 as int))").alias("employee_count"),
         F.expr("if(c_custkey % 10 = 0, null, c_acctbal)").alias("financial_health"),
-        F.when(key % 100 == 0, F.lit(None)).when(key % 50 == 0, _no_items(hists)).otherwise(hists).alias("address_hists"),
-        F.when(key % 40 == 0, _no_items(activities)).otherwise(F.slice(activities, F.lit(1), (key % 3 + 1).cast("int"))).alias("activities"),
+        F.when(key % 100 == 0, F.lit(None))
+        .when(key % 50 == 0, _no_items(hists))
+        .otherwise(hists)
+        .alias("address_hists"),
+        F.when(key % 40 == 0, _no_items(activities))
+        .otherwise(F.slice(activities, F.lit(1), (key % 3 + 1).cast("int")))
+        .alias("activities"),
         F.array().cast(ArrayType(MANDATE)).alias("person_mandates"),
         F.when(F.col("c_acctbal") < 0, _no_items(held)).otherwise(held).alias("participation_hists"),
     )
@@ -233,7 +239,10 @@ def mandates(spark: SparkSession, sf_dir: str) -> DataFrame:
                 f"case when {both} % 23 = 0 then null when {both} % 29 = 0 then concat('Q', l_suppkey) "
                 "else concat('P', l_suppkey) end"
             ).alias("pid"),
-            F.expr(f"case {both} % 3 when 0 then 'ADMINISTER' when 1 then 'SHAREHOLDER' else 'AUDITOR' end").alias("category"),
+            F.expr(
+                f"case {both} % 3 when 0 then 'ADMINISTER' when 1 then 'SHAREHOLDER' "
+                "else 'AUDITOR' end"
+            ).alias("category"),
             F.expr(
                 f"case {both} % 4 when 0 then ' administrator' when 1 then 'Administer ' "
                 "when 2 then 'Manager' else null end"
@@ -308,7 +317,9 @@ def publications(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         F.expr("lpad(cast(event_id as string), 8, '0')").alias("publication_number"),
         F.col("ts").cast("date").alias("publication_date"),
-        F.expr("if(event_id % 5 = 0, null, concat('https://example.org/pub/', event_id, '.pdf'))").alias("pdf_link"),
+        F.expr(
+            "if(event_id % 5 = 0, null, concat('https://example.org/pub/', event_id, '.pdf'))"
+        ).alias("pdf_link"),
         F.expr("if(event_id % 2 = 0, 'NL', 'FR')").alias("language"),
         F.when(F.col("event_id") % 6 != 0, F.array("event_type")).alias("subjects"),
         F.expr("if(event_id % 3 = 0, null, 'GAZETTE')").alias("source"),
@@ -326,7 +337,3 @@ def raw_vat_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     padded = listed.select(F.concat(F.lit("  "), "vat", F.lit(" ")).alias("vat"))
     odd = spark.range(1).select(F.explode(F.array(F.lit("  "), F.lit("BE9999999999"))).alias("vat"))
     return padded.union(listed.filter(F.col("c_acctbal") < -500).select("vat")).union(odd)
-
-
-def portfolio_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_keys(raw_vat_list(spark, sf_dir), "vat")
