@@ -12,6 +12,7 @@ from datetime import datetime, timezone
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 if __package__ in (None, ""):
     sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
@@ -23,7 +24,7 @@ from orgtrail.plans.portfolio import portfolio
 from orgtrail.plans.representatives import representatives
 from orgtrail.plans.sector import sector_financials
 from orgtrail.session import label_jobs
-from orgtrail.sources.keylists import read_vat_list, vat_list
+from orgtrail.sources.keylists import key_in, read_vat_list, vat_list
 from orgtrail.sources.sinks import DUMP_PARTITIONS, write_csv_named, write_json
 from orgtrail.sources.tables import scan_registry
 
@@ -123,17 +124,20 @@ def represent(
     spark: SparkSession,
     registry: str,
     out: str,
-    vats: DataFrame,
+    vats: DataFrame | list[str],
     variant: str = "file",
     single_file: bool = False,
 ) -> list[str]:
-    """Representatives of the listed companies."""
-    report = representatives(
-        scan_registry(spark, registry, "organisations"),
-        scan_registry(spark, registry, "persons"),
-        vats,
-        variant,
-    )
+    """Representatives of the listed companies.
+
+    Literal keys also go to the scan as a filter, where Parquet statistics can skip files.
+    """
+    orgs = scan_registry(spark, registry, "organisations")
+    if isinstance(vats, list):
+        orgs = orgs.filter(key_in(F.col("vat"), vats))
+        vats = vat_list(spark, vats)
+    persons = scan_registry(spark, registry, "persons")
+    report = representatives(orgs, persons, vats, variant)
     return _write({"VatList_With_Representatives.csv": report}, out, single_file)
 
 
@@ -205,7 +209,7 @@ def main(arguments: list[str] | None = None) -> list[str]:
         return sector(*where, args.prefix, args.year_from, args.year_to, args.single_file)
     if args.job == "representatives":
         if args.vat:
-            return represent(*where, vat_list(spark, args.vat), "list", args.single_file)
+            return represent(*where, args.vat, "list", args.single_file)
         return represent(*where, read_vat_list(spark, args.vats), "file", args.single_file)
     keys = read_vat_list(spark, args.vats, column="vat")
     # The run's only clock reading; the documents all carry the same time.

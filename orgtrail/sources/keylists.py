@@ -1,6 +1,6 @@
 """Key lists: the companies a report is about."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orgtrail.functions.text import nonblank
@@ -37,6 +37,6 @@ def vat_list(spark: SparkSession, values) -> DataFrame:
     return distinct(spark.range(1).select(F.explode(F.lit(list(values))).alias("vat")))
 
 
-def key_in(key, values):
+def key_in(key: Column, values) -> Column:
     """Membership in a literal list, which reaches the Parquet scan as a filter."""
     return key.isin(list(values))
