@@ -34,7 +34,8 @@ def read_vat_list(
 
 def vat_list(spark: SparkSession, values) -> DataFrame:
     """A literal key list."""
-    return distinct(spark.range(1).select(F.explode(F.lit(list(values))).alias("vat")))
+    keys = F.lit(list(values)).cast("array<string>")
+    return distinct(spark.range(1).select(F.explode(keys).alias("vat")))
 
 
 def key_in(key: Column, values) -> Column:

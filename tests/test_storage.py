@@ -44,6 +44,7 @@ def test_key_column_is_found_behind_others_or_required(spark, tmp_path):
 
 def test_inline_keys(spark):
     assert sorted(row[0] for row in vat_list(spark, ["B", "A", "B"]).collect()) == ["A", "B"]
+    assert vat_list(spark, []).collect() == []
 
 
 def test_csv_null_and_empty_come_back_as_null(spark, tmp_path):
