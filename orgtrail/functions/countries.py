@@ -39,6 +39,19 @@ def country_fields(hists: Column) -> Column:
     )
 
 
+def country_codes(hists: Column) -> Column:
+    """``addr(hist).country_code`` of every entry.
+
+    Needs the Dutch address whole, to tell a missing one from one without a country, but
+    only the code of the French one.
+    """
+    return F.zip_with(
+        hists["address_nl"],
+        hists["address_fr"]["country_code"],
+        lambda nl, fr: F.when(nl.isNotNull(), nl["country_code"]).otherwise(fr),
+    )
+
+
 def any_country(
     hists: Column,
     cc: str,
@@ -66,9 +79,7 @@ def any_country(
         code = F.coalesce(code, F.lit("")) if empty_is_home else code
         return F.coalesce(F.upper(strip(code) if trim else code).isin(list(wanted)), F.lit(False))
 
-    if mode == "field":
-        return F.exists(country_fields(hists), is_wanted)
-    return F.exists(hists, lambda hist: is_wanted(addr(hist)["country_code"]))
+    return F.exists(country_fields(hists) if mode == "field" else country_codes(hists), is_wanted)
 
 
 def first_country(hists: Column) -> Column:

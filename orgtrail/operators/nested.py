@@ -31,12 +31,25 @@ def with_address(df: DataFrame, pick: Callable[[Column], Column], name: str) ->
     return df.withColumn(name, pick(F.col("address_hists"))).withColumn(name, addr(F.col(name)))
 
 
+def with_fields(df: DataFrame, array: str, fields: dict[str, Column]) -> DataFrame:
+    """``df`` with ``array`` cut to ``fields``, each an array of one nested field.
+
+    Such as ``F.col("summaries")["currency"]``. Do this next to the scan: it then reads only
+    these fields, where exploding or passing on the whole structs makes it read all.
+    """
+    zipped = F.arrays_zip(*[field.alias(name) for name, field in fields.items()])
+    return df.withColumn(array, zipped)
+
+
+def with_mandate_fields(orgs: DataFrame, *names: str) -> DataFrame:
+    mandates = F.col("person_mandates")
+    return with_fields(orgs, "person_mandates", {name: mandates[name] for name in names})
+
+
 def flatten_mandate(df: DataFrame, outer: bool = False) -> DataFrame:
     """One row per mandate: the other columns of ``df``, then the mandate's fields."""
     rest = [name for name in df.columns if name != "person_mandates"]
-    return unnest(df, "person_mandates", outer).select(
-        *rest, *[F.col(f"person_mandates.{name}") for name in MANDATE_COLUMNS]
-    )
+    return unnest(df, "person_mandates", outer).select(*rest, "person_mandates.*")
 
 
 def flatten_participation(df: DataFrame) -> DataFrame:
@@ -47,17 +60,20 @@ def flatten_participation(df: DataFrame) -> DataFrame:
 
 def flatten_profit_loss(accounts: DataFrame) -> DataFrame:
     """One row per company and yearly account, with the profit-and-loss metrics."""
-    return accounts.select("vat", F.explode("summaries").alias("account")).select(
+    summaries = F.col("summaries")
+    plain = ("period_end_date", "employees", "schema_type", "currency")
+    metrics = ("turnover", "ebitda", "operating_profit", "profit_after_tax")
+    fields = {name: summaries[name] for name in plain}
+    fields |= {name: summaries["profit_loss"][name] for name in metrics}
+    rows = unnest(with_fields(accounts.select("vat", "summaries"), "summaries", fields), "summaries")
+    return rows.select("vat", "summaries.*").select(
         "vat",
-        "account.period_end_date",
-        F.year("account.period_end_date").alias("year"),
-        "account.profit_loss.turnover",
-        "account.profit_loss.ebitda",
-        "account.profit_loss.operating_profit",
-        "account.profit_loss.profit_after_tax",
-        "account.employees",
-        "account.schema_type",
-        "account.currency",
+        "period_end_date",
+        F.year("period_end_date").alias("year"),
+        *metrics,
+        "employees",
+        "schema_type",
+        "currency",
     )
 
 

@@ -12,7 +12,7 @@ from orgtrail.functions.mandates import ADMIN_ROLES, category_in, has_category,
 from orgtrail.functions.text import or_empty
 from orgtrail.operators.grouping import distinct
 from orgtrail.operators.joins import join_mandates, small_side
-from orgtrail.operators.nested import flatten_mandate, with_address
+from orgtrail.operators.nested import flatten_mandate, with_address, with_mandate_fields
 
 
 @dataclass(frozen=True)
@@ -68,8 +68,14 @@ def _companies(orgs: DataFrame, rules: CountryRules, *more: str) -> DataFrame:
     return rules.with_text(head, "last_address_for_company")
 
 
-def _beside_mandates(people: DataFrame, orgs: DataFrame, rules: CountryRules, keep=None) -> DataFrame:
-    """``people`` beside their mandates; few people are broadcast, and nothing is shuffled."""
+def _beside_mandates(
+    people: DataFrame, orgs: DataFrame, rules: CountryRules, fields: list[str], keep=None
+) -> DataFrame:
+    """``people`` beside the ``fields`` of their mandates.
+
+    Few people are broadcast, and then nothing is shuffled.
+    """
+    orgs = with_mandate_fields(orgs, "pid", *fields)
     rows = flatten_mandate(_companies(orgs, rules, "person_mandates"))
     return join_mandates(small_side(people), rows if keep is None else rows.filter(keep))
 
@@ -85,9 +91,8 @@ def country_admins(
     """Persons of ``cc`` who administer a company with an address in ``home``."""
     at_home = orgs.filter(any_country(F.col("address_hists"), home))
     people = country_persons(persons, cc, rules)
-    return _beside_mandates(people, at_home, rules, role_in(F.col("role"), roles)).select(
-        *PERSON_COLUMNS, *COMPANY_COLUMNS
-    )
+    rows = _beside_mandates(people, at_home, rules, ["role"], role_in(F.col("role"), roles))
+    return rows.select(*PERSON_COLUMNS, *COMPANY_COLUMNS)
 
 
 def country_mandates(
@@ -112,15 +117,15 @@ def country_mandates(
     people = country_persons(persons, cc, rules)
     if match == "mandate":
         listed = category_in(F.col("category"), categories)
-        return _beside_mandates(people, orgs, rules, listed).select(
-            *PERSON_COLUMNS, *COMPANY_COLUMNS
-        )
+        rows = _beside_mandates(people, orgs, rules, ["category"], listed)
+        return rows.select(*PERSON_COLUMNS, *COMPANY_COLUMNS)
+    dated = ["category", "start_date", "end_date"]
     having = orgs.filter(has_category(F.col("person_mandates"), categories))
     if paged:
-        rows = _beside_mandates(people, orgs, rules)
+        rows = _beside_mandates(people, orgs, rules, dated)
         rows = rows.join(having.select("vat"), "vat", "left_semi")
     else:
-        rows = _beside_mandates(people, having, rules)
+        rows = _beside_mandates(people, having, rules, dated)
     return distinct(
         rows.select(
             *PERSON_COLUMNS,

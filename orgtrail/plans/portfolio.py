@@ -19,7 +19,7 @@ from orgtrail.operators.grouping import (
     collect_latest,
 )
 from orgtrail.operators.joins import enrich, restrict
-from orgtrail.operators.nested import publication_keys
+from orgtrail.operators.nested import publication_keys, with_fields
 
 PUBLICATIONS_KEPT = 50
 ACCOUNTS_KEPT = 5
@@ -76,6 +76,7 @@ def portfolio(
     A company with more than ``page_rows`` establishments becomes several documents with
     the same head, in order of start date; every establishment is in exactly one of them.
     """
+    orgs = with_fields(orgs, "activities", {"code": F.col("activities")["code"]})
     enriched = attach_sorted(
         enrich(
             restrict(orgs, vats),

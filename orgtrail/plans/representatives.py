@@ -16,7 +16,12 @@ from orgtrail.functions.mandates import rep_status, rep_type, rep_type_by_pid
 from orgtrail.functions.names import first_name_of, first_nonempty, rep_last_name
 from orgtrail.functions.text import or_empty
 from orgtrail.operators.joins import add_person_names, restrict
-from orgtrail.operators.nested import flatten_mandate, persons_slim, with_address
+from orgtrail.operators.nested import (
+    flatten_mandate,
+    persons_slim,
+    with_address,
+    with_mandate_fields,
+)
 
 
 def representatives(
@@ -32,9 +37,10 @@ def representatives(
     """
     if variant not in ("file", "list"):
         raise ValueError(f"unknown variant {variant!r}")
-    companies, report = _VARIANTS[variant]
-    listed = companies(restrict(orgs, vats)).select(*_COMPANY_COLUMNS, "person_mandates")
-    rows = flatten_mandate(listed, outer=True)
+    companies, report, fields = _VARIANTS[variant]
+    listed = restrict(with_mandate_fields(orgs, *fields), vats)
+    shown = companies(listed).select(*_COMPANY_COLUMNS, "person_mandates")
+    rows = flatten_mandate(shown, outer=True)
     return report(add_person_names(rows, persons_slim(persons)))
 
 
@@ -113,4 +119,7 @@ def _list_report(joined: DataFrame) -> DataFrame:
     )
 
 
-_VARIANTS = {"file": (_file_companies, _file_report), "list": (_list_companies, _list_report)}
+_VARIANTS = {
+    "file": (_file_companies, _file_report, ["pid", "end_date"]),
+    "list": (_list_companies, _list_report, ["pid", "category", "start_date", "end_date"]),
+}

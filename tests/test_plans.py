@@ -8,8 +8,9 @@ from checks.catalog import Registry
 from orgtrail.functions.countries import any_country
 from orgtrail.functions.mandates import has_category
 from orgtrail.operators import grouping as G
-from orgtrail.operators.nested import flatten_participation
+from orgtrail.operators.nested import flatten_participation, flatten_profit_loss, publication_keys
 from orgtrail.plans import owners, people
+from orgtrail.plans.portfolio import latest_accounts
 
 
 @pytest.fixture(scope="module")
@@ -38,8 +39,6 @@ def test_ownership_shuffles_neither_side(r, capsys, owner, owned):
 
 
 def test_latest_per_key_cuts_before_the_shuffle(r, capsys):
-    from orgtrail.operators.nested import publication_keys
-
     named = publication_keys(r.publications())
     shown = plan(G.latest_per_key(named, "vat", ["publication_date"], 50), capsys)
     assert shown.count("WindowGroupLimit") >= 2
@@ -58,6 +57,15 @@ def test_scans_read_only_the_nested_fields_in_use(r, capsys):
     assert "related_vat:string" in shown and "percentage:" not in shown
 
 
+def test_reports_read_only_the_mandate_fields_they_show(r, capsys):
+    shown = plan(people.country_admins(r.persons(), r.orgs_with_mandates(), "IR", "BE"), capsys)
+    assert "person_mandates:array<struct<pid:string,role:string>>" in shown
+    accounts = flatten_profit_loss(r.accounts()).select("vat", "turnover")
+    assert "balance_sheet" not in plan(accounts, capsys)
+    latest = plan(latest_accounts(r.accounts()), capsys)
+    assert "currency" not in latest and "operating_profit" not in latest
+
+
 def test_no_python_and_no_cross_join_in_any_query(spark, sf_dir, capsys):
     for name, build in entry.queries().items():
         shown = plan(build(spark, sf_dir), capsys)
