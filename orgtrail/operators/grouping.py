@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orgtrail.operators.joins import MAX_BROADCAST_ROWS, small_side
+from orgtrail.operators.joins import few_rows, small_side
 
 PAGE_ROWS = 250_000
 
@@ -56,14 +56,13 @@ def page_steps(
     """
     sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     big = sizes.filter(F.col(key).isNotNull() & (F.col("n") > page_rows)).select(key)
-    n_big = big.count()
-    if n_big == 0:
+    if few_rows(big, 0):
         return None
     earlier = Window.partitionBy(key).orderBy(F.asc_nulls_first(step)).rowsBetween(
         Window.unboundedPreceding, -1
     )
     before = F.coalesce(F.sum("n").over(earlier), F.lit(0))
-    big = F.broadcast(big) if n_big <= MAX_BROADCAST_ROWS else big
+    big = small_side(big)
     return (
         df.join(big, key, "left_semi")
         .groupBy(key, step)

@@ -1,9 +1,9 @@
 """Equi-joins between persons, mandates, companies and their records.
 
 Spark plans a shuffle for a filtered table whose file is large, even if few rows are left.
-``small_side`` and the functions built on it count such a side first and broadcast it only
-below a bound; beyond the bound the join is left to Spark, whose adaptive execution splits
-hot keys.
+``small_side`` and the functions built on it measure such a side first and broadcast it
+only below a bound; beyond the bound the join is left to Spark, whose adaptive execution
+splits hot keys.
 """
 
 from functools import reduce
@@ -14,21 +14,43 @@ from pyspark.sql import functions as F
 from orgtrail.functions.countries import any_country
 
 MAX_BROADCAST_ROWS = 200_000
+MAX_BROADCAST_BYTES = 128 * 1024 * 1024
 
 
-def few_rows(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+def few_rows(df: DataFrame, max_rows: int) -> bool:
     """At most ``max_rows`` rows, by a count that sends one number per task."""
     return df.count() <= max_rows
 
 
-def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it has few rows, else as it is."""
-    return F.broadcast(df) if few_rows(df, max_rows) else df
+def fits_broadcast(
+    df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
+) -> bool:
+    """At most ``max_rows`` rows with at most ``max_bytes`` of text and nested values in all.
+
+    Runs one aggregation; the columns of fixed width are bounded by the rows.
+    """
+    texts = [
+        F.col(name) if kind == "string" else F.to_json(name)
+        for name, kind in df.dtypes
+        if kind == "string" or kind.startswith(("array", "struct", "map"))
+    ]
+    per_row = reduce(
+        lambda size, text: size + F.coalesce(F.octet_length(text), F.lit(0)), texts, F.lit(0)
+    )
+    found = df.agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(per_row), F.lit(0)).alias("size")
+    ).first()
+    return found["n"] <= max_rows and found["size"] <= max_bytes
+
+
+def small_side(df: DataFrame) -> DataFrame:
+    """``df`` with a broadcast hint if it fits, else as it is."""
+    return F.broadcast(df) if fits_broadcast(df) else df
 
 
 def sized_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Inner join that broadcasts the right side if it is small, else the left one if that is."""
-    if few_rows(right):
+    if fits_broadcast(right):
         return left.join(F.broadcast(right), key)
     return small_side(left).join(right, key)
 
@@ -40,7 +62,7 @@ def cut_to_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     what it returns.
     """
     keys = keys.select(key).distinct()
-    return df.join(F.broadcast(keys), key, "left_semi") if few_rows(keys) else df
+    return df.join(F.broadcast(keys), key, "left_semi") if fits_broadcast(keys) else df
 
 
 def restrict(df: DataFrame, vats: DataFrame, key: str = "vat", keep: str = "semi") -> DataFrame:

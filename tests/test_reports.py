@@ -93,12 +93,19 @@ def test_paged_companies_give_the_same_mandates(spark, world):
 def test_many_people_join_by_shuffle_to_the_same_rows(world, monkeypatch):
     wanted = collected(people.country_admins(*world, "IR", "BE"), "*")
     links = collected(owners.participation_links(world[1], "IR", "BE"), "*")
-    monkeypatch.setattr(J.few_rows, "__defaults__", (0,))
-    monkeypatch.setattr(J.small_side, "__defaults__", (0,))
+    monkeypatch.setattr(J.fits_broadcast, "__defaults__", (0, 0))
     assert collected(people.country_admins(*world, "IR", "BE"), "*") == wanted
     assert collected(owners.participation_links(world[1], "IR", "BE"), "*") == links
 
 
+def test_broadcast_bounds_rows_and_bytes(spark):
+    rows = spark.createDataFrame([("abc", [1, 2], 1), (None, None, 2)], "t string, a array<int>, n int")
+    assert J.fits_broadcast(rows, 2, 8)
+    assert not J.fits_broadcast(rows, 1, 8)
+    assert not J.fits_broadcast(rows, 2, 7)
+    assert J.fits_broadcast(rows.limit(0), 0, 0)
+
+
 def test_ownership_names_and_directions(world):
     _, orgs = world
     there = owners.ownership(orgs, ["BE", ""], ["IR"])
@@ -225,7 +232,7 @@ def test_sector_keeps_companies_without_accounts_in_range(spark, monkeypatch):
     wanted = [("A", "s", 2019), ("A", "s", 2021), ("B", None, None)]
     report = sector_financials(orgs, accounts, "56", 2019, 2023)
     assert [tuple(row) for row in report.select("vat", "legal_status", "year").collect()] == wanted
-    monkeypatch.setattr(J.few_rows, "__defaults__", (0,))
+    monkeypatch.setattr(J.fits_broadcast, "__defaults__", (0, 0))
     report = sector_financials(orgs, accounts, "56", 2019, 2023)
     assert [tuple(row) for row in report.select("vat", "legal_status", "year").collect()] == wanted
 

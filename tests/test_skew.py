@@ -22,8 +22,7 @@ SHUFFLE_ALL = {
 
 @pytest.fixture
 def shuffled(spark, monkeypatch):
-    for function in (J.few_rows, J.small_side):
-        monkeypatch.setattr(function, "__defaults__", (0,))
+    monkeypatch.setattr(J.fits_broadcast, "__defaults__", (0, 0))
     for name, value in SHUFFLE_ALL.items():
         spark.conf.set(name, value)
     yield
