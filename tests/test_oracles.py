@@ -3,10 +3,9 @@
 import pytest
 
 import __spark_entry__ as entry
+from checks.catalog import ORACLES, QUERIES
 from checks.compare import differ, oracle
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def con(sf_dir):
