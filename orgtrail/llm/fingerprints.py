@@ -33,18 +33,20 @@ WIDTH = 4  # bytes of a character in UTF-32
 
 def anchors(text: Column, k: int = K, s: int = S) -> Column:
     """array<struct<hash, at>> of a text's closed syncmers, in order of position."""
-    if not 1 <= s < k:
-        raise ValueError("1 <= s < k is needed")
     span = k - s
+    if s < 1 or span < 3:
+        raise ValueError("k must exceed s by 3 or more")
 
     def piece(data: Column, at: Column, n: int) -> Column:
         return F.xxhash64(F.substring(data, at * WIDTH + 1, F.lit(n * WIDTH)))
 
     def chosen(data: Column, hashes: Column, n: Column) -> Column:
         starts = F.sequence(F.lit(0), n - F.lit(k))
+        # Spelled out, since a slice per position would be copied before its minimum is taken.
         at_edge = F.filter(
             starts,
-            lambda i: F.least(F.get(hashes, i), F.get(hashes, i + span)) <= F.array_min(F.slice(hashes, i + 1, span + 1)),
+            lambda i: F.least(F.get(hashes, i), F.get(hashes, i + span))
+            <= F.least(*[F.get(hashes, i + j) for j in range(1, span)]),
         )
         return F.transform(at_edge, lambda i: F.struct(piece(data, i, k).alias("hash"), i.alias("at")))
 
@@ -183,9 +185,13 @@ def fingerprint_edits(docs: DataFrame, k: int = K, s: int = S, size: int = SKETC
     behind = F.transform(
         F.col("_tail"), lambda x: F.struct(x["hash"].alias("hash"), (x["at"] + F.col("_seam")).alias("at"))
     )
-    # A text that is shorter than k has one anchor, which is not that of any part.
+    # A text or tail that is shorter than k has one anchor, which is not one of any part.
+    none = F.slice(F.col("_own"), 1, 0)
     both = F.when(F.char_length("_new") < k, anchors(F.col("_new"), k, s)).otherwise(
-        F.concat(F.when(F.col("n_chars") >= k, before).otherwise(F.slice(F.col("_own"), 1, 0)), behind)
+        F.concat(
+            F.when(F.col("n_chars") >= k, before).otherwise(none),
+            F.when(F.char_length("_new") - F.col("_seam") >= k, behind).otherwise(none),
+        )
     )
     marked = (
         changed.withColumn("_own", anchors(F.col("text"), k, s))

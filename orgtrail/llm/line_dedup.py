@@ -19,7 +19,7 @@ document; an empty table gives no rows.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orgtrail.llm.common import text_or_empty
+from orgtrail.llm.common import WORD, at_rest, text_or_empty
 
 BLANKS = r"[\x20\x09-\x0D]+"
 VARIABLE = "<*>"
@@ -31,30 +31,56 @@ MIN_DOCS = 3
 #: a line must agree with.
 FIXED_SHARE = 0.5
 AGREE = 0.8
+#: Bits of the map of recurring leaves: 1 MB.
+MARKS = 1 << 23
 
 
 def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def _tokens(line: Column) -> Column:
-    return F.filter(F.split(line, BLANKS, -1), lambda token: token != "")
+def _hash(text: Column) -> Column:
+    """128 bits, so that equal means equal at any size."""
+    return F.unhex(F.md5(F.encode(text, "UTF-8")))
 
 
-def _generalised(token: Column) -> Column:
-    return F.when(token.rlike(r"\d"), F.lit(VARIABLE)).otherwise(token)
+def _leaf(line: Column, depth: int) -> Column:
+    """The leaf of a line that has tokens: their number and the leading ones, generalised."""
+    lead = F.regexp_extract(line, rf"^[\x20\x09-\x0D]*((?:{WORD}[\x20\x09-\x0D]+){{0,{depth - 1}}}{WORD})", 1)
+    fixed = F.regexp_replace(F.regexp_replace(lead, BLANKS, " "), r"[^ ]*\d[^ ]*", VARIABLE)
+    return _hash(F.concat(F.regexp_count(line, F.lit(WORD)).cast("string"), F.lit(" "), fixed))
 
 
 def parsed_lines(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """One row per line that has tokens: ``doc_id``, ``line_key``, ``leaf`` and ``tokens``.
+    """One row per line that has tokens: ``doc_id``, ``line`` and ``leaf``."""
+    lines = docs.select("doc_id", F.explode(_lines(text_or_empty(F.col("text")))).alias("line"))
+    return lines.filter(F.col("line").rlike(WORD)).withColumn("leaf", _leaf(F.col("line"), depth))
 
-    ``leaf`` and ``line_key`` are 128-bit hashes, so that equal means equal at any size.
+
+def _bit(leaf: Column) -> Column:
+    return F.pmod(F.xxhash64(leaf), F.lit(MARKS))
+
+
+def _likely(lines: DataFrame, often: DataFrame) -> DataFrame:
+    """The lines whose leaf may be in ``often``, so that only those are shuffled.
+
+    The leaves are marked in a bitmap of ``MARKS`` bits, whatever their number; it is
+    broadcast in pieces of 4 KB. Too many leaves let more lines through, never fewer.
     """
-    lines = docs.select("doc_id", F.explode(_lines(text_or_empty(F.col("text")))).alias("_line"))
-    split = lines.select("doc_id", F.md5(F.encode("_line", "UTF-8")).alias("line_key"), _tokens(F.col("_line")).alias("tokens"))
-    lead = F.transform(F.slice("tokens", 1, depth), _generalised)
-    leaf = F.md5(F.encode(F.concat_ws("\x00", F.size("tokens").cast("string"), lead), "UTF-8"))
-    return split.filter(F.size("tokens") > 0).select("doc_id", "line_key", leaf.alias("leaf"), "tokens")
+    marks = (
+        often.select(_bit(F.col("leaf")).alias("_bit"))
+        .groupBy(F.expr("_bit div 32768").alias("_piece"))
+        .agg(F.bitmap_construct_agg(F.col("_bit") % 32768).alias("_marks"))
+    )
+    at = F.col("_bit") % 32768
+    byte = F.conv(F.hex(F.substring(F.col("_marks"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return (
+        lines.withColumn("_bit", _bit(F.col("leaf")))
+        .withColumn("_piece", F.expr("_bit div 32768"))
+        .join(F.broadcast(marks), "_piece")
+        .filter((byte / F.pow(F.lit(2), at % 8)).cast("int") % 2 == 1)
+        .select("doc_id", "line", "leaf")
+    )
 
 
 def _documents_with(rows: DataFrame, key: str, min_docs: int) -> DataFrame:
@@ -73,8 +99,14 @@ def templates(
 ) -> DataFrame:
     """``doc_id`` and ``line_key`` of the lines whose template recurs, with ``leaf``."""
     lines = parsed_lines(docs, depth)
-    often = _documents_with(lines, "leaf", min_docs).select("leaf")
-    held = lines.join(often, "leaf", "left_semi")
+    often = at_rest(_documents_with(lines, "leaf", min_docs).select("leaf"), "leaves")
+    tokens = F.filter(F.split("line", BLANKS, -1), lambda token: token != "")
+    held = at_rest(
+        _likely(lines, often)
+        .join(often, "leaf", "left_semi")
+        .select("doc_id", _hash(F.col("line")).alias("line_key"), "leaf", tokens.alias("tokens")),
+        "likely-lines",
+    )
     counted = (
         held.groupBy("leaf", "tokens")
         .agg(F.count(F.lit(1)).alias("_lines"))
@@ -104,7 +136,7 @@ def drop_recurring_lines(docs: DataFrame, **parameters) -> DataFrame:
     found = templates(docs, **parameters)
     marks = found.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set("line_key").alias("__dropped"))
     keyed = F.transform(
-        _lines(F.col("text")), lambda line: F.struct(line.alias("line"), F.md5(F.encode(line, "UTF-8")).alias("key"))
+        _lines(F.col("text")), lambda line: F.struct(line.alias("line"), _hash(line).alias("key"))
     )
     kept = F.when(
         F.col("__dropped").isNull(), F.transform(_lines(F.col("text")), lambda line: line)
