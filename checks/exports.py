@@ -94,7 +94,7 @@ left join org_last h on h.vat = o.vat
 where o.vat in (select vat from mandate where category = 'ADMINISTER')""",
 )
 def country_mandates_dated(r: Registry):
-    return people.country_mandates(r.persons(), r.orgs_with_mandates(), TARGET, [ADMINISTER], "org", paged=True)
+    return people.country_mandates(r.persons(), r.orgs_with_mandates(), TARGET, [ADMINISTER], "org")
 
 
 @query(
@@ -193,7 +193,7 @@ def vat_list_representatives(r: Registry):
 @query(
     "portfolio_enriched",
     f"""
-select o.vat, o.name_nl, o.name_fr, cast(o.founding_date as string) as founding_date,
+select o.vat, 0 as page, o.name_nl, o.name_fr, cast(o.founding_date as string) as founding_date,
        coalesce(o.juridical_form, o.juridical_situation) as legal_status,
        o.financial_health as financial_health_score, o.employee_count as number_of_employees,
        case when not h.nl_null then h.city end as city_nl, case when not h.fr_null then h.city end as city_fr,
@@ -248,6 +248,7 @@ def portfolio_enriched(r: Registry):
     )
     return documents.select(
         "vat",
+        "page",
         "name_nl",
         "name_fr",
         "founding_date",

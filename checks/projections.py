@@ -364,6 +364,7 @@ def project_org_export(r: Registry):
         {
             "establishments": F.lit(None).cast("array<struct<name_nl: string>>"),
             "publications": F.lit(None).cast("array<struct<language: string>>"),
+            "page": F.lit(0),
         }
     )
     return org_export(missing, CREATED_AT).select(

@@ -83,8 +83,7 @@ select distinct {_vat('o_custkey')} as vat,
        case {_BOTH} % 4 when 0 then ' administrator' when 1 then 'Administer ' when 2 then 'Manager' else null end as role,
        date '2000-01-01' + {_MANDATE_DAYS} as start_date,
        case when {_BOTH} % 2 = 0 then null else date '2003-01-01' + {_MANDATE_DAYS} end as end_date
-from lineitem join orders on l_orderkey = o_orderkey
-where o_orderstatus = 'F'""",
+from lineitem join orders on l_orderkey = o_orderkey""",
     "participation": f"""
 select {_vat('c_custkey')} as vat,
        {_vat('((c_custkey * m + b) % (select count(*) from customer))')} as related_vat,
@@ -116,7 +115,7 @@ select {_vat('o_custkey')} as vat,
        case when n % 2 = 0 then 'FULL' else 'ABBREVIATED' end as schema_type,
        'EUR' as currency
 from (select o_custkey, year(o_orderdate) as y, cast(sum(cast(round(o_totalprice * 100) as bigint)) as double) as cents, count(*) as n
-      from orders where o_orderstatus = 'F' group by o_custkey, year(o_orderdate)) g""",
+      from orders group by o_custkey, year(o_orderdate)) g""",
     "establishment": f"""
 select {_vat('o_custkey')} as vat, o_orderkey as est_id,
        concat('Est ', cast(o_orderkey as string)) as name_nl,

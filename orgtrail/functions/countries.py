@@ -89,5 +89,5 @@ def first_country(hists: Column) -> Column:
 
 
 def country_in(cc: Column, values) -> Column:
-    """Scalar country membership; a null country never matches."""
-    return cc.isin(list(values))
+    """Scalar country membership, codes as typed; a null country never matches."""
+    return cc.isin(sorted({value.strip().upper() for value in values}))

@@ -1,7 +1,7 @@
 """The reports as runnable jobs: ``spark-submit orgtrail/jobs.py --help``.
 
 Each job reads registry tables under one folder, builds its reports and writes them under
-another. A report is one file only on request, and only while it is small.
+another. A report is one file only on request. The names of reports are fixed values.
 """
 
 from __future__ import annotations
@@ -29,9 +29,11 @@ from orgtrail.sources.sinks import DUMP_PARTITIONS, write_csv_named, write_json
 from orgtrail.sources.tables import scan_registry
 
 
-def _write(reports: dict[str, DataFrame], out: str, single_file: bool) -> list[str]:
+def _write(
+    reports: dict[str, DataFrame], out: str, single_file: bool, ordered: bool = False
+) -> list[str]:
     return [
-        write_csv_named(report, out, name, single_file=single_file)
+        write_csv_named(report, out, name, single_file=single_file, ordered=ordered)
         for name, report in reports.items()
     ]
 
@@ -107,6 +109,7 @@ def sector(
     year_from: int,
     year_to: int,
     single_file: bool = False,
+    classification: str | None = None,
 ) -> list[str]:
     """Companies of a sector with their yearly financials."""
     report = sector_financials(
@@ -115,9 +118,10 @@ def sector(
         prefix,
         year_from,
         year_to,
+        classification,
     )
     name = f"NACEBEL{prefix}_Financials_{year_from}_{year_to}.csv"
-    return _write({name: report}, out, single_file)
+    return _write({name: report}, out, single_file, ordered=True)
 
 
 def represent(
@@ -184,10 +188,12 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_argument("--prefix", required=True)
     sub.add_argument("--from", dest="year_from", type=int, required=True)
     sub.add_argument("--to", dest="year_to", type=int, required=True)
+    sub.add_argument("--classification", help="only codes of this classification")
     sub = job("representatives", "representatives of listed companies")
     keys = sub.add_mutually_exclusive_group(required=True)
     keys.add_argument("--vats", help="CSV file of keys")
     keys.add_argument("--vat", action="append", help="a key; may be repeated")
+    sub.add_argument("--variant", choices=["file", "list"], help="by default as the keys are given")
     job("portfolio", "nested documents of listed companies").add_argument("--vats", required=True)
     return parser
 
@@ -206,11 +212,14 @@ def main(arguments: list[str] | None = None) -> list[str]:
         run = country if args.job == "country" else cross_border
         return run(*where, args.country.strip().upper(), args.home, args.single_file)
     if args.job == "sector":
-        return sector(*where, args.prefix, args.year_from, args.year_to, args.single_file)
+        return sector(
+            *where, args.prefix, args.year_from, args.year_to, args.single_file, args.classification
+        )
     if args.job == "representatives":
         if args.vat:
-            return represent(*where, args.vat, "list", args.single_file)
-        return represent(*where, read_vat_list(spark, args.vats), "file", args.single_file)
+            return represent(*where, args.vat, args.variant or "list", args.single_file)
+        keys = read_vat_list(spark, args.vats)
+        return represent(*where, keys, args.variant or "file", args.single_file)
     keys = read_vat_list(spark, args.vats, column="vat")
     # The run's only clock reading; the documents all carry the same time.
     now = datetime.now(timezone.utc).replace(tzinfo=None)

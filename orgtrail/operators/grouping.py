@@ -3,10 +3,6 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orgtrail.operators.joins import few_rows, small_side
-
-PAGE_ROWS = 250_000
-
 
 def distinct(df: DataFrame) -> DataFrame:
     return df.distinct()
@@ -45,75 +41,32 @@ def collect_latest(
     )
 
 
-def page_steps(
-    df: DataFrame, key: str, step: str, page_rows: int = PAGE_ROWS
-) -> DataFrame | None:
-    """Where the pages of the big keys begin: key, step, first_page, splits.
-
-    Only keys with more than ``page_rows`` rows appear, with one row per value of ``step``,
-    the leading sort column. ``splits`` is how many pages one step is spread over. Without
-    big keys, which one count per key finds out, there are no steps.
-    """
-    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    big = sizes.filter(F.col(key).isNotNull() & (F.col("n") > page_rows)).select(key)
-    if few_rows(big, 0):
-        return None
-    earlier = Window.partitionBy(key).orderBy(F.asc_nulls_first(step)).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    before = F.coalesce(F.sum("n").over(earlier), F.lit(0))
-    big = small_side(big)
-    return (
-        df.join(big, key, "left_semi")
-        .groupBy(key, step)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(
-            key,
-            step,
-            F.floor(before / page_rows).cast("int").alias("first_page"),
-            F.ceil(F.col("n") / page_rows).cast("int").alias("splits"),
-        )
-    )
-
-
 def collect_sorted(
     df: DataFrame,
     key: str,
     order: list[str],
     value: Column,
     name: str,
-    page_rows: int = PAGE_ROWS,
+    page_rows: int | None = None,
 ) -> DataFrame:
     """Per key the values as an array sorted by ``order``, missing first: key, page, array.
 
-    Every key has page 0. A key with more rows than a page holds goes on in further pages,
-    in order of the leading sort column, so that no task gathers a hot key whole and no row
-    is dropped. ``order`` must tell the rows of a key apart. Rows without a key belong
-    nowhere and are left out.
+    Without ``page_rows`` every key has one array, on page 0. With it, an array holds so many
+    values and a key goes on in pages 1, 2, ... in the full order, whatever its size: the rows
+    of a key are numbered in a sort that spills, and no array is longer than a page. ``order``
+    must tell the rows of a key apart. Rows without a key belong nowhere and are left out.
     """
     df = df.filter(F.col(key).isNotNull())
-    steps = page_steps(df, key, order[0], page_rows)
-    return _collect_pages(df, key, order, value, name, steps)
-
-
-def _collect_pages(
-    df: DataFrame, key: str, order: list[str], value: Column, name: str, steps: DataFrame | None
-) -> DataFrame:
-    if steps is None:
-        return df.groupBy(key).agg(_sorted_values(order, value).alias(name)).select(
-            key, F.lit(0).alias("page"), name
-        )
-    steps = small_side(
-        steps.select(
-            F.col(key).alias("step_key"), F.col(order[0]).alias("step"), "first_page", "splits"
-        )
-    )
-    same = (F.col(key) == F.col("step_key")) & F.col(order[0]).eqNullSafe(F.col("step"))
-    spread = F.pmod(F.xxhash64(*order), F.col("splits")).cast("int")
-    paged = df.join(steps, same, "left").withColumn(
-        "page", F.coalesce(F.col("first_page") + spread, F.lit(0))
+    if page_rows is None:
+        page = F.lit(0)
+    else:
+        sorted_rows = Window.partitionBy(key).orderBy(*[F.asc_nulls_first(name) for name in order])
+        page = F.floor((F.row_number().over(sorted_rows) - 1) / page_rows).cast("int")
+    return (
+        df.withColumn("page", page)
+        .groupBy(key, "page")
+        .agg(_sorted_values(order, value).alias(name))
     )
-    return paged.groupBy(key, "page").agg(_sorted_values(order, value).alias(name))
 
 
 def attach_sorted(
@@ -123,27 +76,13 @@ def attach_sorted(
     order: list[str],
     value: Column,
     name: str,
-    page_rows: int = PAGE_ROWS,
+    page_rows: int | None = None,
 ) -> DataFrame:
     """``left`` beside the arrays of ``collect_sorted``, with their page; none gives an empty one.
 
-    A row of ``left`` appears once per page. It is repeated before the join, so that the
-    join key is unique on both sides even for a hot key.
+    A row of ``left`` appears once per page.
     """
-    df = df.filter(F.col(key).isNotNull())
-    steps = page_steps(df, key, order[0], page_rows)
-    pages = _collect_pages(df, key, order, value, name, steps)
-    if steps is None:
-        joined = left.join(pages, key, "left").withColumn("page", F.lit(0))
-    else:
-        last = F.max(F.col("first_page") + F.col("splits"))
-        extents = small_side(steps.groupBy(key).agg(last.alias("n_pages")))
-        numbers = F.sequence(F.lit(0), F.coalesce("n_pages", F.lit(1)) - 1)
-        joined = (
-            left.join(extents, key, "left")
-            .withColumn("page", F.explode(numbers))
-            .drop("n_pages")
-            .join(pages, [key, "page"], "left")
-            .filter((F.col("page") == 0) | F.col(name).isNotNull())
-        )
-    return joined.withColumn(name, F.coalesce(name, F.array()))
+    pages = collect_sorted(df, key, order, value, name, page_rows)
+    return left.join(pages, key, "left").withColumns(
+        {"page": F.coalesce("page", F.lit(0)), name: F.coalesce(name, F.array())}
+    )

@@ -15,11 +15,8 @@ from orgtrail.functions.countries import any_country
 
 MAX_BROADCAST_ROWS = 200_000
 MAX_BROADCAST_BYTES = 128 * 1024 * 1024
-
-
-def few_rows(df: DataFrame, max_rows: int) -> bool:
-    """At most ``max_rows`` rows, by a count that sends one number per task."""
-    return df.count() <= max_rows
+#: Keys over which rows without a person are spread.
+NOBODY = 1024
 
 
 def fits_broadcast(
@@ -49,10 +46,8 @@ def small_side(df: DataFrame) -> DataFrame:
 
 
 def sized_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Inner join that broadcasts the right side if it is small, else the left one if that is."""
-    if fits_broadcast(right):
-        return left.join(F.broadcast(right), key)
-    return small_side(left).join(right, key)
+    """Inner join that broadcasts the right side if it is small; the left is never measured."""
+    return left.join(small_side(right), key)
 
 
 def cut_to_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
@@ -88,8 +83,17 @@ def join_mandates(persons: DataFrame, mandates: DataFrame) -> DataFrame:
 
 
 def add_person_names(mandates: DataFrame, persons: DataFrame) -> DataFrame:
-    """Person columns beside each mandate; a mandate of an unknown person stays."""
-    return mandates.join(persons, "pid", "left")
+    """Person columns beside each mandate; a mandate of an unknown person stays.
+
+    Mandates without a person match nobody. They go by keys that no person has, since by
+    their null all of them would meet in one task.
+    """
+    spread = F.pmod(F.xxhash64(*mandates.columns), F.lit(NOBODY)).cast("string")
+    keyed = mandates.withColumn(
+        "join_pid", F.coalesce(F.col("pid"), F.concat(F.lit("\x00"), spread))
+    )
+    named = persons.withColumnRenamed("pid", "join_pid")
+    return keyed.join(named, "join_pid", "left").drop("join_pid")
 
 
 def add_financials(orgs: DataFrame, accounts: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from orgtrail.functions.countries import any_country
 from orgtrail.functions.mandates import ADMIN_ROLES, category_in, has_category, role_in
 from orgtrail.functions.text import or_empty
 from orgtrail.operators.grouping import distinct
-from orgtrail.operators.joins import join_mandates, small_side
+from orgtrail.operators.joins import fits_broadcast, join_mandates
 from orgtrail.operators.nested import flatten_mandate, with_address, with_mandate_fields
 
 
@@ -63,21 +63,30 @@ def country_companies(orgs: DataFrame, cc: str, rules: CountryRules = LAST) -> D
     return rules.keep(_companies(orgs.filter(rules.matches(cc)), rules))
 
 
-def _companies(orgs: DataFrame, rules: CountryRules, *more: str) -> DataFrame:
-    head = orgs.select("vat", "name_nl", "name_fr", "address_hists", *more)
-    return rules.with_text(head, "last_address_for_company")
+COMPANY_FIELDS = ["vat", "name_nl", "name_fr", "address_hists"]
+
+
+def _companies(orgs: DataFrame, rules: CountryRules) -> DataFrame:
+    return rules.with_text(orgs.select(*COMPANY_FIELDS), "last_address_for_company")
 
 
 def _beside_mandates(
     people: DataFrame, orgs: DataFrame, rules: CountryRules, fields: list[str], keep=None
 ) -> DataFrame:
-    """``people`` beside the ``fields`` of their mandates.
+    """``people`` beside the ``fields`` of their mandates and the company that gave them.
 
-    Few people are broadcast, and then nothing is shuffled.
+    Few people are broadcast: nothing is shuffled, and only companies that are hit get their
+    address written out. Many people meet narrow mandates by shuffle; the company's columns
+    are added to the hits. A company may take several rows of ``orgs``.
     """
     orgs = with_mandate_fields(orgs, "pid", *fields)
-    rows = flatten_mandate(_companies(orgs, rules, "person_mandates"))
-    return join_mandates(small_side(people), rows if keep is None else rows.filter(keep))
+    mandates = [*COMPANY_FIELDS, "person_mandates"] if fits_broadcast(people) else ["vat", "person_mandates"]
+    rows = flatten_mandate(orgs.select(*mandates))
+    rows = rows if keep is None else rows.filter(keep)
+    if len(mandates) > 2:
+        return rules.with_text(join_mandates(F.broadcast(people), rows), "last_address_for_company")
+    heads = _companies(orgs.dropDuplicates(["vat"]), rules)
+    return join_mandates(people, rows).join(heads, "vat")
 
 
 def country_admins(
@@ -102,14 +111,13 @@ def country_mandates(
     categories,
     match: str = "org",
     rules: CountryRules | None = None,
-    paged: bool = False,
 ) -> DataFrame:
     """Persons of ``cc`` beside the mandates they hold.
 
     ``match="org"`` shows every mandate of a company that has some mandate of a listed
     category, dated and without repeats. ``match="mandate"`` shows the mandates that are of
-    a listed category themselves. ``paged`` says that a company may take several rows of
-    ``orgs``, with its mandates spread over them.
+    a listed category themselves. A company may take several rows of ``orgs``, with its
+    mandates spread over them.
     """
     if match not in ("org", "mandate"):
         raise ValueError(f"unknown match {match!r}")
@@ -121,11 +129,7 @@ def country_mandates(
         return rows.select(*PERSON_COLUMNS, *COMPANY_COLUMNS)
     dated = ["category", "start_date", "end_date"]
     having = orgs.filter(has_category(F.col("person_mandates"), categories))
-    if paged:
-        rows = _beside_mandates(people, orgs, rules, dated)
-        rows = rows.join(having.select("vat"), "vat", "left_semi")
-    else:
-        rows = _beside_mandates(people, having, rules, dated)
+    rows = _beside_mandates(people, orgs, rules, dated).join(having.select("vat"), "vat", "left_semi")
     return distinct(
         rows.select(
             *PERSON_COLUMNS,

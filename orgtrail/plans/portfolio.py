@@ -2,7 +2,7 @@
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orgtrail.functions.activities import activity_codes
@@ -13,11 +13,7 @@ from orgtrail.functions.records import (
     latest_in_array,
     publication_export,
 )
-from orgtrail.operators.grouping import (
-    PAGE_ROWS,
-    attach_sorted,
-    collect_latest,
-)
+from orgtrail.operators.grouping import attach_sorted, collect_latest
 from orgtrail.operators.joins import enrich, restrict
 from orgtrail.operators.nested import publication_keys, with_fields
 
@@ -43,21 +39,34 @@ def latest_accounts(accounts: DataFrame, k: int = ACCOUNTS_KEPT) -> DataFrame:
 
 
 def org_export(df: DataFrame, created_at: datetime) -> DataFrame:
-    """The export row; a missing array becomes an empty one."""
+    """The export row; a missing array becomes an empty one.
+
+    Pages after the first carry ``vat``, ``page``, establishments and the time; their other
+    fields are null and their other arrays empty, so that nothing appears twice.
+    """
+
+    def once(value: Column) -> Column:
+        return F.when(F.col("page") == 0, value)
+
+    def array_once(value: Column) -> Column:
+        return F.coalesce(once(value), F.array())
+
+    status = legal_status(F.col("juridical_form"), F.col("juridical_situation"))
     return df.select(
         "vat",
-        "name_nl",
-        "name_fr",
-        "founding_date",
-        legal_status(F.col("juridical_form"), F.col("juridical_situation")).alias("legal_status"),
-        F.col("financial_health").alias("financial_health_score"),
-        F.col("employee_count").alias("number_of_employees"),
-        "address_nl",
-        "address_fr",
-        activity_codes(F.col("activities")).alias("nacebel_codes"),
+        "page",
+        once(F.col("name_nl")).alias("name_nl"),
+        once(F.col("name_fr")).alias("name_fr"),
+        once(F.col("founding_date")).alias("founding_date"),
+        once(status).alias("legal_status"),
+        once(F.col("financial_health")).alias("financial_health_score"),
+        once(F.col("employee_count")).alias("number_of_employees"),
+        once(F.col("address_nl")).alias("address_nl"),
+        once(F.col("address_fr")).alias("address_fr"),
+        array_once(activity_codes(F.col("activities"))).alias("nacebel_codes"),
         F.coalesce("establishments", F.array()).alias("establishments"),
-        F.coalesce("publications", F.array()).alias("publications"),
-        F.coalesce("annual_account_summaries_5y", F.array()).alias("annual_account_summaries_5y"),
+        array_once(F.col("publications")).alias("publications"),
+        array_once(F.col("annual_account_summaries_5y")).alias("annual_account_summaries_5y"),
         F.lit(created_at).alias("export_metadata_created_at"),
     )
 
@@ -69,12 +78,11 @@ def portfolio(
     pubs: DataFrame,
     vats: DataFrame,
     created_at: datetime,
-    page_rows: int = PAGE_ROWS,
+    page_rows: int | None = None,
 ) -> DataFrame:
-    """One document per listed company.
+    """One document per listed company, or with ``page_rows`` one per page of establishments.
 
-    A company with more than ``page_rows`` establishments becomes several documents with
-    the same head, in order of start date; every establishment is in exactly one of them.
+    ``page`` is 0 in the first document of a company and counts on in those that follow.
     """
     orgs = with_fields(orgs, "activities", {"code": F.col("activities")["code"]})
     enriched = attach_sorted(

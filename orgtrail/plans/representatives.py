@@ -15,7 +15,7 @@ from orgtrail.functions.addresses import (
 from orgtrail.functions.mandates import rep_status, rep_type, rep_type_by_pid
 from orgtrail.functions.names import first_name_of, first_nonempty, rep_last_name
 from orgtrail.functions.text import or_empty
-from orgtrail.operators.joins import add_person_names, restrict
+from orgtrail.operators.joins import add_person_names, cut_to_keys, restrict
 from orgtrail.operators.nested import (
     flatten_mandate,
     persons_slim,
@@ -32,16 +32,20 @@ def representatives(
     ``file`` shows the current address line, the strict principal activity, the moral flag
     and the latest closed address. ``list`` shows the first open address, the first primary
     NACE activity, the type by person key, the last closed address, category and dates. A
-    key listed twice counts once. The companies are scanned once, and of the persons only
-    the slim columns are shuffled.
+    key listed twice counts once.
+
+    Names are joined to narrow mandates, from persons cut to those that the listed companies
+    name; the company's own columns are added last.
     """
     if variant not in ("file", "list"):
         raise ValueError(f"unknown variant {variant!r}")
     companies, report, fields = _VARIANTS[variant]
     listed = restrict(with_mandate_fields(orgs, *fields), vats)
-    shown = companies(listed).select(*_COMPANY_COLUMNS, "person_mandates")
-    rows = flatten_mandate(shown, outer=True)
-    return report(add_person_names(rows, persons_slim(persons)))
+    mandates = flatten_mandate(listed.select("vat", "person_mandates"), outer=True)
+    named_in = mandates.select("pid").filter(F.col("pid").isNotNull())
+    named = add_person_names(mandates, cut_to_keys(persons_slim(persons), named_in, "pid"))
+    heads = companies(listed.dropDuplicates(["vat"])).select(*_COMPANY_COLUMNS)
+    return report(heads.join(named, "vat"))
 
 
 _COMPANY_COLUMNS = [

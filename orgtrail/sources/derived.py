@@ -1,8 +1,7 @@
 """A registry derived from the order tables, for trying the reports on given data.
 
-Companies come from customers, persons from suppliers, mandates from the lines of settled
-orders, yearly accounts from settled orders, establishments from orders and publications
-from events. Histories that hang on one source row are built in that row, without a
+Companies come from customers, persons from suppliers, mandates from order lines, yearly
+accounts and establishments from orders and publications from events. Histories that hang on one source row are built in that row, without a
 shuffle. Edge cases (missing names, padded codes, open and unordered histories, unknown
 persons) follow from the keys.
 """
@@ -12,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from orgtrail.functions.addresses import last_hist
-from orgtrail.operators.grouping import PAGE_ROWS, attach_sorted, distinct
+from orgtrail.operators.grouping import attach_sorted, distinct
 from orgtrail.operators.nested import MANDATE_COLUMNS
 from orgtrail.schemas import ADDRESS, MANDATE, ORGANISATIONS
 
@@ -194,11 +193,8 @@ def organisations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orgs.select(*ORGANISATIONS.fieldNames())
 
 
-def with_mandates(orgs: DataFrame, flat: DataFrame, page_rows: int = PAGE_ROWS) -> DataFrame:
-    """Companies with flat mandates folded into them.
-
-    A company whose mandates fill more than one page has one row per page.
-    """
+def with_mandates(orgs: DataFrame, flat: DataFrame, page_rows: int | None = None) -> DataFrame:
+    """Companies with flat mandates folded into them; with ``page_rows`` one row per page."""
     folded = attach_sorted(
         orgs.drop("person_mandates"),
         flat,
@@ -222,14 +218,10 @@ def persons(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _settled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F")
-
-
 def mandates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat mandates: one row per company and the supplier of a settled order's line."""
+    """Flat mandates: one row per company and the supplier of an order line."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
-    pairs = _settled(spark, sf_dir).join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+    pairs = table(spark, sf_dir, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
     both = "(o_custkey + l_suppkey)"
     days = "cast((o_custkey * 7 + l_suppkey) % 7000 as int)"
     return distinct(
@@ -258,7 +250,7 @@ def annual_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Yearly accounts; the array of a company is as long as its years."""
     cents = F.expr("sum(cast(round(o_totalprice * 100) as bigint))")
     yearly = (
-        _settled(spark, sf_dir)
+        table(spark, sf_dir, "orders")
         .groupBy("o_custkey", F.year("o_orderdate").alias("year"))
         .agg(cents.cast("double").alias("cents"), F.count("*").alias("n"))
     )

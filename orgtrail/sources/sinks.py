@@ -2,10 +2,8 @@
 
 from pyspark.sql import DataFrame
 
-from orgtrail.operators.joins import few_rows
-
+# Fixed value: parts of a dump.
 DUMP_PARTITIONS = 400
-SINGLE_FILE_ROWS = 1_000_000
 
 
 def _keyed(df: DataFrame, key: str, n: int, split_skew: bool) -> DataFrame:
@@ -13,36 +11,36 @@ def _keyed(df: DataFrame, key: str, n: int, split_skew: bool) -> DataFrame:
 
 
 def write_parquet(
-    df: DataFrame, path: str, key: str, n: int = DUMP_PARTITIONS, split_skew: bool = True
+    df: DataFrame, path: str, key: str, n: int = DUMP_PARTITIONS, split_skew: bool = False
 ) -> None:
-    """Parquet, hash-partitioned by ``key`` into up to ``n`` parts.
+    """Parquet in ``n`` hash parts by ``key``: all rows of a key are in one file.
 
-    With ``split_skew`` adaptive execution may split the part of a hot key over several
-    files and merge small parts; without, there are exactly ``n`` parts.
+    With ``split_skew`` adaptive execution may instead split the part of a hot key over
+    several files and merge small parts.
     """
     _keyed(df, key, n, split_skew).write.mode("overwrite").parquet(path)
 
 
-def _single(df: DataFrame, single_file: bool, max_rows: int) -> DataFrame:
-    """One part if one is wanted and the rows fit; a larger result keeps its parts.
+def _single(df: DataFrame, single_file: bool, ordered: bool) -> DataFrame:
+    """One part if one is wanted.
 
-    ``coalesce`` keeps the order of a sorted report.
+    A sorted report keeps its order by ``coalesce``; any other is computed in parallel and
+    only then brought together.
     """
-    if single_file and few_rows(df, max_rows):
-        return df.coalesce(1)
-    return df
+    if not single_file:
+        return df
+    return df.coalesce(1) if ordered else df.repartition(1)
 
 
-def write_csv(
-    df: DataFrame, path: str, single_file: bool = False, max_rows: int = SINGLE_FILE_ROWS
-) -> None:
+def write_csv(df: DataFrame, path: str, single_file: bool = False, ordered: bool = False) -> None:
     """CSV in UTF-8 with a header and semicolons; null is written as nothing.
 
-    A report of up to ``max_rows`` rows can be one file; a larger one is always written in
-    parallel. Arrays and structs have no CSV form: write those as JSON.
+    ``single_file`` gives one file at any size, and one task writes it. Arrays and structs
+    have no CSV form: write those as JSON.
     """
+    # The format of the reports.
     (
-        _single(df, single_file, max_rows)
+        _single(df, single_file, ordered)
         .write.mode("overwrite")
         .option("header", True)
         .option("sep", ";")
@@ -59,8 +57,6 @@ def write_csv_named(df: DataFrame, folder: str, name: str, **options) -> str:
     return path
 
 
-def write_json(
-    df: DataFrame, path: str, single_file: bool = False, max_rows: int = SINGLE_FILE_ROWS
-) -> None:
+def write_json(df: DataFrame, path: str, single_file: bool = False, ordered: bool = False) -> None:
     """JSON lines with nested arrays kept; a null field is left out."""
-    _single(df, single_file, max_rows).write.mode("overwrite").json(path)
+    _single(df, single_file, ordered).write.mode("overwrite").json(path)
