@@ -118,29 +118,32 @@ def counts_of(of: np.ndarray) -> np.ndarray:
     return np.bincount((of & np.uint64(DIMENSIONS - 1)).astype(np.int64), minlength=DIMENSIONS).astype(np.int32)
 
 
-def _member_rows(batches):
-    for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            part = batch.slice(at, 256)
-            sets = [shingle_set(text) for text in part.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column("doc_id"),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([set_hash(s) if len(s) else None for s in sets], pa.int64()),
-                ],
-                names=["doc_id", "n_shingles", "cls"],
-            )
+def _member_rows(words: int):
+    def rows(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                sets = [shingle_set(text, words) for text in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("doc_id"),
+                        pa.array([len(s) for s in sets], pa.int64()),
+                        pa.array([set_hash(s) if len(s) else None for s in sets], pa.int64()),
+                    ],
+                    names=["doc_id", "n_shingles", "cls"],
+                )
+
+    return rows
 
 
-def _listing_rows(percent: int):
+def _listing_rows(percent: int, words: int):
     def rows(batches):
         seen: set[int] = set()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 keys, classes = [], []
                 for text in batch.slice(at, 256).column("text").to_pylist():
-                    of = shingle_set(text)
+                    of = shingle_set(text, words)
                     cls = set_hash(of)
                     if not len(of) or cls in seen:
                         continue
@@ -158,20 +161,23 @@ def _listing_rows(percent: int):
     return rows
 
 
-def _set_rows(batches):
-    for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            sets = [shingle_set(text) for text in batch.slice(at, 256).column("text").to_pylist()]
-            sets = [s for s in sets if len(s)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([set_hash(s) for s in sets], pa.int64()),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([counts_of(s).tobytes() for s in sets], pa.binary()),
-                    pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
-                ],
-                names=["cls", "size", "point", "shingles"],
-            )
+def _set_rows(words: int):
+    def rows(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                sets = [shingle_set(text, words) for text in batch.slice(at, 256).column("text").to_pylist()]
+                sets = [s for s in sets if len(s)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([set_hash(s) for s in sets], pa.int64()),
+                        pa.array([len(s) for s in sets], pa.int64()),
+                        pa.array([counts_of(s).tobytes() for s in sets], pa.binary()),
+                        pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                    ],
+                    names=["cls", "size", "point", "shingles"],
+                )
+
+    return rows
 
 
 class VectorTree:
@@ -358,11 +364,11 @@ def components(links: DataFrame) -> DataFrame:
     )
 
 
-def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def jaccard_components(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
     """Per row ``doc_id``, ``n_shingles`` and ``component_id``, the least doc_id it reaches."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    members = at_rest(texts.mapInArrow(_member_rows, "doc_id long, n_shingles long, cls long"), "members")
-    keyed = texts.select("text").mapInArrow(_listing_rows(percent), "key long, cls long")
+    members = at_rest(texts.mapInArrow(_member_rows(words), "doc_id long, n_shingles long, cls long"), "members")
+    keyed = texts.select("text").mapInArrow(_listing_rows(percent, words), "key long, cls long")
     order = Window.partitionBy("key").orderBy("cls")
     shared = (
         keyed.withColumns({"_before": F.lag("cls").over(order), "_last": F.max("cls").over(Window.partitionBy("key")),
@@ -377,7 +383,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     wanted = listed.select("cls").distinct()
     names = members.join(wanted, "cls", "left_semi").groupBy("cls").agg(F.min("doc_id").alias("_id"))
     chosen = texts.join(names.select("_id").distinct(), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    every = chosen.select("text").mapInArrow(_set_rows, "cls long, size long, point binary, shingles array<long>")
+    every = chosen.select("text").mapInArrow(_set_rows(words), "cls long, size long, point binary, shingles array<long>")
     sets = at_rest(every.join(wanted, "cls", "left_semi").dropDuplicates(["cls"]), "sets")
     points = sets.select("cls", "size", "point")
     first = at_rest(verified(bounded_pairs(listed, points, None, percent, BEST), sets, percent), "first-links")
@@ -397,11 +403,11 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
 
 
-def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def one_of_each(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
     """The documents without those that reach one of a smaller id; equal rows stay once.
 
     Of rows that share an id and a component the first by text stays; rows without an id stay.
     """
-    found = jaccard_components(docs, percent).filter("doc_id is not null and doc_id > component_id")
+    found = jaccard_components(docs, percent, words).filter("doc_id is not null and doc_id > component_id")
     gone = found.select(F.col("doc_id").alias("__id")).distinct()
     return docs.join(gone, F.col("doc_id") == F.col("__id"), "left_anti")

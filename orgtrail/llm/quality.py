@@ -20,7 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orgtrail.llm.common import id_crc, text_or_empty
@@ -212,20 +212,28 @@ def fit_quality(
     return model
 
 
-def with_quality(docs: DataFrame, model: QualityModel, text: str = "text") -> DataFrame:
-    """The rows with ``score`` (1: good) and ``predicted``."""
-
+def _score(model: QualityModel, text: Column) -> Column:
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         features = Featurizer()
         for texts in batches:
             yield pd.Series([model.score(features(x)) for x in texts], dtype="float64")
 
-    return docs.withColumn("score", scored(text_or_empty(F.col(text)))).withColumn(
+    return scored(text_or_empty(text))
+
+
+def with_quality(docs: DataFrame, model: QualityModel, text: str = "text") -> DataFrame:
+    """The rows with ``score`` (1: good) and ``predicted``."""
+    return docs.withColumn("score", _score(model, F.col(text))).withColumn(
         "predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0).cast("int")
     )
 
 
+def accepted(docs: DataFrame, model: QualityModel, text: str = "text") -> DataFrame:
+    """The rows that the model does not reject, in their own columns; tested where they are read."""
+    return docs.filter(_score(model, F.col(text)) >= 0.5)
+
+
 def training_part(docs: DataFrame) -> DataFrame:
     return docs.filter(id_crc(F.col("doc_id")) % 3 != 1)
 
