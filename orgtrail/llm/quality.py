@@ -112,8 +112,9 @@ def _feature_rows(batches):
         for at in range(0, batch.num_rows, 256):
             part = batch.slice(at, 256)
             ids = [features(text) for text in part.column("text").to_pylist()]
+            crcs = pa.array([zlib.crc32(of.tobytes()) for of in ids], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [part.column("label"), pa.array(ids, pa.list_(pa.int32()))], names=["label", "ids"]
+                [part.column("label"), crcs, pa.array(ids, pa.list_(pa.int32()))], names=["label", "crc", "ids"]
             )
 
 
@@ -126,13 +127,14 @@ def fit_svm(rows: list[np.ndarray], labels: np.ndarray, ratio: np.ndarray, cost:
     signs = np.where(labels == 1, 1.0, -1.0)
     share = np.array([max((labels == 0).sum(), 1), max((labels == 1).sum(), 1)])
     upper = cost * len(labels) / (2 * share[labels])
-    values = [ratio[ids] / np.sqrt(len(ids)) if len(ids) else np.empty(0) for ids in rows]
-    norms = np.array([float(v @ v) + 1.0 for v in values])  # 1 for the bias
+    # Values are taken from ``ratio`` when a row's turn comes: held for all rows they would double the memory.
+    scales = np.array([1 / np.sqrt(max(len(ids), 1)) for ids in rows])
+    norms = np.array([float(ratio[ids] @ ratio[ids]) for ids in rows]) * scales**2 + 1.0  # 1 for the bias
     weights, bias, duals = np.zeros(len(ratio)), 0.0, np.zeros(len(rows))
     draw = np.random.default_rng(7)
     for _ in range(epochs):
         for i in draw.permutation(len(rows)):
-            ids, value = rows[i], values[i]
+            ids, value = rows[i], ratio[rows[i]] * scales[i]
             slack = signs[i] * (float(weights[ids] @ value) + bias) - 1.0
             moved = min(max(duals[i] - slack / norms[i], 0.0), upper[i])
             step = (moved - duals[i]) * signs[i]
@@ -197,12 +199,14 @@ def fit_quality(
     ratio = np.log(good / (good_rows + 2 * SMOOTHING)) - np.log(bad / (bad_rows + 2 * SMOOTHING))
     chosen = fit_rows(docs.select("doc_id").join(known.select("doc_id"), "doc_id", "left_semi"), fit_on)
     few = labelled.join(F.broadcast(chosen), "doc_id")
-    sample = few.select("text", "label").mapInArrow(_feature_rows, "label int, ids array<int>").toPandas()
-    rows = [np.asarray(ids, np.int64) for ids in sample["ids"]]
-    marks = sample["label"].to_numpy()
+    sample = few.select("text", "label").mapInArrow(_feature_rows, "label int, crc long, ids array<int>").toArrow()
+    marks, crcs = sample["label"].to_numpy(), sample["crc"].to_numpy()
+    lists = sample["ids"].combine_chunks()
+    del sample
     # The rows come in no particular order; this one is the same at every run.
-    order = sorted(range(len(rows)), key=lambda i: (len(rows[i]), rows[i].tobytes(), marks[i]))
-    rows, marks = [rows[i] for i in order], marks[order]
+    flat, edges = lists.values.to_numpy(), lists.offsets.to_numpy()
+    order = np.lexsort((marks, crcs, np.diff(edges)))
+    rows, marks = [flat[edges[i] : edges[i + 1]] for i in order], marks[order]  # views, no copies
     if len(set(marks)) < 2:
         share = good_rows / (good_rows + bad_rows)
         return QualityModel(zero, 0.0, 0.0, float(np.log(share / (1 - share))))
