@@ -108,12 +108,12 @@ class Index:
         self.spare = np.array([spare[b * BLOCK_ITEMS : (b + 1) * BLOCK_ITEMS].max() for b in range(self.n_blocks)])
         self.number = {x: at for at, x in enumerate(holders)}
         self.essential = np.array([x not in self.plain for x in holders], bool)
-        self.postings = [
+        postings = [
             (np.array([at for at, _ in post]), np.array([share for _, share in post])) for post in holders.values()
         ]
         # Block maxima, by term from ``starts[term]`` on.
         starts, blocks, tops = [0], [], []
-        for at, share in self.postings:
+        for at, share in postings:
             own = at // BLOCK_ITEMS
             top = np.zeros(int(own[-1]) + 1)
             np.maximum.at(top, own, share)
@@ -124,6 +124,26 @@ class Index:
         self.starts = np.array(starts)
         self.blocks = np.concatenate(blocks) if blocks else np.empty(0, int)
         self.tops = np.concatenate(tops) if tops else np.empty(0)
+        # Postings once more by block, to score the block's items in full.
+        term = np.repeat(np.arange(len(postings)), [len(at) for at, _ in postings])
+        item = np.concatenate([at for at, _ in postings]) if postings else np.empty(0, int)
+        share = np.concatenate([s for _, s in postings]) if postings else np.empty(0)
+        order = np.argsort(item // BLOCK_ITEMS, kind="stable")
+        edges = np.searchsorted(item[order] // BLOCK_ITEMS, np.arange(1, self.n_blocks))
+        self.of_block = [
+            (term[own], item[own] % BLOCK_ITEMS, share[own]) for own in np.split(order, edges)
+        ]
+
+    @property
+    def postings(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Items and their shares by term; only the form by block is kept."""
+        term, item, share = (
+            np.concatenate(x)
+            for x in zip(*((t, b * BLOCK_ITEMS + i, s) for b, (t, i, s) in enumerate(self.of_block)), strict=True)
+        )
+        order = np.argsort(term, kind="stable")
+        edges = np.searchsorted(term[order], np.arange(1, len(self.number)))
+        return list(zip(np.split(item[order], edges), np.split(share[order], edges), strict=True))
 
     def retrieve(self, tokens: list[str]) -> list[tuple[int, int, int, float]]:
         """(passage start, its end, item, BM25) of all items above the threshold."""
@@ -147,16 +167,18 @@ class Index:
         held, where = np.unique(keys, return_inverse=True)
         bound = np.bincount(where, self.tops[at]) + self.spare[held % self.n_blocks]
         found = []
+        there, now = np.zeros(len(number) + 1, bool), None  # by term; the last stands for unknown words
         for key in held[bound >= RETRIEVE - 1e-9]:
             start, block = int(key // self.n_blocks) * step, int(key % self.n_blocks)
-            low, high = block * BLOCK_ITEMS, (block + 1) * BLOCK_ITEMS
-            scores = np.zeros(BLOCK_ITEMS)
-            for t in set(terms[start : start + 2 * step].tolist()) - {-1}:
-                items, shares = self.postings[t]
-                a, b = np.searchsorted(items, (low, high))
-                scores[items[a:b] - low] += shares[a:b]
+            if start != now:
+                there[:], now = False, start
+                there[terms[start : start + 2 * step]] = True
+            term, item, share = self.of_block[block]
+            hit = there[term]
+            scores = np.bincount(item[hit], share[hit], BLOCK_ITEMS)
             for i in np.flatnonzero(scores >= RETRIEVE - 1e-9):
-                found.append((start, start + 2 * step, low + int(i), float(scores[i] * self.own[low + i])))
+                at = block * BLOCK_ITEMS + int(i)
+                found.append((start, start + 2 * step, at, float(scores[i] * self.own[at])))
         return found
 
     def leaks(self, text: str | None) -> dict[int, tuple[float, float, float]]:
