@@ -40,8 +40,11 @@ def _lines(text: Column) -> Column:
 
 
 def _hash(text: Column) -> Column:
-    """128 bits, so that equal means equal at any size."""
-    return F.unhex(F.md5(F.encode(text, "UTF-8")))
+    """128 bits, so that equal means equal at any size.
+
+    Never null, or a join on it would test for null next to the scan and compute it twice.
+    """
+    return F.coalesce(F.unhex(F.md5(F.encode(text, "UTF-8"))), F.lit(bytearray()))
 
 
 def _leaf(line: Column, depth: int) -> Column:
@@ -58,7 +61,7 @@ def parsed_lines(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
 
 
 def _bit(leaf: Column) -> Column:
-    return F.pmod(F.xxhash64(leaf), F.lit(MARKS))
+    return F.xxhash64(leaf).bitwiseAND(F.lit(MARKS - 1))
 
 
 def _likely(lines: DataFrame, often: DataFrame) -> DataFrame:
@@ -69,14 +72,14 @@ def _likely(lines: DataFrame, often: DataFrame) -> DataFrame:
     """
     marks = (
         often.select(_bit(F.col("leaf")).alias("_bit"))
-        .groupBy(F.expr("_bit div 32768").alias("_piece"))
+        .groupBy(F.shiftright("_bit", 15).alias("_piece"))
         .agg(F.bitmap_construct_agg(F.col("_bit") % 32768).alias("_marks"))
     )
     at = F.col("_bit") % 32768
     byte = F.conv(F.hex(F.substring(F.col("_marks"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     return (
         lines.withColumn("_bit", _bit(F.col("leaf")))
-        .withColumn("_piece", F.expr("_bit div 32768"))
+        .withColumn("_piece", F.shiftright("_bit", 15))
         .join(F.broadcast(marks), "_piece")
         .filter((byte / F.pow(F.lit(2), at % 8)).cast("int") % 2 == 1)
         .select("doc_id", "line", "leaf")
