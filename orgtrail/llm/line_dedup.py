@@ -129,8 +129,11 @@ def templates(
     )
     same = F.size(F.filter(F.zip_with("tokens", "template", lambda a, b: a == b), lambda x: x))
     of = F.size(F.filter("template", lambda x: x.isNotNull()))
-    members = held.join(made, "leaf").filter(same >= of * F.lit(agree)).select("doc_id", "line_key", "leaf").distinct()
-    recurring = _documents_with(members, "leaf", min_docs).select("leaf")
+    # Templates and recurring leaves are read from rest: a join with an aggregate could not split a hot leaf.
+    made = at_rest(made, "templates")
+    agreeing = held.join(made, "leaf").filter(same >= of * F.lit(agree))
+    members = at_rest(agreeing.select("doc_id", "line_key", "leaf").distinct(), "members")
+    recurring = at_rest(_documents_with(members, "leaf", min_docs).select("leaf"), "recurring")
     return members.join(recurring, "leaf", "left_semi")
 
 
