@@ -2,10 +2,11 @@
 
 A line falls through the tree by its number of tokens and its leading tokens, in which
 anything with a digit counts as variable, and ends in a leaf. In a leaf that recurs in
-documents, a template is formed: positions whose commonest token holds less than half of the
-leaf's lines become variable too. Lines that agree with their leaf's template in most of its
-fixed positions belong to it; a template that recurs in ``min_docs`` documents is boilerplate
-and its lines are dropped from all documents.
+documents, lines are reduced to forms: tokens with a digit become variable if at least half of
+the tokens are not, else the line stays as it is and only goes where it recurs word for word.
+A leaf has several templates: its commonest forms, each with the forms that agree with it in
+most of all tokens. A template that recurs in ``min_docs`` documents is boilerplate and its
+lines are dropped from all documents; so is a form that recurs alone.
 
 Native: column expressions, aggregates and equality joins. A leaf is only ever counted, so a
 leaf that holds a third of all lines is combined in each task first.
@@ -27,12 +28,14 @@ VARIABLE = "<*>"
 DEPTH = 4
 #: Documents in which a template must recur.
 MIN_DOCS = 3
-#: Share of a leaf's lines that a token needs to stay fixed, and share of fixed positions that
-#: a line must agree with.
+#: Share of a line's tokens that must be fixed for it to be generalised, and share of all its
+#: tokens in which it must agree with its template.
 FIXED_SHARE = 0.5
 AGREE = 0.8
 #: Bits of the map of recurring leaves: 1 MB.
 MARKS = 1 << 23
+#: Forms of a bucket that others are compared with in one round.
+SEEDS = 16
 
 
 def _lines(text: Column) -> Column:
@@ -48,16 +51,17 @@ def _hash(text: Column) -> Column:
 
 
 def _leaf(line: Column, depth: int) -> Column:
-    """The leaf of a line that has tokens: their number and the leading ones, generalised."""
+    """The leaf of a line of ``n`` tokens: their number and the leading ones, generalised."""
     lead = F.regexp_extract(line, rf"^[\x20\x09-\x0D]*((?:{WORD}[\x20\x09-\x0D]+){{0,{depth - 1}}}{WORD})", 1)
     fixed = F.regexp_replace(F.regexp_replace(lead, BLANKS, " "), r"[^ ]*\d[^ ]*", VARIABLE)
-    return _hash(F.concat(F.regexp_count(line, F.lit(WORD)).cast("string"), F.lit(" "), fixed))
+    return _hash(F.concat(F.col("n").cast("string"), F.lit(" "), fixed))
 
 
 def parsed_lines(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """One row per line that has tokens: ``doc_id``, ``line`` and ``leaf``."""
+    """One row per line that has tokens: ``doc_id``, ``line``, ``leaf`` and ``n``, its tokens."""
     lines = docs.select("doc_id", F.explode(_lines(text_or_empty(F.col("text")))).alias("line"))
-    return lines.filter(F.col("line").rlike(WORD)).withColumn("leaf", _leaf(F.col("line"), depth))
+    counted = lines.filter(F.col("line").rlike(WORD)).withColumn("n", F.regexp_count("line", F.lit(WORD)))
+    return counted.withColumn("leaf", _leaf(F.col("line"), depth))
 
 
 def _bit(leaf: Column) -> Column:
@@ -82,7 +86,7 @@ def _likely(lines: DataFrame, often: DataFrame) -> DataFrame:
         .withColumn("_piece", F.shiftright("_bit", 15))
         .join(F.broadcast(marks), "_piece")
         .filter((byte / F.pow(F.lit(2), at % 8)).cast("int") % 2 == 1)
-        .select("doc_id", "line", "leaf")
+        .select("doc_id", "line", "leaf", "n")
     )
 
 
@@ -97,49 +101,120 @@ def _documents_with(rows: DataFrame, key: str, min_docs: int) -> DataFrame:
     )
 
 
+def _enough(docs: Column, min_docs: int) -> Column:
+    """Whether so many documents make a line or template boilerplate."""
+    return docs >= F.lit(min_docs)
+
+
+def _banded(forms: DataFrame, depth: int, agree: float) -> DataFrame:
+    """``bucket``, ``form``, ``docs``: forms are listed by leaf and by each band of their tokens.
+
+    Forms that agree in the share ``agree`` differ in ``d`` tokens at most, so of ``d + 1``
+    bands behind the leading tokens one is alike in both.
+    """
+    n, rest = F.size("tokens"), F.size("tokens") - F.lit(depth)
+    bands = n - F.ceil(n * F.lit(agree) - 1e-9).cast("int") + 1
+    edge = lambda b: F.floor(b * rest / bands).cast("int")
+    bucket = F.transform(
+        F.sequence(F.lit(0), bands - 1),
+        lambda b: F.xxhash64("leaf", b, F.slice("tokens", edge(b) + depth + 1, edge(b + 1) - edge(b))),
+    )
+    return forms.filter(rest > 0).select("form", "docs", "n", F.explode(bucket).alias("bucket"))
+
+
+def _undecided(rows: DataFrame, min_docs: int) -> DataFrame:
+    """The rows of buckets where several forms together may recur and one alone does not."""
+    open_ = (
+        rows.groupBy("bucket")
+        .agg(F.count(F.lit(1)).alias("_forms"), F.sum("docs").alias("_sum"), F.min("docs").alias("_least"), F.max("n").alias("n"))
+        .filter((F.col("_forms") > 1) & _enough(F.col("_sum"), min_docs) & ~_enough(F.col("_least"), min_docs))
+    )
+    return rows.join(open_.select("bucket"), "bucket", "left_semi")
+
+
+def _with_seeds(rows: DataFrame, seeds: int) -> DataFrame:
+    """``bucket``, ``form`` and ``seed``: all forms of a bucket with up to ``seeds`` of its commonest."""
+    chosen = (
+        rows.groupBy("bucket", F.pmod(F.xxhash64("form"), F.lit(seeds)))
+        .agg(F.max(F.struct("docs", "form"))["form"].alias("seed"))
+        .select("bucket", "seed")
+    )
+    return rows.select("bucket", "form").join(chosen, "bucket")
+
+
+def _agreeing(pairs: DataFrame, forms: DataFrame, agree: float) -> DataFrame:
+    """Pairs of ``form`` and ``seed`` that agree in the share ``agree`` of all their tokens."""
+    left = forms.select("form", F.col("tokens").alias("_left"))
+    right = forms.select(F.col("form").alias("seed"), F.col("tokens").alias("_right"))
+    same = F.size(F.filter(F.zip_with("_left", "_right", lambda a, b: a == b), lambda x: x))
+    return (
+        pairs.select("form", "seed")
+        .distinct()
+        .join(left, "form")
+        .join(right, "seed")
+        .filter((F.size("_left") == F.size("_right")) & (same >= F.size("_left") * F.lit(agree) - 1e-9))
+        .select("form", "seed")
+    )
+
+
+def _groups(forms: DataFrame, depth: int, min_docs: int, agree: float) -> DataFrame:
+    """``form`` and the ``seed`` of a template that it belongs to."""
+    open_ = at_rest(_undecided(_banded(forms, depth, agree), min_docs), "undecided")
+    return at_rest(_agreeing(_with_seeds(open_, SEEDS), forms, agree), "groups")
+
+
 def templates(
     docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, fixed_share: float = FIXED_SHARE, agree: float = AGREE
 ) -> DataFrame:
-    """``doc_id`` and ``line_key`` of the lines whose template recurs, with ``leaf``."""
+    """``doc_id`` and ``line_key`` of the lines whose template recurs, with ``form``."""
     lines = parsed_lines(docs, depth)
     often = at_rest(_documents_with(lines, "leaf", min_docs).select("leaf"), "leaves")
     tokens = F.filter(F.split("line", BLANKS, -1), lambda token: token != "")
+    general = F.transform("tokens", lambda t: F.when(t.rlike(r"\d"), VARIABLE).otherwise(t))
+    fixed = F.size(F.filter("general", lambda t: t != VARIABLE)) >= F.size("general") * F.lit(fixed_share)
     held = at_rest(
         _likely(lines, often)
         .join(often, "leaf", "left_semi")
-        .select("doc_id", _hash(F.col("line")).alias("line_key"), "leaf", tokens.alias("tokens")),
+        .select("doc_id", _hash(F.col("line")).alias("line_key"), "leaf", "n", tokens.alias("tokens"))
+        .withColumn("general", general)
+        .withColumn("fixed", fixed)
+        .withColumn("tokens", F.when(F.col("fixed"), F.col("general")).otherwise(F.col("tokens")))
+        .withColumn("form", _hash(F.concat(F.col("fixed").cast("string"), F.lit(" "), F.array_join("tokens", " "))))
+        .drop("general"),
         "likely-lines",
     )
-    counted = (
-        held.groupBy("leaf", "tokens")
-        .agg(F.count(F.lit(1)).alias("_lines"))
-        .select("leaf", "_lines", F.posexplode("tokens").alias("_at", "_token"))
-        .groupBy("leaf", "_at", "_token")
-        .agg(F.sum("_lines").alias("_lines"))
-    )
-    sums = counted.groupBy("leaf", "_at").agg(
-        F.sum("_lines").alias("_all"), F.max(F.struct("_lines", "_token")).alias("_top")
+    forms = at_rest(
+        held.select("form", "leaf", "n", "fixed", "tokens", "doc_id")
+        .distinct()
+        .groupBy("form", "leaf", "n", "fixed", "tokens")
+        .agg(F.count(F.lit(1)).alias("docs")),
+        "forms",
     )
-    fixed = (F.col("_top._lines") >= F.col("_all") * F.lit(fixed_share)) & ~F.col("_top._token").rlike(r"\d")
-    made = sums.groupBy("leaf").agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("_at", F.when(fixed, F.col("_top._token")).alias("_token")))),
-            lambda x: x["_token"],
-        ).alias("template")
+    groups = _groups(forms.filter("fixed"), depth, min_docs, agree)
+    known = forms.select("form", "n", "docs")
+    alone = known.filter(_enough(F.col("docs"), min_docs)).select("form")
+    # A template with a recurring form recurs; documents need to be counted only where no form does.
+    sized = at_rest(groups.join(known, "form"), "sized-groups")
+    surely = sized.filter(_enough(F.col("docs"), min_docs)).select("seed")
+    by_document = (
+        held.select("form", "doc_id")
+        .join(sized.filter(~_enough(F.col("docs"), min_docs)).select("form", "seed", "n"), "form")
+        .select("seed", "n", "doc_id")
+        .distinct()
+        .groupBy("seed", "n")
+        .agg(F.count(F.lit(1)).alias("docs"))
+        .filter(_enough(F.col("docs"), min_docs))
+        .select("seed")
     )
-    same = F.size(F.filter(F.zip_with("tokens", "template", lambda a, b: a == b), lambda x: x))
-    of = F.size(F.filter("template", lambda x: x.isNotNull()))
-    # Templates and recurring leaves are read from rest: a join with an aggregate could not split a hot leaf.
-    made = at_rest(made, "templates")
-    agreeing = held.join(made, "leaf").filter(same >= of * F.lit(agree))
-    members = at_rest(agreeing.select("doc_id", "line_key", "leaf").distinct(), "members")
-    recurring = at_rest(_documents_with(members, "leaf", min_docs).select("leaf"), "recurring")
-    return members.join(recurring, "leaf", "left_semi")
+    seeds = at_rest(surely.unionByName(by_document).distinct(), "recurring-seeds")
+    recurring = at_rest(groups.join(seeds, "seed", "left_semi").select("form").unionByName(alone).distinct(), "recurring")
+    # Recurring forms are read from rest: a join with an aggregate could not split a hot form.
+    return held.select("doc_id", "line_key", "form").join(recurring, "form", "left_semi")
 
 
 def drop_recurring_lines(docs: DataFrame, **parameters) -> DataFrame:
     """The documents with recurring lines taken out of ``text``, and ``n_lines``, ``n_dropped``."""
-    found = templates(docs, **parameters)
+    found = templates(docs, **parameters).select("doc_id", "line_key")
     marks = found.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set("line_key").alias("__dropped"))
     keyed = F.transform(
         _lines(F.col("text")), lambda line: F.struct(line.alias("line"), _hash(line).alias("key"))

@@ -46,3 +46,15 @@ def test_long_text_with_many_lines(spark):
     texts = ["\n".join(f"line {'abcdefgh'[i % 8]} of many {i % 50} words" for i in range(3000))] * 3
     found = line_dedup.line_report(docs(spark, texts)).collect()
     assert all(r.n_lines == 3000 and r.n_dropped == 3000 for r in found)
+
+
+def test_unlike_lines_with_the_same_first_words_stay(spark):
+    unlike = [
+        "En and the the in and the heer.",
+        "En and the the for thor erlyonan was.",
+        "En and the the of as ndst the.",
+    ]
+    numbers = [f"{i} {i + 7} {i * 3} {i * 5}" for i in range(3)]
+    near = [f"En and the the in {w} a long line with a name" for w in ("red", "blue", "green")]
+    report = line_dedup.line_report(docs(spark, unlike + numbers + near))
+    assert rows(report, "doc_id", "n_dropped") == [(i, int(i > 5)) for i in range(9)]
