@@ -34,7 +34,7 @@ FIXED_SHARE = 0.5
 AGREE = 0.8
 #: Bits of the map of recurring leaves: 1 MB.
 MARKS = 1 << 23
-#: Forms of a bucket that others are compared with in one round.
+#: Forms of a bucket that others are compared with in the first round.
 SEEDS = 16
 
 
@@ -158,9 +158,21 @@ def _agreeing(pairs: DataFrame, forms: DataFrame, agree: float) -> DataFrame:
 
 
 def _groups(forms: DataFrame, depth: int, min_docs: int, agree: float) -> DataFrame:
-    """``form`` and the ``seed`` of a template that it belongs to."""
+    """``form`` and the ``seed`` of a template that it belongs to.
+
+    What agrees with no seed of its bucket goes on to the next round, with four times the
+    seeds, until no bucket is left in which forms may recur together.
+    """
     open_ = at_rest(_undecided(_banded(forms, depth, agree), min_docs), "undecided")
-    return at_rest(_agreeing(_with_seeds(open_, SEEDS), forms, agree), "groups")
+    found, seeds = forms.select("form", F.col("form").alias("seed")).filter("false"), SEEDS
+    while not open_.isEmpty():
+        pairs = at_rest(_with_seeds(open_, seeds), "seeds")
+        links = at_rest(_agreeing(pairs, forms, agree), "groups")
+        found = found.unionByName(links)
+        settled = pairs.join(links, ["form", "seed"], "left_semi").select("bucket", "form").distinct()
+        open_ = at_rest(_undecided(open_.join(settled, ["bucket", "form"], "left_anti"), min_docs), "undecided")
+        seeds *= 4
+    return found
 
 
 def templates(

@@ -58,3 +58,13 @@ def test_unlike_lines_with_the_same_first_words_stay(spark):
     near = [f"En and the the in {w} a long line with a name" for w in ("red", "blue", "green")]
     report = line_dedup.line_report(docs(spark, unlike + numbers + near))
     assert rows(report, "doc_id", "n_dropped") == [(i, int(i > 5)) for i in range(9)]
+
+
+def test_every_recurring_line_of_a_leaf_goes_not_only_the_commonest(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "SEEDS", 1)
+    licence = ["this file is under the one licence and no other"] * 9
+    footer = ["this file is under a second thing of another kind"] * 4
+    third = [f"this file is under ten more words {w} they say" for w in ("uno", "dos", "tres")]
+    lone = ["this file is under what stands here but once alone"]
+    report = line_dedup.line_report(docs(spark, licence + footer + third + lone))
+    assert rows(report, "doc_id", "n_dropped") == sorted(((i, int(i < 16)) for i in range(17)), key=repr)
