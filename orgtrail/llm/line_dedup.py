@@ -5,8 +5,9 @@ anything with a digit counts as variable, and ends in a leaf. In a leaf that rec
 documents, lines are reduced to forms: tokens with a digit become variable if at least half of
 the tokens are not, else the line stays as it is and only goes where it recurs word for word.
 A leaf has several templates: its commonest forms, each with the forms that agree with it in
-most of all tokens. A template that recurs in ``min_docs`` documents is boilerplate and its
-lines are dropped from all documents; so is a form that recurs alone.
+most of all tokens. A template that recurs in ``min_docs`` documents, or in two if it has more
+than 50 tokens, is boilerplate and its lines are dropped from all documents; so is a form that
+recurs alone.
 
 Native: column expressions, aggregates and equality joins. A leaf is only ever counted, so a
 leaf that holds a third of all lines is combined in each task first.
@@ -26,8 +27,9 @@ BLANKS = r"[\x20\x09-\x0D]+"
 VARIABLE = "<*>"
 #: Leading tokens that the tree looks at.
 DEPTH = 4
-#: Documents in which a template must recur.
+#: Documents in which a template must recur; in ``LONG_DOCS`` if it has more than ``LONG`` tokens.
 MIN_DOCS = 3
+LONG, LONG_DOCS = 50, 2
 #: Share of a line's tokens that must be fixed for it to be generalised, and share of all its
 #: tokens in which it must agree with its template.
 FIXED_SHARE = 0.5
@@ -90,20 +92,9 @@ def _likely(lines: DataFrame, often: DataFrame) -> DataFrame:
     )
 
 
-def _documents_with(rows: DataFrame, key: str, min_docs: int) -> DataFrame:
-    """Keys that occur in ``min_docs`` documents or more; counted without gathering any key."""
-    return (
-        rows.select(key, "doc_id")
-        .distinct()
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("docs"))
-        .filter(F.col("docs") >= min_docs)
-    )
-
-
 def _enough(docs: Column, min_docs: int) -> Column:
-    """Whether so many documents make a line or template boilerplate."""
-    return docs >= F.lit(min_docs)
+    """Whether so many documents make a line or template of ``n`` tokens boilerplate."""
+    return docs >= F.when(F.col("n") > LONG, min(LONG_DOCS, min_docs)).otherwise(min_docs)
 
 
 def _banded(forms: DataFrame, depth: int, agree: float) -> DataFrame:
@@ -180,7 +171,8 @@ def templates(
 ) -> DataFrame:
     """``doc_id`` and ``line_key`` of the lines whose template recurs, with ``form``."""
     lines = parsed_lines(docs, depth)
-    often = at_rest(_documents_with(lines, "leaf", min_docs).select("leaf"), "leaves")
+    documents = lines.select("leaf", "n", "doc_id").distinct().groupBy("leaf", "n").agg(F.count(F.lit(1)).alias("docs"))
+    often = at_rest(documents.filter(_enough(F.col("docs"), min_docs)).select("leaf"), "leaves")
     tokens = F.filter(F.split("line", BLANKS, -1), lambda token: token != "")
     general = F.transform("tokens", lambda t: F.when(t.rlike(r"\d"), VARIABLE).otherwise(t))
     fixed = F.size(F.filter("general", lambda t: t != VARIABLE)) >= F.size("general") * F.lit(fixed_share)

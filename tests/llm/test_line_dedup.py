@@ -68,3 +68,12 @@ def test_every_recurring_line_of_a_leaf_goes_not_only_the_commonest(spark, monke
     lone = ["this file is under what stands here but once alone"]
     report = line_dedup.line_report(docs(spark, licence + footer + third + lone))
     assert rows(report, "doc_id", "n_dropped") == sorted(((i, int(i < 16)) for i in range(17)), key=repr)
+
+
+def test_long_lines_go_from_two_documents_on(spark):
+    passage = " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60))
+    near = ["x " * 8 + passage + f" end{w}" for w in ("a", "b")]
+    fifty = " ".join(["y"] + passage.split()[:49])
+    texts = ["own\n" + passage, "other\n" + passage, *near, fifty, fifty, passage.replace("w", "v")]
+    report = line_dedup.line_report(docs(spark, texts))
+    assert rows(report, "doc_id", "n_dropped") == [(0, 1), (1, 1), (2, 1), (3, 1), (4, 0), (5, 0), (6, 0)]
