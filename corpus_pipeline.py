@@ -4,7 +4,7 @@ Rejected documents leave first, then one document of each near-duplicate group s
 the benchmark leave, the sources are mixed to their weights, and the rest goes into shards.
 
 Edge cases: a null or empty text has the score of the model's bias and is no one's copy; it is
-in no mix, so the last stage never sees it. A row with a null doc_id is scored, keeps its place
+in no mix, so the last stage never sees it. A row with a null doc_id is scored, is the last choice
 among near duplicates and mixes like any other. Without labels nothing is rejected, without
 benchmark items nothing leaks, and an empty table gives no rows.
 """
@@ -22,7 +22,7 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates on five-word shingles, the smallest doc_id."""
+    """One row of each group of near duplicates on five-word shingles, the smallest doc_id."""
     return ngram_join.one_of_each(docs, percent=80, words=5)
 
 

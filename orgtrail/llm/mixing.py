@@ -14,7 +14,7 @@ their own; an empty table gives no rows; columns that clash with an output name
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orgtrail.llm.common import n_words
+from orgtrail.llm.common import at_rest, n_words
 
 #: (sqrt(5) - 1) / 2.
 GOLDEN = 0.6180339887498949
@@ -149,9 +149,10 @@ def in_stream(sized: DataFrame) -> DataFrame:
         F.col("_digits").alias("_of"),
         F.coalesce(F.sum("_words").over(sofar), F.lit(0)).alias("_start"),
     )
+    keys = [name for name in ("text_key",) if name in sized.columns]
     inside = (
         Window.partitionBy("source", "_digits")
-        .orderBy("_md5", "doc_id", "size")
+        .orderBy("_md5", "doc_id", "size", *keys)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     return (
@@ -169,13 +170,19 @@ def mix(docs: DataFrame) -> DataFrame:
     on. A document is cut into the pieces that lie in one block each; a piece counts as often
     as the schedule takes its block.
     """
-    sized = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"))
+    return _taken(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")))
+
+
+def _taken(sized: DataFrame) -> DataFrame:
+    """As ``mix``, from rows with ``size``; ``text_key``, if there, tells rows apart and stays."""
+    keys = ["doc_id", "source", "size", *(["text_key"] if "text_key" in sized.columns else [])]
+    whole = [*keys, "source_size", "target"]
     targets = source_targets(sized)
     visits = schedule(targets).groupBy("source", "block").agg(F.count(F.lit(1)).alias("_visits"))
     named = targets.withColumnRenamed("source", "_named")
     placed = in_stream(sized).join(named, F.col("source").eqNullSafe(F.col("_named"))).drop("_named")
     # Rows that agree in all columns count once and are multiplied back at the end.
-    placed = placed.groupBy("doc_id", "source", "size", "source_size", "target", "blocks", "_from").agg(
+    placed = placed.groupBy(*whole, "blocks", "_from").agg(
         F.count(F.lit(1)).alias("_copies")
     )
     # Exact in longs: the block of word w is floor(w * n / s).
@@ -193,33 +200,63 @@ def mix(docs: DataFrame) -> DataFrame:
     taken = (
         pieces.join(seen, F.col("source").eqNullSafe(F.col("_named")) & (F.col("block") == F.col("_nth")), "left")
         .withColumn("_taken", F.col("_words") * F.coalesce(F.col("_visits"), F.lit(0)))
-        .select("doc_id", "source", "size", "source_size", "target", "_copies", "_from", "_taken")
-    )
-    idle = placed.filter("size = 0").select(
-        "doc_id", "source", "size", "source_size", "target", "_copies", "_from", F.lit(0).cast("long").alias("_taken")
+        .select(*whole, "_copies", "_from", "_taken")
     )
+    idle = placed.filter("size = 0").select(*whole, "_copies", "_from", F.lit(0).cast("long").alias("_taken"))
     return (
         taken.unionByName(idle)
-        .groupBy("doc_id", "source", "size", "source_size", "target", "_copies", "_from")
+        .groupBy(*whole, "_copies", "_from")
         .agg(F.sum("_taken").cast("long").alias("taken"))
         .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
-        .select("doc_id", "source", "size", "source_size", "target", "taken")
+        .select("doc_id", "source", "size", *keys[3:], "source_size", "target", "taken")
     )
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The documents of the mix, each repeated as often as its words are taken on average.
+    """The documents of the mix, each row repeated as often as its words are taken on average.
 
-    Half a time counts as one; a document whose blocks are not taken, or that has no words,
-    is not in the mix. Rows that repeat a doc_id share the mean of what they are taken.
+    Half a time counts as one; a row whose blocks are not taken, or that has no words, is not
+    in the mix. Rows are told apart by id, source and text; of rows that agree in these, each
+    has its own place in the stream, and the rows in the order of all their columns are
+    repeated in the order of these places' times, the least first.
     """
-    taken = mix(docs).groupBy("doc_id").agg(
-        F.sum("taken").alias("_taken"), F.sum("size").alias("_size")
+    text_key = F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")))
+    sized = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), text_key.alias("text_key"))
+    times = F.round(F.col("taken") / F.col("size")).cast("int")
+    found = (
+        _taken(sized)
+        .filter("size > 0")
+        .groupBy(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("text_key").alias("__key"))
+        .agg(F.array_sort(F.collect_list(times)).alias("__times"))
+        .filter("array_max(__times) > 0")
+    )
+    found = at_rest(found, "times")
+    same = (
+        F.col("doc_id").eqNullSafe(F.col("__id"))
+        & F.col("source").eqNullSafe(F.col("__source"))
+        & (text_key == F.col("__key"))
+    )
+    columns = [F.col(f"`{name}`") for name in docs.columns]
+    alone = docs.join(found.filter("size(__times) = 1"), same).select(*columns, F.col("__times")[0].alias("__n"))
+    # Equal rows are counted, not gathered: a group has one row per distinct content.
+    several = (
+        docs.join(found.filter("size(__times) > 1"), same)
+        .groupBy("__id", "__source", "__key", "__times", F.struct(*columns).alias("__row"))
+        .agg(F.count(F.lit(1)).alias("__rows"))
+    )
+    upto = Window.partitionBy("__id", "__source", "__key").orderBy("__row").rowsBetween(Window.unboundedPreceding, 0)
+    own = several.withColumn("__end", F.sum("__rows").over(upto)).withColumn(
+        "__n",
+        F.aggregate(
+            F.slice("__times", (F.col("__end") - F.col("__rows") + 1).cast("int"), F.col("__rows").cast("int")),
+            F.lit(0),
+            lambda n, x: n + x,
+        ),
     )
-    times = F.round(F.col("_taken") / F.col("_size")).cast("int")
-    copies = taken.filter("_size > 0").select(F.col("doc_id").alias("__id"), times.alias("__times")).filter("__times > 0")
+    picked = own.select(*[F.col(f"__row.`{name}`").alias(name) for name in docs.columns], "__n")
     return (
-        docs.join(copies, F.col("doc_id").eqNullSafe(F.col("__id")))
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times"))))
-        .select(*[F.col(f"`{name}`") for name in docs.columns])
+        alone.unionByName(picked)
+        .filter("__n > 0")
+        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__n"))))
+        .select(*columns)
     )

@@ -35,7 +35,7 @@ with an output name are not read.
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orgtrail.llm.common import at_rest
@@ -129,8 +129,9 @@ def _member_rows(words: int):
                         part.column("doc_id"),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([set_hash(s) if len(s) else None for s in sets], pa.int64()),
+                        part.column("text_key"),
                     ],
-                    names=["doc_id", "n_shingles", "cls"],
+                    names=["doc_id", "n_shingles", "cls", "text_key"],
                 )
 
     return rows
@@ -364,10 +365,11 @@ def components(links: DataFrame) -> DataFrame:
     )
 
 
-def jaccard_components(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
-    """Per row ``doc_id``, ``n_shingles`` and ``component_id``, the least doc_id it reaches."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    members = at_rest(texts.mapInArrow(_member_rows(words), "doc_id long, n_shingles long, cls long"), "members")
+def _members_and_labels(docs: DataFrame, percent: int, words: int, text_key: Column) -> tuple[DataFrame, DataFrame]:
+    """Per row ``doc_id``, ``n_shingles``, ``cls`` and ``text_key``; and ``cls`` with its component's ``label``."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_key.alias("text_key"))
+    schema = "doc_id long, n_shingles long, cls long, text_key binary"
+    members = at_rest(texts.mapInArrow(_member_rows(words), schema), "members")
     keyed = texts.select("text").mapInArrow(_listing_rows(percent, words), "key long, cls long")
     order = Window.partitionBy("key").orderBy("cls")
     shared = (
@@ -390,10 +392,14 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, words: int = WOR
     labels = components(first)
     second = verified(bounded_pairs(listed, points, labels, percent, None), sets, percent)
     labels = components(first.unionByName(second))
+    return members, labels.withColumnRenamed("node", "cls")
+
+
+def jaccard_components(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
+    """Per row ``doc_id``, ``n_shingles`` and ``component_id``, the least doc_id it reaches."""
+    members, labels = _members_and_labels(docs, percent, words, F.lit(None).cast("binary"))
     of_class = members.filter("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("_id"))
-    named = of_class.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
-        "label", F.coalesce("label", "cls")
-    )
+    named = of_class.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     ids = named.groupBy("label").agg(F.min("_id").alias("component_id"))
     final = named.join(ids, "label").select("cls", "component_id")
     return members.join(final, "cls", "left").select(
@@ -404,10 +410,29 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, words: int = WOR
 
 
 def one_of_each(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
-    """The documents without those that reach one of a smaller id; equal rows stay once.
+    """The documents with exactly one row of each component; those without words all stay.
 
-    Of rows that share an id and a component the first by text stays; rows without an id stay.
+    The first row stays by id, null last, then by the hash of the text; of rows that share both
+    the least by its columns in their order. Other texts under the same id are not touched.
     """
-    found = jaccard_components(docs, percent, words).filter("doc_id is not null and doc_id > component_id")
-    gone = found.select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("__id"), "left_anti")
+    text_key = F.unhex(F.md5(F.col("text").cast("string").cast("binary")))
+    members, labels = _members_and_labels(docs, percent, words, text_key)
+    members = members.filter("cls is not null")
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    of_class = members.groupBy("cls").agg(F.min(row).alias("_first"))
+    named = of_class.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+    firsts = named.groupBy("label").agg(F.min("_first").alias("first"))
+    # Read from rest, so that the join can split a hot class.
+    first_of = at_rest(named.join(firsts, "label").select("cls", "first"), "firsts")
+    marked = members.join(first_of, "cls").select("doc_id", "text_key", (row == F.col("first")).alias("first"))
+    rows = marked.groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
+    # Rows of one id and text are of one class: all of them are the first, or none is.
+    counted = rows.agg(F.first("first").alias("__first"), F.count(F.lit(1)).alias("__rows")).filter("not __first or __rows > 1")
+    counted = at_rest(counted, "not-alone")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (text_key == F.col("__key"))
+    # A null text has no words and stays, but a null key would not compare.
+    alone = docs.join(counted.select("__id", "__key"), same, "left_anti")
+    several = docs.join(counted.filter("__first").select("__id", "__key"), same)
+    columns = [F.col(f"`{name}`") for name in docs.columns]
+    one = several.groupBy("__id", "__key").agg(F.min(F.struct(*columns)).alias("__row"))
+    return alone.unionByName(one.select(*[F.col(f"__row.`{name}`") for name in docs.columns]))

@@ -83,3 +83,24 @@ def test_stages_bear_nulls_repeats_and_no_rows(spark):
     for name, stage in P.STAGES[:-1]:
         more = given.selectExpr("*", "'x' as score", "1 as cls", "2 as size", "3 as label", "4 as shard")
         assert stage(spark, more, SF).columns == more.columns, name
+
+
+def test_one_row_of_each_group_for_repeats_reused_ids_and_nulls(spark):
+    passage, lone = " ".join(f"w{i}" for i in range(40)), " ".join(f"v{i}" for i in range(40))
+    given = [(1, passage), (1, passage), (2, passage), (2, lone), (None, passage), (None, "p q r s t u"), (None, "p q r s t u"), (None, None)]
+    frame = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in given], "doc_id long, text string, lang string, source string, n_chars long")
+    want = [(1, passage), (2, lone), (None, "p q r s t u"), (None, None)]
+    assert rows(P.distinct_texts(spark, frame, SF), "doc_id", "text") == sorted(want, key=repr)
+
+
+def test_rows_without_an_id_are_mixed_one_by_one(spark):
+    texts = [f"{w} " * 50 for w in "abcdefghij"]
+    given = [(None, t, "en", "small", 1) for t in texts] + [(None, "z " * 50, "en", "big", i) for i in range(60)]
+    frame = spark.createDataFrame(given, "doc_id long, text string, lang string, source string, n_chars long")
+    taken = P.mixing.mix(frame).collect()
+    want = sum(int(r.taken / r["size"] + 0.5) for r in taken)
+    out = P.mixed(spark, frame, SF).collect()
+    assert len(out) == want
+    assert len({r.text for r in out if r.source == "small"}) == 10
+    big = [r.n_chars for r in out if r.source == "big"]
+    assert 0 < len(set(big)) < 60 and sum(r.taken for r in taken if r.source == "big") < 50 * 60
