@@ -4,7 +4,7 @@ Every source is a stream of its documents in a shuffled order, cut into blocks o
 words. Slot ``j`` of the schedule takes the point ``frac((j + 1) * golden ratio)``, and the
 source in whose part of [0, 1) the point falls. The ``r``-th slot of a source takes its block
 ``r`` modulo its number of blocks, so a source is read evenly and comes round again only after
-all of it was read.
+all of it was read. The last slot takes a part of its block, so that the target is met to a word.
 
 Edge cases: a null text has no words; null is a source of its own, last in order; documents
 without words belong to no block and are taken 0 times; rows that repeat a doc_id are rows of
@@ -18,8 +18,8 @@ from orgtrail.llm.common import at_rest, n_words
 
 #: (sqrt(5) - 1) / 2.
 GOLDEN = 0.6180339887498949
-#: Slots that one pass over all words makes, at any size of the input; a source of share p
-#: meets its target to about 1 / (p * SLOTS).
+#: Slots that one pass over all words makes, at any size of the input. Targets are met to a word
+#: whatever the length of a block: each source's slots are settled, see ``schedule``.
 SLOTS = 1 << 18
 #: A source, and so a document, is taken so many times at most.
 REPEATS = 3
@@ -72,8 +72,11 @@ def source_targets(sized: DataFrame) -> DataFrame:
 def schedule(targets: DataFrame) -> DataFrame:
     """The slots in order: ``slot``, ``source``, ``rank`` in the source and the ``block`` it takes.
 
-    A source gets ``target * blocks / size`` slots. Points find their source by an equality
-    join on the cell of [0, 1) they lie in, sources being listed in each cell they touch.
+    A source's part of [0, 1) is in proportion to ``target * blocks / size``. Points find their
+    source by an equality join on the cell of [0, 1) they lie in, sources being listed in each
+    cell they touch. Points come near these numbers only, so they are settled: slots beyond
+    those that the target needs are left out, missing ones follow at the end, and of the last
+    one only ``words`` are taken (null: the whole block).
     """
     wanted = targets.filter("source_size > 0").withColumn(
         "_wanted", F.col("target") * F.col("blocks") / F.col("source_size")
@@ -127,11 +130,43 @@ def schedule(targets: DataFrame) -> DataFrame:
         F.col("_chunk").alias("_of"),
         F.coalesce(F.sum("_rows").over(sofar), F.lit(0)).alias("_start"),
     )
+    ranked = inside.join(starts, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_chunk") == F.col("_of"))).select(
+        "slot", "source", (F.col("_start") + F.col("_row") - 1).cast("long").alias("rank")
+    )
+    # All words to take, the slots that hold them, and the words of the last one; exact in longs.
+    due = (
+        wanted.withColumn("_slots", F.round(total).cast("long"))
+        .withColumn("_due", F.round("target").cast("long"))
+        .filter("_due > 0")
+        .withColumn("_last_word", F.expr("(_due - 1) % source_size"))
+        .withColumn("_last_block", F.expr("_last_word * blocks div source_size"))
+        .withColumn("_need", F.expr("(_due - 1) div source_size * blocks + _last_block + 1"))
+        .withColumn("_words", F.expr("_last_word + 1 - (_last_block * source_size + blocks - 1) div blocks"))
+        .select(F.col("source").alias("_source"), "blocks", "_slots", "_need", "_words")
+    )
+    had = counts.groupBy(F.col("source").alias("_had")).agg(F.sum("_rows").alias("_held"))
+    short = (
+        due.join(had, F.col("_source").eqNullSafe(F.col("_had")), "left")
+        .withColumn("_held", F.coalesce("_held", F.lit(0)).cast("long"))
+        .filter("_held < _need")
+    )
+    earlier = Window.orderBy(F.col("_source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    late = (
+        short.withColumn("_late", F.coalesce(F.sum(F.col("_need") - F.col("_held")).over(earlier), F.lit(0)))
+        .withColumn("rank", F.explode(F.sequence("_held", F.col("_need") - 1)))
+        .select((F.col("_slots") + F.col("_late") + F.col("rank") - F.col("_held")).alias("slot"), F.col("_source").alias("source"), "rank")
+    )
     return (
-        inside.join(starts, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_chunk") == F.col("_of")))
-        .withColumn("rank", (F.col("_start") + F.col("_row") - 1).cast("long"))
-        .filter(F.col("rank") < F.col("blocks") * REPEATS)
-        .select("slot", "source", "rank", F.pmod("rank", "blocks").alias("block"))
+        ranked.unionByName(late)
+        .join(due, F.col("source").eqNullSafe(F.col("_source")))
+        .filter("rank < _need")
+        .select(
+            "slot",
+            "source",
+            "rank",
+            F.pmod("rank", "blocks").alias("block"),
+            F.when(F.col("rank") == F.col("_need") - 1, F.col("_words")).alias("words"),
+        )
     )
 
 
@@ -168,7 +203,7 @@ def mix(docs: DataFrame) -> DataFrame:
 
     Block ``b`` of a source of ``s`` words in ``n`` blocks holds its words from ``b * s / n``
     on. A document is cut into the pieces that lie in one block each; a piece counts as often
-    as the schedule takes its block.
+    as the schedule takes its block, and what of it lies in the part that a last slot takes once more.
     """
     return _taken(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")))
 
@@ -178,7 +213,9 @@ def _taken(sized: DataFrame) -> DataFrame:
     keys = ["doc_id", "source", "size", *(["text_key"] if "text_key" in sized.columns else [])]
     whole = [*keys, "source_size", "target"]
     targets = source_targets(sized)
-    visits = schedule(targets).groupBy("source", "block").agg(F.count(F.lit(1)).alias("_visits"))
+    visits = schedule(targets).groupBy("source", "block").agg(
+        F.count(F.when(F.col("words").isNull(), 1)).alias("_visits"), F.coalesce(F.max("words"), F.lit(0)).alias("_part")
+    )
     named = targets.withColumnRenamed("source", "_named")
     placed = in_stream(sized).join(named, F.col("source").eqNullSafe(F.col("_named"))).drop("_named")
     # Rows that agree in all columns count once and are multiplied back at the end.
@@ -196,10 +233,17 @@ def _taken(sized: DataFrame) -> DataFrame:
             "_words", F.least(F.col("_high"), F.col("_from") + F.col("size")) - F.greatest(F.col("_low"), F.col("_from"))
         )
     )
-    seen = visits.select(F.col("source").alias("_named"), F.col("block").alias("_nth"), "_visits")
+    seen = visits.select(F.col("source").alias("_named"), F.col("block").alias("_nth"), "_visits", "_part")
     taken = (
         pieces.join(seen, F.col("source").eqNullSafe(F.col("_named")) & (F.col("block") == F.col("_nth")), "left")
-        .withColumn("_taken", F.col("_words") * F.coalesce(F.col("_visits"), F.lit(0)))
+        .withColumn(
+            "_partly",
+            F.least(F.col("_low") + F.col("_part"), F.col("_from") + F.col("size")) - F.greatest("_low", "_from"),
+        )
+        .withColumn(
+            "_taken",
+            F.coalesce(F.col("_words") * F.col("_visits") + F.greatest(F.col("_partly"), F.lit(0)), F.lit(0)),
+        )
         .select(*whole, "_copies", "_from", "_taken")
     )
     idle = placed.filter("size = 0").select(*whole, "_copies", "_from", F.lit(0).cast("long").alias("_taken"))

@@ -75,3 +75,18 @@ def test_repeated_rows_and_no_rows(spark):
     assert len(found) == 3 and all(r.taken <= 3 * r["size"] for r in found)
     assert mixing.mix(frame.filter("false")).count() == 0
     assert {r.taken for r in mixing.mix(docs(spark, ["", None])).collect()} == {0}
+
+
+def test_small_sources_meet_their_target_in_long_blocks(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SLOTS", 16)
+    texts = ["w " * 997] * 9 + ["x " * 41, "y " * 7, "z " * 300] * 2
+    sources = ["hot"] * 9 + ["a", None, "m"] * 2
+    found = mixing.mix(docs(spark, texts, sources)).collect()
+    for s in set(sources):
+        own = [r for r in found if r.source == s]
+        assert sum(r.taken for r in own) == pytest.approx(own[0].target, abs=1), s
+        assert all(r.taken <= 3 * r["size"] for r in own)
+    plan = mixing.schedule(mixing.source_targets(docs(spark, texts, sources).selectExpr("source", "n_chars as size"))).collect()
+    assert len({r.slot for r in plan}) == len(plan)
+    for s in set(sources):
+        assert sorted(r["rank"] for r in plan if r.source == s) == list(range(sum(r.source == s for r in plan)))
