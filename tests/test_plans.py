@@ -3,8 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
-from checks.catalog import Registry
+from checks.catalog import QUERIES, Registry
 from orgtrail.functions.countries import any_country
 from orgtrail.functions.mandates import has_category
 from orgtrail.operators import grouping as G
@@ -67,7 +66,7 @@ def test_reports_read_only_the_mandate_fields_they_show(r, capsys):
 
 
 def test_no_python_and_no_cross_join_in_any_query(spark, sf_dir, capsys):
-    for name, build in entry.queries().items():
+    for name, build in QUERIES.items():
         shown = plan(build(spark, sf_dir), capsys)
         for word in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
             assert word not in shown, name

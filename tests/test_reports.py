@@ -86,7 +86,7 @@ def test_paged_companies_give_the_same_mandates(spark, world):
     assert paged.count() > orgs.count()
     for match in ("org", "mandate"):
         wanted = people.country_mandates(persons, orgs, "IR", [ADMINISTER], match)
-        found = people.country_mandates(persons, paged, "IR", [ADMINISTER], match, paged=True)
+        found = people.country_mandates(persons, paged, "IR", [ADMINISTER], match)
         assert collected(found, "*") == collected(wanted, "*")
 
 
