@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from orgtrail.llm import (
+    codebooks,
     decontamination,
     fingerprints,
     language,
@@ -33,6 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mixing": lambda spark, d: mixing.mix(read_table(spark, d, "documents")),
     "op9_line_dedup": lambda spark, d: line_dedup.line_report(read_table(spark, d, "documents")),
     "op10_sharding": lambda spark, d: sharding.shard_report(read_table(spark, d, "documents")),
+    "op12_vector_codes": lambda spark, d: codebooks.vector_code_report(read_table(spark, d, "embeddings")),
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op12_vector_codes": codebooks.ORACLE}
