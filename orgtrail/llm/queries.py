@@ -9,6 +9,7 @@ from orgtrail.llm import (
     decontamination,
     fingerprints,
     language,
+    lexical,
     line_dedup,
     lm_scoring,
     mixing,
@@ -35,6 +36,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": lambda spark, d: line_dedup.line_report(read_table(spark, d, "documents")),
     "op10_sharding": lambda spark, d: sharding.shard_report(read_table(spark, d, "documents")),
     "op12_vector_codes": lambda spark, d: codebooks.vector_code_report(read_table(spark, d, "embeddings")),
+    "op13_ranked_search": lambda spark, d: lexical.ranked_search(
+        read_table(spark, d, "documents"), read_table(spark, d, "benchmark")
+    ),
 }
 
-ORACLES: dict[str, str] = {"op12_vector_codes": codebooks.ORACLE}
+ORACLES: dict[str, str] = {
+    "op12_vector_codes": codebooks.ORACLE,
+    "op13_ranked_search": lexical.ORACLE,
+}
