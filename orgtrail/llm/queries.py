@@ -14,6 +14,7 @@ from orgtrail.llm import (
     lm_scoring,
     mixing,
     ngram_join,
+    pii,
     quality,
     sharding,
     token_counts,
@@ -35,6 +36,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mixing": lambda spark, d: mixing.mix(read_table(spark, d, "documents")),
     "op9_line_dedup": lambda spark, d: line_dedup.line_report(read_table(spark, d, "documents")),
     "op10_sharding": lambda spark, d: sharding.shard_report(read_table(spark, d, "documents")),
+    "op11_pii": lambda spark, d: pii.pii_report(read_table(spark, d, "documents")),
     "op12_vector_codes": lambda spark, d: codebooks.vector_code_report(read_table(spark, d, "embeddings")),
     "op13_ranked_search": lambda spark, d: lexical.ranked_search(
         read_table(spark, d, "documents"), read_table(spark, d, "benchmark")
