@@ -99,7 +99,7 @@ def join_inner_person_mandate(r: Registry):
 
 @query("join_broadcast_vat_list", "select vat, name_nl, name_fr from org join keys using (vat)")
 def join_broadcast_vat_list(r: Registry):
-    listed = J.restrict(r.orgs(), J.small_side(r.keys()), keep="join")
+    listed = J.restrict(r.orgs(), r.keys(), keep="join")
     return listed.select("vat", "name_nl", "name_fr")
 
 

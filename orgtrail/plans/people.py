@@ -11,8 +11,9 @@ from orgtrail.functions.countries import any_country
 from orgtrail.functions.mandates import ADMIN_ROLES, category_in, has_category, role_in
 from orgtrail.functions.text import or_empty
 from orgtrail.operators.grouping import distinct
-from orgtrail.operators.joins import fits_broadcast, join_mandates
+from orgtrail.operators.joins import join_mandates
 from orgtrail.operators.nested import flatten_mandate, with_address, with_mandate_fields
+from orgtrail.operators.sides import cut_to, maybe_listed, rest
 
 
 @dataclass(frozen=True)
@@ -60,14 +61,14 @@ def country_persons(persons: DataFrame, cc: str, rules: CountryRules = LATEST) -
 
 def country_companies(orgs: DataFrame, cc: str, rules: CountryRules = LAST) -> DataFrame:
     """Companies with any address in ``cc``."""
-    return rules.keep(_companies(orgs.filter(rules.matches(cc)), rules))
+    return rules.keep(shown_companies(orgs.filter(rules.matches(cc)), rules).select(*COMPANY_COLUMNS))
 
 
-COMPANY_FIELDS = ["vat", "name_nl", "name_fr", "address_hists"]
-
-
-def _companies(orgs: DataFrame, rules: CountryRules) -> DataFrame:
-    return rules.with_text(orgs.select(*COMPANY_FIELDS), "last_address_for_company")
+def shown_companies(orgs: DataFrame, rules: CountryRules) -> DataFrame:
+    """Companies with their shown address in place of the history; as they are if it is there already."""
+    if COMPANY_COLUMNS[-1] in orgs.columns:
+        return orgs
+    return rules.with_text(orgs, COMPANY_COLUMNS[-1])
 
 
 def _beside_mandates(
@@ -75,18 +76,17 @@ def _beside_mandates(
 ) -> DataFrame:
     """``people`` beside the ``fields`` of their mandates and the company that gave them.
 
-    Few people are broadcast: nothing is shuffled, and only companies that are hit get their
-    address written out. Many people meet narrow mandates by shuffle; the company's columns
-    are added to the hits. A company may take several rows of ``orgs``.
+    One scan: a mandate carries its company's columns. Few people are broadcast, and only
+    companies that are hit get their address written out. Of many people a bitmap cuts the
+    mandates first, so that hits alone are shuffled. A company may take several rows of ``orgs``.
     """
-    orgs = with_mandate_fields(orgs, "pid", *fields)
-    mandates = [*COMPANY_FIELDS, "person_mandates"] if fits_broadcast(people) else ["vat", "person_mandates"]
-    rows = flatten_mandate(orgs.select(*mandates))
+    side = rest(people, "people")
+    shown = [name for name in (*COMPANY_COLUMNS, "address_hists") if name in orgs.columns]
+    rows = flatten_mandate(with_mandate_fields(orgs, "pid", *fields).select(*shown, "person_mandates"))
     rows = rows if keep is None else rows.filter(keep)
-    if len(mandates) > 2:
-        return rules.with_text(join_mandates(F.broadcast(people), rows), "last_address_for_company")
-    heads = _companies(orgs.dropDuplicates(["vat"]), rules)
-    return join_mandates(people, rows).join(heads, "vat")
+    if side.fits():
+        return shown_companies(join_mandates(side, rows), rules)
+    return join_mandates(side, shown_companies(maybe_listed(rows, side, "pid"), rules))
 
 
 def country_admins(
@@ -98,9 +98,15 @@ def country_admins(
     rules: CountryRules = LATEST,
 ) -> DataFrame:
     """Persons of ``cc`` who administer a company with an address in ``home``."""
-    at_home = orgs.filter(any_country(F.col("address_hists"), home))
+    return admins_at(persons, orgs.filter(any_country(F.col("address_hists"), home)), cc, roles, rules)
+
+
+def admins_at(
+    persons: DataFrame, companies: DataFrame, cc: str, roles=ADMIN_ROLES, rules: CountryRules = LATEST
+) -> DataFrame:
+    """Persons of ``cc`` who administer one of the companies, given with history or shown address."""
     people = country_persons(persons, cc, rules)
-    rows = _beside_mandates(people, at_home, rules, ["role"], role_in(F.col("role"), roles))
+    rows = _beside_mandates(people, companies, rules, ["role"], role_in(F.col("role"), roles))
     return rows.select(*PERSON_COLUMNS, *COMPANY_COLUMNS)
 
 
@@ -117,7 +123,8 @@ def country_mandates(
     ``match="org"`` shows every mandate of a company that has some mandate of a listed
     category, dated and without repeats. ``match="mandate"`` shows the mandates that are of
     a listed category themselves. A company may take several rows of ``orgs``, with its
-    mandates spread over them.
+    mandates spread over them, so the companies with a listed category are found apart, among
+    those that were hit.
     """
     if match not in ("org", "mandate"):
         raise ValueError(f"unknown match {match!r}")
@@ -128,10 +135,11 @@ def country_mandates(
         rows = _beside_mandates(people, orgs, rules, ["category"], listed)
         return rows.select(*PERSON_COLUMNS, *COMPANY_COLUMNS)
     dated = ["category", "start_date", "end_date"]
-    having = orgs.filter(has_category(F.col("person_mandates"), categories))
-    rows = _beside_mandates(people, orgs, rules, dated).join(having.select("vat"), "vat", "left_semi")
+    hits = rest(_beside_mandates(people, orgs, rules, dated), "hits")
+    having = orgs.filter(has_category(F.col("person_mandates"), categories)).select("vat")
+    having = rest(cut_to(having, hits, "vat"), "having")
     return distinct(
-        rows.select(
+        hits.frame.join(having.hinted(), "vat", "left_semi").select(
             *PERSON_COLUMNS,
             *COMPANY_COLUMNS,
             F.col("category").alias("mandate_category"),

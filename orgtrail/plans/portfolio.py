@@ -16,6 +16,7 @@ from orgtrail.functions.records import (
 from orgtrail.operators.grouping import attach_sorted, collect_latest
 from orgtrail.operators.joins import enrich, restrict
 from orgtrail.operators.nested import publication_keys, with_fields
+from orgtrail.operators.sides import Side, as_side
 
 PUBLICATIONS_KEPT = 50
 ACCOUNTS_KEPT = 5
@@ -23,7 +24,7 @@ PUBLICATION_ORDER = ["publication_date", "publication_number"]
 ESTABLISHMENT_ORDER = ["start_date", "est_id"]
 
 
-def latest_publications(pubs: DataFrame, vats: DataFrame, k: int = PUBLICATIONS_KEPT) -> DataFrame:
+def latest_publications(pubs: DataFrame, vats: DataFrame | Side, k: int = PUBLICATIONS_KEPT) -> DataFrame:
     """Per listed company its latest publications; the list cuts them before the ranking."""
     named = restrict(publication_keys(pubs), vats)
     return collect_latest(
@@ -76,14 +77,16 @@ def portfolio(
     accounts: DataFrame,
     establishments: DataFrame,
     pubs: DataFrame,
-    vats: DataFrame,
+    vats: DataFrame | Side,
     created_at: datetime,
     page_rows: int | None = None,
 ) -> DataFrame:
     """One document per listed company, or with ``page_rows`` one per page of establishments.
 
-    ``page`` is 0 in the first document of a company and counts on in those that follow.
+    ``page`` is 0 in the first document of a company and counts on in those that follow. The
+    list is put at rest once and cuts every table where it is read, before anything is shuffled.
     """
+    vats = as_side(vats, "keys")
     orgs = with_fields(orgs, "activities", {"code": F.col("activities")["code"]})
     enriched = attach_sorted(
         enrich(

@@ -15,17 +15,18 @@ from orgtrail.functions.addresses import (
 from orgtrail.functions.mandates import rep_status, rep_type, rep_type_by_pid
 from orgtrail.functions.names import first_name_of, first_nonempty, rep_last_name
 from orgtrail.functions.text import or_empty
-from orgtrail.operators.joins import add_person_names, cut_to_keys, restrict
+from orgtrail.operators.joins import add_person_names, restrict
 from orgtrail.operators.nested import (
     flatten_mandate,
     persons_slim,
     with_address,
     with_mandate_fields,
 )
+from orgtrail.operators.sides import Side, cut_to, rest
 
 
 def representatives(
-    orgs: DataFrame, persons: DataFrame, vats: DataFrame, variant: str = "file"
+    orgs: DataFrame, persons: DataFrame, vats: DataFrame | Side, variant: str = "file"
 ) -> DataFrame:
     """Each listed company beside its representatives; one without any keeps a row.
 
@@ -34,18 +35,17 @@ def representatives(
     NACE activity, the type by person key, the last closed address, category and dates. A
     key listed twice counts once.
 
-    Names are joined to narrow mandates, from persons cut to those that the listed companies
-    name; the company's own columns are added last.
+    The listed companies are read once: their mandates carry what is shown of the company, and
+    are written at rest. Names come from persons cut to those that they name. A company
+    may take several rows of ``orgs`` with its mandates spread over them.
     """
     if variant not in ("file", "list"):
         raise ValueError(f"unknown variant {variant!r}")
     companies, report, fields = _VARIANTS[variant]
-    listed = restrict(with_mandate_fields(orgs, *fields), vats)
-    mandates = flatten_mandate(listed.select("vat", "person_mandates"), outer=True)
-    named_in = mandates.select("pid").filter(F.col("pid").isNotNull())
-    named = add_person_names(mandates, cut_to_keys(persons_slim(persons), named_in, "pid"))
-    heads = companies(listed.dropDuplicates(["vat"])).select(*_COMPANY_COLUMNS)
-    return report(heads.join(named, "vat"))
+    listed = companies(restrict(with_mandate_fields(orgs, *fields), vats))
+    mandates = rest(flatten_mandate(listed.select(*_COMPANY_COLUMNS, "person_mandates"), outer=True), "mandates")
+    named = rest(cut_to(persons_slim(persons), mandates.select("pid"), "pid"), "named")
+    return report(add_person_names(mandates.frame, named))
 
 
 _COMPANY_COLUMNS = [

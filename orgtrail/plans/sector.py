@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 from orgtrail.functions.activities import has_activity_prefix
 from orgtrail.functions.names import legal_status
 from orgtrail.functions.records import year_between
-from orgtrail.operators.joins import add_financials, cut_to_keys
+from orgtrail.operators.joins import add_financials
 from orgtrail.operators.nested import flatten_profit_loss
 from orgtrail.operators.ordering import sort_report
+from orgtrail.operators.sides import cut_to, rest
 
 
 def sector_companies(orgs: DataFrame, prefix: str, classification: str | None = None) -> DataFrame:
@@ -32,13 +33,13 @@ def sector_financials(
 ) -> DataFrame:
     """Sector companies beside their accounts of a year range, ordered by company and year.
 
-    For a small sector the accounts of other companies are dropped before the join.
+    The companies are written at rest, once; accounts of others are dropped where they are read.
     """
-    companies = sector_companies(orgs, prefix, classification)
-    in_range = flatten_profit_loss(cut_to_keys(accounts, companies, "vat")).filter(
+    companies = rest(sector_companies(orgs, prefix, classification), "sector")
+    in_range = flatten_profit_loss(cut_to(accounts, companies, "vat")).filter(
         year_between(F.col("period_end_date"), year_from, year_to)
     )
-    report = add_financials(companies, in_range).select(
+    report = add_financials(companies.frame, in_range).select(
         "vat",
         "name_nl",
         "name_fr",

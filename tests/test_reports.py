@@ -10,8 +10,8 @@ from orgtrail.functions import names as N
 from orgtrail.functions.activities import clean_codes, has_activity_prefix, principal_activity
 from orgtrail.functions.mandates import ADMINISTER, SHAREHOLDER, rep_type, role_in
 from orgtrail.functions.text import nonblank
-from orgtrail.operators import joins as J
 from orgtrail.operators.nested import flatten_mandate, unnest
+from orgtrail.operators.sides import Side, rest
 from orgtrail.plans import owners, people
 from orgtrail.plans.representatives import representatives
 from orgtrail.plans.sector import sector_financials
@@ -93,17 +93,17 @@ def test_paged_companies_give_the_same_mandates(spark, world):
 def test_many_people_join_by_shuffle_to_the_same_rows(world, monkeypatch):
     wanted = collected(people.country_admins(*world, "IR", "BE"), "*")
     links = collected(owners.participation_links(world[1], "IR", "BE"), "*")
-    monkeypatch.setattr(J.fits_broadcast, "__defaults__", (0, 0))
+    monkeypatch.setattr(Side.fits, "__defaults__", (0, 0))
     assert collected(people.country_admins(*world, "IR", "BE"), "*") == wanted
     assert collected(owners.participation_links(world[1], "IR", "BE"), "*") == links
 
 
 def test_broadcast_bounds_rows_and_bytes(spark):
     rows = spark.createDataFrame([("abc", [1, 2], 1), (None, None, 2)], "t string, a array<int>, n int")
-    assert J.fits_broadcast(rows, 2, 8)
-    assert not J.fits_broadcast(rows, 1, 8)
-    assert not J.fits_broadcast(rows, 2, 7)
-    assert J.fits_broadcast(rows.limit(0), 0, 0)
+    side = rest(rows, "rows")
+    assert (side.rows, side.size) == (2, 3 + 2 * 8 + 2 * 8)
+    assert side.fits(2, 35) and not side.fits(1, 35) and not side.fits(2, 34)
+    assert rest(rows.limit(0), "none").fits(0, 0)
 
 
 def test_ownership_names_and_directions(world):
@@ -232,7 +232,7 @@ def test_sector_keeps_companies_without_accounts_in_range(spark, monkeypatch):
     wanted = [("A", "s", 2019), ("A", "s", 2021), ("B", None, None)]
     report = sector_financials(orgs, accounts, "56", 2019, 2023)
     assert [tuple(row) for row in report.select("vat", "legal_status", "year").collect()] == wanted
-    monkeypatch.setattr(J.fits_broadcast, "__defaults__", (0, 0))
+    monkeypatch.setattr(Side.fits, "__defaults__", (0, 0))
     report = sector_financials(orgs, accounts, "56", 2019, 2023)
     assert [tuple(row) for row in report.select("vat", "legal_status", "year").collect()] == wanted
 

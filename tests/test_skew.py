@@ -5,8 +5,8 @@ import pytest
 import __spark_entry__ as entry
 from checks.catalog import Registry
 from checks.compare import differ, oracle
-from orgtrail.operators import joins as J
 from orgtrail.operators.nested import flatten_mandate
+from orgtrail.operators.sides import Side
 from orgtrail.sources.derived import with_mandates
 
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
@@ -22,7 +22,7 @@ SHUFFLE_ALL = {
 
 @pytest.fixture
 def shuffled(spark, monkeypatch):
-    monkeypatch.setattr(J.fits_broadcast, "__defaults__", (0, 0))
+    monkeypatch.setattr(Side.fits, "__defaults__", (0, 0))
     for name, value in SHUFFLE_ALL.items():
         spark.conf.set(name, value)
     yield
