@@ -3,6 +3,8 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orgtrail.operators.sides import rest
+
 
 def distinct(df: DataFrame) -> DataFrame:
     return df.distinct()
@@ -41,6 +43,26 @@ def collect_latest(
     )
 
 
+def numbered(df: DataFrame, key: str, order: list[str], name: str) -> DataFrame:
+    """``df`` with each row's number in its key from 0, missing values first, whatever the key's size.
+
+    Rows are cut into ranges of (key, order) by quantiles, so that a hot key takes as many ranges as
+    its share of the rows asks for. The ranges are written at rest, for their bounds must not change
+    between the two reads: rows are numbered inside their range, and the counts of a key's earlier
+    ranges are added. Only the first key of a range can have earlier ones, so there are no
+    more such counts than ranges, and they are broadcast.
+    """
+    ascending = [F.asc_nulls_first(column) for column in order]
+    ranged = df.repartitionByRange(F.asc_nulls_first(key), *ascending).withColumn("_range", F.spark_partition_id())
+    ranged = rest(ranged, "ranges").frame
+    counts = ranged.groupBy(key, "_range").agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(key, "_range", F.sum("_rows").over(earlier).alias("_start")).filter("_start is not null")
+    inside = Window.partitionBy("_range", key).orderBy(*ascending)
+    rows = ranged.withColumn(name, F.row_number().over(inside) - 1).join(F.broadcast(starts), [key, "_range"], "left")
+    return rows.withColumn(name, F.col(name) + F.coalesce("_start", F.lit(0))).select(*df.columns, name)
+
+
 def collect_sorted(
     df: DataFrame,
     key: str,
@@ -53,20 +75,19 @@ def collect_sorted(
 
     Without ``page_rows`` every key has one array, on page 0. With it, an array holds so many
     values and a key goes on in pages 1, 2, ... in the full order, whatever its size: the rows
-    of a key are numbered in a sort that spills, and no array is longer than a page. ``order``
-    must tell the rows of a key apart. Rows without a key belong nowhere and are left out.
+    of a hot key are numbered and gathered by many tasks, and no array is longer than a page.
+    ``order`` must tell the rows of a key apart. Rows without a key belong nowhere and are left out.
     """
     df = df.filter(F.col(key).isNotNull())
     if page_rows is None:
-        page = F.lit(0)
+        paged = df.withColumn("page", F.lit(0))
     else:
-        sorted_rows = Window.partitionBy(key).orderBy(*[F.asc_nulls_first(name) for name in order])
-        page = F.floor((F.row_number().over(sorted_rows) - 1) / page_rows).cast("int")
-    return (
-        df.withColumn("page", page)
-        .groupBy(key, "page")
-        .agg(_sorted_values(order, value).alias(name))
-    )
+        if page_rows < 1:
+            raise ValueError("page_rows must be 1 or more")
+        made = df.select(key, *order, value.alias("_value"))
+        made = numbered(made, key, order, "_number")
+        paged, value = made.withColumn("page", F.floor(F.col("_number") / page_rows).cast("int")), F.col("_value")
+    return paged.groupBy(key, "page").agg(_sorted_values(order, value).alias(name))
 
 
 def attach_sorted(
@@ -80,9 +101,15 @@ def attach_sorted(
 ) -> DataFrame:
     """``left`` beside the arrays of ``collect_sorted``, with their page; none gives an empty one.
 
-    A row of ``left`` appears once per page.
+    A row of ``left`` appears once per page, and a key's pages are joined by many tasks.
     """
     pages = collect_sorted(df, key, order, value, name, page_rows)
-    return left.join(pages, key, "left").withColumns(
-        {"page": F.coalesce("page", F.lit(0)), name: F.coalesce(name, F.array())}
-    )
+    if page_rows is None:
+        joined = left.join(pages, key, "left")
+    else:
+        pages = rest(pages, "pages").frame
+        last = pages.groupBy(key).agg(F.max("page").alias("_last"))
+        numbers = F.explode(F.sequence(F.lit(0), F.coalesce("_last", F.lit(0))))
+        joined = left.join(last, key, "left").withColumn("page", numbers).drop("_last").join(pages, [key, "page"], "left")
+        joined = joined.select(*left.columns, "page", name)
+    return joined.withColumns({"page": F.coalesce("page", F.lit(0)), name: F.coalesce(name, F.array())})

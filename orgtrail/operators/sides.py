@@ -116,12 +116,15 @@ def maybe_listed(df: DataFrame, keys: Side, key: str) -> DataFrame:
     """``df`` without most rows of other keys, cut where it is read; no listed row is lost.
 
     The bitmap is a broadcast of bounded size, so the cut shuffles nothing. It does not replace
-    the exact join that follows.
+    the exact join that follows. It is a semi join itself: the optimiser would move an exact semi
+    join below any other one, and shuffle what was to be cut.
     """
-    slots = _slots(F.col(key), _chunks(keys.rows))
+    slots = _slots(df[key], _chunks(keys.rows))
     bits = key_bitmap(keys, key)
-    found = F.expr("shiftrightunsigned(get(_bits, _word), _bit) & 1L = 1L")
-    return df.withColumns(slots).join(F.broadcast(bits), "_chunk").filter(found).select(*df.columns)
+    word = F.get(bits["_bits"], slots["_word"])
+    # The bit is moved to the lowest place; a shift by a column has no function of its own.
+    set_ = F.call_function("shiftrightunsigned", word, slots["_bit"]).bitwiseAND(F.lit(1).cast("long")) == 1
+    return df.join(F.broadcast(bits), (bits["_chunk"] == slots["_chunk"]) & set_, "left_semi")
 
 
 def cut_to(df: DataFrame, keys: Side, key: str) -> DataFrame:
