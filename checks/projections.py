@@ -301,7 +301,7 @@ def project_profit_loss(r: Registry):
 @query(
     "project_balance_sheet",
     "select vat, cast(period_end_date as string) as period_end_date, turnover, profit_after_tax as profit, "
-    "ebitda, equity, land_buildings, cast(null as double) as financial_health_indicator from annual_account",
+    "ebitda, equity, land_buildings, financial_health as financial_health_indicator from annual_account",
 )
 def project_balance_sheet(r: Registry):
     return r.accounts().select("vat", F.explode(account_export(F.col("summaries"))).alias("a")).select("vat", "a.*")
@@ -310,8 +310,7 @@ def project_balance_sheet(r: Registry):
 @query(
     "project_establishment",
     "select vat, name_nl, name_fr, cast(start_date as string) as start_date, cast(end_date as string) as end_date, "
-    "cast(null as string) as city, cast(null as string) as telephone, cast(null as string) as email, "
-    "cast(null as string) as website, activity from establishment",
+    "city_nl, city_fr, street, telephone, email, website, activity from establishment",
 )
 def project_establishment(r: Registry):
     return r.establishments().select("vat", establishment_export().alias("e")).select(
@@ -320,7 +319,9 @@ def project_establishment(r: Registry):
         "e.name_fr",
         "e.start_date",
         "e.end_date",
-        F.coalesce("e.address_nl.city", "e.address_fr.city").alias("city"),
+        F.col("e.address_nl.city").alias("city_nl"),
+        F.col("e.address_fr.city").alias("city_fr"),
+        F.coalesce("e.address_nl.street", "e.address_fr.street").alias("street"),
         "e.telephone",
         "e.email",
         "e.website",
@@ -386,7 +387,7 @@ def project_org_export(r: Registry):
 
 
 MANDATE_SQL = (
-    "select vat, pid, category, role, cast(null as string) as function, "
+    'select vat, pid, category, role, "function", '
     "cast(start_date as string) as start_date, cast(end_date as string) as end_date from "
 )
 

@@ -81,6 +81,7 @@ select distinct {_vat('o_custkey')} as vat,
        case when {_BOTH} % 23 = 0 then null when {_BOTH} % 29 = 0 then concat('Q', cast(l_suppkey as string)) else concat('P', cast(l_suppkey as string)) end as pid,
        case {_BOTH} % 3 when 0 then 'ADMINISTER' when 1 then 'SHAREHOLDER' else 'AUDITOR' end as category,
        case {_BOTH} % 4 when 0 then ' administrator' when 1 then 'Administer ' when 2 then 'Manager' else null end as role,
+       case when {_BOTH} % 5 = 0 then null else concat('Function ', cast({_BOTH} % 7 as string)) end as "function",
        date '2000-01-01' + {_MANDATE_DAYS} as start_date,
        case when {_BOTH} % 2 = 0 then null else date '2003-01-01' + {_MANDATE_DAYS} end as end_date
 from lineitem join orders on l_orderkey = o_orderkey""",
@@ -113,7 +114,8 @@ select {_vat('o_custkey')} as vat,
        case when n % 3 = 0 then null else cast(n * 50 as double) end as land_buildings,
        cast(n as int) as employees,
        case when n % 2 = 0 then 'FULL' else 'ABBREVIATED' end as schema_type,
-       'EUR' as currency
+       'EUR' as currency,
+       case when n % 5 = 0 then null else cast(n * 2.5 as double) end as financial_health
 from (select o_custkey, year(o_orderdate) as y, cast(sum(cast(round(o_totalprice * 100) as bigint)) as double) as cents, count(*) as n
       from orders group by o_custkey, year(o_orderdate)) g""",
     "establishment": f"""
@@ -122,6 +124,12 @@ select {_vat('o_custkey')} as vat, o_orderkey as est_id,
        concat('Ets ', cast(o_orderkey as string)) as name_fr,
        case when o_orderkey % 9 = 0 then null else cast(o_orderdate as date) end as start_date,
        case when o_orderkey % 2 = 0 then null else cast(o_orderdate as date) + 400 end as end_date,
+       case when o_orderkey % 3 = 0 then null else concat('Stad ', cast(o_orderkey % 50 as string)) end as city_nl,
+       case when o_orderkey % 4 = 0 then null else concat('Ville ', cast(o_orderkey % 40 as string)) end as city_fr,
+       case when o_orderkey % 3 = 0 and o_orderkey % 4 = 0 then null else concat('Quay ', cast(o_orderkey % 30 as string)) end as street,
+       case when o_orderkey % 5 = 0 then null else concat('02 ', cast(o_orderkey as string)) end as telephone,
+       case when o_orderkey % 6 = 0 then null else concat('e', cast(o_orderkey as string), '@example.org') end as email,
+       case when o_orderkey % 7 = 0 then null else concat('https://example.org/', cast(o_orderkey as string)) end as website,
        case o_orderkey % 3 when 0 then ' 56101 ' when 1 then 'unknown activity' else '4711' end as activity
 from orders""",
     "publication": """

@@ -1,7 +1,23 @@
 """Structs that the nested export carries, and tests on yearly accounts."""
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StructType
+
+from orgtrail.schemas import ACCOUNT_SUMMARY
+
+# Where a field of yearly accounts stands, in either shape of theirs.
+ACCOUNT_PATHS = {
+    "turnover": ("profit_loss.turnover", "balance_sheet.turnover"),
+    "profit": ("profit_loss.profit_after_tax", "balance_sheet.gain_loss_period"),
+    "operating_profit": ("profit_loss.operating_profit",),
+    "ebitda": ("profit_loss.ebitda", "financial_analysis.ebitda"),
+    "equity": ("balance_sheet.equity",),
+    "land_buildings": ("balance_sheet.land_buildings",),
+    "financial_health_indicator": ("financial_health", "financial_analysis.financial_health_indicator"),
+}
 
 
 def year_between(date: Column, first: int, last: int) -> Column:
@@ -9,20 +25,40 @@ def year_between(date: Column, first: int, last: int) -> Column:
     return F.year(date).between(first, last)
 
 
-def account_export(summaries: Column) -> Column:
-    """Yearly accounts in export form; null becomes an empty array.
+def _found(summaries: Column, kind: DataType, path: str) -> Column | None:
+    """The array of one nested field if the type has it; of an amount its current value."""
+    value = summaries
+    for name in path.split("."):
+        if not isinstance(kind, StructType) or name not in kind.names:
+            return None
+        value, kind = value[name], kind[name].dataType
+    if isinstance(kind, StructType):
+        return value["current"] if "current" in kind.names else None
+    return value
+
+
+def account_values(summaries: Column, kind: ArrayType, name: str) -> Column:
+    """The array of one account field, from wherever the type of the summaries has it.
+
+    Resolved while the query is planned: a scan reads the places that exist and no others. Where a
+    type has several, the first that is not null counts; where it has none, all are null.
+    """
+    places = [_found(summaries, kind.elementType, path) for path in ACCOUNT_PATHS[name]]
+    places = [place for place in places if place is not None]
+    if not places:
+        return F.transform(summaries["period_end_date"], lambda _: F.lit(None).cast("double"))
+    return reduce(lambda a, b: F.zip_with(a, b, lambda x, y: F.coalesce(x, y)), places)
+
+
+def account_export(summaries: Column, kind: ArrayType = ArrayType(ACCOUNT_SUMMARY)) -> Column:
+    """Yearly accounts of either shape in export form; null becomes an empty array.
 
-    Zips arrays of single fields, so that a scan reads no other ones.
+    Zips arrays of single fields, so that a scan reads no other ones. ``kind`` is the column's type.
     """
-    profit_loss, balance_sheet = summaries["profit_loss"], summaries["balance_sheet"]
+    names = ("turnover", "profit", "ebitda", "equity", "land_buildings", "financial_health_indicator")
     exported = F.arrays_zip(
         summaries["period_end_date"].alias("period_end_date"),
-        profit_loss["turnover"].alias("turnover"),
-        profit_loss["profit_after_tax"].alias("profit"),
-        profit_loss["ebitda"].alias("ebitda"),
-        balance_sheet["equity"].alias("equity"),
-        balance_sheet["land_buildings"].alias("land_buildings"),
-        summaries["financial_health"].alias("financial_health_indicator"),
+        *[account_values(summaries, kind, name).alias(name) for name in names],
     )
     return F.coalesce(exported, F.array())
 

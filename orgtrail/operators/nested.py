@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orgtrail.functions.countries import addr
-from orgtrail.functions.records import distinct_keys
+from orgtrail.functions.records import account_values, distinct_keys
 from orgtrail.schemas import MANDATE
 
 MANDATE_COLUMNS = MANDATE.fieldNames()
@@ -59,12 +59,14 @@ def flatten_participation(df: DataFrame) -> DataFrame:
 
 
 def flatten_profit_loss(accounts: DataFrame) -> DataFrame:
-    """One row per company and yearly account, with the profit-and-loss metrics."""
-    summaries = F.col("summaries")
+    """One row per company and yearly account of either shape, with the profit-and-loss metrics."""
+    summaries, kind = F.col("summaries"), accounts.schema["summaries"].dataType
     plain = ("period_end_date", "employees", "schema_type", "currency")
     metrics = ("turnover", "ebitda", "operating_profit", "profit_after_tax")
     fields = {name: summaries[name] for name in plain}
-    fields |= {name: summaries["profit_loss"][name] for name in metrics}
+    fields |= {
+        name: account_values(summaries, kind, "profit" if name == "profit_after_tax" else name) for name in metrics
+    }
     rows = unnest(with_fields(accounts.select("vat", "summaries"), "summaries", fields), "summaries")
     return rows.select("vat", "summaries.*").select(
         "vat",

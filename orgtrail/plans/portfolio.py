@@ -33,7 +33,7 @@ def latest_publications(pubs: DataFrame, vats: DataFrame | Side, k: int = PUBLIC
 
 
 def latest_accounts(accounts: DataFrame, k: int = ACCOUNTS_KEPT) -> DataFrame:
-    exported = account_export(F.col("summaries"))
+    exported = account_export(F.col("summaries"), accounts.schema["summaries"].dataType)
     return accounts.select(
         "vat", latest_in_array(exported, "period_end_date", k).alias("annual_account_summaries_5y")
     )

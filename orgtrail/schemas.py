@@ -44,6 +44,18 @@ ACCOUNT_SUMMARY = _struct(
     currency=TEXT,
     financial_health=DOUBLE,
 )
+# The other shape of yearly accounts: profit and turnover in the balance sheet, health in an analysis.
+AMOUNT = _struct(current=DOUBLE, previous=DOUBLE)
+ACCOUNT_SUMMARY_BY_SHEET = _struct(
+    period_end_date=DATE,
+    balance_sheet=_struct(
+        gain_loss_period=AMOUNT, turnover=AMOUNT, equity=AMOUNT, land_buildings=AMOUNT
+    ),
+    financial_analysis=_struct(ebitda=DOUBLE, financial_health_indicator=DOUBLE),
+    employees=INT,
+    schema_type=TEXT,
+    currency=TEXT,
+)
 
 ORGANISATIONS = _struct(
     vat=TEXT,
@@ -73,6 +85,7 @@ PERSONS = _struct(
 # Mandates as a table of their own, beside or instead of the array in a company.
 MANDATES = StructType(_struct(vat=TEXT).fields + MANDATE.fields)
 ANNUAL_ACCOUNTS = _struct(vat=TEXT, summaries=ArrayType(ACCOUNT_SUMMARY))
+ANNUAL_ACCOUNTS_BY_SHEET = _struct(vat=TEXT, summaries=ArrayType(ACCOUNT_SUMMARY_BY_SHEET))
 ESTABLISHMENTS = _struct(
     vat=TEXT,
     est_id=LongType(),
@@ -105,3 +118,6 @@ REGISTRY = {
     "establishments": ESTABLISHMENTS,
     "publications": PUBLICATIONS,
 }
+
+# Tables that come in several shapes, the usual one first.
+SHAPES = {"annual_accounts": (ANNUAL_ACCOUNTS, ANNUAL_ACCOUNTS_BY_SHEET)}

@@ -239,7 +239,7 @@ def mandates(spark: SparkSession, sf_dir: str) -> DataFrame:
                 f"case {both} % 4 when 0 then ' administrator' when 1 then 'Administer ' "
                 "when 2 then 'Manager' else null end"
             ).alias("role"),
-            F.lit(None).cast("string").alias("function"),
+            F.expr(f"if({both} % 5 = 0, null, concat('Function ', {both} % 7))").alias("function"),
             F.expr(f"date_add(date'2000-01-01', {days})").alias("start_date"),
             F.expr(f"if({both} % 2 = 0, null, date_add(date'2003-01-01', {days}))").alias("end_date"),
         )
@@ -270,7 +270,7 @@ def annual_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
         n.cast("int").alias("employees"),
         F.when(n % 2 == 0, "FULL").otherwise("ABBREVIATED").alias("schema_type"),
         F.lit("EUR").alias("currency"),
-        F.lit(None).cast("double").alias("financial_health"),
+        F.when(n % 5 != 0, n * 2.5).alias("financial_health"),
     )
     return (
         yearly.groupBy("o_custkey")
@@ -280,7 +280,17 @@ def annual_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def establishments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nothing = F.lit(None)
+    key = F.col("o_orderkey")
+
+    def address(city: str, cities: int, absent: int) -> Column:
+        parts = {
+            "street": F.concat(F.lit("Quay "), key % 30),
+            "city": F.concat(F.lit(f"{city} "), key % cities),
+            "country_code": F.lit("BE"),
+        }
+        fields = [parts.get(name, F.lit(None).cast("string")).alias(name) for name in ADDRESS.fieldNames()]
+        return F.when(key % absent != 0, F.struct(*fields))
+
     return table(spark, sf_dir, "orders").select(
         _vat("o_custkey").alias("vat"),
         F.col("o_orderkey").alias("est_id"),
@@ -288,11 +298,11 @@ def establishments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("concat('Ets ', o_orderkey)").alias("name_fr"),
         F.expr("if(o_orderkey % 9 = 0, null, cast(o_orderdate as date))").alias("start_date"),
         F.expr("if(o_orderkey % 2 = 0, null, date_add(cast(o_orderdate as date), 400))").alias("end_date"),
-        nothing.cast(ADDRESS).alias("address_nl"),
-        nothing.cast(ADDRESS).alias("address_fr"),
-        nothing.cast("string").alias("telephone"),
-        nothing.cast("string").alias("email"),
-        nothing.cast("string").alias("website"),
+        address("Stad", 50, 3).alias("address_nl"),
+        address("Ville", 40, 4).alias("address_fr"),
+        F.expr("if(o_orderkey % 5 = 0, null, concat('02 ', o_orderkey))").alias("telephone"),
+        F.expr("if(o_orderkey % 6 = 0, null, concat('e', o_orderkey, '@example.org'))").alias("email"),
+        F.expr("if(o_orderkey % 7 = 0, null, concat('https://example.org/', o_orderkey))").alias("website"),
         F.array(
             F.expr("case o_orderkey % 3 when 0 then ' 56101 ' when 1 then 'unknown activity' else '4711' end")
         ).alias("activities"),

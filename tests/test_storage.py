@@ -1,6 +1,7 @@
 """Sources, sinks, scratch folders and jobs."""
 
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,11 +10,14 @@ from pyspark.sql.types import StructType
 from checks.catalog import Registry
 from orgtrail import jobs
 from orgtrail import schemas as S
+from orgtrail.operators.nested import flatten_profit_loss
+from orgtrail.plans import owners, people
 from orgtrail.plans.dumps import full_dump
-from orgtrail.session import scratch_dir
+from orgtrail.plans.portfolio import latest_accounts
+from orgtrail.session import scratch_dir, scratch_released
 from orgtrail.sources.keylists import read_vat_list, vat_list
-from orgtrail.sources.sinks import write_csv, write_json, write_parquet
-from orgtrail.sources.tables import scan
+from orgtrail.sources.sinks import read_manifest, write_csv, write_json, write_parquet
+from orgtrail.sources.tables import scan, scan_registry
 from tests import build as B
 
 
@@ -140,11 +144,112 @@ def test_country_jobs(spark, registry, tmp_path):
         out = str(tmp_path / job)
         written = jobs.main([job, "--registry", registry, "--out", out, *extra])
         assert len(written) == reports
-        for path in written:
-            csv_rows(spark, path)
     assert written[0].endswith("CNPersons.csv")
 
 
+def csv_set(spark, path):
+    rows = spark.read.option("header", True).option("sep", ";").csv(path)
+    return rows.columns, sorted((tuple(row) for row in rows.collect()), key=repr)
+
+
+def as_csv(spark, df, path):
+    """What a report reads like once it was written."""
+    write_csv(df, str(path))
+    return csv_set(spark, str(path))
+
+
+@pytest.fixture(scope="module")
+def tables(spark, registry):
+    return [scan_registry(spark, registry, name) for name in ("organisations", "persons")]
+
+
+def test_jobs_write_what_the_plans_give(spark, registry, tables, tmp_path):
+    """The narrow companies that a job's reports share give the same files as each plan by itself."""
+    orgs, persons = tables
+    wanted = {
+        ("cross-border", "IR"): [
+            people.country_persons(persons, "IR"),
+            people.country_admins(persons, orgs, "IR", "BE"),
+            owners.ownership(orgs, ["BE", ""], ["IR"]),
+            owners.ownership(orgs, ["IR"], ["BE", ""]),
+        ],
+        ("country", "CN"): [
+            people.country_persons(persons, "CN", people.FIELD),
+            people.country_mandates(persons, orgs, "CN", ["ADMINISTER", "SHAREHOLDER"], "mandate"),
+            owners.participation_links(orgs, "CN", "BE"),
+            owners.participation_links(orgs, "CN", "BE", owner="target"),
+        ],
+        ("ties", "CN"): [
+            people.country_persons(persons, "CN", people.LAST),
+            people.country_companies(orgs, "CN"),
+            people.country_mandates(persons, orgs, "CN", ["ADMINISTER"]),
+        ],
+    }
+    filled = 0
+    for (job, cc), reports in wanted.items():
+        written = jobs.main([job, "--registry", registry, "--out", str(tmp_path / job), "--country", cc])
+        for i, (path, report) in enumerate(zip(written, reports, strict=True)):
+            found = csv_set(spark, path)
+            assert found == as_csv(spark, report, tmp_path / f"{job}-{i}"), path
+            filled += bool(found[1])
+    assert filled >= 8
+
+
+def test_reports_of_a_job_scan_the_companies_once(spark, registry, tables):
+    orgs, persons = tables
+    with scratch_released(spark):
+        for reports in (
+            jobs.cross_border_reports(orgs, persons, "IR", "BE"),
+            jobs.country_reports(orgs, persons, "CN", "BE"),
+            jobs.ties_reports(orgs, persons, "CN", ["ADMINISTER"]),
+        ):
+            for name, report in reports.items():
+                assert not [path for path in report.inputFiles() if "/organisations/" in path], name
+                report.count()
+
+
+def test_jobs_leave_no_scratch(spark, registry, tmp_path):
+    shared = Path(scratch_dir(spark, "x").removeprefix("file:")).parent
+    before = set(shared.glob("*"))
+    jobs.main(["ties", "--registry", registry, "--out", str(tmp_path / "out"), "--country", "CN"])
+    assert set(shared.glob("*")) == before
+
+
+def test_mandates_of_the_category_alone(spark, registry, tmp_path):
+    common = ["ties", "--registry", registry, "--country", "CN", "--category", "ADMINISTER"]
+    by_org = jobs.main([*common, "--out", str(tmp_path / "org")])[-1]
+    by_mandate = jobs.main([*common, "--out", str(tmp_path / "mandate"), "--match", "mandate"])[-1]
+    columns, rows = csv_set(spark, by_mandate)
+    assert columns == people.PERSON_COLUMNS + people.COMPANY_COLUMNS
+    listed = {row[:1] + row[4:5] for row in csv_set(spark, by_org)[1] if row[8] == "ADMINISTER"}
+    assert rows and {row[:1] + row[4:5] for row in rows} == listed
+
+
+def test_repeated_companies_are_refused_unless_unchecked(spark, registry, tables, tmp_path):
+    orgs, _ = tables
+    odd = str(tmp_path / "odd")
+    orgs.unionByName(orgs.filter("vat = 'BE0000000004'").withColumn("name_fr", F.lit("other"))).write.parquet(odd)
+    common = ["cross-border", "--registry", registry, "--path", f"organisations={odd}", "--country", "IR", "--out"]
+    with pytest.raises(ValueError, match="1 repeated vat, such as 'BE0000000004'"):
+        jobs.main([*common, str(tmp_path / "a")])
+    assert len(jobs.main([*common, str(tmp_path / "b"), "--unchecked"])) == 4
+    with pytest.raises(ValueError, match="unknown tables"):
+        jobs.main(["dump", "--path", "companies=x", "--out", str(tmp_path / "c")])
+
+
+def test_sector_job_in_sorted_parts(spark, registry, tmp_path):
+    arguments = ["--prefix", "56", "--from", "1995", "--to", "2001"]
+    (path,) = jobs.main(["sector", "--registry", registry, "--out", str(tmp_path / "many"), *arguments])
+    (one,) = jobs.main(["sector", "--registry", registry, "--out", str(tmp_path / "one"), *arguments, "--single-file"])
+    found = []
+    for part in read_manifest(spark, path).collect():
+        rows = spark.read.option("header", True).option("sep", ";").csv(f"{path}/part={part['part']}").collect()
+        assert len(rows) == part["rows"] and rows[0]["vat"] == part["first"]["vat"] and rows[-1]["vat"] == part["last"]["vat"]
+        found += [(row["vat"], row["year"]) for row in rows]
+    wanted = spark.read.option("header", True).option("sep", ";").csv(one).select("vat", "year").collect()
+    assert found == [tuple(row) for row in wanted] and found
+
+
 def test_sector_job_is_one_sorted_file(spark, registry, tmp_path):
     arguments = ["--prefix", "56", "--from", "1997", "--to", "2001", "--single-file"]
     (path,) = jobs.main(["sector", "--registry", registry, "--out", str(tmp_path), *arguments])
@@ -171,3 +276,43 @@ def test_dump_job(spark, registry, tmp_path):
     written = jobs.main(["dump", "--registry", registry, "--out", str(tmp_path), "--partitions", "4"])
     sizes = [spark.read.parquet(path).count() for path in written]
     assert sizes == [150, 10, 150]
+
+
+def test_dump_job_as_csv_in_many_files(spark, registry, tables, tmp_path):
+    out = str(tmp_path / "csv")
+    written = jobs.main(["dump", "--registry", registry, "--out", out, "--partitions", "3", "--format", "csv"])
+    assert [path.rsplit("/", 1)[1] for path in written] == ["organizations_csv", "persons_csv", "annual_accounts_csv"]
+    assert len(data_files(tmp_path / "csv" / "persons_csv", "csv")) > 1
+    back = spark.read.option("header", True).option("sep", ";").option("escape", "\\").csv(written[1])
+    hists = F.from_json("address_hists", S.PERSONS["address_hists"].dataType)
+    got = back.select("pid", hists.alias("address_hists")).orderBy("pid").collect()
+    assert got == tables[1].select("pid", "address_hists").orderBy("pid").collect()
+
+
+def test_strict_scan_reads_the_footers_of_all_files(spark, tmp_path):
+    path = str(tmp_path / "persons")
+    B.persons(spark, {"pid": "P"}).coalesce(1).write.parquet(path)
+    B.persons(spark, {"pid": "Q"}).withColumn("name", F.lit(1)).coalesce(1).write.mode("append").parquet(path)
+    with pytest.raises(ValueError, match=r"part-00000-.*\.parquet: name is int, not string"):
+        scan(spark, path, S.PERSONS)
+
+
+def test_accounts_of_the_other_shape(spark, tmp_path):
+    path = str(tmp_path / "annual_accounts")
+    summary = {
+        "period_end_date": datetime(2020, 12, 31).date(),
+        "balance_sheet": {"gain_loss_period": {"current": 1.0, "previous": 9.0}, "turnover": {"current": 2.0}, "equity": None},
+        "financial_analysis": {"ebitda": 3.0, "financial_health_indicator": 4.0},
+        "employees": 5, "schema_type": "FULL", "currency": "EUR",
+    }
+    spark.createDataFrame([("A", [summary]), ("B", None)], S.ANNUAL_ACCOUNTS_BY_SHEET).write.parquet(path)
+    found = scan_registry(spark, str(tmp_path), "annual_accounts")
+    assert found.schema["summaries"].dataType.elementType == S.ACCOUNT_SUMMARY_BY_SHEET
+    exported = {row["vat"]: row[1] for row in latest_accounts(found).collect()}
+    assert exported["B"] == []
+    assert exported["A"][0].asDict() == {
+        "period_end_date": summary["period_end_date"], "turnover": 2.0, "profit": 1.0, "ebitda": 3.0,
+        "equity": None, "land_buildings": None, "financial_health_indicator": 4.0,
+    }
+    (flat,) = flatten_profit_loss(found).collect()
+    assert (flat["turnover"], flat["ebitda"], flat["operating_profit"], flat["profit_after_tax"]) == (2.0, 3.0, None, 1.0)
