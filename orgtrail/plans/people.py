@@ -137,9 +137,9 @@ def country_mandates(
     dated = ["category", "start_date", "end_date"]
     hits = rest(_beside_mandates(people, orgs, rules, dated), "hits")
     having = orgs.filter(has_category(F.col("person_mandates"), categories)).select("vat")
-    having = rest(cut_to(having, hits, "vat"), "having")
+    having = cut_to(having, hits, "vat")
     return distinct(
-        hits.frame.join(having.hinted(), "vat", "left_semi").select(
+        hits.frame.join(having, "vat", "left_semi").select(
             *PERSON_COLUMNS,
             *COMPANY_COLUMNS,
             F.col("category").alias("mandate_category"),
