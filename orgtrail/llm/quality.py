@@ -9,7 +9,9 @@ workers, with a weight vector of fixed size.
 Edge cases: the empty or null text has no n-gram and gets the score of the bias; labels other
 than 0 and 1, null labels and null ids are not learned from; with no label, or only one class,
 every score is the share of good labels (0.5 if there are none); repeated rows count as often
-as they stand there; an empty table gives no rows; clashing columns are replaced.
+as they stand there, and in the sample no more than its bound; texts of any length are read
+whole; a score of just 0.5 is a 1, and of rows with equal features either may be the last in the
+sample; an empty table gives no rows; clashing columns are replaced.
 """
 
 import re
@@ -23,13 +25,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orgtrail.llm.common import id_crc, text_or_empty
+from orgtrail.llm.common import at_rest, id_crc, text_or_empty
 from orgtrail.llm.sampling import fit_rows
+from orgtrail.operators.sides import maybe_listed, rest
 
 #: Size of the hashed feature space.
 FEATURES = 1 << 18
-#: Labelled rows that the support vector machine is fitted on, at most.
-FIT_ROWS = 8_000
+#: Labelled rows that the support vector machine is fitted on, at most, and feature numbers in them.
+FIT_ROWS, FIT_FEATURES = 8_000, 16_000_000
+#: Labels that are broadcast, so that no text is shuffled; of more, a bitmap cuts the texts first.
+LABEL_ROWS, LABEL_BYTES = 4_000_000, 64 * 1024 * 1024
 EPOCHS = 12
 COST = 1.0
 #: Added to each class count of a feature.
@@ -171,13 +176,18 @@ def fit_quality(
 ) -> QualityModel:
     """A model of ``labels.quality`` from the documents of ``docs`` that are labelled.
 
-    Class counts are over all labelled rows; ``fit_on`` bounds the rows that come to the
-    driver, as lists of feature numbers.
+    Class counts are over all labelled rows; ``fit_on`` and ``FIT_FEATURES`` bound the rows
+    that come to the driver, as lists of feature numbers.
     """
     known = labels.filter("quality in (0, 1) and doc_id is not null").select(
         "doc_id", F.col("quality").cast("int").alias("label")
     )
-    labelled = docs.select("doc_id", "text").join(known, "doc_id")
+    side = rest(known, "labels")
+    texts, known = docs.select("doc_id", "text"), side.frame
+    if side.fits(LABEL_ROWS, LABEL_BYTES):
+        labelled = texts.join(F.broadcast(known), "doc_id")
+    else:
+        labelled = maybe_listed(texts, side, "doc_id").join(known, "doc_id")
     counts = (
         labelled.select("text", "label")
         .mapInArrow(_class_counts, "feature int, bad long, good long")
@@ -197,9 +207,16 @@ def fit_quality(
     bad[counts.feature] += counts.bad
     good[counts.feature] += counts.good
     ratio = np.log(good / (good_rows + 2 * SMOOTHING)) - np.log(bad / (bad_rows + 2 * SMOOTHING))
-    chosen = fit_rows(docs.select("doc_id").join(known.select("doc_id"), "doc_id", "left_semi"), fit_on)
-    few = labelled.join(F.broadcast(chosen), "doc_id")
-    sample = few.select("text", "label").mapInArrow(_feature_rows, "label int, crc long, ids array<int>").toArrow()
+    chosen = fit_rows(labelled.select("doc_id"), fit_on)
+    few = labelled.join(F.broadcast(chosen), "doc_id").select("text", "label")
+    # Ids may repeat: the bounds are those of rows and of what they hold.
+    found = few.mapInArrow(_feature_rows, "label int, crc long, ids array<int>").orderBy("crc", "label", F.size("ids"))
+    found = at_rest(found.limit(fit_on), "quality-sample")
+    sizes = found.select("crc", "label", F.size("ids").alias("n")).toPandas().sort_values(["crc", "label", "n"])
+    over = sizes[sizes.n.cumsum() > FIT_FEATURES]
+    if len(over):
+        found = found.filter(F.col("crc") < int(over.crc.min()))
+    sample = found.toArrow()
     marks, crcs = sample["label"].to_numpy(), sample["crc"].to_numpy()
     lists = sample["ids"].combine_chunks()
     del sample

@@ -76,3 +76,48 @@ def test_nulls_empty_one_class_no_labels_and_no_rows(spark):
     assert Q.quality_report(repeated, ones).count() == 10
     null_id = frame.withColumn("doc_id", F.lit(None).cast("long"))
     assert Q.quality_report(null_id, ones).count() == 5
+
+
+def test_ratios_and_margins_equal_plain_counting(spark, monkeypatch):
+    """Class shares by feature, counted text by text, and the score by the model's definition."""
+    frame, labels, marks = corpus(spark, 90)
+    seen = {}
+    fit = Q.fit_svm
+    monkeypatch.setattr(Q, "fit_svm", lambda rows, y, ratio, *rest: seen.update(ratio=ratio, n=len(rows)) or fit(rows, y, ratio, *rest))
+    repeated = frame.unionByName(frame.filter("doc_id < 10"))
+    model = Q.fit_quality(repeated, labels)
+    of = Q.Featurizer()
+    texts = [(r.text, marks[r.doc_id]) for r in repeated.collect()]
+    rows = [sum(1 for _, m in texts if m == k) for k in (0, 1)]
+    held = [{}, {}]
+    for text, mark in texts:
+        for i in of(text).tolist():
+            held[mark][i] = held[mark].get(i, 0) + 1
+    for i in {*held[0], *held[1]}:
+        good, bad = (held[k].get(i, 0) + 1 for k in (1, 0))
+        assert seen["ratio"][i] == pytest.approx(np.log(good / (rows[1] + 2)) - np.log(bad / (rows[0] + 2)))
+    assert seen["n"] == len(texts)
+    for row in Q.with_quality(frame, model).collect():
+        ids = of(row.text)
+        margin = model.bias + sum(float(model.weights[i]) for i in ids) / np.sqrt(len(ids))
+        assert row.score == pytest.approx(1 / (1 + np.exp(-(model.slope * margin + model.shift))), rel=1e-5)
+
+
+def test_repeated_ids_and_long_texts_stay_within_the_bounds(spark, monkeypatch):
+    frame, labels, _ = corpus(spark, 60)
+    many = frame.unionByName(frame.filter("doc_id < 3").withColumn("n_chars", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(40).cast("long")))))
+    sizes = []
+    fit = Q.fit_svm
+    monkeypatch.setattr(Q, "fit_svm", lambda rows, *rest: sizes.append((len(rows), sum(map(len, rows)))) or fit(rows, *rest))
+    Q.fit_quality(many, labels, fit_on=50)
+    monkeypatch.setattr(Q, "FIT_FEATURES", 2000)
+    Q.fit_quality(many, labels, fit_on=50)
+    assert sizes[0][0] == 50 and sizes[1][1] <= 2000
+
+
+def test_labels_beyond_the_broadcast_give_the_same_scores(spark, monkeypatch):
+    frame, labels, _ = corpus(spark, 80)
+    wanted = {r.doc_id: r.score for r in Q.quality_report(frame, labels).collect()}
+    monkeypatch.setattr(Q, "LABEL_ROWS", 0)
+    found = {r.doc_id: r.score for r in Q.quality_report(frame, labels).collect()}
+    assert found == pytest.approx(wanted, abs=1e-9)
