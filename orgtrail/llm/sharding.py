@@ -5,6 +5,8 @@ Native: one pass of column expressions for the shard, two small counts for the s
 Edge cases: a null key counts as key -1; a null text has no bytes and the CRC-32 of no bytes
 (0); rows that repeat a key share its shard and get slots of their own; rows that are equal
 in every respect may swap slots between runs, nothing else may; an empty table gives no rows.
+Texts of any length are read whole. A key, a null one too, may hold any share of the rows: its
+rows are numbered in parts by their texts, so only equal texts under one key share a part.
 Columns of the input that clash with an output name are replaced.
 """
 
@@ -73,23 +75,23 @@ def assign_shards(
     """The rows with ``size``, ``text_crc32``, ``law``, ``shard``, ``slot`` and ``grown_shard``.
 
     Slots number the rows of a shard without gaps. A shard is cut into ``parts`` by a hash of
-    the key; each part is numbered by itself and starts where the parts before it end. Only
+    the key and the text's CRC and size; each part is numbered by itself and starts where the parts before it end. Only
     the counts of parts (``n_shards * parts`` rows) are broadcast.
     """
+    bytes_ = F.encode(F.coalesce(F.col(text).cast("string"), F.lit("")), "UTF-8")
     placed = df.withColumns(
         {
             "shard": jump_shard(F.col(key), n_shards),
-            "_part": F.pmod(F.xxhash64(F.col(key)), F.lit(parts)).cast("int"),
+            "size": (F.octet_length(bytes_) + F.lit(8)).cast("long"),
+            "text_crc32": F.crc32(bytes_).cast("long"),
         }
     )
+    placed = placed.withColumn("_part", F.pmod(F.xxhash64(F.col(key), "text_crc32", "size"), F.lit(parts)).cast("int"))
     before = Window.partitionBy("shard").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     counts = placed.groupBy("shard", "_part").agg(F.count(F.lit(1)).alias("_rows"))
     starts = counts.select("shard", "_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
-    bytes_ = F.encode(F.coalesce(F.col(text).cast("string"), F.lit("")), "UTF-8")
     measured = placed.withColumns(
         {
-            "size": (F.octet_length(bytes_) + F.lit(8)).cast("long"),
-            "text_crc32": F.crc32(bytes_).cast("long"),
             "law": F.lit("key"),
             "grown_shard": jump_shard(F.col(key), n_shards + 1),
         }

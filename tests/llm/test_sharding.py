@@ -53,3 +53,21 @@ def test_files_hold_every_row_in_its_shard(spark, tmp_path):
     sharding.write_shards(frame, str(tmp_path / "shards"), n_shards=4)
     back = spark.read.parquet(str(tmp_path / "shards"))
     assert rows(back, "doc_id", "shard") == [(i, jump(i, 4)) for i in sorted(range(50), key=lambda i: repr((i, jump(i, 4))))]
+
+
+def test_a_hot_key_is_numbered_in_many_parts(spark):
+    frame = spark.range(600).selectExpr("if(id % 3 = 0, null, id) as doc_id", "concat('t', id, repeat('x', int(id % 7))) as text")
+    found = sharding.assign_shards(frame, n_shards=3, parts=16).collect()
+    hot = [r for r in found if r.doc_id is None]
+    assert len({r.shard for r in hot}) == 1 and len(hot) == 200
+    slots = sorted(r.slot for r in found if r.shard == hot[0].shard)
+    assert slots == list(range(len(slots)))
+    # The hot key's rows do not stand together, as they would in one part.
+    assert max(r.slot for r in hot) - min(r.slot for r in hot) > len(hot)
+
+
+def test_very_long_texts(spark):
+    frame = spark.createDataFrame([(1, "é" * 2_000_000), (2, None)], "doc_id long, text string")
+    found = {r.doc_id: r for r in sharding.shard_report(frame).collect()}
+    assert found[1].size == 4_000_008 and found[1].text_crc32 == zlib.crc32(("é" * 2_000_000).encode())
+    assert found[2].size == 8
