@@ -32,7 +32,6 @@ EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.002, 0.01
 UNDETERMINED = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
 _BLANKS = re.compile(r"\s+")
 
 
@@ -51,7 +50,8 @@ def ngram_counts(text: str) -> np.ndarray:
 
 
 def has_letter(text: str | None) -> bool:
-    return text is not None and _LETTER.search(text) is not None
+    """Some character is a letter by its Unicode category; number signs such as a half are none."""
+    return text is not None and any(c.isalpha() for c in text)
 
 
 def tf_idf(counts: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -1,4 +1,7 @@
+import math
+
 import numpy as np
+import pytest
 from tests.llm.build import docs
 
 from orgtrail.llm import language as L
@@ -24,6 +27,31 @@ def test_undetermined_one_language_nothing_learned_and_no_rows(spark):
     assert L.language_report(docs(spark, texts).filter("false")).count() == 0
 
 
+def test_number_signs_are_no_letters(spark):
+    texts = ["½ ² Ⅷ ①", "1½", "a½", "ß", "ー々", "_"]
+    assert [L.has_letter(t) for t in texts] == [False, False, True, True, True, False]
+    found = {r.doc_id: r for r in L.language_report(docs(spark, texts * 8, langs=["en", "de"] * 24)).collect()}
+    assert {found[i].lang_pred for i in (0, 1, 5)} == {"und"}
+    assert all(found[i].lang_pred in ("en", "de") for i in (2, 3, 4))
+
+
+def test_predictions_equal_plain_arithmetic(spark):
+    texts = ["the cat and the dog", "der hund und die katze", "the the", "und", "zz"] * 12
+    frame = docs(spark, texts, langs=["en", "de", "en", "de", "en"] * 12)
+    model = L.fit_language(frame)
+    for row in L.with_language(frame.limit(5), model).collect():
+        counts = L.ngram_counts(row.text)
+        values = {int(i): (1 + math.log(counts[i])) * model.idf[i] for i in np.flatnonzero(counts)}
+        norm = math.sqrt(sum(v * v for v in values.values()))
+        logits = [
+            (sum(v / norm * model.weights[i][k] for i, v in values.items()) + model.bias[k]) / model.temperature
+            for k in range(len(model.languages))
+        ]
+        odds = [math.exp(x - max(logits)) for x in logits]
+        assert row.score == pytest.approx(max(odds) / sum(odds), rel=1e-6)
+        assert row.lang_pred == model.languages[odds.index(max(odds))]
+
+
 def test_penalties_make_it_sparse_and_two_languages_apart(spark):
     rows = [L.tf_idf(L.ngram_counts(t), np.ones(L.FEATURES)) for t in ("the cat and the dog", "der hund und die katze") * 40]
     weights, _ = L.train_ftrl(rows, np.array([0, 1] * 40), 2)
