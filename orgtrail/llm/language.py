@@ -8,7 +8,8 @@ trained by follow-the-regularised-leader with an elastic net on a bounded sample
 Edge cases: a null text, or one without a letter, is ``und`` with score 0; rows with a null
 language or id are not learned from; with nothing to learn from every text is ``und``; with
 one language every text with a letter gets it with score 1; repeated rows count as often as
-they stand there; an empty table gives no rows; clashing columns are replaced.
+they stand there; texts of any length are read whole; of equally likely languages the first by
+code point is taken; an empty table gives no rows; clashing columns are replaced.
 """
 
 import re

@@ -8,7 +8,8 @@ all of it was read. The last slot takes a part of its block, so that the target
 
 Edge cases: a null text has no words; null is a source of its own, last in order; documents
 without words belong to no block and are taken 0 times; rows that repeat a doc_id are rows of
-their own; an empty table gives no rows; columns that clash with an output name are replaced.
+their own; equal hashes of ids go by id, then size; texts of any length are counted whole; an
+empty table gives no rows; columns that clash with an output name are replaced.
 """
 
 from pyspark.sql import Column, DataFrame, Window

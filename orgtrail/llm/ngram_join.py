@@ -28,8 +28,9 @@ by 64-bit hashes of their sets, shingles by 64-bit hashes of their words.
 Edge cases: a null text or one without words has an empty set, is linked with nothing and is
 its own component; with fewer words than a shingle the whole sequence is one; rows that
 repeat a doc_id are rows of one document each and share the id; a null id never names a
-component unless all its members are null; an empty table gives no rows; columns that clash
-with an output name are not read.
+component unless all its members are null; texts of any length are read whole; of partners with
+equal bounds the lesser hash comes first; an empty table gives no rows; columns that clash with
+an output name are not read.
 """
 
 import numpy as np

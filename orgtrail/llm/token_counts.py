@@ -13,8 +13,8 @@ parameter. Counts of recent pre-tokens are remembered in each worker, up to a bo
 
 Edge cases: a null text is empty and has 0 tokens; edits that begin or end beyond the text are
 cut to it, a null list of edits is empty; edits are applied one after the other, each to what
-the ones before left; repeated rows are counted each; an empty table gives no rows; clashing
-columns are replaced.
+the ones before left; texts of any length are counted whole; repeated rows are counted each; an
+empty table gives no rows; clashing columns are replaced.
 """
 
 import base64
