@@ -34,8 +34,8 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def at_rest(df: DataFrame, name: str) -> DataFrame:
-    """The rows, written once to the shared folder: cuts lineage, survives lost executors."""
-    path = scratch_dir(df.sparkSession, name)
+def at_rest(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """The rows, written once to the shared folder or to ``path``: cuts lineage, survives lost executors."""
+    path = path or scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -22,8 +22,14 @@ are verified on the whole sets, and the links give components. Then all bounded
 components are verified; pairs within a component can change nothing. So no link between
 components is lost, and a large group of near copies does not give all its pairs.
 
+*Verification.* A pair is first bounded once more on finer counts, about one count per shingle,
+which pass little but links; only the texts of what passes are read again for their whole sets.
+
+One pass over the texts writes classes, counts and listing keys. Keys are counted, and a bitmap
+of those that occur again cuts the others where they are read, before anything is sorted.
 Listings with equal members are worked on once; a long listing is cut into tiles. Classes go
-by 64-bit hashes of their sets, shingles by 64-bit hashes of their words.
+by 64-bit hashes of their sets, shingles by 64-bit hashes of their words. Tables that the
+search writes for itself are deleted when the components are known.
 
 Edge cases: a null text or one without words has an empty set, is linked with nothing and is
 its own component; with fewer words than a shingle the whole sequence is one; rows that
@@ -40,6 +46,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orgtrail.llm.common import at_rest
+from orgtrail.operators.sides import maybe_listed, rest
+from orgtrail.session import scratch_dir, scratch_released
 
 #: Contract of the query.
 WORDS, PERCENT = 4, 85
@@ -119,45 +127,54 @@ def counts_of(of: np.ndarray) -> np.ndarray:
     return np.bincount((of & np.uint64(DIMENSIONS - 1)).astype(np.int64), minlength=DIMENSIONS).astype(np.int32)
 
 
-def _member_rows(words: int):
-    def rows(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                sets = [shingle_set(text, words) for text in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("doc_id"),
-                        pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array([set_hash(s) if len(s) else None for s in sets], pa.int64()),
-                        part.column("text_key"),
-                    ],
-                    names=["doc_id", "n_shingles", "cls", "text_key"],
-                )
+def bins_of(of: np.ndarray) -> np.ndarray:
+    """Counts in as many bins as the set has shingles, up to the next power of two; at most 255 each."""
+    bins = 1 << (len(of) - 1).bit_length()
+    return np.minimum(np.bincount((of & np.uint64(bins - 1)).astype(np.int64), minlength=bins), 255).astype(np.uint8)
+
+
+def may_link(a: np.ndarray, size_a: int, b: np.ndarray, size_b: int, percent: int = PERCENT) -> bool:
+    """Whether the overlap that two sets' bins allow reaches what a link asks for."""
+    if a.max() == 255 or b.max() == 255:  # such a bin may hold more than it says
+        return True
+    bins = min(len(a), len(b))
+    # A bin of the smaller number holds all those of the larger that end in its bits.
+    a, b = (x.reshape(-1, bins).sum(axis=0, dtype=np.int64) for x in (a, b))
+    return int(np.minimum(a, b).sum()) * (100 + percent) >= percent * (size_a + size_b)
 
-    return rows
 
+MEMBERS = (
+    "doc_id long, n_shingles long, cls long, text_key binary, point binary, bins binary, keys array<long>"
+)
+
+
+def _member_rows(percent: int, words: int):
+    """Rows of ``MEMBERS``; ``point``, ``bins`` and ``keys`` stand where a task meets the class first."""
 
-def _listing_rows(percent: int, words: int):
     def rows(batches):
         seen: set[int] = set()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                keys, classes = [], []
-                for text in batch.slice(at, 256).column("text").to_pylist():
-                    of = shingle_set(text, words)
-                    cls = set_hash(of)
-                    if not len(of) or cls in seen:
-                        continue
+                part = batch.slice(at, 256)
+                sets = [shingle_set(text, words) for text in part.column("text").to_pylist()]
+                classes = [set_hash(s) if len(s) else None for s in sets]
+                new = []
+                for s, cls in zip(sets, classes, strict=True):
                     if len(seen) >= REMEMBERED:
                         seen.clear()
+                    new.append(s if cls is not None and cls not in seen else None)
                     seen.add(cls)
-                    own = listings(of, percent)
-                    keys.append(own)
-                    classes.append(np.full(len(own), cls, np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(x) if x else np.empty(0, np.int64)) for x in (keys, classes)],
-                    names=["key", "cls"],
+                    [
+                        part.column("doc_id"),
+                        pa.array([len(s) for s in sets], pa.int64()),
+                        pa.array(classes, pa.int64()),
+                        part.column("text_key"),
+                        pa.array([None if s is None else counts_of(s).tobytes() for s in new], pa.binary()),
+                        pa.array([None if s is None else bins_of(s).tobytes() for s in new], pa.binary()),
+                        pa.array([None if s is None else listings(s, percent) for s in new], pa.list_(pa.int64())),
+                    ],
+                    names=["doc_id", "n_shingles", "cls", "text_key", "point", "bins", "keys"],
                 )
 
     return rows
@@ -172,11 +189,9 @@ def _set_rows(words: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([set_hash(s) for s in sets], pa.int64()),
-                        pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array([counts_of(s).tobytes() for s in sets], pa.binary()),
                         pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
                     ],
-                    names=["cls", "size", "point", "shingles"],
+                    names=["cls", "shingles"],
                 )
 
     return rows
@@ -226,12 +241,26 @@ class VectorTree:
 def _pair_rows(percent: int, best: int | None):
     """Per tile of a listing the bounded pairs of different components, at most ``best`` of each class."""
 
-    def of_tile(cls, label, size, point, side):
-        points = np.frombuffer(b"".join(point), np.int32).reshape(len(point), DIMENSIONS)
-        tree = VectorTree(points, size)
+    def partners(points, size):
+        """Per point those whose bound is high enough, and the bounds."""
+        if len(size) > LEAF:
+            tree = VectorTree(points, size)
+            for i in range(len(size)):
+                yield tree.near(points[i], int(size[i]), percent)
+            return
+        # A tree of one leaf: its points are compared at once.
+        bound = np.minimum(points[:, None], points[None]).sum(axis=2)
+        fits = bound * (100 + percent) >= percent * (size[:, None] + size[None])
+        for i in range(len(size)):
+            near = np.flatnonzero(fits[i])
+            yield near, bound[i, near]
+
+    def of_tile(cls, label, size, side, point):
+        if len(cls) < 2:
+            return []
         found = []
-        for i in range(len(cls)):
-            near, bound = tree.near(points[i], int(size[i]), percent)
+        points = np.frombuffer(b"".join(point), np.int32).reshape(len(point), DIMENSIONS)
+        for i, (near, bound) in enumerate(partners(points, size)):
             other = label[near] != label[i]
             other &= (side[near] != side[i]) | (side[i] == 2)
             near, bound = near[other], bound[other]
@@ -241,28 +270,25 @@ def _pair_rows(percent: int, best: int | None):
         return found
 
     def rows(batches):
-        held: dict[str, list] = {}
-        now = None
-        names = ("cls", "label", "size", "point", "side")
-
-        def done():
-            if not held or len(held["cls"]) < 2:
-                return []
-            arrays = [held[n] if n == "point" else np.array(held[n]) for n in names]
-            return of_tile(*arrays)
-
+        held = None  # the last tile, which the next batch may go on with
         for batch in batches:
-            tiles = list(zip(*(batch.column(n).to_pylist() for n in ("key", "low", "high")), strict=True))
-            columns = {n: batch.column(n).to_pylist() for n in names}
+            if not batch.num_rows:
+                continue
+            tile = np.stack([batch.column(n).to_numpy() for n in ("key", "low", "high")])
+            columns = [batch.column(n).to_numpy() for n in ("cls", "label", "size", "side")]
+            columns.append(np.array(batch.column("point").to_pylist() + [None], object)[:-1])
+            cuts = [0, *(np.flatnonzero((tile[:, 1:] != tile[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
             pairs = []
-            for i, tile in enumerate(tiles):
-                if tile != now:
-                    pairs += done()
-                    held, now = {n: [] for n in names}, tile
-                for n in names:
-                    held[n].append(columns[n][i])
+            for start, end in zip(cuts, cuts[1:], strict=False):
+                now, own = tile[:, start].tolist(), [[c[start:end]] for c in columns]
+                if held and held[0] == now:
+                    own = [old + new for old, new in zip(held[1], own, strict=True)]
+                elif held:
+                    pairs += of_tile(*map(np.concatenate, held[1]))
+                held = now, own
             yield _as_pairs(pairs)
-        yield _as_pairs(done())
+        if held:
+            yield _as_pairs(of_tile(*map(np.concatenate, held[1])))
 
     return rows
 
@@ -287,9 +313,22 @@ def _link_rows(percent: int):
     return rows
 
 
+def _likely_rows(percent: int):
+    def rows(batches):
+        for batch in batches:
+            sides = (batch.column(n).to_pylist() for n in ("left", "left_size", "right", "right_size"))
+            keep = [
+                may_link(np.frombuffer(left, np.uint8), n, np.frombuffer(right, np.uint8), m, percent)
+                for left, n, right, m in zip(*sides, strict=True)
+            ]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return rows
+
+
 def bounded_pairs(listed: DataFrame, points: DataFrame, labels: DataFrame | None, percent: int, best: int | None) -> DataFrame:
-    """Distinct pairs of classes that share a listing and pass the bound, across components."""
-    rows = listed.join(points, "cls")
+    """Distinct pairs of classes that share a listing and pass both bounds, across components."""
+    rows = listed.join(points.select("cls", "size"), "cls")
     if labels is None:
         rows = rows.withColumn("label", F.col("cls"))
     else:
@@ -312,19 +351,30 @@ def bounded_pairs(listed: DataFrame, points: DataFrame, labels: DataFrame | None
             "cls",
             "label",
             "size",
-            "point",
         )
     )
-    return (
-        placed.repartition("key", "low", "high")
+    pairs = (
+        placed.join(points.select("cls", "point"), "cls")
+        .repartition("key", "low", "high")
         .sortWithinPartitions("key", "low", "high")
         .mapInArrow(_pair_rows(percent, best), "a long, b long")
         .distinct()
     )
-
-
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs that are links, tested on the whole sets."""
+    left = points.select(F.col("cls").alias("a"), F.col("bins").alias("left"), F.col("size").alias("left_size"))
+    right = points.select(F.col("cls").alias("b"), F.col("bins").alias("right"), F.col("size").alias("right_size"))
+    return pairs.join(left, "a").join(right, "b").mapInArrow(_likely_rows(percent), "a long, b long")
+
+
+def links_of(pairs: DataFrame, texts: DataFrame, members: DataFrame, percent: int, words: int) -> DataFrame:
+    """The pairs that are links, tested on the whole sets of their classes."""
+    pairs = at_rest(pairs, "pairs")
+    wanted = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
+    ids = members.join(wanted, "cls", "left_semi").groupBy("cls").agg(F.min("doc_id").alias("_id"))
+    # The hash of a null id is not null, so texts without an id pass like others.
+    ids = rest(ids.select(F.xxhash64("_id").alias("_key")).distinct(), "ids")
+    chosen = maybe_listed(texts.select("text", F.xxhash64("doc_id").alias("_key")), ids, "_key")
+    every = chosen.select("text").mapInArrow(_set_rows(words), "cls long, shingles array<long>")
+    sets = at_rest(every.join(wanted, "cls", "left_semi").dropDuplicates(["cls"]), "sets")
     left = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("cls").alias("b"), F.col("shingles").alias("right"))
     return pairs.join(left, "a").join(right, "b").mapInArrow(_link_rows(percent), "a long, b long")
@@ -368,31 +418,31 @@ def components(links: DataFrame) -> DataFrame:
 
 def _members_and_labels(docs: DataFrame, percent: int, words: int, text_key: Column) -> tuple[DataFrame, DataFrame]:
     """Per row ``doc_id``, ``n_shingles``, ``cls`` and ``text_key``; and ``cls`` with its component's ``label``."""
+    spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_key.alias("text_key"))
-    schema = "doc_id long, n_shingles long, cls long, text_key binary"
-    members = at_rest(texts.mapInArrow(_member_rows(words), schema), "members")
-    keyed = texts.select("text").mapInArrow(_listing_rows(percent, words), "key long, cls long")
-    order = Window.partitionBy("key").orderBy("cls")
-    shared = (
-        keyed.withColumns({"_before": F.lag("cls").over(order), "_last": F.max("cls").over(Window.partitionBy("key")),
-                           "_first": F.min("cls").over(Window.partitionBy("key"))})
-        .filter("_first < _last and (_before is null or _before < cls)")
-        .select("key", "cls")
-    )
-    shared = at_rest(shared, "listings")
-    alike = shared.groupBy("key").agg(F.count(F.lit(1)).alias("_n"), F.bit_xor(F.xxhash64("cls")).alias("_sum"))
-    once = alike.groupBy("_n", "_sum").agg(F.min("key").alias("key")).select("key")
-    listed = at_rest(shared.join(once, "key", "left_semi"), "distinct-listings")
-    wanted = listed.select("cls").distinct()
-    names = members.join(wanted, "cls", "left_semi").groupBy("cls").agg(F.min("doc_id").alias("_id"))
-    chosen = texts.join(names.select("_id").distinct(), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    every = chosen.select("text").mapInArrow(_set_rows(words), "cls long, size long, point binary, shingles array<long>")
-    sets = at_rest(every.join(wanted, "cls", "left_semi").dropDuplicates(["cls"]), "sets")
-    points = sets.select("cls", "size", "point")
-    first = at_rest(verified(bounded_pairs(listed, points, None, percent, BEST), sets, percent), "first-links")
-    labels = components(first)
-    second = verified(bounded_pairs(listed, points, labels, percent, None), sets, percent)
-    labels = components(first.unionByName(second))
+    members_path, labels_path = scratch_dir(spark, "members"), scratch_dir(spark, "labels")
+    with scratch_released(spark):
+        wide = at_rest(texts.mapInArrow(_member_rows(percent, words), MEMBERS), "classes")
+        members = at_rest(wide.select("doc_id", "n_shingles", "cls", "text_key"), "members", members_path)
+        keyed = wide.select("cls", F.explode("keys").alias("key"))
+        again = rest(keyed.groupBy("key").count().filter("count > 1").select("key"), "keys")
+        # Keys that only copies of one class have, and those that share a bit, are counted out below.
+        shared = at_rest(maybe_listed(keyed, again, "key").select("key", "cls").distinct(), "listings")
+        alike = shared.groupBy("key").agg(F.count(F.lit(1)).alias("_n"), F.bit_xor(F.xxhash64("cls")).alias("_sum"))
+        once = alike.filter("_n > 1").groupBy("_n", "_sum").agg(F.min("key").alias("key")).select("key")
+        listed = at_rest(shared.join(once, "key", "left_semi"), "distinct-listings")
+        # Read from the narrow column, so that classes without a listing are cut before the shuffle.
+        wanted = rest(listed.select("cls").distinct(), "listed-classes")
+        first_met = wide.filter("point is not null").select("cls", F.col("n_shingles").alias("size"), "point", "bins")
+        points = at_rest(
+            maybe_listed(first_met, wanted, "cls").join(wanted.frame, "cls", "left_semi").dropDuplicates(["cls"]), "points"
+        )
+        first = bounded_pairs(listed, points, None, percent, BEST)
+        first = at_rest(links_of(first, texts, members, percent, words), "first-links")
+        labels = components(first)
+        second = bounded_pairs(listed, points, labels, percent, None)
+        second = links_of(second, texts, members, percent, words)
+        labels = at_rest(components(first.unionByName(second)), "labels", labels_path)
     return members, labels.withColumnRenamed("node", "cls")
 
 

@@ -1,10 +1,13 @@
 import random
+from pathlib import Path
+from urllib.parse import urlparse
 
 import numpy as np
 import pytest
 from tests.llm.build import docs, rows
 
 from orgtrail.llm import ngram_join as J
+from orgtrail.session import scratch_dir
 
 
 def word_set(text, n=4):
@@ -106,3 +109,33 @@ def test_one_document_of_each_group_stays(spark, corpus):
     kept = J.one_of_each(frame)
     assert kept.columns == frame.columns
     assert rows(kept, "doc_id") == sorted(((i,) for i, _, c in brute(corpus) if i == c), key=repr)
+
+
+def test_finer_counts_lose_no_link():
+    draw = np.random.default_rng(3)
+    passed = 0
+    for size in (1, 2, 3, 7, 8, 9, 60, 200, 1000) * 20:
+        a = np.unique(draw.integers(0, 1 << 63, size).astype(np.uint64))
+        drop, add = draw.integers(0, size // 3 + 1, 2)
+        b = np.unique(np.concatenate([a[drop:], draw.integers(0, 1 << 63, add).astype(np.uint64)]))
+        if not len(b):
+            continue
+        both = len(np.intersect1d(a, b))
+        likely = J.may_link(J.bins_of(a), len(a), J.bins_of(b), len(b))
+        linked = 100 * both >= 85 * (len(a) + len(b) - both)
+        assert likely or not linked
+        passed += likely and not linked
+    assert passed < 40
+
+
+def test_full_bins_pass():
+    a = np.arange(1, 1025, dtype=np.uint64) << np.uint64(20)  # all in one bin
+    assert J.bins_of(a).max() == 255
+    assert J.may_link(J.bins_of(a), len(a), J.bins_of(a[:900]), 900)
+
+
+def test_what_the_search_writes_is_deleted(spark, corpus):
+    shared = Path(urlparse(scratch_dir(spark, "any")).path).parent
+    before = set(shared.iterdir()) if shared.exists() else set()
+    J.jaccard_components(docs(spark, corpus)).count()
+    assert {p.name.split("-")[0] for p in set(shared.iterdir()) - before} == {"members", "labels"}
