@@ -37,9 +37,14 @@ S = 2
 SLACK = 1 / 16
 #: Ranges of ids that are put in order side by side.
 RANGES = 512
-#: Scripts written without blanks.
-_SINGLE = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
-TOKEN = rf"[{_SINGLE}]|[^\x20\x09-\x0D{_SINGLE}]+"
+#: Blocks of scripts written without blanks: Thai and Lao, Myanmar, Khmer, kana, Han.
+_SINGLE = r"฀-໿က-႟ក-៿぀-ヿ㐀-鿿豈-﫿\x{20000}-\x{3FFFF}"
+#: The characters outside of them that aren't blanks, those of most texts first.
+_OTHER = (
+    r"\x21-෿\x00-\x08\x0E-\x1Fༀ-࿿Ⴀ-᝿᠀-〿㄀-㏿ꀀ-"
+    r"ﬀ-\x{1FFFF}\x{40000}-\x{10FFFF}"
+)
+TOKEN = rf"[{_OTHER}]++|[{_SINGLE}]"
 #: Bits of a hash that are kept.
 HASH_BITS = 48
 ANCHORS = "array<struct<hash:bigint,at:int>>"
