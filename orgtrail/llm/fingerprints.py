@@ -38,11 +38,11 @@ SLACK = 1 / 16
 #: Ranges of ids that are put in order side by side.
 RANGES = 512
 #: Blocks of scripts written without blanks: Thai and Lao, Myanmar, Khmer, kana, Han.
-_SINGLE = r"฀-໿က-႟ក-៿぀-ヿ㐀-鿿豈-﫿\x{20000}-\x{3FFFF}"
+_SINGLE = r"\x{E00}-\x{EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}\x{3400}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}"
 #: The characters outside of them that aren't blanks, those of most texts first.
 _OTHER = (
-    r"\x21-෿\x00-\x08\x0E-\x1Fༀ-࿿Ⴀ-᝿᠀-〿㄀-㏿ꀀ-"
-    r"ﬀ-\x{1FFFF}\x{40000}-\x{10FFFF}"
+    r"\x21-\x{DFF}\x00-\x08\x0E-\x1F\x{F00}-\x{FFF}\x{10A0}-\x{177F}\x{1800}-\x{303F}\x{3100}-\x{33FF}\x{A000}-\x{F8FF}"
+    r"\x{FB00}-\x{1FFFF}\x{40000}-\x{10FFFF}"
 )
 TOKEN = rf"[{_OTHER}]++|[{_SINGLE}]"
 #: Bits of a hash that are kept.
