@@ -258,23 +258,32 @@ def gradients(model: Model, ids: np.ndarray, texts: np.ndarray, wanted: np.ndarr
     return loss / n, grads
 
 
-def train(model: Model, ids: np.ndarray, texts: np.ndarray, wanted: np.ndarray, steps: int, batch: int = 4096, rate: float = 0.02):
-    """Adam over chunks of the stream in a fixed shuffled order; the rate falls to a twentieth."""
-    moment = {k: np.zeros_like(v) for k, v in model.tables.items()}
-    square = {k: np.zeros_like(v) for k, v in model.tables.items()}
-    whole = len(ids) // STEP * STEP
-    if not whole:
-        return model
-    batch = min(batch, whole)
-    chunks = np.arange(0, whole - batch + 1, batch)
-    draw = np.random.default_rng(13)
-    order = np.concatenate([draw.permutation(chunks) for _ in range(-(-steps // len(chunks)))])[:steps]
-    for t, at in enumerate(order, 1):
-        part = slice(at, at + batch)
-        _, grads = gradients(model, ids[part], texts[part], wanted[part])
-        now = rate * (1 - 0.95 * t / steps)
-        for k, g in grads.items():
+class Adam:
+    """Steps of Adam on a model, in place; the rate falls to a twentieth over ``steps`` and stays there."""
+
+    def __init__(self, model: Model, steps: int, rate: float = 0.02):
+        self.model, self.steps, self.rate, self.taken = model, steps, rate, 0
+        self.moment = {k: np.zeros_like(v) for k, v in model.tables.items()}
+        self.square = {k: np.zeros_like(v) for k, v in model.tables.items()}
+
+    def step(self, ids: np.ndarray, texts: np.ndarray, wanted: np.ndarray) -> None:
+        self.taken += 1
+        t, moment, square, tables = self.taken, self.moment, self.square, self.model.tables
+        now = self.rate * max(1 - 0.95 * t / self.steps, 0.05)
+        for k, g in gradients(self.model, ids, texts, wanted)[1].items():
             moment[k] += 0.1 * (g - moment[k])
             square[k] += 0.01 * (g * g - square[k])
-            model.tables[k] -= (now * moment[k] / (1 - 0.9**t) / (np.sqrt(square[k] / (1 - 0.99**t)) + 1e-8)).astype(np.float32)
-    return model
+            tables[k] -= (now * moment[k] / (1 - 0.9**t) / (np.sqrt(square[k] / (1 - 0.99**t)) + 1e-8)).astype(np.float32)
+
+
+def flat(model: Model) -> np.ndarray:
+    return np.concatenate([model.tables[k].ravel() for k in NAMES])
+
+
+def shaped(values: np.ndarray, like: Model) -> Model:
+    """The model of which ``values`` are the parameters in a row."""
+    tables, at = {}, 0
+    for k in NAMES:
+        shape, size = like.tables[k].shape, like.tables[k].size
+        tables[k], at = values[at : at + size].reshape(shape).astype(np.float32), at + size
+    return Model(like.place, tables)

@@ -1,7 +1,10 @@
 """LM scoring: log probabilities of whole texts under a causal self-attention model.
 
-The model (``attention``) is trained in numpy on the subword ids of a bounded sample of
-training texts (``FIT_DOCS``). Its probability of a word, the product over the word's pieces,
+The model (``attention``) learns in numpy from the subword ids of every training text. Pieces and
+which id follows which are counted over all of them. Texts are then dealt by a hash of id and text to
+shards of about ``STEPS`` steps; each shard's task trains the same fresh model on all its texts, in
+the order of that hash, and the trained models are averaged by their ids. A corpus that is smaller than one
+shard is gone over again until ``STEPS`` are taken. Its probability of a word, the product over the word's pieces,
 is mixed with the word's smoothed share of the training corpus, which is counted over all of it:
 ``p(word) = MODEL_SHARE * p(pieces | what stands before) + (1 - MODEL_SHARE) * share``, with
 ``share = (count + 0.5) / (all + 0.5 * (types + 1))``. Each text ends with an end token. As in
@@ -23,20 +26,22 @@ read.
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import tiktoken
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orgtrail.llm import attention as A
 from orgtrail.llm.common import at_rest, id_crc
-from orgtrail.llm.sampling import fit_rows
 from orgtrail.llm.token_counts import PATTERN, RANKS, read_ranks
 
-#: Texts that the attention model is trained on, at most.
-FIT_DOCS = 400
-STEPS = 500
+#: Steps of a shard and positions of a step.
+STEPS, BATCH = 500, 4096
+#: Parameters of a row when models are averaged.
+BLOCK = 2048
 #: Weight of the attention model in a word's probability.
 MODEL_SHARE = 0.3
 #: Words whose counts are broadcast, at most.
@@ -118,26 +123,142 @@ def _stream(texts: list[list[list[int]]]):
     return ids, marks, wanted
 
 
-def fit(texts: list[str], ranks: dict[bytes, int], steps: int = STEPS) -> tuple[A.Model, dict[tuple[int, bool], int]]:
-    """The trained model and its vocabulary, from the texts of the sample."""
-    encoding = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-    seen: Counter = Counter()
-    for text in texts:
-        for word, n in Counter(words_of(text)).items():
-            pieces = encoding.encode_ordinary(word.decode("utf-8", "replace"))
-            for at, piece in enumerate(pieces):
-                seen[piece, at == len(pieces) - 1] += n
+def remembered(make):
+    """``make`` of a word, kept for ``REMEMBERED`` words at a time."""
+    memory: dict[bytes, list] = {}
+
+    def get(word: bytes):
+        found = memory.get(word)
+        if found is None:
+            if len(memory) >= REMEMBERED:
+                memory.clear()
+            found = memory[word] = make(word)
+        return found
+
+    return get
+
+
+def _texts(batches, most: int = 64):
+    """Lists of texts, each as its words."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, most):
+            yield [words_of(text) for text in batch.slice(at, most).column("text").to_pylist()]
+
+
+def _piece_rows(shared):
+    def rows(batches):
+        encoding = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=shared.value, special_tokens={})
+        pieces_of = remembered(lambda word: encoding.encode_ordinary(word.decode("utf-8", "replace")))
+        seen: Counter = Counter()  # bounded by the ranks
+        for texts in _texts(batches):
+            for word, n in Counter(w for t in texts for w in t).items():
+                pieces = pieces_of(word)
+                for piece in pieces[:-1]:
+                    seen[piece, False] += n
+                seen[pieces[-1], True] += n
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([p for p, _ in seen], pa.int64()), pa.array([f for _, f in seen], pa.bool_()), pa.array(seen.values(), pa.int64())],
+            names=["piece", "final", "n"],
+        )
+
+    return rows
+
+
+def _streams(batches, ranks, known):
+    """Input ids, text numbers and wanted ids of some texts at a time."""
+    spell = remembered(speller(ranks, known))
+    for texts in _texts(batches):
+        yield _stream([[*map(spell, t), [A.END]] for t in texts])
+
+
+def _follow_rows(shared):
+    def rows(batches):
+        follow = np.zeros(A.VOCABULARY**2, np.int64)
+        for ids, _, wanted in _streams(batches, *shared.value):
+            pairs, n = np.unique(ids * A.VOCABULARY + wanted, return_counts=True)
+            follow[pairs] += n
+        pairs = np.flatnonzero(follow)
+        for at in range(0, len(pairs), 65_536):
+            part = pairs[at : at + 65_536]
+            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(follow[part])], names=["pair", "n"])
+
+    return rows
+
+
+def _train_rows(shared):
+    """The parameters that a shard's texts give, in blocks, with the number of ids learned from."""
+
+    def rows(batches):
+        model, known, ranks, steps, again = shared.value
+        model = A.Model(model.place, {k: v.copy() for k, v in model.tables.items()})
+        adam = A.Adam(model, steps)
+        waiting, held, learned, read = np.empty((3, 0), np.int64), [], 0, 0
+        for ids, marks, wanted in _streams(batches, ranks, known):
+            learned += len(ids)
+            at, n = A.aligned(np.bincount(marks))
+            placed = [A.spread(ids, at, n, A.BEGIN), A.spread(marks + read, at, n, -1), A.spread(wanted, at, n, A.BEGIN)]
+            read += int(marks[-1]) + 1
+            waiting = np.concatenate([waiting, placed], axis=1)
+            while waiting.shape[1] >= BATCH:
+                part, waiting = waiting[:, :BATCH], waiting[:, BATCH:]
+                adam.step(*part)
+                if again:  # less than a shard in all
+                    held.append(part)
+        if waiting.shape[1]:
+            adam.step(*waiting)
+            held.append(waiting)
+        draw = np.random.default_rng(13)
+        while again and held and adam.taken < steps:
+            for at in draw.permutation(len(held))[: steps - adam.taken]:
+                adam.step(*held[at])
+        if learned:
+            values = A.flat(model)
+            blocks = range(0, len(values), BLOCK)
+            part = TaskContext.get().partitionId()
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([at // BLOCK for at in blocks], pa.int32()),
+                    pa.array([part] * len(blocks), pa.int32()),
+                    pa.array([learned] * len(blocks), pa.int64()),
+                    pa.array([values[at : at + BLOCK].tobytes() for at in blocks], pa.binary()),
+                ],
+                names=["block", "part", "learned", "weights"],
+            )
+
+    return rows
+
+
+def _average(rows: pd.DataFrame) -> pd.DataFrame:
+    rows = rows.sort_values("part")
+    values = np.stack([np.frombuffer(x, np.float32) for x in rows["weights"]])
+    mean = np.average(values.astype(np.float64), axis=0, weights=rows["learned"])
+    return pd.DataFrame({"block": [rows["block"].iloc[0]], "weights": [mean.astype(np.float32).tobytes()]})
+
+
+def fit(learn: DataFrame, ranks: dict[bytes, int], steps: int = STEPS) -> tuple[A.Model, dict[tuple[int, bool], int]]:
+    """The trained model and its vocabulary, from all texts of ``learn``; the driver sees tables of the model's size."""
+    context = learn.sparkSession.sparkContext
+    texts = learn.select(F.col("doc_id").cast("string").alias("doc_id"), "text").filter("text is not null")
+    pieces = texts.select("text").mapInArrow(_piece_rows(context.broadcast(ranks)), "piece long, final boolean, n long")
     room = A.VOCABULARY - A.FIRST_BYTE - 512
-    best = sorted(seen, key=lambda x: (-seen[x], x))[:room]
-    known = {x: A.FIRST_BYTE + 512 + i for i, x in enumerate(best)}
-    spell = speller(ranks, known)
-    spelled = [[*(spell(w) for w in words_of(text)), [A.END]] for text in texts] or [[[A.END]]]
-    ids, marks, wanted = _stream(spelled)
-    counts = np.bincount(wanted, minlength=A.VOCABULARY)
-    follow = np.bincount(ids * A.VOCABULARY + wanted, minlength=A.VOCABULARY**2).reshape(A.VOCABULARY, -1)
-    at, n = A.aligned(np.bincount(marks))
-    placed = A.spread(ids, at, n, A.BEGIN), A.spread(marks, at, n, -1), A.spread(wanted, at, n, A.BEGIN)
-    return A.train(A.fresh_model(counts, follow), *placed, steps), known
+    best = pieces.groupBy("piece", "final").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "piece", "final").limit(room).collect()
+    known = {(r["piece"], r["final"]): A.FIRST_BYTE + 512 + i for i, r in enumerate(best)}
+    pairs = texts.select("text").mapInArrow(_follow_rows(context.broadcast((ranks, known))), "pair int, n long")
+    found = pairs.groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    follow = np.zeros(A.VOCABULARY**2, np.int64)
+    follow[found["pair"].to_numpy()] = found["n"].to_numpy()
+    follow = follow.reshape(A.VOCABULARY, -1)
+    model, ids = A.fresh_model(follow.sum(axis=0), follow), int(follow.sum())
+    shards = max(1, -(-ids // (steps * BATCH)))
+    shared = context.broadcast((model, known, ranks, steps, ids < steps * BATCH))
+    mark = F.xxhash64("doc_id", "text")
+    dealt = texts.withColumn("mark", mark).repartition(shards, "mark").sortWithinPartitions("mark", "doc_id", "text")
+    trained = dealt.select("text").mapInArrow(_train_rows(shared), "block int, part int, learned long, weights binary")
+    blocks = trained.groupBy("block").applyInPandas(_average, "block int, weights binary").collect()
+    if not blocks:
+        return model, known
+    values = b"".join(bytes(r["weights"]) for r in sorted(blocks, key=lambda r: r["block"]))
+    return A.shaped(np.frombuffer(values, np.float32), model), known
 
 
 SCORED = "rid long, doc_id long, key long, is_text boolean, n_tokens long, n_known long, base double, lm double"
@@ -148,18 +269,9 @@ def _score_rows(shared):
 
     def rows(batches):
         model, known, ranks, keys, counts, total, types = shared.value
-        spell = speller(ranks, known)
-        memory: dict[bytes, list[int]] = {}
+        ids_of = remembered(speller(ranks, known))
         floor = np.log10(total + 0.5 * (types + 1))
 
-        def ids_of(word: bytes) -> list[int]:
-            ids = memory.get(word)
-            if ids is None:
-                if len(memory) >= REMEMBERED:
-                    memory.clear()
-                ids = memory[word] = spell(word)
-            return ids
-
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
@@ -206,19 +318,17 @@ def _score_rows(shared):
     return rows
 
 
-def score_texts(docs: DataFrame, learn: DataFrame, ranks: str = RANKS, fit_on: int = FIT_DOCS, steps: int = STEPS) -> DataFrame:
+def score_texts(docs: DataFrame, learn: DataFrame, ranks: str = RANKS, steps: int = STEPS) -> DataFrame:
     """Per row of ``docs``: ``doc_id``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``.
 
-    ``learn`` are the rows to learn from: all for the counts, ``fit_on`` for the attention.
+    ``learn`` are the rows to learn from, all of them for the counts and for the attention.
     """
     spark = docs.sparkSession
     counts = word_counts(learn)
     total, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     keys, known_counts = frequent(counts)
-    chosen = fit_rows(learn.filter("text is not null"), fit_on)
-    texts = learn.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").filter("text is not null")
     read = read_ranks(ranks)
-    model, known = fit(sorted(r["text"] for r in texts.select("text").collect()), read, steps)
+    model, known = fit(learn, read, steps)
     shared = spark.sparkContext.broadcast((model, known, read, keys, known_counts, total, types))
     numbered = docs.select(
         F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), "text"

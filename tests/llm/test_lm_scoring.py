@@ -145,3 +145,29 @@ def test_a_text_scores_the_same_alone_in_any_batch_and_as_a_copy(random_model):
     changed = ids.copy()
     changed[150] += 1 if changed[150] < A.VOCABULARY - 1 else -1
     assert A.text_log_likelihoods(random_model, changed, np.zeros(300, int), wanted)[290] != alone[290]
+
+
+def test_every_training_text_teaches_the_model(spark, monkeypatch):
+    monkeypatch.setattr(S, "STEPS", 8)
+    texts = ["ab cd " * 30] * 500
+    plain = docs(spark, texts)
+    ranks = read_ranks()
+
+    def taught(frame):
+        return A.flat(S.fit(frame, ranks, 8)[0])
+
+    first = taught(plain)
+    assert taught(plain) == pytest.approx(first, abs=1e-6)
+    for at in (3, 250, 499):
+        changed = docs(spark, [*texts[:at], "cd ab ab " * 30, *texts[at + 1 :]])
+        assert np.abs(taught(changed) - first).max() > 1e-6, at
+
+
+def test_shards_of_a_larger_corpus_learn_what_one_does(spark, monkeypatch):
+    monkeypatch.setattr(S, "BATCH", 512)
+    frame = docs(spark, [f"the cat {i % 7} sat on the mat and the dog {i % 5} ran " * 6 for i in range(600)])
+    model, known = S.fit(frame, read_ranks(), 60)
+    spell = S.speller(read_ranks(), known)
+    ids, marks, wanted = S._stream([[*map(spell, b"the cat 3 sat on the mat and the dog 4 ran".split()), [A.END]]])
+    loss = -A.text_log_likelihoods(model, ids, marks, wanted)[2:-1].mean()
+    assert loss < 1.5, loss
