@@ -25,6 +25,9 @@ from orgtrail.llm.common import WORD, at_rest, text_or_empty
 
 BLANKS = r"[\x20\x09-\x0D]+"
 VARIABLE = "<*>"
+#: A token with a digit behind its blank, and one that is variable, among tokens with one blank between them.
+NUMBERED = r" [^ \d]*+\d[^ ]*"
+IS_VARIABLE = r"<\*>(?<![^ ]<\*>)(?![^ ])"
 #: Leading tokens that the tree looks at.
 DEPTH = 4
 #: Documents in which a template must recur; in ``LONG_DOCS`` if it has more than ``LONG`` tokens.
@@ -52,18 +55,28 @@ def _hash(text: Column) -> Column:
     return F.coalesce(F.unhex(F.md5(F.encode(text, "UTF-8"))), F.lit(bytearray()))
 
 
-def _leaf(line: Column, depth: int) -> Column:
+def _spaced(line: Column) -> Column:
+    """The line's tokens with one blank between them, as most lines have them already."""
+    odd = line.rlike(r"[\x09-\x0D]") | line.contains("  ")
+    return F.trim(F.when(odd, F.regexp_replace(line, BLANKS, " ")).otherwise(line))
+
+
+def _generalised(spaced: Column) -> Column:
+    """The tokens, those with a digit variable."""
+    return F.ltrim(F.regexp_replace(F.concat(F.lit(" "), spaced), NUMBERED, f" {VARIABLE}"))
+
+
+def _leaf(spaced: Column, depth: int) -> Column:
     """The leaf of a line of ``n`` tokens: their number and the leading ones, generalised."""
-    lead = F.regexp_extract(line, rf"^[\x20\x09-\x0D]*((?:{WORD}[\x20\x09-\x0D]+){{0,{depth - 1}}}{WORD})", 1)
-    fixed = F.regexp_replace(F.regexp_replace(lead, BLANKS, " "), r"[^ ]*\d[^ ]*", VARIABLE)
-    return _hash(F.concat(F.col("n").cast("string"), F.lit(" "), fixed))
+    return _hash(F.concat(F.col("n").cast("string"), F.lit(" "), _generalised(F.substring_index(spaced, " ", depth))))
 
 
 def parsed_lines(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     """One row per line that has tokens: ``doc_id``, ``line``, ``leaf`` and ``n``, its tokens."""
     lines = docs.select("doc_id", F.explode(_lines(text_or_empty(F.col("text")))).alias("line"))
-    counted = lines.filter(F.col("line").rlike(WORD)).withColumn("n", F.regexp_count("line", F.lit(WORD)))
-    return counted.withColumn("leaf", _leaf(F.col("line"), depth))
+    spaced = lines.filter(F.col("line").rlike(WORD)).withColumn("_spaced", _spaced(F.col("line")))
+    blanks = F.octet_length("_spaced") - F.octet_length(F.replace(F.col("_spaced"), F.lit(" "), F.lit("")))
+    return spaced.withColumn("n", blanks + 1).withColumn("leaf", _leaf(F.col("_spaced"), depth)).drop("_spaced")
 
 
 def _bit(leaf: Column) -> Column:
@@ -173,25 +186,33 @@ def templates(
     lines = parsed_lines(docs, depth)
     documents = lines.select("leaf", "n", "doc_id").distinct().groupBy("leaf", "n").agg(F.count(F.lit(1)).alias("docs"))
     often = at_rest(documents.filter(_enough(F.col("docs"), min_docs)).select("leaf"), "leaves")
-    tokens = F.filter(F.split("line", BLANKS, -1), lambda token: token != "")
-    general = F.transform("tokens", lambda t: F.when(t.rlike(r"\d"), VARIABLE).otherwise(t))
-    fixed = F.size(F.filter("general", lambda t: t != VARIABLE)) >= F.size("general") * F.lit(fixed_share)
+    general = F.col("general")
+    shown = F.when(F.col("fixed"), general).otherwise(F.col("spaced"))
     held = at_rest(
         _likely(lines, often)
         .join(often, "leaf", "left_semi")
-        .select("doc_id", _hash(F.col("line")).alias("line_key"), "leaf", "n", tokens.alias("tokens"))
-        .withColumn("general", general)
-        .withColumn("fixed", fixed)
-        .withColumn("tokens", F.when(F.col("fixed"), F.col("general")).otherwise(F.col("tokens")))
-        .withColumn("form", _hash(F.concat(F.col("fixed").cast("string"), F.lit(" "), F.array_join("tokens", " "))))
-        .drop("general"),
+        .select("doc_id", _hash(F.col("line")).alias("line_key"), "leaf", "n", _spaced(F.col("line")).alias("spaced"))
+        .withColumn("general", _generalised(F.col("spaced")))
+        .withColumn("fixed", F.col("n") - F.regexp_count(general, F.lit(IS_VARIABLE)) >= F.col("n") * F.lit(fixed_share))
+        .withColumn("shown", shown)
+        .select(
+            "doc_id",
+            "line_key",
+            "leaf",
+            "n",
+            "fixed",
+            "shown",
+            _hash(F.concat(F.col("fixed").cast("string"), F.lit(" "), F.col("shown"))).alias("form"),
+        ),
         "likely-lines",
     )
     forms = at_rest(
-        held.select("form", "leaf", "n", "fixed", "tokens", "doc_id")
+        held.select("form", "leaf", "n", "fixed", "shown", "doc_id")
         .distinct()
-        .groupBy("form", "leaf", "n", "fixed", "tokens")
-        .agg(F.count(F.lit(1)).alias("docs")),
+        .groupBy("form", "leaf", "n", "fixed", "shown")
+        .agg(F.count(F.lit(1)).alias("docs"))
+        .withColumn("tokens", F.split("shown", " ", -1))
+        .drop("shown"),
         "forms",
     )
     groups = _groups(forms.filter("fixed"), depth, min_docs, agree)

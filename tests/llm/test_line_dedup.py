@@ -1,4 +1,5 @@
 import hashlib
+import re
 
 from tests.llm.build import docs, rows
 
@@ -77,3 +78,22 @@ def test_long_lines_go_from_two_documents_on(spark):
     texts = ["own\n" + passage, "other\n" + passage, *near, fifty, fifty, passage.replace("w", "v")]
     report = line_dedup.line_report(docs(spark, texts))
     assert rows(report, "doc_id", "n_dropped") == [(0, 1), (1, 1), (2, 1), (3, 1), (4, 0), (5, 0), (6, 0)]
+
+
+def test_tokens_and_forms_are_those_of_plain_python(spark):
+    lines = ["a b", " a\t\tb1 ", "a\x0b \x0cc9d\r", "1", "<*> x<*> <*>y <*> 2", "é9 ü\u00a03 \u0663 z", "x  y   7z 8 9 q5", "-1- a1b2 c", "\u2028 4"]
+    frame = spark.createDataFrame([(line,) for line in lines], "line string")
+    spaced = line_dedup._spaced(line_dedup.F.col("line"))
+    general = line_dedup._generalised(spaced)
+    variable = line_dedup.F.regexp_count(general, line_dedup.F.lit(line_dedup.IS_VARIABLE))
+    for r in frame.select("line", spaced.alias("spaced"), general.alias("general"), variable.alias("variable")).collect():
+        tokens = re.findall(r"[^\x20\x09-\x0D]+", r.line)
+        wanted = ["<*>" if re.search(r"[0-9]", t) else t for t in tokens]
+        assert (r.spaced, r.general, r.variable) == (" ".join(tokens), " ".join(wanted), wanted.count("<*>"))
+
+
+def test_lines_are_not_taken_apart_token_by_token(spark, capsys):
+    """Arrays of tokens, worked on by functions of a token, took most of the time over long lines."""
+    line_dedup.parsed_lines(docs(spark, ["a b c1"])).explain(True)
+    plan = capsys.readouterr().out
+    assert "regexp_count" not in plan and "regexp_extract" not in plan and "lambda" not in plan
