@@ -120,7 +120,7 @@ def schedule(targets: DataFrame) -> DataFrame:
         .withColumn("_at", F.col("_at") - F.floor("_at"))
         .withColumn("_cell", F.floor(F.col("_at") * CELLS))
     )
-    held = slots.join(cells, "_cell").filter("_at >= _low and _at < _high")
+    held = at_rest(slots.join(cells, "_cell").filter("_at >= _low and _at < _high").select("_chunk", "slot", "source"), "slots")
     inside = held.withColumn(
         "_row", F.row_number().over(Window.partitionBy("source", "_chunk").orderBy("slot"))
     )
@@ -213,10 +213,12 @@ def _taken(sized: DataFrame) -> DataFrame:
     """As ``mix``, from rows with ``size``; ``text_key``, if there, tells rows apart and stays."""
     keys = ["doc_id", "source", "size", *(["text_key"] if "text_key" in sized.columns else [])]
     whole = [*keys, "source_size", "target"]
-    targets = source_targets(sized)
+    # Read from rest: the schedule asks for the targets many times, and each would plan them anew.
+    targets = at_rest(source_targets(sized), "targets")
     visits = schedule(targets).groupBy("source", "block").agg(
         F.count(F.when(F.col("words").isNull(), 1)).alias("_visits"), F.coalesce(F.max("words"), F.lit(0)).alias("_part")
     )
+    visits = at_rest(visits, "visits")
     named = targets.withColumnRenamed("source", "_named")
     placed = in_stream(sized).join(named, F.col("source").eqNullSafe(F.col("_named"))).drop("_named")
     # Rows that agree in all columns count once and are multiplied back at the end.

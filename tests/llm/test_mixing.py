@@ -90,3 +90,10 @@ def test_small_sources_meet_their_target_in_long_blocks(spark, monkeypatch):
     assert len({r.slot for r in plan}) == len(plan)
     for s in set(sources):
         assert sorted(r["rank"] for r in plan if r.source == s) == list(range(sum(r.source == s for r in plan)))
+
+
+def test_targets_are_planned_once(spark, capsys):
+    """The schedule asks for the targets many times; planned anew each time they filled the driver's memory."""
+    mixing.mix(docs(spark, ["a b", "c"], ["x", "y"])).explain(True)
+    plan = capsys.readouterr().out.split("== Physical Plan ==")[1]
+    assert plan.count("Window [") < 8
