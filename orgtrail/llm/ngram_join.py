@@ -12,10 +12,11 @@ a listing is shared by few sets but near copies: a passage that many documents s
 group alone only by chance. Each octave of sizes has its own number of groups; a set near the
 top of its octave is listed in the next one, too.
 
-*Points.* Within a listing, classes are points: their counts in ``DIMENSIONS`` groups. An
-R-tree over the points bounds the overlap of a class with all below a node by the sum of
-coordinate minima with the node's upper corner, and with a single point likewise. What does
-not reach the overlap that its size asks for is passed over.
+*Points.* Within a listing, classes are points: their counts in ``DIMENSIONS`` groups, in bytes, and what
+of larger counts the bytes do not hold as one more coordinate. An R-tree over the points, folded to
+``FOLDED`` coordinates, bounds the overlap of a class with all below a node by the sum of
+coordinate minima with the node's upper corner, and with a single point likewise on all
+coordinates. What does not reach the overlap that its size asks for is passed over.
 
 *Rounds.* First each class takes, in each listing, its two best bounded partners; these pairs
 are verified on the whole sets, and the links give components. Then all bounded pairs across
@@ -51,8 +52,8 @@ from orgtrail.session import scratch_dir, scratch_released
 
 #: Contract of the query.
 WORDS, PERCENT = 4, 85
-#: Coordinates of a point.
-DIMENSIONS = 32
+#: Coordinates of a point, and those the R-tree goes by; the excess over bytes comes on top.
+DIMENSIONS, FOLDED = 128, 32
 #: Points below a leaf of the R-tree, and nodes below a node.
 LEAF, FAN = 32, 16
 #: Best partners that a class takes in the first round.
@@ -124,7 +125,24 @@ def listings(of: np.ndarray, percent: int = PERCENT) -> np.ndarray:
 
 
 def counts_of(of: np.ndarray) -> np.ndarray:
-    return np.bincount((of & np.uint64(DIMENSIONS - 1)).astype(np.int64), minlength=DIMENSIONS).astype(np.int32)
+    """A point as bytes: counts of at most 255 each, and the sum of what is beyond in four bytes."""
+    counts = np.bincount((of & np.uint64(DIMENSIONS - 1)).astype(np.int64), minlength=DIMENSIONS)
+    held = np.minimum(counts, 255)
+    beyond = np.array([counts.sum() - held.sum()], np.int32).view(np.uint8)
+    return np.concatenate([held.astype(np.uint8), beyond])
+
+
+def points_of(rows: list[bytes]) -> np.ndarray:
+    """The points of ``counts_of``; the sum of minima bounds an overlap from above, the excess included."""
+    raw = np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), DIMENSIONS + 4)
+    return np.concatenate([raw[:, :DIMENSIONS].astype(np.int32), raw[:, DIMENSIONS:].copy().view(np.int32)], axis=1)
+
+
+def folded(points: np.ndarray) -> np.ndarray:
+    """The points on fewer groups, each the sum of those that end in its bits."""
+    whole = points.shape[1] // FOLDED * FOLDED
+    groups = points[:, :whole].reshape(len(points), -1, FOLDED).sum(axis=1, dtype=np.int32)
+    return np.concatenate([groups, points[:, whole:]], axis=1)
 
 
 def bins_of(of: np.ndarray) -> np.ndarray:
@@ -201,6 +219,7 @@ class VectorTree:
     """An R-tree over count vectors, packed by size and then by one coordinate after the other."""
 
     def __init__(self, points: np.ndarray, sizes: np.ndarray):
+        fine, points = points, folded(points)
         slab = np.argsort(sizes, kind="stable")
         wide = np.argsort(-points.var(axis=0), kind="stable")[:2]
         order = [
@@ -208,7 +227,7 @@ class VectorTree:
             for part in np.array_split(slab, max(1, round((len(slab) / LEAF) ** 0.5)))
         ]
         self.order = np.concatenate(order)
-        self.points, self.sizes = points[self.order], sizes[self.order]
+        self.points, self.fine, self.sizes = points[self.order], fine[self.order], sizes[self.order]
         self.levels = []  # from the leaves up: upper corner, least and largest size
         corner, low, high, fan = self.points, self.sizes, self.sizes, LEAF
         while not self.levels or len(corner) > 1:
@@ -223,7 +242,7 @@ class VectorTree:
 
     def near(self, point: np.ndarray, size: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
         """Points whose bound reaches the overlap that a link asks for, and their bounds."""
-        nodes = np.arange(len(self.levels[-1][0]))
+        nodes, fine, point = np.arange(len(self.levels[-1][0])), point, folded(point[None])[0]
         for level in range(len(self.levels) - 1, -1, -1):
             corner, low, high = self.levels[level]
             bound = np.minimum(point, corner[nodes]).sum(axis=1)
@@ -233,7 +252,9 @@ class VectorTree:
             fan, total = (FAN, len(self.levels[level - 1][0])) if level else (LEAF, len(self.points))
             nodes = (nodes[:, None] * fan + np.arange(fan)).ravel()
             nodes = nodes[nodes < total]
-        bound = np.minimum(point, self.points[nodes]).sum(axis=1)
+        coarse = np.minimum(point, self.points[nodes]).sum(axis=1)
+        nodes = nodes[coarse * (100 + percent) >= percent * (size + self.sizes[nodes])]
+        bound = np.minimum(fine, self.fine[nodes]).sum(axis=1)
         fits = bound * (100 + percent) >= percent * (size + self.sizes[nodes])
         return self.order[nodes[fits]], bound[fits]
 
@@ -259,7 +280,7 @@ def _pair_rows(percent: int, best: int | None):
         if len(cls) < 2:
             return []
         found = []
-        points = np.frombuffer(b"".join(point), np.int32).reshape(len(point), DIMENSIONS)
+        points = points_of(list(point))
         for i, (near, bound) in enumerate(partners(points, size)):
             other = label[near] != label[i]
             other &= (side[near] != side[i]) | (side[i] == 2)

@@ -139,3 +139,30 @@ def test_what_the_search_writes_is_deleted(spark, corpus):
     before = set(shared.iterdir()) if shared.exists() else set()
     J.jaccard_components(docs(spark, corpus)).count()
     assert {p.name.split("-")[0] for p in set(shared.iterdir()) - before} == {"members", "labels"}
+
+
+def test_points_bound_overlaps_and_pass_few_near_copies_that_are_no_links():
+    draw = np.random.default_rng(7)
+
+    def copies(n, share, many):
+        base = draw.integers(0, 1 << 63, n).astype(np.uint64)
+        new = [np.where(draw.random(n) < share, base, draw.integers(0, 1 << 63, n).astype(np.uint64)) for _ in range(many)]
+        return [np.unique(x) for x in new]
+
+    for n, share, many in ((3, 0.9, 40), (300, 0.95, 40), (60_000, 0.95, 6)):  # the last has counts beyond a byte
+        sets = copies(n, share, many)
+        sizes = np.array([len(s) for s in sets])
+        points = J.points_of([J.counts_of(s).tobytes() for s in sets])
+        tree = J.VectorTree(points, sizes)
+        for i, one in enumerate(sets):
+            bounds = dict(zip(*(x.tolist() for x in tree.near(points[i], int(sizes[i]), 85)), strict=True))
+            for j, other in enumerate(sets):
+                both = len(np.intersect1d(one, other))
+                if 100 * both >= 85 * (sizes[i] + sizes[j] - both):
+                    assert bounds[j] >= both
+    # Likeness of 0.68: 32 coordinates let most of these pairs through, so pairs grew with the group's square.
+    sets = copies(300, 0.9, 100)
+    points = J.points_of([J.counts_of(s).tobytes() for s in sets])
+    tree = J.VectorTree(points, np.array([len(s) for s in sets]))
+    passed = sum(len(tree.near(points[i], len(s), 85)[0]) for i, s in enumerate(sets))
+    assert passed < 1_000
