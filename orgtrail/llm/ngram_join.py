@@ -21,7 +21,8 @@ coordinates. What does not reach the overlap that its size asks for is passed ov
 *Rounds.* First each class takes, in each listing, its two best bounded partners; these pairs
 are verified on the whole sets, and the links give components. Then all bounded pairs across
 components are verified; pairs within a component can change nothing. So no link between
-components is lost, and a large group of near copies does not give all its pairs.
+components is lost, and a large group of near copies does not give all its pairs. Near copies stand
+in many listings together: in the second round the first of them gives the pair, and few others.
 
 *Verification.* A pair is first bounded once more on finer counts, about one count per shingle,
 which pass little but links; only the texts of what passes are read again for their whole sets.
@@ -62,6 +63,10 @@ BEST = 2
 TILE = 2_000
 #: Set hashes that a task remembers, so that it lists copies once.
 REMEMBERED = 500_000
+#: Least keys of a class by which a listing sees who has met in an earlier one.
+LEAST = 32
+#: Pairs that a task remembers, so that it does not repeat what several listings give.
+REMEMBERED_PAIRS = 100_000
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
@@ -259,8 +264,42 @@ class VectorTree:
         return self.order[nodes[fits]], bound[fits]
 
 
+def _arrays(column) -> np.ndarray:
+    """The lists of an Arrow column as an array of arrays."""
+    lists = np.empty(len(column), object)
+    ends = np.cumsum(column.value_lengths().to_numpy())
+    for i, part in enumerate(np.split(column.flatten().to_numpy(), ends[:-1])):
+        lists[i] = part
+    return lists
+
+
+class Earlier:
+    """Which classes of a tile have already met in a listing before the tile's own."""
+
+    def __init__(self, keys: list[np.ndarray]):
+        self.lengths = np.fromiter(map(len, keys), np.int64, len(keys))
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        codes, self.codes = np.unique(np.concatenate(keys), return_inverse=True)
+        self.marked = np.zeros(len(codes), bool)
+
+    def met(self, one: int, others: np.ndarray) -> np.ndarray:
+        """Per class of ``others`` whether one of its earlier listings is one of ``one``, too."""
+        own = self.codes[self.starts[one] : self.starts[one] + self.lengths[one]]
+        lengths = self.lengths[others]
+        ends = np.cumsum(lengths)
+        at = np.arange(lengths.sum()) + np.repeat(self.starts[others] - (ends - lengths), lengths)
+        self.marked[own] = True
+        shared = np.bincount(np.repeat(np.arange(len(others)), lengths), self.marked[self.codes[at]], len(others))
+        self.marked[own] = False
+        return shared > 0
+
+
 def _pair_rows(percent: int, best: int | None):
-    """Per tile of a listing the bounded pairs of different components, at most ``best`` of each class."""
+    """Per tile of a listing the bounded pairs of different components.
+
+    At most ``best`` of each class, repeated in other listings perhaps; without ``best`` those alone
+    that have no known earlier listing in common, so that of all listings few but the first give the pair.
+    """
 
     def partners(points, size):
         """Per point those whose bound is high enough, and the bounds."""
@@ -276,28 +315,43 @@ def _pair_rows(percent: int, best: int | None):
             near = np.flatnonzero(fits[i])
             yield near, bound[i, near]
 
-    def of_tile(cls, label, size, side, point):
+    def of_tile(cls, label, size, side, point, earlier):
         if len(cls) < 2:
             return []
         found = []
         points = points_of(list(point))
+        before = Earlier(list(earlier)) if best is None else None
         for i, (near, bound) in enumerate(partners(points, size)):
             other = label[near] != label[i]
             other &= (side[near] != side[i]) | (side[i] == 2)
+            if before:  # each pair once, by its first class
+                other &= near > i
             near, bound = near[other], bound[other]
-            if best is not None and len(near) > best:
+            if before and len(near):
+                near = near[~before.met(i, near)]
+            elif not before and len(near) > best:
                 near = near[np.lexsort((cls[near], -bound))[:best]]
             found += [(min(cls[i], cls[j]), max(cls[i], cls[j])) for j in near]
         return found
 
     def rows(batches):
         held = None  # the last tile, which the next batch may go on with
+        given: set[tuple[int, int]] = set()
+
+        def fresh(pairs):
+            if len(given) >= REMEMBERED_PAIRS:
+                given.clear()
+            new = set(pairs) - given
+            given.update(new)
+            return _as_pairs(new)
+
         for batch in batches:
             if not batch.num_rows:
                 continue
             tile = np.stack([batch.column(n).to_numpy() for n in ("key", "low", "high")])
             columns = [batch.column(n).to_numpy() for n in ("cls", "label", "size", "side")]
             columns.append(np.array(batch.column("point").to_pylist() + [None], object)[:-1])
+            columns.append(_arrays(batch.column("earlier")))
             cuts = [0, *(np.flatnonzero((tile[:, 1:] != tile[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
             pairs = []
             for start, end in zip(cuts, cuts[1:], strict=False):
@@ -307,15 +361,15 @@ def _pair_rows(percent: int, best: int | None):
                 elif held:
                     pairs += of_tile(*map(np.concatenate, held[1]))
                 held = now, own
-            yield _as_pairs(pairs)
+            yield fresh(pairs)
         if held:
-            yield _as_pairs(of_tile(*map(np.concatenate, held[1])))
+            yield fresh(of_tile(*map(np.concatenate, held[1])))
 
     return rows
 
 
 def _as_pairs(pairs):
-    pairs = np.array(sorted(set(pairs)), np.int64).reshape(-1, 2)
+    pairs = np.array(sorted(pairs), np.int64).reshape(-1, 2)
     return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
 
@@ -359,8 +413,11 @@ def bounded_pairs(listed: DataFrame, points: DataFrame, labels: DataFrame | None
         F.min("label").alias("_first"), F.max("label").alias("_last"), F.count(F.lit(1)).alias("_all")
     )
     open_keys = per_key.filter("_first < _last").select("key", "_all")
+    opened = rows.join(open_keys, "key")
+    if best is None:
+        opened = at_rest(opened, "open-listings")
     placed = (
-        rows.join(open_keys, "key")
+        opened
         .withColumn("_tile", F.floor((F.row_number().over(Window.partitionBy("key").orderBy("size", "cls")) - 1) / TILE))
         .withColumn("_with", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_all") - 1) / TILE))))
         .select(
@@ -374,6 +431,13 @@ def bounded_pairs(listed: DataFrame, points: DataFrame, labels: DataFrame | None
             "size",
         )
     )
+    if best is None:
+        # A class has as many keys as its size allows; the least of them tell most of what two have in common.
+        # What they do not tell makes a pair come twice and loses none.
+        keys = opened.groupBy("cls").agg(F.slice(F.array_sort(F.collect_list("key")), 1, LEAST).alias("_keys"))
+        placed = placed.join(keys, "cls").withColumn("earlier", F.filter("_keys", lambda k: k < F.col("key"))).drop("_keys")
+    else:
+        placed = placed.withColumn("earlier", F.array().cast("array<long>"))
     pairs = (
         placed.join(points.select("cls", "point"), "cls")
         .repartition("key", "low", "high")

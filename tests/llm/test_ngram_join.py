@@ -166,3 +166,59 @@ def test_points_bound_overlaps_and_pass_few_near_copies_that_are_no_links():
     tree = J.VectorTree(points, np.array([len(s) for s in sets]))
     passed = sum(len(tree.near(points[i], len(s), 85)[0]) for i, s in enumerate(sets))
     assert passed < 1_000
+
+
+def test_a_pair_comes_from_one_of_its_listings(spark):
+    # Documents of two templates agree in most shingles, but link with their own only: many listings hold both.
+    draw = random.Random(11)
+    base = [f"w{draw.randrange(10_000)}" for _ in range(900)]
+
+    def changed(words, every):
+        return [f"x{draw.randrange(10**9)}" if draw.random() < every else w for w in words]
+
+    texts = [" ".join(changed(base, 0.022)) for _ in range(24)]  # likeness near the limit of a link
+    sets = [J.shingle_set(t) for t in texts]
+    listed = spark.createDataFrame(
+        [(int(k), J.set_hash(s)) for s in sets for k in np.unique(J.listings(s))], "key long, cls long"
+    )
+    points = spark.createDataFrame(
+        [(J.set_hash(s), len(s), J.counts_of(s).tobytes(), J.bins_of(s).tobytes()) for s in sets],
+        "cls long, size long, point binary, bins binary",
+    )
+    rows_of = {r["cls"]: (i, r) for i, r in enumerate(points.collect())}
+    keys: dict[int, list] = {}
+    for r in listed.collect():
+        keys.setdefault(r["key"], []).append(r["cls"])
+    batches = [
+        J.pa.RecordBatch.from_pydict(
+            {
+                "key": [k] * len(c),
+                "low": [0] * len(c),
+                "high": [0] * len(c),
+                "cls": c,
+                "label": c,
+                "size": [rows_of[x][1]["size"] for x in c],
+                "side": [2] * len(c),
+                "point": [rows_of[x][1]["point"] for x in c],
+                "earlier": [[e for e in keys if e < k and x in keys[e]] for x in c],
+            }
+        ).cast(
+            J.pa.schema(
+                [(n, J.pa.int64()) for n in ("key", "low", "high", "cls", "label", "size", "side")]
+                + [("point", J.pa.binary()), ("earlier", J.pa.list_(J.pa.int64()))]
+            )
+        )
+        for k, c in sorted(keys.items())
+    ]
+    # A task of its own for each listing, so that none remembers what another gave.
+    found = [p for b in batches for out in J._pair_rows(85, None)([b]) for p in zip(*out.to_pydict().values(), strict=True)]
+    met = [(a, b) for c in keys.values() for a in c for b in c if a < b]
+    assert len(met) > 3 * len(set(met)) and len(found) == len(set(found)) > 0
+    bounded = set()
+    for a, b in set(met):
+        p, q = (J.points_of([rows_of[x][1]["point"]])[0] for x in (a, b))
+        if 185 * int(np.minimum(p, q).sum()) >= 85 * (rows_of[a][1]["size"] + rows_of[b][1]["size"]):
+            bounded.add((a, b))
+    assert set(found) == bounded
+    whole = J.bounded_pairs(listed, points, None, 85, None).collect()
+    assert {(r["a"], r["b"]) for r in whole} <= bounded
