@@ -21,7 +21,8 @@ document; an empty table gives no rows.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orgtrail.llm.common import WORD, at_rest, text_or_empty
+from orgtrail.llm.common import at_rest, text_or_empty
+from orgtrail.operators.sides import Side, maybe_listed, rest
 
 BLANKS = r"[\x20\x09-\x0D]+"
 VARIABLE = "<*>"
@@ -37,8 +38,6 @@ LONG, LONG_DOCS = 50, 2
 #: tokens in which it must agree with its template.
 FIXED_SHARE = 0.5
 AGREE = 0.8
-#: Bits of the map of recurring leaves: 1 MB.
-MARKS = 1 << 23
 #: Forms of a bucket that others are compared with in the first round.
 SEEDS = 16
 
@@ -52,12 +51,15 @@ def _hash(text: Column) -> Column:
 
     Never null, or a join on it would test for null next to the scan and compute it twice.
     """
-    return F.coalesce(F.unhex(F.md5(F.encode(text, "UTF-8"))), F.lit(bytearray()))
+    return F.coalesce(F.unhex(F.md5(text.cast("binary"))), F.lit(bytearray()))
 
 
 def _spaced(line: Column) -> Column:
     """The line's tokens with one blank between them, as most lines have them already."""
-    odd = line.rlike(r"[\x09-\x0D]") | line.contains("  ")
+    # Looked for in bytes: a pattern would decode each line first.
+    odd = line.contains("  ")
+    for blank in "\t\n\v\f\r":
+        odd |= line.contains(blank)
     return F.trim(F.when(odd, F.regexp_replace(line, BLANKS, " ")).otherwise(line))
 
 
@@ -66,6 +68,11 @@ def _generalised(spaced: Column) -> Column:
     return F.ltrim(F.regexp_replace(F.concat(F.lit(" "), spaced), NUMBERED, f" {VARIABLE}"))
 
 
+def _variables(general: Column) -> Column:
+    """How many tokens are variable; most lines have none and are not decoded."""
+    return F.when(general.contains(VARIABLE), F.regexp_count(general, F.lit(IS_VARIABLE))).otherwise(0)
+
+
 def _leaf(spaced: Column, depth: int) -> Column:
     """The leaf of a line of ``n`` tokens: their number and the leading ones, generalised."""
     return _hash(F.concat(F.col("n").cast("string"), F.lit(" "), _generalised(F.substring_index(spaced, " ", depth))))
@@ -74,35 +81,14 @@ def _leaf(spaced: Column, depth: int) -> Column:
 def parsed_lines(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     """One row per line that has tokens: ``doc_id``, ``line``, ``leaf`` and ``n``, its tokens."""
     lines = docs.select("doc_id", F.explode(_lines(text_or_empty(F.col("text")))).alias("line"))
-    spaced = lines.filter(F.col("line").rlike(WORD)).withColumn("_spaced", _spaced(F.col("line")))
+    spaced = lines.filter(F.ltrim(F.col("line"), F.lit(" \t\n\v\f\r")) != "").withColumn("_spaced", _spaced(F.col("line")))
     blanks = F.octet_length("_spaced") - F.octet_length(F.replace(F.col("_spaced"), F.lit(" "), F.lit("")))
     return spaced.withColumn("n", blanks + 1).withColumn("leaf", _leaf(F.col("_spaced"), depth)).drop("_spaced")
 
 
-def _bit(leaf: Column) -> Column:
-    return F.xxhash64(leaf).bitwiseAND(F.lit(MARKS - 1))
-
-
-def _likely(lines: DataFrame, often: DataFrame) -> DataFrame:
-    """The lines whose leaf may be in ``often``, so that only those are shuffled.
-
-    The leaves are marked in a bitmap of ``MARKS`` bits, whatever their number; it is
-    broadcast in pieces of 4 KB. Too many leaves let more lines through, never fewer.
-    """
-    marks = (
-        often.select(_bit(F.col("leaf")).alias("_bit"))
-        .groupBy(F.shiftright("_bit", 15).alias("_piece"))
-        .agg(F.bitmap_construct_agg(F.col("_bit") % 32768).alias("_marks"))
-    )
-    at = F.col("_bit") % 32768
-    byte = F.conv(F.hex(F.substring(F.col("_marks"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return (
-        lines.withColumn("_bit", _bit(F.col("leaf")))
-        .withColumn("_piece", F.shiftright("_bit", 15))
-        .join(F.broadcast(marks), "_piece")
-        .filter((byte / F.pow(F.lit(2), at % 8)).cast("int") % 2 == 1)
-        .select("doc_id", "line", "leaf", "n")
-    )
+def _likely(lines: DataFrame, often: Side) -> DataFrame:
+    """The lines of the leaves in ``often``; a bitmap cuts most others where they are read, before the shuffle."""
+    return maybe_listed(lines, often, "leaf").join(often.frame, "leaf", "left_semi")
 
 
 def _enough(docs: Column, min_docs: int) -> Column:
@@ -185,15 +171,14 @@ def templates(
     """``doc_id`` and ``line_key`` of the lines whose template recurs, with ``form``."""
     lines = parsed_lines(docs, depth)
     documents = lines.select("leaf", "n", "doc_id").distinct().groupBy("leaf", "n").agg(F.count(F.lit(1)).alias("docs"))
-    often = at_rest(documents.filter(_enough(F.col("docs"), min_docs)).select("leaf"), "leaves")
+    often = rest(documents.filter(_enough(F.col("docs"), min_docs)).select("leaf"), "leaves")
     general = F.col("general")
     shown = F.when(F.col("fixed"), general).otherwise(F.col("spaced"))
     held = at_rest(
         _likely(lines, often)
-        .join(often, "leaf", "left_semi")
         .select("doc_id", _hash(F.col("line")).alias("line_key"), "leaf", "n", _spaced(F.col("line")).alias("spaced"))
         .withColumn("general", _generalised(F.col("spaced")))
-        .withColumn("fixed", F.col("n") - F.regexp_count(general, F.lit(IS_VARIABLE)) >= F.col("n") * F.lit(fixed_share))
+        .withColumn("fixed", F.col("n") - _variables(general) >= F.col("n") * F.lit(fixed_share))
         .withColumn("shown", shown)
         .select(
             "doc_id",
@@ -244,19 +229,18 @@ def drop_recurring_lines(docs: DataFrame, **parameters) -> DataFrame:
     keyed = F.transform(
         _lines(F.col("text")), lambda line: F.struct(line.alias("line"), _hash(line).alias("key"))
     )
+    # Null where nothing is dropped: such a text stays as it is and is not cut into lines.
     kept = F.when(
-        F.col("__dropped").isNull(), F.transform(_lines(F.col("text")), lambda line: line)
-    ).otherwise(
-        F.transform(
-            F.filter(keyed, lambda x: ~F.array_contains("__dropped", x["key"])), lambda x: x["line"]
-        )
+        F.col("__dropped").isNotNull(),
+        F.transform(F.filter(keyed, lambda x: ~F.array_contains("__dropped", x["key"])), lambda x: x["line"]),
     )
-    n_lines = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(_lines(F.col("text"))))
+    ends = F.octet_length("text") - F.octet_length(F.replace(F.col("text"), F.lit("\n"), F.lit("")))
+    n_lines = F.when(F.col("text").isNull(), F.lit(0)).otherwise(ends + 1)
     out = docs.join(marks, F.col("doc_id").eqNullSafe(F.col("__id")), "left").withColumn("__kept", kept)
     return (
         out.withColumn("n_lines", n_lines)
-        .withColumn("n_dropped", F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.col("n_lines") - F.size("__kept")))
-        .withColumn("text", F.array_join("__kept", "\n"))
+        .withColumn("n_dropped", F.when(F.col("__kept").isNull(), F.lit(0)).otherwise(F.col("n_lines") - F.size("__kept")))
+        .withColumn("text", F.when(F.col("__kept").isNull(), F.col("text")).otherwise(F.array_join("__kept", "\n")))
         .drop("__id", "__dropped", "__kept")
     )
 

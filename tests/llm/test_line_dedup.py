@@ -97,3 +97,22 @@ def test_lines_are_not_taken_apart_token_by_token(spark, capsys):
     line_dedup.parsed_lines(docs(spark, ["a b c1"])).explain(True)
     plan = capsys.readouterr().out
     assert "regexp_count" not in plan and "regexp_extract" not in plan and "lambda" not in plan
+
+
+def test_lines_of_other_leaves_are_cut_before_the_shuffle(spark):
+    lines = line_dedup.parsed_lines(docs(spark, [f"one two three four {i}\nsame line in all of them" for i in range(9)]))
+    often = line_dedup.rest(lines.filter("line like 'same%'").select("leaf").distinct(), "leaves")
+    likely = line_dedup._likely(lines, often)
+    assert rows(likely, "doc_id", "line") == [(i, "same line in all of them") for i in range(9)]
+    joins = [x for x in likely._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join " in x]
+    # The exact join is the upper one; below the bitmap's it would shuffle every line.
+    assert len(joins) == 2 and "_chunk" not in joins[0] and "LeftSemi" in joins[1]
+
+
+def test_blanks_and_variables_as_the_patterns_have_them(spark):
+    texts = ["a\tb  c", "\x0b \x0c", " x", "p\rq", "d\u00a0e f", "k"]
+    found = line_dedup.parsed_lines(docs(spark, texts))
+    assert rows(found, "doc_id", "n") == [(0, 3), (2, 1), (3, 2), (4, 2), (5, 1)]
+    general = spark.createDataFrame([("a <*> <*> b",), ("x<*> <*>y",), ("a b",), ("<*>",)], "t string")
+    counted = general.select("t", line_dedup._variables(general["t"]).alias("n"))
+    assert rows(counted, "t", "n") == [("<*>", 1), ("a <*> <*> b", 2), ("a b", 0), ("x<*> <*>y", 0)]
