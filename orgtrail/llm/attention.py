@@ -109,36 +109,122 @@ _DISTANCE = np.clip(_NEW - _OLD, 0, 2 * STEP - 1)
 _CAUSAL = _OLD <= _NEW
 
 
-def _windows(values: np.ndarray) -> np.ndarray:
-    """By window the ``STEP`` rows before it and its own; ``values`` has whole windows."""
-    blocks = values.reshape(-1, STEP, *values.shape[1:])
-    return np.concatenate([np.concatenate([blocks[:1] * 0, blocks[:-1]]), blocks], axis=1)
-
-
-def _attend(model: Model, ids: np.ndarray, texts: np.ndarray):
-    """Attention weights per window and what they gather; ``texts`` tells texts apart."""
-    of_window, text = _windows(ids), _windows(texts)
-    own = text[:, STEP:]
-    seen = _CAUSAL & (own[:, :, None] == text[:, None, :])
-    if len(seen):
-        seen[0, :, :STEP] = False  # nothing stands before the first window
-    query, key, value = model.query[of_window[:, STEP:]], model.key[of_window], model.value[of_window]
-    weight = query @ key.transpose(0, 2, 1)
-    weight *= np.float32(WIDTH**-0.5)
-    weight += model.distance[_DISTANCE]
-    np.putmask(weight, ~seen, np.float32(-1e9))
-    weight -= weight.max(axis=2, keepdims=True)
-    np.exp(weight, out=weight)
-    weight /= weight.sum(axis=2, keepdims=True)
-    return of_window, query, key, value, weight, (weight @ value).reshape(-1, WIDTH)
+#: Windows that are worked on together, so that their weights stay in a core's cache.
+TOGETHER = 4
+#: Below this size of any score, exponentials need no shift.
+TAME = 40.0
+#: Not seen; its exponential is 0.
+HIDDEN = np.float32(-1e9)
+
+
+def _overlapping(rows: np.ndarray) -> np.ndarray:
+    """By window the ``STEP`` rows before it and its own, as a view; zeros stand before the first."""
+    rows = np.concatenate([np.zeros((STEP, *rows.shape[1:]), rows.dtype), rows])
+    step = rows.strides[0]
+    shape = (len(rows) // STEP - 1, 2 * STEP, *rows.shape[1:])
+    return np.lib.stride_tricks.as_strided(rows, shape, (STEP * step, step, *rows.strides[1:]), writeable=False)
+
+
+def _biases(model: Model, texts: np.ndarray) -> list[np.ndarray]:
+    """What each window adds to its scores: the distance's bias, and ``HIDDEN`` where nothing is seen.
+
+    Most windows are of one text, with or without it before them, and share two tables.
+    """
+    whole = np.where(_CAUSAL, model.distance[_DISTANCE], HIDDEN)
+    begun = whole.copy()
+    begun[:, :STEP] = HIDDEN
+    own = texts.reshape(-1, STEP)
+    before = np.concatenate([np.full((1, STEP), -2), own[:-1]])
+    plain = ((own[:, 1:] == own[:, :-1]) | (own[:, 1:] == -1)).all(axis=1)
+    same = before == own[:, :1]
+    follows, begins = plain & same.all(axis=1), plain & ~same.any(axis=1)
+    out = []
+    for w in range(len(own)):
+        if follows[w]:
+            out.append(whole)
+        elif begins[w]:
+            out.append(begun)
+        else:
+            seen = own[w][:, None] == np.concatenate([before[w], own[w]])[None]
+            out.append(np.where(seen, whole, HIDDEN))
+    return out
+
+
+def _attend(model: Model, ids: np.ndarray, texts: np.ndarray, keep: bool = False):
+    """What attention gathers per position, with the parts that gradients need (``keep``).
+
+    These are the scaled query rows, key rows, value rows with a column of ones, exponentials of the
+    scores per window and their sums.
+    """
+    query = model.query[ids] * np.float32(WIDTH**-0.5)
+    key, value = model.key[ids], model.value[ids]
+    value = np.concatenate([value, np.ones((len(ids), 1), value.dtype)], axis=1)
+    keys, values, queries = _overlapping(key), _overlapping(value), query.reshape(-1, STEP, WIDTH)
+    biases = _biases(model, texts)
+    largest = (np.square(query).sum(axis=1).max(initial=0) * np.square(key).sum(axis=1).max(initial=0)) ** 0.5
+    tame = largest + np.abs(model.distance).max() < TAME
+    n = len(queries)
+    held = np.empty((n if keep else min(n, TOGETHER), STEP, 2 * STEP), query.dtype)
+    gathered = np.empty((n, STEP, WIDTH + 1), query.dtype)
+    for at in range(0, n, TOGETHER):
+        part = slice(at, min(at + TOGETHER, n))
+        weight = held[part] if keep else held[: part.stop - at]
+        np.matmul(queries[part], keys[part].transpose(0, 2, 1), out=weight)
+        for own, bias in zip(weight, biases[part], strict=True):
+            own += bias
+        if not tame:
+            weight -= weight.max(axis=2, keepdims=True)
+        np.exp(weight, out=weight)
+        np.matmul(weight, values[part], out=gathered[part])
+    gathered = gathered.reshape(-1, WIDTH + 1)
+    total = gathered[:, WIDTH:]  # the ones' column
+    return query, keys, values, held, total, gathered[:, :WIDTH] / total
 
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(axis=1, keepdims=True)
-    x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
+    """In place, along the last axis."""
+    x -= x.max(axis=-1, keepdims=True)
+    x -= np.log(np.exp(x).sum(axis=-1, keepdims=True))
     return x
 
 
+class Grouped:
+    """Rows by class, in blocks of rows of one class; what a block has to spare is zeros."""
+
+    def __init__(self, group: np.ndarray, rows: np.ndarray):
+        """``rows``: the positions that count."""
+        room = 16 if len(rows) <= 8192 else 64
+        group = group[rows].astype(np.int16)
+        order = np.argsort(group, kind="stable")
+        count = np.bincount(group, minlength=CLASSES)
+        blocks = -(-count // room)
+        self.of_block = np.repeat(np.arange(CLASSES), blocks)
+        self.shape = (len(self.of_block), room)
+        shift = (np.cumsum(blocks) - blocks) * room - (np.cumsum(count) - count)
+        self.rows, self.at = rows[order], np.arange(len(rows)) + np.repeat(shift, count)
+
+    def placed(self, values: np.ndarray) -> np.ndarray:
+        out = np.zeros((self.shape[0] * self.shape[1], values.shape[1]), values.dtype)
+        out[self.at] = values[self.rows]
+        return out.reshape(*self.shape, -1)
+
+    def taken(self, blocks: np.ndarray) -> np.ndarray:
+        """In the order of ``rows``."""
+        return blocks.reshape(-1, blocks.shape[-1])[self.at]
+
+    def summed(self, blocks: np.ndarray, out: np.ndarray) -> np.ndarray:
+        """One sum per class of what there is per block, into ``out``."""
+        starts = np.flatnonzero(np.diff(self.of_block, prepend=-1))
+        if len(starts):
+            out[self.of_block[starts]] = np.add.reduceat(blocks, starts, axis=0)
+        return out
+
+    def log_members(self, model: Model, states: np.ndarray) -> np.ndarray:
+        inner = states @ model.members[self.of_block].transpose(0, 2, 1)
+        inner += model.member_bias[self.of_block][:, None]
+        return _log_softmax(inner)
+
+
 def _before(ids: np.ndarray, texts: np.ndarray) -> np.ndarray:
     """The id before each position, that of the beginning where there is none."""
     before = np.concatenate([[BEGIN], ids[:-1]])
@@ -193,26 +279,29 @@ def _stretch(model: Model, ids: np.ndarray, texts: np.ndarray, wanted: np.ndarra
     place = model.place[wanted]
     group, member = place // MEMBERS, place % MEMBERS
     out = _log_softmax(state @ model.classes.T + model.class_bias)[np.arange(n), group]
-    order = np.argsort(group, kind="stable")
-    edges = np.searchsorted(group[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        own = order[edges[c] : edges[c + 1]]
-        if len(own):
-            inner = _log_softmax(state[own] @ model.members[c].T + model.member_bias[c])
-            out[own] += inner[np.arange(len(own)), member[own]]
+    by_class = Grouped(group, np.arange(n))
+    inner = by_class.taken(by_class.log_members(model, by_class.placed(state)))
+    out[by_class.rows] += inner[np.arange(n), member[by_class.rows]]
     return out
 
 
 def _added(rows: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Rows summed by id."""
     out = np.zeros((VOCABULARY, rows.shape[1]), np.float32)
-    order = np.argsort(ids, kind="stable")
+    order = np.argsort(ids.astype(np.int16), kind="stable")  # a radix sort
     sorted_ids = ids[order]
     starts = np.flatnonzero(np.concatenate([[True], sorted_ids[1:] != sorted_ids[:-1]]))
     out[sorted_ids[starts]] = np.add.reduceat(rows[order], starts, axis=0)
     return out
 
 
+def _own_rows(by_window: np.ndarray) -> np.ndarray:
+    """Per position the sum of what its own window and the next one have for it."""
+    out = by_window[:, STEP:].copy()
+    out[:-1] += by_window[1:, :STEP]
+    return out.reshape(-1, by_window.shape[2])
+
+
 def gradients(model: Model, ids: np.ndarray, texts: np.ndarray, wanted: np.ndarray):
     """Mean loss and its gradients by table name; positions of no text (-1) count for nothing."""
     ids, texts = _padded(ids, texts)
@@ -220,41 +309,54 @@ def gradients(model: Model, ids: np.ndarray, texts: np.ndarray, wanted: np.ndarr
     real = texts >= 0
     n = max(int(real.sum()), 1)
     own_rows = np.flatnonzero(real)
-    of_window, query, key, value, weight, gathered = _attend(model, ids, texts)
+    query, keys, values, weight, total, gathered = _attend(model, ids, texts, keep=True)
     before = _before(ids, texts)
     state = gathered + model.last[ids] + model.before[before]
     place = model.place[wanted]
     group, member = place // MEMBERS, place % MEMBERS
     log_class = _log_softmax(state @ model.classes.T + model.class_bias)
     loss = -log_class[own_rows, group[own_rows]].sum()
-    error = np.exp(log_class)
+    error = np.exp(log_class, out=log_class)
     error[np.arange(len(ids)), group] -= 1
     error *= real[:, None]
     error /= n
     grads = {"classes": error.T @ state, "class_bias": error.sum(axis=0)}
     back = error @ model.classes
-    grads["members"], grads["member_bias"] = np.zeros_like(model.members), np.zeros_like(model.member_bias)
-    for c in np.unique(group[own_rows]):
-        own = np.flatnonzero((group == c) & real)
-        inner = _log_softmax(state[own] @ model.members[c].T + model.member_bias[c])
-        loss -= inner[np.arange(len(own)), member[own]].sum()
-        wrong = np.exp(inner)
-        wrong[np.arange(len(own)), member[own]] -= 1
-        wrong /= n
-        grads["members"][c], grads["member_bias"][c] = wrong.T @ state[own], wrong.sum(axis=0)
-        back[own] += wrong @ model.members[c]
-    grads["last"], grads["before"] = _added(back, ids), _added(back, before)
-    by_window = back.reshape(-1, STEP, WIDTH)
-    d_weight = by_window @ value.transpose(0, 2, 1)
-    d_value = weight.transpose(0, 2, 1) @ by_window
-    d_score = weight * (d_weight - (d_weight * weight).sum(axis=2, keepdims=True))
-    grads["distance"] = np.bincount(
-        np.broadcast_to(_DISTANCE, d_score.shape).ravel(), d_score.ravel(), minlength=2 * STEP
-    ).astype(np.float32)
-    d_score *= np.float32(WIDTH**-0.5)
-    grads["query"] = _added((d_score @ key).reshape(-1, WIDTH), of_window[:, STEP:].ravel())
-    grads["key"] = _added((d_score.transpose(0, 2, 1) @ query).reshape(-1, WIDTH), of_window.ravel())
-    grads["value"] = _added(d_value.reshape(-1, WIDTH), of_window.ravel())
+    by_class = Grouped(group, own_rows)
+    states, own_member = by_class.placed(state), member[by_class.rows]
+    inner = by_class.log_members(model, states)
+    flat_inner = inner.reshape(-1, MEMBERS)
+    loss -= flat_inner[by_class.at, own_member].sum()
+    wrong = np.exp(inner, out=inner)
+    flat_inner[by_class.at, own_member] -= 1
+    spare = np.ones(len(flat_inner), bool)
+    spare[by_class.at] = False
+    flat_inner[spare] = 0
+    wrong /= n
+    grads["members"] = by_class.summed(wrong.transpose(0, 2, 1) @ states, np.zeros_like(model.members))
+    grads["member_bias"] = by_class.summed(wrong.sum(axis=1), np.zeros_like(model.member_bias))
+    back[by_class.rows] += by_class.taken(wrong @ model.members[by_class.of_block])
+    # Of a row's weights, exponentials over their sum, the gradient is weight * (own part - what all gather).
+    part = back / total
+    with_gathered = np.concatenate([part, -(part * gathered).sum(axis=1, keepdims=True)], axis=1)
+    queries, by_window = query.reshape(-1, STEP, WIDTH), part.reshape(-1, STEP, WIDTH)
+    with_gathered = with_gathered.reshape(-1, STEP, WIDTH + 1)
+    d_query, d_key, d_value = np.empty_like(queries), np.empty_like(keys), np.empty_like(keys)
+    far = np.zeros((STEP, 2 * STEP), np.float64)
+    for at in range(0, len(weight), TOGETHER):
+        now = slice(at, at + TOGETHER)
+        np.matmul(weight[now].transpose(0, 2, 1), by_window[now], out=d_value[now])
+        d_score = with_gathered[now] @ values[now].transpose(0, 2, 1)
+        d_score *= weight[now]
+        far += d_score.sum(axis=0)
+        np.matmul(d_score, keys[now], out=d_query[now])
+        np.matmul(d_score.transpose(0, 2, 1), queries[now], out=d_key[now])
+    grads["distance"] = np.bincount(_DISTANCE.ravel(), far.ravel(), minlength=2 * STEP).astype(np.float32)
+    d_query *= np.float32(WIDTH**-0.5)
+    rows = np.concatenate([d_query.reshape(-1, WIDTH), _own_rows(d_key), _own_rows(d_value), back], axis=1)
+    added = np.split(_added(rows, ids), 4, axis=1)
+    grads |= dict(zip(("query", "key", "value", "last"), added, strict=True))
+    grads["before"] = _added(back, before)
     return loss / n, grads
 
 
@@ -271,9 +373,20 @@ class Adam:
         t, moment, square, tables = self.taken, self.moment, self.square, self.model.tables
         now = self.rate * max(1 - 0.95 * t / self.steps, 0.05)
         for k, g in gradients(self.model, ids, texts, wanted)[1].items():
-            moment[k] += 0.1 * (g - moment[k])
-            square[k] += 0.01 * (g * g - square[k])
-            tables[k] -= (now * moment[k] / (1 - 0.9**t) / (np.sqrt(square[k] / (1 - 0.99**t)) + 1e-8)).astype(np.float32)
+            moved = g - moment[k]
+            moved *= 0.1
+            moment[k] += moved
+            np.multiply(g, g, out=moved)
+            moved -= square[k]
+            moved *= 0.01
+            square[k] += moved
+            np.divide(square[k], 1 - 0.99**t, out=moved)
+            np.sqrt(moved, out=moved)
+            moved += 1e-8
+            step = now * moment[k]
+            step /= 1 - 0.9**t
+            step /= moved
+            tables[k] -= step
 
 
 def flat(model: Model) -> np.ndarray:

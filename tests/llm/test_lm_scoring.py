@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -171,3 +172,22 @@ def test_shards_of_a_larger_corpus_learn_what_one_does(spark, monkeypatch):
     ids, marks, wanted = S._stream([[*map(spell, b"the cat 3 sat on the mat and the dog 4 ran".split()), [A.END]]])
     loss = -A.text_log_likelihoods(model, ids, marks, wanted)[2:-1].mean()
     assert loss < 1.5, loss
+
+
+def test_large_scores_and_mixed_windows_equal_one_position_at_a_time(random_model):
+    draw = np.random.default_rng(6)
+    tables = {k: v * np.float32(30 if k in ("query", "key") else 1) for k, v in random_model.tables.items()}
+    model = A.Model(random_model.place, tables)
+    texts = np.repeat([0, 1, 2], [A.STEP, 2 * A.STEP + 40, 60])
+    ids, wanted = draw.integers(0, A.VOCABULARY, (2, len(texts)))
+    assert A.log_likelihoods(model, ids, texts, wanted) == pytest.approx(brute_logs(model, ids, texts, wanted), abs=1e-3)
+
+
+def test_scoring_holds_the_weights_of_few_windows_at_a_time(random_model):
+    n = A.STRETCH
+    ids, texts = np.arange(n) % A.VOCABULARY, np.zeros(n, int)
+    tracemalloc.start()
+    A.log_likelihoods(random_model, ids, texts, ids)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 * n * 2 * A.STEP  # less than the weights of all windows, of which there were several copies
