@@ -1,7 +1,9 @@
 """What several operators share."""
 
+import ctypes
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,3 +41,15 @@ def at_rest(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     path = path or scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def give_back() -> None:
+    """Hand memory that is free again back to the system, from Arrow's pool and, where it can be asked, the C library's.
+
+    Both keep it otherwise, and in pieces that the next collected rows do not fit in, so that a driver
+    that fits one model after another grows.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)

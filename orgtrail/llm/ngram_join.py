@@ -44,7 +44,7 @@ an output name are not read.
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from orgtrail.llm.common import at_rest
@@ -469,7 +469,8 @@ def components(links: DataFrame) -> DataFrame:
     """``node`` and ``label``, the least node that it reaches, for all nodes with a link.
 
     Alternating stars: each node's larger, then its smaller neighbours are tied to its least
-    one, until nothing changes. Every round is written to the shared folder.
+    one, until nothing changes. Every round is written to the shared folder; the run that writes it
+    also tells whether the edges are still the same, so that they are not read again for that.
     """
 
     def star(edges: DataFrame, larger: bool) -> DataFrame:
@@ -484,14 +485,15 @@ def components(links: DataFrame) -> DataFrame:
             tied = tied.unionByName(least.select("a", F.col("_least").alias("b")))
         return tied.filter("a > b").distinct()
 
-    def seen(edges: DataFrame) -> tuple:
-        return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
+    def written(edges: DataFrame, name: str) -> tuple[DataFrame, tuple]:
+        seen = Observation()
+        edges = at_rest(edges.observe(seen, F.count(F.lit(1)).alias("rows"), F.bit_xor(F.xxhash64("a", "b")).alias("sum")), name)
+        found = seen.get
+        return edges, (found.get("rows"), found.get("sum"))
 
-    edges = at_rest(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a > b").distinct(), "links")
-    before = seen(edges)
+    edges, before = written(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a > b").distinct(), "links")
     while True:
-        edges = at_rest(star(star(edges, larger=True), larger=False), "stars")
-        now = seen(edges)
+        edges, now = written(star(star(edges, larger=True), larger=False), "stars")
         if now == before:
             break
         before = now

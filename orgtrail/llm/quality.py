@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orgtrail.llm.common import at_rest, id_crc, text_or_empty
+from orgtrail.llm.common import at_rest, give_back, id_crc, text_or_empty
 from orgtrail.llm.sampling import fit_rows
 from orgtrail.operators.sides import maybe_listed, rest
 
@@ -177,8 +177,15 @@ def fit_quality(
     """A model of ``labels.quality`` from the documents of ``docs`` that are labelled.
 
     Class counts are over all labelled rows; ``fit_on`` and ``FIT_FEATURES`` bound the rows
-    that come to the driver, as lists of feature numbers.
+    that come to the driver, as lists of feature numbers. What they took is given back at the end.
     """
+    try:
+        return _fitted(docs, labels, fit_on, cost, epochs)
+    finally:
+        give_back()
+
+
+def _fitted(docs: DataFrame, labels: DataFrame, fit_on: int, cost: float, epochs: int) -> QualityModel:
     known = labels.filter("quality in (0, 1) and doc_id is not null").select(
         "doc_id", F.col("quality").cast("int").alias("label")
     )

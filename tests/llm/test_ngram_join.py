@@ -222,3 +222,17 @@ def test_a_pair_comes_from_one_of_its_listings(spark):
     assert set(found) == bounded
     whole = J.bounded_pairs(listed, points, None, 85, None).collect()
     assert {(r["a"], r["b"]) for r in whole} <= bounded
+
+
+def test_components_do_not_read_their_edges_again_to_compare_them(spark, monkeypatch):
+    edges = [(i + 1, i) for i in range(9)] + [(101, 100), (102, 101), (200, 100)]
+    frame = spark.createDataFrame(edges, "a long, b long")
+
+    def refused(self):
+        raise AssertionError("the edges are read once more")
+
+    monkeypatch.setattr(type(frame), "first", refused)
+    found = J.components(frame)
+    monkeypatch.undo()
+    assert rows(found, "node", "label") == sorted([(i, 0) for i in range(10)] + [(i, 100) for i in (100, 101, 102, 200)], key=repr)
+    assert J.components(frame.filter("false")).count() == 0

@@ -1,6 +1,8 @@
+import gc
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tests.llm.build import docs
@@ -121,3 +123,12 @@ def test_labels_beyond_the_broadcast_give_the_same_scores(spark, monkeypatch):
     monkeypatch.setattr(Q, "LABEL_ROWS", 0)
     found = {r.doc_id: r.score for r in Q.quality_report(frame, labels).collect()}
     assert found == pytest.approx(wanted, abs=1e-9)
+
+
+def test_the_sample_is_gone_when_memory_is_given_back(spark, monkeypatch):
+    given, labels = read_table(spark, "/root/testdata/sf0.001", "documents"), read_table(spark, "/root/testdata/sf0.001", "labels")
+    gc.collect()
+    before, held = pa.total_allocated_bytes(), []
+    monkeypatch.setattr(Q, "give_back", lambda: held.append(pa.total_allocated_bytes() - before))
+    Q.fit_quality(Q.training_part(given), labels)
+    assert held == [0]

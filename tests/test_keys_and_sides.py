@@ -201,3 +201,9 @@ def test_scratch_is_released_at_the_end_of_the_block(spark):
     assert spark.read.parquet(kept).count() == 3
     drop_dir(spark, kept)
     assert not os.path.exists(kept.removeprefix("file:"))
+
+
+def test_bits_and_zeros_of_a_bitmap_are_merged_by_one_shuffle(spark):
+    side = S.rest(spark.range(400).select(F.col("id").alias("k")), "keys")
+    plan = S.key_bitmap(side, "k")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
