@@ -41,18 +41,36 @@ class Speller:
 
     def __init__(self, encode, piece_bytes, known: dict[tuple[int, bool], int]):
         self.encode, self.piece_bytes, self.known = encode, piece_bytes, known
+        # Ids that pieces have had so far, by 2 * piece + final.
+        self.starts, self.lengths = np.zeros((2, 0), np.int64)
+        self.ids = np.empty(0, np.int64)
+
+    def ids_of(self, piece: int, final: bool) -> list[int]:
+        one = self.known.get((piece, final))
+        return byte_ids(self.piece_bytes(piece), final) if one is None else [one]
 
     def __call__(self, word: bytes) -> list[int]:
         pieces = self.encode(word.decode("utf-8", "replace"))
-        ids: list[int] = []
-        for at, piece in enumerate(pieces):
-            final = at == len(pieces) - 1
-            one = self.known.get((piece, final))
-            if one is None:
-                ids += byte_ids(self.piece_bytes(piece), final)
-            else:
-                ids.append(one)
-        return ids
+        return [i for at, piece in enumerate(pieces) for i in self.ids_of(piece, at == len(pieces) - 1)]
+
+    def spelled(self, pieces: np.ndarray, final: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces in a row, and how many each has."""
+        codes = 2 * pieces + final
+        more = int(codes.max(initial=-1)) + 1 - len(self.lengths)
+        if more > 0:
+            self.starts, self.lengths = np.pad(self.starts, (0, more)), np.pad(self.lengths, (0, more))
+        new = np.unique(codes[self.lengths.take(codes) == 0])
+        found = [self.ids_of(*divmod(code, 2)) for code in new.tolist()]
+        self.lengths[new] = np.fromiter(map(len, found), np.int64, len(found))
+        self.starts[new] = len(self.ids) + np.cumsum(self.lengths[new]) - self.lengths[new]
+        self.ids = np.concatenate([self.ids, *(np.array(ids, np.int64) for ids in found)])
+        return ragged(self.ids, self.starts.take(codes), self.lengths.take(codes))
+
+
+def ragged(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of the values in a row, and their lengths."""
+    shift = starts - (np.cumsum(lengths) - lengths)
+    return values.take(np.arange(int(lengths.sum())) + np.repeat(shift, lengths)), lengths
 
 
 @dataclass
@@ -111,118 +129,176 @@ _CAUSAL = _OLD <= _NEW
 
 #: Windows that are worked on together, so that their weights stay in a core's cache.
 TOGETHER = 4
+#: A window's positions go by halves: the first half sees nothing of the second, and products of this size take
+#: BLAS half the time a position that products of whole windows do.
+HALVES = (slice(0, STEP // 2), slice(STEP // 2, STEP))
 #: Below this size of any score, exponentials need no shift.
 TAME = 40.0
 #: Not seen; its exponential is 0.
 HIDDEN = np.float32(-1e9)
-
-
-def _overlapping(rows: np.ndarray) -> np.ndarray:
-    """By window the ``STEP`` rows before it and its own, as a view; zeros stand before the first."""
-    rows = np.concatenate([np.zeros((STEP, *rows.shape[1:]), rows.dtype), rows])
-    step = rows.strides[0]
-    shape = (len(rows) // STEP - 1, 2 * STEP, *rows.shape[1:])
-    return np.lib.stride_tricks.as_strided(rows, shape, (STEP * step, step, *rows.strides[1:]), writeable=False)
-
-
-def _biases(model: Model, texts: np.ndarray) -> list[np.ndarray]:
-    """What each window adds to its scores: the distance's bias, and ``HIDDEN`` where nothing is seen.
-
-    Most windows are of one text, with or without it before them, and share two tables.
+#: Positions whose next ids are predicted together.
+PREDICTED = 4096
+#: Parameters that a step works on together.
+PIECE = 32_768
+#: Rows of a block of a product.
+BLOCKED = 256
+#: Rows of one id up to which sums are made for all ids at once, row by row.
+FEW = 8
+
+
+def _overlapping(values: np.ndarray, blank: int) -> np.ndarray:
+    """By window the ``STEP`` values before it and its own, as a view; blanks stand before the first."""
+    values = np.concatenate([np.full(STEP, blank, values.dtype), values])
+    step = values.strides[0]
+    shape = (len(values) // STEP - 1, 2 * STEP)
+    return np.lib.stride_tricks.as_strided(values, shape, (STEP * step, step), writeable=False)
+
+
+def _windows(model: Model, texts: np.ndarray):
+    """Windows that are worked on together, the first of their old rows that is seen, and by half what is added to scores.
+
+    That is the distance's bias, and ``HIDDEN`` where nothing is seen, by old row and position.
+    Most windows are of one text, with or without it before them, and share tables; where a text begins, nothing
+    before the window is worked on.
     """
-    whole = np.where(_CAUSAL, model.distance[_DISTANCE], HIDDEN)
-    begun = whole.copy()
-    begun[:, :STEP] = HIDDEN
-    own = texts.reshape(-1, STEP)
-    before = np.concatenate([np.full((1, STEP), -2), own[:-1]])
+    whole = np.where(_CAUSAL, model.distance[_DISTANCE], HIDDEN).T
+    own, around = texts.reshape(-1, STEP), _overlapping(texts, -2)
     plain = ((own[:, 1:] == own[:, :-1]) | (own[:, 1:] == -1)).all(axis=1)
-    same = before == own[:, :1]
-    follows, begins = plain & same.all(axis=1), plain & ~same.any(axis=1)
-    out = []
-    for w in range(len(own)):
-        if follows[w]:
-            out.append(whole)
-        elif begins[w]:
-            out.append(begun)
-        else:
-            seen = own[w][:, None] == np.concatenate([before[w], own[w]])[None]
-            out.append(np.where(seen, whole, HIDDEN))
-    return out
+    same = around[:, :STEP] == own[:, :1]
+    begins, follows = plain & ~same.any(axis=1), plain & same.all(axis=1)
+    for chosen, first in ((begins, STEP), (follows, 0), (~(begins | follows), 0)):
+        biases = [np.ascontiguousarray(whole[first : STEP + half.stop, half]) for half in HALVES]
+        windows = np.flatnonzero(chosen)
+        for at in range(0, len(windows), TOGETHER):
+            part = windows[at : at + TOGETHER]
+            if plain[part[0]] and (first or follows[part[0]]):
+                yield part, first, biases
+            else:
+                yield part, first, [
+                    np.where(around[part, : STEP + half.stop, None] == own[part, None, half], bias, HIDDEN)
+                    for half, bias in zip(HALVES, biases, strict=True)
+                ]
 
 
 def _attend(model: Model, ids: np.ndarray, texts: np.ndarray, keep: bool = False):
-    """What attention gathers per position, with the parts that gradients need (``keep``).
+    """What attention gathers per position, the sums of its exponentials, and what gradients need (``keep``).
 
-    These are the scaled query rows, key rows, value rows with a column of ones, exponentials of the
-    scores per window and their sums.
+    This is, for windows that were worked on together: their numbers, the first old row that is seen, key rows, value
+    rows with a column of ones, and by half the scaled query rows and the exponentials of scores by old row and position.
     """
-    query = model.query[ids] * np.float32(WIDTH**-0.5)
-    key, value = model.key[ids], model.value[ids]
-    value = np.concatenate([value, np.ones((len(ids), 1), value.dtype)], axis=1)
-    keys, values, queries = _overlapping(key), _overlapping(value), query.reshape(-1, STEP, WIDTH)
-    biases = _biases(model, texts)
-    largest = (np.square(query).sum(axis=1).max(initial=0) * np.square(key).sum(axis=1).max(initial=0)) ** 0.5
-    tame = largest + np.abs(model.distance).max() < TAME
-    n = len(queries)
-    held = np.empty((n if keep else min(n, TOGETHER), STEP, 2 * STEP), query.dtype)
-    gathered = np.empty((n, STEP, WIDTH + 1), query.dtype)
-    for at in range(0, n, TOGETHER):
-        part = slice(at, min(at + TOGETHER, n))
-        weight = held[part] if keep else held[: part.stop - at]
-        np.matmul(queries[part], keys[part].transpose(0, 2, 1), out=weight)
-        for own, bias in zip(weight, biases[part], strict=True):
-            own += bias
-        if not tame:
-            weight -= weight.max(axis=2, keepdims=True)
-        np.exp(weight, out=weight)
-        np.matmul(weight, values[part], out=gathered[part])
+    queries = model.query * np.float32(WIDTH**-0.5)
+    ones = np.concatenate([model.value, np.ones((VOCABULARY, 1), model.value.dtype)], axis=1)
+    by_window, around = ids.reshape(-1, STEP), _overlapping(ids, BEGIN)
+    longest = lambda rows: np.einsum("ij,ij->i", rows, rows).max(initial=0) ** 0.5
+    tame = longest(queries) * longest(model.key) + np.abs(model.distance).max() < TAME
+    gathered = np.empty((*by_window.shape, WIDTH + 1), model.query.dtype)
+    held = []
+    room = None if keep else np.empty((TOGETHER, 2 * STEP, STEP // 2), model.query.dtype)
+    for part, first, biases in _windows(model, texts):
+        old = around[part, first:]
+        keys, values = model.key.take(old, axis=0), ones.take(old, axis=0)
+        halves = []
+        for half, bias in zip(HALVES, biases, strict=True):
+            seen = STEP - first + half.stop
+            query = queries.take(by_window[part, half], axis=0)
+            shape = (len(part), seen, STEP // 2)
+            weight = np.empty(shape, query.dtype) if keep else room[: len(part), :seen]
+            np.matmul(keys[:, :seen], np.ascontiguousarray(query.transpose(0, 2, 1)), out=weight)
+            weight += bias
+            if not tame:
+                weight -= weight.max(axis=1, keepdims=True)
+            np.exp(weight, out=weight)
+            gathered[part, half] = weight.transpose(0, 2, 1) @ values[:, :seen]
+            halves.append((query, weight))
+        if keep:
+            held.append((part, first, keys, values, halves))
     gathered = gathered.reshape(-1, WIDTH + 1)
     total = gathered[:, WIDTH:]  # the ones' column
-    return query, keys, values, held, total, gathered[:, :WIDTH] / total
-
-
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    """In place, along the last axis."""
-    x -= x.max(axis=-1, keepdims=True)
-    x -= np.log(np.exp(x).sum(axis=-1, keepdims=True))
-    return x
-
+    return gathered[:, :WIDTH] / total, total, held
 
-class Grouped:
-    """Rows by class, in blocks of rows of one class; what a block has to spare is zeros."""
 
-    def __init__(self, group: np.ndarray, rows: np.ndarray):
-        """``rows``: the positions that count."""
-        room = 16 if len(rows) <= 8192 else 64
-        group = group[rows].astype(np.int16)
-        order = np.argsort(group, kind="stable")
-        count = np.bincount(group, minlength=CLASSES)
-        blocks = -(-count // room)
-        self.of_block = np.repeat(np.arange(CLASSES), blocks)
-        self.shape = (len(self.of_block), room)
-        shift = (np.cumsum(blocks) - blocks) * room - (np.cumsum(count) - count)
-        self.rows, self.at = rows[order], np.arange(len(rows)) + np.repeat(shift, count)
-
-    def placed(self, values: np.ndarray) -> np.ndarray:
-        out = np.zeros((self.shape[0] * self.shape[1], values.shape[1]), values.dtype)
-        out[self.at] = values[self.rows]
-        return out.reshape(*self.shape, -1)
-
-    def taken(self, blocks: np.ndarray) -> np.ndarray:
-        """In the order of ``rows``."""
-        return blocks.reshape(-1, blocks.shape[-1])[self.at]
+def _product(rows: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """``rows @ table``, in blocks of a size that BLAS does not pack."""
+    out = np.empty((len(rows), table.shape[1]), rows.dtype)
+    whole = len(rows) // BLOCKED * BLOCKED
+    blocks = lambda x: x[:whole].reshape(-1, BLOCKED, x.shape[1])
+    np.matmul(blocks(rows), table, out=blocks(out))
+    np.matmul(rows[whole:], table, out=out[whole:])
+    return out
 
-    def summed(self, blocks: np.ndarray, out: np.ndarray) -> np.ndarray:
-        """One sum per class of what there is per block, into ``out``."""
-        starts = np.flatnonzero(np.diff(self.of_block, prepend=-1))
-        if len(starts):
-            out[self.of_block[starts]] = np.add.reduceat(blocks, starts, axis=0)
-        return out
 
-    def log_members(self, model: Model, states: np.ndarray) -> np.ndarray:
-        inner = states @ model.members[self.of_block].transpose(0, 2, 1)
-        inner += model.member_bias[self.of_block][:, None]
-        return _log_softmax(inner)
+class Prediction:
+    """Of some positions (``rows``), put in the order of the class of the wanted id: exponentials and their sums, by class
+    and within the class."""
+
+    def __init__(self, model: Model, state: np.ndarray, wanted: np.ndarray, rows: np.ndarray):
+        place = model.place.take(wanted.take(rows))
+        group = place // MEMBERS
+        self.model, each = model, np.arange(len(place))
+        order = np.argsort(group.astype(np.int16), kind="stable")  # a radix sort
+        self.rows, self.group = rows.take(order), group.take(order)
+        self.state = state.take(self.rows, axis=0)
+        ends = np.cumsum(np.bincount(group, minlength=CLASSES)).tolist()
+        self.spans = [(c, a, b) for c, (a, b) in enumerate(zip([0, *ends[:-1]], ends, strict=True)) if a < b]
+        # Where the wanted class and member stand among a position's.
+        self.slots = each * CLASSES + self.group, each * MEMBERS + place.take(order) % MEMBERS
+        self.parts = self._scores()
+        self.found = sum(part.ravel().take(slots) for part, slots in zip(self.parts, self.slots, strict=True))
+        self.shift = np.zeros(len(place), state.dtype)
+        self.totals = self._exponentials()
+        if any(((x < 1e-30) | (x > 1e30) | np.isnan(x)).any() for x in self.totals):  # the scores are large
+            self.parts = self._scores()
+            for part in self.parts:
+                largest = part.max(axis=1, keepdims=True)
+                part -= largest
+                self.shift += largest[:, 0]
+            self.totals = self._exponentials()
+
+    def _scores(self) -> tuple[np.ndarray, np.ndarray]:
+        model, state = self.model, self.state
+        classes = _product(state, np.ascontiguousarray(model.classes.T))
+        classes += model.class_bias
+        members = np.empty((len(state), MEMBERS), state.dtype)
+        columns = np.ascontiguousarray(model.members.transpose(0, 2, 1))
+        for c, a, b in self.spans:
+            np.dot(state[a:b], columns[c], out=members[a:b])
+        members += model.member_bias.take(self.group, axis=0)
+        return classes, members
+
+    def _exponentials(self) -> list[np.ndarray]:
+        with np.errstate(over="ignore"):
+            return [np.exp(part, out=part) @ np.ones(part.shape[1], part.dtype) for part in self.parts]
+
+    def logs(self) -> np.ndarray:
+        """Log probabilities of the wanted ids, in the order of ``rows``."""
+        return self.found - self.shift - np.log(self.totals[0]) - np.log(self.totals[1])
+
+    def gradients(self) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+        """Those of the mean loss: for the states, in the order of ``rows``, and by table. Exponentials give way to errors."""
+        model, state, n = self.model, self.state, max(len(self.found), 1)
+        share = state.dtype.type(1 / n)
+        for part, total, slots in zip(self.parts, self.totals, self.slots, strict=True):
+            part *= (share / total)[:, None]
+            part.reshape(-1)[slots] -= share
+        of_class, of_member = self.parts
+        members, member_bias = np.zeros_like(model.members), np.zeros_like(model.member_bias)
+        back = _product(of_class, model.classes)
+        inner = np.empty_like(state)
+        for c, a, b in self.spans:
+            np.dot(of_member[a:b].T, state[a:b], out=members[c])
+            np.add.reduce(of_member[a:b], axis=0, out=member_bias[c])
+            np.dot(of_member[a:b], model.members[c], out=inner[a:b])
+        back += inner
+        whole = len(state) // BLOCKED * BLOCKED
+        blocks = lambda x: x[:whole].reshape(-1, BLOCKED, x.shape[1])
+        classes = (blocks(of_class).transpose(0, 2, 1) @ blocks(state)).sum(axis=0)
+        classes += of_class[whole:].T @ state[whole:]
+        return back, {
+            "classes": classes,
+            "class_bias": of_class.sum(axis=0),
+            "members": members,
+            "member_bias": member_bias,
+        }
 
 
 def _before(ids: np.ndarray, texts: np.ndarray) -> np.ndarray:
@@ -273,130 +349,137 @@ def log_likelihoods(model: Model, ids: np.ndarray, texts: np.ndarray, wanted: np
 def _stretch(model: Model, ids: np.ndarray, texts: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     n = len(ids)
     padded, marks = _padded(ids, texts)
-    state = _attend(model, padded, marks)[-1][:n]
-    state += model.last[ids]
-    state += model.before[_before(ids, texts)]
-    place = model.place[wanted]
-    group, member = place // MEMBERS, place % MEMBERS
-    out = _log_softmax(state @ model.classes.T + model.class_bias)[np.arange(n), group]
-    by_class = Grouped(group, np.arange(n))
-    inner = by_class.taken(by_class.log_members(model, by_class.placed(state)))
-    out[by_class.rows] += inner[np.arange(n), member[by_class.rows]]
+    state = _attend(model, padded, marks)[0][:n]
+    state += model.last.take(ids, axis=0)
+    state += model.before.take(_before(ids, texts), axis=0)
+    out = np.empty(n, state.dtype)
+    for at in range(0, n, PREDICTED):
+        predicted = Prediction(model, state, wanted, np.arange(at, min(at + PREDICTED, n)))
+        out[predicted.rows] = predicted.logs()
     return out
 
 
 def _added(rows: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Rows summed by id."""
-    out = np.zeros((VOCABULARY, rows.shape[1]), np.float32)
+    """Rows summed by id: an id of many rows by itself, the others together by their first rows, their second ones and so on."""
+    out = np.zeros((VOCABULARY, rows.shape[1]), rows.dtype)
     order = np.argsort(ids.astype(np.int16), kind="stable")  # a radix sort
-    sorted_ids = ids[order]
-    starts = np.flatnonzero(np.concatenate([[True], sorted_ids[1:] != sorted_ids[:-1]]))
-    out[sorted_ids[starts]] = np.add.reduceat(rows[order], starts, axis=0)
+    rows, ids = rows.take(order, axis=0), ids[order]
+    starts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]])) if len(ids) else np.empty(0, np.int64)
+    counts = np.diff(np.append(starts, len(ids)))
+    by_count = np.argsort(-counts, kind="stable")
+    starts, counts = starts[by_count], counts[by_count]
+    many = int(np.searchsorted(-counts, -FEW))
+    for at, n in zip(starts[:many].tolist(), counts[:many].tolist(), strict=True):
+        np.add.reduce(rows[at : at + n], axis=0, out=out[ids[at]])
+    starts, counts = starts[many:], counts[many:]
+    sums = rows.take(starts, axis=0)
+    for at in range(1, int(counts.max(initial=0))):
+        more = int(np.searchsorted(-counts, -at))  # have another row
+        sums[:more] += rows.take(starts[:more] + at, axis=0)
+    out[ids[starts]] = sums
     return out
 
 
-def _own_rows(by_window: np.ndarray) -> np.ndarray:
-    """Per position the sum of what its own window and the next one have for it."""
-    out = by_window[:, STEP:].copy()
-    out[:-1] += by_window[1:, :STEP]
-    return out.reshape(-1, by_window.shape[2])
-
-
 def gradients(model: Model, ids: np.ndarray, texts: np.ndarray, wanted: np.ndarray):
     """Mean loss and its gradients by table name; positions of no text (-1) count for nothing."""
     ids, texts = _padded(ids, texts)
-    wanted = np.pad(wanted, (0, len(ids) - len(wanted)))
-    real = texts >= 0
-    n = max(int(real.sum()), 1)
-    own_rows = np.flatnonzero(real)
-    query, keys, values, weight, total, gathered = _attend(model, ids, texts, keep=True)
-    before = _before(ids, texts)
-    state = gathered + model.last[ids] + model.before[before]
-    place = model.place[wanted]
-    group, member = place // MEMBERS, place % MEMBERS
-    log_class = _log_softmax(state @ model.classes.T + model.class_bias)
-    loss = -log_class[own_rows, group[own_rows]].sum()
-    error = np.exp(log_class, out=log_class)
-    error[np.arange(len(ids)), group] -= 1
-    error *= real[:, None]
-    error /= n
-    grads = {"classes": error.T @ state, "class_bias": error.sum(axis=0)}
-    back = error @ model.classes
-    by_class = Grouped(group, own_rows)
-    states, own_member = by_class.placed(state), member[by_class.rows]
-    inner = by_class.log_members(model, states)
-    flat_inner = inner.reshape(-1, MEMBERS)
-    loss -= flat_inner[by_class.at, own_member].sum()
-    wrong = np.exp(inner, out=inner)
-    flat_inner[by_class.at, own_member] -= 1
-    spare = np.ones(len(flat_inner), bool)
-    spare[by_class.at] = False
-    flat_inner[spare] = 0
-    wrong /= n
-    grads["members"] = by_class.summed(wrong.transpose(0, 2, 1) @ states, np.zeros_like(model.members))
-    grads["member_bias"] = by_class.summed(wrong.sum(axis=1), np.zeros_like(model.member_bias))
-    back[by_class.rows] += by_class.taken(wrong @ model.members[by_class.of_block])
+    real = np.flatnonzero(texts >= 0)
+    gathered, total, held = _attend(model, ids, texts, keep=True)
+    state = gathered + model.last.take(ids, axis=0)
+    state += model.before.take(_before(ids, texts), axis=0)
+    predicted = Prediction(model, state, wanted, real)
+    loss = -predicted.logs().sum() / max(len(real), 1)
+    own_back, grads = predicted.gradients()
+    # By position, with a window before the first: what its query, its key and its value, and what it adds to the states
+    # of its own and of the next position.
+    rows = np.zeros((STEP + len(ids), 5 * WIDTH), gathered.dtype)
+    d_query, d_old, back, d_next = np.split(rows, [WIDTH, 3 * WIDTH, 4 * WIDTH], axis=1)
+    back[STEP + predicted.rows] = own_back
+    d_next[:-1] = back[1:]
+    begins = STEP + np.flatnonzero(np.concatenate([[True], texts[1:] != texts[:-1]]))
+    d_next[begins - 1] = 0
     # Of a row's weights, exponentials over their sum, the gradient is weight * (own part - what all gather).
-    part = back / total
-    with_gathered = np.concatenate([part, -(part * gathered).sum(axis=1, keepdims=True)], axis=1)
-    queries, by_window = query.reshape(-1, STEP, WIDTH), part.reshape(-1, STEP, WIDTH)
+    with_gathered = np.empty((len(ids), WIDTH + 1), gathered.dtype)
+    part = np.divide(back[STEP:], total, out=with_gathered[:, :WIDTH])
+    np.negative(np.einsum("ij,ij->i", part, gathered), out=with_gathered[:, WIDTH])
     with_gathered = with_gathered.reshape(-1, STEP, WIDTH + 1)
-    d_query, d_key, d_value = np.empty_like(queries), np.empty_like(keys), np.empty_like(keys)
-    far = np.zeros((STEP, 2 * STEP), np.float64)
-    for at in range(0, len(weight), TOGETHER):
-        now = slice(at, at + TOGETHER)
-        np.matmul(weight[now].transpose(0, 2, 1), by_window[now], out=d_value[now])
-        d_score = with_gathered[now] @ values[now].transpose(0, 2, 1)
-        d_score *= weight[now]
-        far += d_score.sum(axis=0)
-        np.matmul(d_score, keys[now], out=d_query[now])
-        np.matmul(d_score.transpose(0, 2, 1), queries[now], out=d_key[now])
-    grads["distance"] = np.bincount(_DISTANCE.ravel(), far.ravel(), minlength=2 * STEP).astype(np.float32)
-    d_query *= np.float32(WIDTH**-0.5)
-    rows = np.concatenate([d_query.reshape(-1, WIDTH), _own_rows(d_key), _own_rows(d_value), back], axis=1)
-    added = np.split(_added(rows, ids), 4, axis=1)
-    grads |= dict(zip(("query", "key", "value", "last"), added, strict=True))
-    grads["before"] = _added(back, before)
-    return loss / n, grads
+    room = STEP // 2
+    d_query, d_old = d_query[STEP:].reshape(-1, STEP, WIDTH), d_old.reshape(-1, room, 2 * WIDTH)
+    far = [np.zeros((STEP + half.stop, room), gathered.dtype) for half in HALVES]
+    for windows, first, keys, values, halves in held:
+        for half, of_half, (query, weight) in zip(HALVES, far, halves, strict=True):
+            seen = weight.shape[1]
+            own = with_gathered[windows, half]
+            d_score = values[:, :seen] @ np.ascontiguousarray(own.transpose(0, 2, 1))
+            d_score *= weight
+            of_half[first:] += d_score.sum(axis=0)
+            d_query[windows, half] = d_score.transpose(0, 2, 1) @ keys[:, :seen]
+            d_rows = np.empty((len(windows), seen, 2 * WIDTH), weight.dtype)
+            np.matmul(d_score, query, out=d_rows[:, :, :WIDTH])
+            np.matmul(weight, np.ascontiguousarray(own[:, :, :WIDTH]), out=d_rows[:, :, WIDTH:])
+            for at in range(0, seen, room):
+                d_old[2 * windows + (first + at) // room] += d_rows[:, at : at + room]
+    distance = np.zeros(2 * STEP)
+    for half, of_half in zip(HALVES, far, strict=True):
+        distance += np.bincount(_DISTANCE[half, : STEP + half.stop].T.ravel(), of_half.ravel(), minlength=2 * STEP)
+    added = np.split(_added(rows[STEP:], ids), 5, axis=1)
+    added[0] *= np.float32(WIDTH**-0.5)
+    grads |= dict(zip(("query", "key", "value", "last", "before"), added, strict=True)) | {"distance": distance.astype(np.float32)}
+    grads["before"][BEGIN] += back[begins].sum(axis=0)
+    return loss, grads
 
 
 class Adam:
-    """Steps of Adam on a model, in place; the rate falls to a twentieth over ``steps`` and stays there."""
+    """Steps of Adam on a model, in place; the rate falls to a twentieth over ``steps`` and stays there.
+
+    The model's tables become views of one row of parameters, which is worked on in pieces that stay in a core's
+    cache. Moments are held as sums, a tenth and a hundredth of which they are.
+    """
 
     def __init__(self, model: Model, steps: int, rate: float = 0.02):
         self.model, self.steps, self.rate, self.taken = model, steps, rate, 0
-        self.moment = {k: np.zeros_like(v) for k, v in model.tables.items()}
-        self.square = {k: np.zeros_like(v) for k, v in model.tables.items()}
+        self.values = flat(model)
+        model.tables = _tables(self.values, model)
+        self.moment, self.square = np.zeros_like(self.values), np.zeros_like(self.values)
+        self.gradient = np.empty_like(self.values)
+        self.by_table = _tables(self.gradient, model)
 
     def step(self, ids: np.ndarray, texts: np.ndarray, wanted: np.ndarray) -> None:
         self.taken += 1
-        t, moment, square, tables = self.taken, self.moment, self.square, self.model.tables
-        now = self.rate * max(1 - 0.95 * t / self.steps, 0.05)
+        t = self.taken
         for k, g in gradients(self.model, ids, texts, wanted)[1].items():
-            moved = g - moment[k]
-            moved *= 0.1
-            moment[k] += moved
-            np.multiply(g, g, out=moved)
-            moved -= square[k]
-            moved *= 0.01
-            square[k] += moved
-            np.divide(square[k], 1 - 0.99**t, out=moved)
-            np.sqrt(moved, out=moved)
-            moved += 1e-8
-            step = now * moment[k]
-            step /= 1 - 0.9**t
-            step /= moved
-            tables[k] -= step
+            self.by_table[k][...] = g
+        now = self.rate * max(1 - 0.95 * t / self.steps, 0.05)
+        # Of the moments m / (1 - 0.9 ** t) and s / (1 - 0.99 ** t), the step is now * m / (sqrt(s) + 1e-8).
+        root = (0.01 / (1 - 0.99**t)) ** 0.5
+        scale, least = now * 0.1 / (1 - 0.9**t) / root, 1e-8 / root
+        for at in range(0, len(self.values), PIECE):
+            value, g, moment, square = (x[at : at + PIECE] for x in (self.values, self.gradient, self.moment, self.square))
+            moment *= 0.9
+            moment += g
+            g *= g
+            square *= 0.99
+            square += g
+            np.sqrt(square, out=g)
+            g += least
+            np.divide(moment, g, out=g)
+            g *= scale
+            value -= g
 
 
 def flat(model: Model) -> np.ndarray:
     return np.concatenate([model.tables[k].ravel() for k in NAMES])
 
 
-def shaped(values: np.ndarray, like: Model) -> Model:
-    """The model of which ``values`` are the parameters in a row."""
+def _tables(values: np.ndarray, like: Model) -> dict[str, np.ndarray]:
+    """Views of ``values``, the parameters in a row, by table."""
     tables, at = {}, 0
     for k in NAMES:
         shape, size = like.tables[k].shape, like.tables[k].size
-        tables[k], at = values[at : at + size].reshape(shape).astype(np.float32), at + size
-    return Model(like.place, tables)
+        tables[k], at = values[at : at + size].reshape(shape), at + size
+    return tables
+
+
+def shaped(values: np.ndarray, like: Model) -> Model:
+    """The model of which ``values`` are the parameters in a row."""
+    return Model(like.place, _tables(values.astype(np.float32), like))

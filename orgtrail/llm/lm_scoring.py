@@ -24,6 +24,7 @@ read.
 """
 
 from collections import Counter
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -46,8 +47,8 @@ BLOCK = 2048
 MODEL_SHARE = 0.3
 #: Words whose counts are broadcast, at most.
 FREQUENT = 200_000
-#: Words whose pieces a worker remembers, and words it counts before passing them on.
-REMEMBERED, HELD = 100_000, 2_000_000
+#: Different words, and bytes of texts or of words, that a worker holds before it passes them on or forgets them.
+REMEMBERED, HELD = 300_000, 1 << 25
 
 #: The end of a text counts as a word; no word is empty.
 END_KEY = xxhash.xxh64_intdigest(b"")
@@ -57,32 +58,33 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "replace").lower().split()
 
 
-def word_keys(words: list[bytes]) -> np.ndarray:
-    """Hashes of the words and of the end."""
-    keys = np.empty(len(words) + 1, np.uint64)
-    keys[:-1] = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-    keys[-1] = END_KEY
-    return keys
+def _keys(words) -> np.ndarray:
+    """Hashes of words."""
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64)
 
 
-def _count_rows(batches):
-    held: list[np.ndarray] = []
-    waiting = 0
-
-    def counted():
-        keys, n = np.unique(np.concatenate(held), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], names=["key", "n"])
-
+def _counted(batches):
+    """Different words of some texts with their counts, and how many texts these were."""
+    seen: Counter = Counter()
+    held = texts = 0
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             for text in batch.slice(at, 256).column("text").to_pylist():
-                held.append(word_keys(words_of(text)))
-                waiting += len(held[-1])
-            if waiting >= HELD:
-                yield counted()
-                held, waiting = [], 0
-    if held:
-        yield counted()
+                seen.update(words_of(text))
+                held += len(text or "")
+                texts += 1
+                if len(seen) >= REMEMBERED or held >= HELD:
+                    yield seen, texts
+                    seen, held, texts = Counter(), 0, 0
+    if texts:
+        yield seen, texts
+
+
+def _count_rows(batches):
+    for seen, texts in _counted(batches):
+        keys = np.append(_keys(seen), np.uint64(END_KEY))
+        n = np.append(np.fromiter(seen.values(), np.int64, len(seen)), texts)
+        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], names=["key", "n"])
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -108,34 +110,119 @@ def frequent(counts: DataFrame, most: int = FREQUENT) -> tuple[np.ndarray, np.nd
     return keys[order], rows["n"].to_numpy(np.int64)[order]
 
 
+def encoding_of(ranks: dict[bytes, int]) -> tiktoken.Encoding:
+    return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 def speller(ranks: dict[bytes, int], known: dict[tuple[int, bool], int]) -> A.Speller:
-    encoding = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    encoding = encoding_of(ranks)
     return A.Speller(encoding.encode_ordinary, encoding.decode_single_token_bytes, known)
 
 
-def _stream(texts: list[list[list[int]]]):
-    """Input ids, text numbers and wanted ids of texts, each given as its words' ids."""
-    wanted = np.array([i for words in texts for ids in words for i in ids], np.int64)
-    lengths = np.array([sum(map(len, words)) for words in texts])
-    marks = np.repeat(np.arange(len(texts)), lengths)
-    ids = np.concatenate([[A.BEGIN], wanted[:-1]])
-    ids[np.concatenate([[0], np.cumsum(lengths)[:-1]])] = A.BEGIN
-    return ids, marks, wanted
+def pieces_of(encode, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Pieces of words in a row, and how many each word has.
 
+    The encoder gets them in one text, parted by line ends. These join with nothing that is no blank, so that a
+    word has the pieces that it has alone; words with blanks of other scripts in them are encoded alone.
+    """
+    texts = [word.decode("utf-8", "replace") for word in words]
+    alone = np.zeros(len(texts), bool)
+    together = "\n".join(texts)
+    if together.split() != texts:
+        alone = np.array([text.split() != [text] for text in texts], bool)
+        together = "\n".join(text for text, odd in zip(texts, alone, strict=True) if not odd)
+    (line_end,) = encode("\n")
+    pieces = np.array(encode(f"{together}\n"), np.int64) if together else np.empty(0, np.int64)
+    ends = np.flatnonzero(pieces == line_end)
+    odd = [encode(texts[at]) for at in np.flatnonzero(alone)]
+    lengths = np.empty(len(texts), np.int64)
+    lengths[~alone] = np.diff(ends, prepend=-1) - 1
+    lengths[alone] = np.fromiter(map(len, odd), np.int64, len(odd))
+    pieces = np.concatenate([pieces[pieces != line_end], np.fromiter(chain.from_iterable(odd), np.int64)])
+    order = np.argsort(alone, kind="stable")
+    starts = np.empty(len(texts), np.int64)
+    starts[order] = np.cumsum(lengths[order]) - lengths[order]
+    return A.ragged(pieces, starts, lengths)
+
+
+def last_of(lengths: np.ndarray) -> np.ndarray:
+    """Whether a piece is the last of its word."""
+    last = np.zeros(int(lengths.sum()), bool)
+    last[np.cumsum(lengths) - 1] = True
+    return last
+
+
+class _Slots(dict):
+    """A number for each word, given when it is first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = at = len(self)
+        return at
+
+
+class Lexicon:
+    """What is known of words, by slot: their hashes and their ids, which stand in a row.
+
+    Slot 0 is the end of a text. When it has ``REMEMBERED`` words, or ``HELD`` bytes of them, it begins anew before the
+    next texts.
+    """
 
-def remembered(make):
-    """``make`` of a word, kept for ``REMEMBERED`` words at a time."""
-    memory: dict[bytes, list] = {}
+    def __init__(self, speller: A.Speller, about=None):
+        """``about``: what else is to be known, an array made of an array of hashes."""
+        self.speller, self.about = speller, about or (lambda keys: keys)
+        self._begin()
+
+    def _begin(self) -> None:
+        self.slots, self.held = _Slots(), 0
+        self.keys, self.ids = np.empty(0, np.uint64), np.empty(0, np.int16)
+        self.starts, self.lengths = np.empty((2, 0), np.int64)
+        self.known = self.about(self.keys)
+        self.slots[b""]
+        self._add([b""], np.array([A.END]), np.ones(1, np.int64))
+
+    def _add(self, words: list[bytes], ids: np.ndarray, lengths: np.ndarray) -> None:
+        keys = _keys(words)
+        self.held += sum(map(len, words))
+        self.starts = np.append(self.starts, len(self.ids) + np.cumsum(lengths) - lengths)
+        self.lengths = np.append(self.lengths, lengths)
+        self.ids = np.append(self.ids, ids.astype(np.int16))
+        self.keys, self.known = np.append(self.keys, keys), np.append(self.known, self.about(keys))
+
+    def _learn(self) -> None:
+        """Takes in the words that have a slot only."""
+        words = [*islice(self.slots, len(self.keys), None)]
+        pieces, lengths = pieces_of(self.speller.encode, words)
+        ids, of_piece = self.speller.spelled(pieces, last_of(lengths))
+        self._add(words, ids, np.add.reduceat(of_piece, np.cumsum(lengths) - lengths))
+
+    def numbers(self, texts: list[list[bytes]]) -> np.ndarray:
+        """Slots of the texts' words, each text followed by its end."""
+        if len(self.slots) >= REMEMBERED or self.held >= HELD:
+            self._begin()
+        words = [w for text in texts for w in (*text, b"")]
+        out = np.fromiter(map(self.slots.__getitem__, words), np.int64, len(words))
+        if len(self.slots) > len(self.keys):
+            self._learn()
+        return out
+
+    def spelled(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words in a row, and how many each word has."""
+        ids, spans = A.ragged(self.ids, self.starts.take(numbers), self.lengths.take(numbers))
+        return ids.astype(np.int64), spans
+
+
+def _behind(wanted: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The input ids of texts of so many ids: what stands before each wanted one."""
+    ids = np.concatenate([[A.BEGIN], wanted[:-1]])
+    ids[np.cumsum(lengths) - lengths] = A.BEGIN
+    return ids
 
-    def get(word: bytes):
-        found = memory.get(word)
-        if found is None:
-            if len(memory) >= REMEMBERED:
-                memory.clear()
-            found = memory[word] = make(word)
-        return found
 
-    return get
+def _stream(texts: list[list[list[int]]]):
+    """Input ids, text numbers and wanted ids of texts, each given as its words' ids."""
+    wanted = np.array([i for words in texts for ids in words for i in ids], np.int64)
+    lengths = np.array([sum(map(len, words)) for words in texts])
+    return _behind(wanted, lengths), np.repeat(np.arange(len(texts)), lengths), wanted
 
 
 def _texts(batches, most: int = 64):
@@ -147,18 +234,16 @@ def _texts(batches, most: int = 64):
 
 def _piece_rows(shared):
     def rows(batches):
-        encoding = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=shared.value, special_tokens={})
-        pieces_of = remembered(lambda word: encoding.encode_ordinary(word.decode("utf-8", "replace")))
-        seen: Counter = Counter()  # bounded by the ranks
-        for texts in _texts(batches):
-            for word, n in Counter(w for t in texts for w in t).items():
-                pieces = pieces_of(word)
-                for piece in pieces[:-1]:
-                    seen[piece, False] += n
-                seen[pieces[-1], True] += n
+        encoding = encoding_of(shared.value)
+        seen = np.zeros(2 * (encoding.max_token_value + 1), np.int64)
+        for words, _ in _counted(batches):
+            if words:
+                pieces, lengths = pieces_of(encoding.encode_ordinary, [*words])
+                counts = np.fromiter(words.values(), np.int64, len(words))
+                np.add.at(seen, 2 * pieces + last_of(lengths), np.repeat(counts, lengths))
+        found = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([p for p, _ in seen], pa.int64()), pa.array([f for _, f in seen], pa.bool_()), pa.array(seen.values(), pa.int64())],
-            names=["piece", "final", "n"],
+            [pa.array(found // 2), pa.array(found % 2 == 1), pa.array(seen[found])], names=["piece", "final", "n"]
         )
 
     return rows
@@ -166,17 +251,19 @@ def _piece_rows(shared):
 
 def _streams(batches, ranks, known):
     """Input ids, text numbers and wanted ids of some texts at a time."""
-    spell = remembered(speller(ranks, known))
+    lexicon = Lexicon(speller(ranks, known))
     for texts in _texts(batches):
-        yield _stream([[*map(spell, t), [A.END]] for t in texts])
+        wanted, spans = lexicon.spelled(lexicon.numbers(texts))
+        words = np.array([len(text) + 1 for text in texts])
+        lengths = np.add.reduceat(spans, np.cumsum(words) - words)
+        yield _behind(wanted, lengths), np.repeat(np.arange(len(texts)), lengths), wanted
 
 
 def _follow_rows(shared):
     def rows(batches):
         follow = np.zeros(A.VOCABULARY**2, np.int64)
         for ids, _, wanted in _streams(batches, *shared.value):
-            pairs, n = np.unique(ids * A.VOCABULARY + wanted, return_counts=True)
-            follow[pairs] += n
+            np.add.at(follow, ids * A.VOCABULARY + wanted, 1)
         pairs = np.flatnonzero(follow)
         for at in range(0, len(pairs), 65_536):
             part = pairs[at : at + 65_536]
@@ -269,30 +356,31 @@ def _score_rows(shared):
 
     def rows(batches):
         model, known, ranks, keys, counts, total, types = shared.value
-        ids_of = remembered(speller(ranks, known))
         floor = np.log10(total + 0.5 * (types + 1))
 
+        def count_of(hashed):
+            """Counts of frequent words, -1 for others."""
+            if not len(keys):
+                return np.full(len(hashed), -1, np.int64)
+            slot = np.minimum(np.searchsorted(keys, hashed), len(keys) - 1)
+            return np.where(keys[slot] == hashed, counts[slot], -1)
+
+        lexicon = Lexicon(speller(ranks, known), count_of)
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
                 texts = [words_of(text) for text in part.column("text").to_pylist()]
                 lengths = np.array([len(t) + 1 for t in texts])
-                flat = [w for t in texts for w in (*t, b"")]
-                hashed = np.concatenate([word_keys(t) for t in texts])
-                pieces = [ids_of(w) if w else [A.END] for w in flat]
-                spans = np.fromiter(map(len, pieces), np.int64, len(pieces))
-                wanted = np.fromiter((i for ids in pieces for i in ids), np.int64, int(spans.sum()))
+                numbers = lexicon.numbers(texts)
+                wanted, spans = lexicon.spelled(numbers)
                 owner = np.repeat(np.arange(len(texts)), lengths)
-                ends = np.cumsum(spans)
-                starts = ends - spans
-                ids = np.concatenate([[A.BEGIN], wanted[:-1]])
-                first = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-                ids[starts[first]] = A.BEGIN
+                starts = np.cumsum(spans) - spans
+                ids = _behind(wanted, np.add.reduceat(spans, np.cumsum(lengths) - lengths))
                 logs = A.text_log_likelihoods(model, ids, np.repeat(owner, spans), wanted)
                 lm = np.add.reduceat(logs.astype(np.float64), starts)
-                slot = np.minimum(np.searchsorted(keys, hashed), max(len(keys) - 1, 0))
-                held = keys[slot] == hashed if len(keys) else np.zeros(len(hashed), bool)
-                n = np.where(held, counts[slot], 0) if len(keys) else np.zeros(len(hashed))
+                hashed, n = lexicon.keys.take(numbers), lexicon.known.take(numbers)
+                held = n >= 0
+                n = np.maximum(n, 0)
                 base = np.log10(n + 0.5) - floor
                 score = np.log10(MODEL_SHARE * np.exp(lm) + (1 - MODEL_SHARE) * 10**base)
                 by_text = lambda x, owner=owner, held=held: np.bincount(owner[held], x[held], minlength=len(texts))  # noqa: B023, E731

@@ -191,3 +191,69 @@ def test_scoring_holds_the_weights_of_few_windows_at_a_time(random_model):
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 4 * n * 2 * A.STEP  # less than the weights of all windows, of which there were several copies
+
+
+def test_positions_are_not_worked_on_with_rows_that_they_cannot_see(random_model):
+    n = 8 * A.STEP
+    ids = np.arange(n) % A.VOCABULARY
+
+    def worked_on(texts):
+        held = A._attend(random_model, ids, texts, keep=True)[-1]
+        return sum(weight.size for *_, halves in held for _, weight in halves)
+
+    # Half a window sees nothing of what follows it, and a text's first window nothing before it.
+    assert worked_on(np.zeros(n, int)) <= 7 * n * 2 * A.STEP // 8
+    assert worked_on(np.repeat(np.arange(8), A.STEP)) <= 3 * n * 2 * A.STEP // 8
+
+
+def test_rows_are_added_by_id_however_often_an_id_comes():
+    draw = np.random.default_rng(7)
+    ids = np.concatenate([np.repeat(5, 300), np.repeat(np.arange(40, 60), np.arange(20)), draw.integers(0, A.VOCABULARY, 500)])
+    draw.shuffle(ids)
+    rows = draw.normal(size=(len(ids), 3))
+    want = np.zeros((A.VOCABULARY, 3))
+    np.add.at(want, ids, rows)
+    assert A._added(rows, ids) == pytest.approx(want)
+    assert not A._added(rows[:0], ids[:0]).any()
+
+
+def test_predictions_from_large_scores_are_finite(random_model):
+    tables = random_model.tables | {k: random_model.tables[k] * np.float32(400) for k in ("last", "classes", "members")}
+    model = A.Model(random_model.place, tables)
+    ids, texts = np.arange(200), np.zeros(200, int)
+    logs = A.log_likelihoods(model, ids, texts, ids[::-1])
+    assert logs == pytest.approx(brute_logs(model, ids, texts, ids[::-1]), rel=1e-3, abs=0.1) and logs.min() < -100
+    loss, grads = A.gradients(model, ids, texts, ids[::-1])
+    assert np.isfinite(loss) and all(np.isfinite(g).all() for g in grads.values())
+
+
+def test_words_encoded_together_have_the_pieces_that_they_have_alone():
+    encoding = S.encoding_of(read_ranks())
+    spell = S.speller(read_ranks(), {(100, True): 600, (300, False): 601})
+    plain = [b"the", b"don't", b"'s", "\u65e5\u672c".encode(), b"x1,2;", b"\xff\xfe", b"!?", b"the"]
+    blanks = ["\u00a0a".encode(), b"a\x1cb", "a\u2003".encode(), "\u2028".encode()]
+    calls = []
+    for words in (plain, plain[:1], plain + blanks + plain, blanks):
+        pieces, lengths = S.pieces_of(lambda text: calls.append(text) or encoding.encode_ordinary(text), words)
+        alone = [encoding.encode_ordinary(w.decode("utf-8", "replace")) for w in words]
+        assert [x.tolist() for x in np.split(pieces, np.cumsum(lengths)[:-1])] == alone
+        ids, of_piece = spell.spelled(pieces, S.last_of(lengths))
+        of_word = np.add.reduceat(of_piece, np.cumsum(lengths) - lengths)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(of_word)[:-1])] == [spell(w) for w in words]
+        if words is plain:
+            assert len(calls) <= 2  # not one call per word
+
+
+def test_a_lexicon_that_begins_anew_spells_the_same(monkeypatch):
+    ranks = read_ranks()
+    texts = [[f"w{i % 50}x{i}".encode() for i in range(at, at + 40)] for at in range(0, 400, 20)] + [[]]
+    spell = S.speller(ranks, {})
+    want = [i for text in texts for ids in (*map(spell, text), [A.END]) for i in ids]
+    for most in (S.REMEMBERED, 60, 1):
+        monkeypatch.setattr(S, "REMEMBERED", most)
+        lexicon = S.Lexicon(S.speller(ranks, {}), lambda keys: keys % 7)
+        numbers = [lexicon.numbers([text]) for text in texts[:3]]
+        assert lexicon.known.tolist() == (lexicon.keys % 7).tolist() and len(numbers[0]) == 41
+        lexicon = S.Lexicon(S.speller(ranks, {}))
+        assert [i for text in texts for i in lexicon.spelled(lexicon.numbers([text]))[0].tolist()] == want
+        assert len(lexicon.slots) == len(lexicon.keys) <= max(most, 0) + 41 or most > 400
