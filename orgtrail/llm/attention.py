@@ -342,21 +342,22 @@ def log_likelihoods(model: Model, ids: np.ndarray, texts: np.ndarray, wanted: np
     out = np.empty(len(ids), np.float32)
     for at in range(0, len(ids), STRETCH):
         part = slice(max(at - STEP, 0), at + STRETCH)
-        out[at : at + STRETCH] = _stretch(model, ids[part], texts[part], wanted[part])[at - part.start :]
+        out[at : at + STRETCH] = _stretch(model, ids[part], texts[part], wanted[part], at - part.start)
     return out
 
 
-def _stretch(model: Model, ids: np.ndarray, texts: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+def _stretch(model: Model, ids: np.ndarray, texts: np.ndarray, wanted: np.ndarray, context: int) -> np.ndarray:
+    """As ``log_likelihoods``, without the first positions, which only give context."""
     n = len(ids)
     padded, marks = _padded(ids, texts)
     state = _attend(model, padded, marks)[0][:n]
     state += model.last.take(ids, axis=0)
     state += model.before.take(_before(ids, texts), axis=0)
     out = np.empty(n, state.dtype)
-    for at in range(0, n, PREDICTED):
+    for at in range(context, n, PREDICTED):
         predicted = Prediction(model, state, wanted, np.arange(at, min(at + PREDICTED, n)))
         out[predicted.rows] = predicted.logs()
-    return out
+    return out[context:]
 
 
 def _added(rows: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -403,9 +404,8 @@ def gradients(model: Model, ids: np.ndarray, texts: np.ndarray, wanted: np.ndarr
     part = np.divide(back[STEP:], total, out=with_gathered[:, :WIDTH])
     np.negative(np.einsum("ij,ij->i", part, gathered), out=with_gathered[:, WIDTH])
     with_gathered = with_gathered.reshape(-1, STEP, WIDTH + 1)
-    room = STEP // 2
-    d_query, d_old = d_query[STEP:].reshape(-1, STEP, WIDTH), d_old.reshape(-1, room, 2 * WIDTH)
-    far = [np.zeros((STEP + half.stop, room), gathered.dtype) for half in HALVES]
+    d_query = d_query[STEP:].reshape(-1, STEP, WIDTH)
+    far = [np.zeros((STEP + half.stop, STEP // 2), gathered.dtype) for half in HALVES]
     for windows, first, keys, values, halves in held:
         for half, of_half, (query, weight) in zip(HALVES, far, halves, strict=True):
             seen = weight.shape[1]
@@ -417,8 +417,8 @@ def gradients(model: Model, ids: np.ndarray, texts: np.ndarray, wanted: np.ndarr
             d_rows = np.empty((len(windows), seen, 2 * WIDTH), weight.dtype)
             np.matmul(d_score, query, out=d_rows[:, :, :WIDTH])
             np.matmul(weight, np.ascontiguousarray(own[:, :, :WIDTH]), out=d_rows[:, :, WIDTH:])
-            for at in range(0, seen, room):
-                d_old[2 * windows + (first + at) // room] += d_rows[:, at : at + room]
+            for at, own_rows in zip((STEP * windows + first).tolist(), d_rows, strict=True):
+                d_old[at : at + seen] += own_rows
     distance = np.zeros(2 * STEP)
     for half, of_half in zip(HALVES, far, strict=True):
         distance += np.bincount(_DISTANCE[half, : STEP + half.stop].T.ravel(), of_half.ravel(), minlength=2 * STEP)
